@@ -52,8 +52,13 @@ LABEL_SQL = """CASE WHEN l_linestatus = 'F' THEN CASE l_returnflag WHEN 'N' THEN
  ELSE CASE l_returnflag WHEN 'A' THEN 'F - Tax' WHEN 'R' THEN 'Z - Other' END END"""
 
 
-def disclosures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as typed disclosures. Natural key = (order, line), with a NULL part on line 3."""
+def disclosures(spark: SparkSession, sf_dir: str, *, hashed: bool = False) -> DataFrame:
+    """Order lines as typed disclosures. Natural key = (order, line), with a NULL part on line 3.
+
+    Stored tables hold their ids, so most queries take a plain one; ``hashed`` computes the
+    content id of a landed row.
+    """
+    plain = F.concat_ws("/", "ticker", "sec_tx_code", "title", F.col("price").cast("string"))
     line = F.col("l_linenumber").cast("string")
     rows = table(spark, sf_dir, "lineitem").select(
         F.concat_ws("/", F.lit("https://www.sec.gov"), "l_orderkey", "l_linenumber").alias("source_url"),
@@ -73,7 +78,7 @@ def disclosures(spark: SparkSession, sf_dir: str) -> DataFrame:
             "value": rules.trade_value(F.col("price"), F.col("qty")),
             "is_open_market": rules.open_market_flag(F.col("trade_type")),
             "classification": rules.classification(F.col("trade_type")),
-            "transaction_id": identity.transaction_id(),
+            "transaction_id": identity.transaction_id() if hashed else plain,
             "source": F.lit("openinsider"),
             "scraped_at": F.col("filing_date").cast("timestamp"),
             "is_active": F.lit(1),
@@ -83,7 +88,7 @@ def disclosures(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-TX_SQL = f"""tx0 AS (
+_TX0_SQL = f"""tx0 AS (
   SELECT 'https://www.sec.gov/' || l_orderkey || '/' || l_linenumber AS source_url,
          strftime(l_shipdate, '%Y-%m-%d') AS filing_date,
          CAST(l_orderkey AS VARCHAR) AS ticker,
@@ -92,7 +97,10 @@ TX_SQL = f"""tx0 AS (
          {LABEL_SQL} AS trade_type,
          CAST(l_linenumber AS VARCHAR) AS sec_tx_code,
          l_extendedprice AS price, CAST(l_quantity AS BIGINT) AS qty, l_returnflag AS x_flags
-  FROM lineitem),
+  FROM lineitem)"""
+TX_SQL = f"""{_TX0_SQL},
+tx AS (SELECT *, ticker || '/' || sec_tx_code || '/' || title || '/' || price AS transaction_id FROM tx0)"""
+HASHED_TX_SQL = f"""{_TX0_SQL},
 tx AS (
   SELECT *, sha256(source_url || '|' || filing_date || '||' || ticker || '|' || coalesce(insider_name, '')
     || '|' || title || '|' || coalesce(trade_type, '') || '|' || CAST(price AS VARCHAR) || '|' || qty

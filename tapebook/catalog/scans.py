@@ -9,7 +9,7 @@ from ..functions import clock, identity, rules, text
 from ..operators import paging, quality
 from ..schemas import INSIDER_DATA, TICKER_EXCLUSIONS, TICKER_FAILURES
 from ..sources import html
-from .registry import AS_OF, LABEL_SQL, TX_SQL, day_text, disclosures, labels, query, table
+from .registry import AS_OF, HASHED_TX_SQL, LABEL_SQL, TX_SQL, day_text, disclosures, labels, query, table
 
 
 @query(
@@ -200,9 +200,9 @@ def classify_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("transaction_id", f"WITH {TX_SQL} SELECT transaction_id, source_url, x_flags FROM tx")
+@query("transaction_id", f"WITH {HASHED_TX_SQL} SELECT transaction_id, source_url, x_flags FROM tx")
 def transaction_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return disclosures(spark, sf_dir).select("transaction_id", "source_url", "x_flags")
+    return disclosures(spark, sf_dir, hashed=True).select("transaction_id", "source_url", "x_flags")
 
 
 @query("float_text", "SELECT DISTINCT l_extendedprice AS price, CAST(l_extendedprice AS VARCHAR) AS price_text FROM lineitem")

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import rules
 from ..operators import versions
 from ..operators.keyed import first_per_key
 from ..operators.paging import page_of
 from ..operators.skew import next_marked
 from ..schemas import INSIDER_DATA, NATURAL_KEY
-from .registry import AS_OF, TX_SQL, day_text, disclosures, query
+from .registry import AS_OF, HASHED_TX_SQL, TX_SQL, day_text, disclosures, query
 
 KEY_SQL = "ticker, insider_name, sec_tx_code"
 RANKED_SQL = f"""ranked AS (
@@ -34,13 +35,13 @@ def reconcile_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "active_after_reconcile",
-    f"""WITH {TX_SQL}, {RANKED_SQL}
+    f"""WITH {HASHED_TX_SQL}, {RANKED_SQL}
   SELECT x_flags, count(*) AS n_rows, CAST(sum(CASE WHEN has_amend = 1 AND rn > 1 THEN 0 ELSE 1 END) AS BIGINT)
     AS n_active FROM ranked GROUP BY ALL""",
 )
 def active_after_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: deduplicate by content id, reconcile, count what stays active."""
-    once = first_per_key(disclosures(spark, sf_dir), ["transaction_id"], "filing_date")
+    once = first_per_key(disclosures(spark, sf_dir, hashed=True), ["transaction_id"], "filing_date")
     rows = versions.reconcile_amendments(once, AS_OF)
     return rows.groupBy("x_flags").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("is_active").cast("bigint")).alias("n_active")
@@ -74,8 +75,6 @@ def winner_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def best_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top-1 per natural key, whether or not the key has an amendment."""
-    from ..functions import rules
-
     order = [
         F.when(rules.counts_as_amendment(F.col("x_flags")), 1).otherwise(0).desc(),
         F.col("filing_date").desc(),
@@ -95,8 +94,6 @@ def best_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def sorted_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First page in version order: sort by a computed key and three columns, all descending."""
-    from ..functions import rules
-
     amended = F.when(rules.counts_as_amendment(F.col("x_flags")), 1).otherwise(0)
     order = [amended.desc(), F.col("filing_date").desc(), F.col("scraped_at").desc(), F.col("transaction_id").desc()]
     top = page_of(disclosures(spark, sf_dir), order, 1, 500)
@@ -120,8 +117,6 @@ def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def sequential_supersede(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rows land in order: each is retired by the next amendment of its key."""
-    from ..functions import rules
-
     marked = rules.marks_amendment(F.col("x_flags"))
     found = next_marked(
         _landed(spark, sf_dir), NATURAL_KEY, "page_id", ["pos"], marked, F.col("transaction_id"), "next_id"

@@ -7,20 +7,24 @@ from pyspark.sql import functions as F
 
 
 def float_text(c: Column) -> Column:
-    """Shortest decimal text of a double: ``12.0``, ``0.0001``, ``1e+16``, ``5e-05``."""
+    """Shortest decimal text of a double: ``12.0``, ``10000000.0``, ``0.0001``, ``1e+16``, ``5e-05``.
+
+    The engine's own text already has this form from 0.001 up to ten million; only values
+    outside take the longer way.
+    """
     size = F.abs(c)
-    plain = F.regexp_replace(c.try_cast("decimal(38,18)").cast("string"), "0+$", "")
-    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
-    sci = F.split(c.cast("string"), "E")
+    text = c.cast("string")
+    digits = F.rtrim(c.try_cast("decimal(38,18)").cast("string"), F.lit("0"))
+    plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    sci = F.split(text, "E")
     exponent = F.try_element_at(sci, F.lit(2)).try_cast("int")
-    mantissa = F.regexp_replace(sci[0], r"\.0$", "")
     scientific = F.concat(
-        mantissa,
+        F.regexp_replace(sci[0], r"\.0$", ""),
         F.when(exponent < 0, "e-").otherwise("e+"),
         F.lpad(F.abs(exponent).cast("string"), 2, "0"),
     )
     return (
-        F.when(size == 0, F.lit("0.0"))
+        F.when(size.between(0.001, 9999999) | (size == 0), text)
         .when((size >= 1e16) | (size < 1e-4), scientific)
         .otherwise(plain)
     )

@@ -23,14 +23,18 @@ def first_per_key(df: DataFrame, keys: Sequence[str], *order: Column | str) -> D
     return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1).drop("_rank")
 
 
-def absent_rows(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+def absent_rows(
+    batch: DataFrame, target: DataFrame, keys: Sequence[str], asked: DataFrame | None = None
+) -> DataFrame:
     """Batch rows whose key the target lacks.
 
     The target is first cut to the keys asked for. That join can broadcast the batch keys, so
-    a small batch costs a scan of the target's key columns and no shuffle of it.
+    a small batch costs a scan of the target's key columns and no shuffle of it. ``asked``
+    may name a cheaper frame with the same keys.
     """
     keys = list(keys)
-    known = target.select(*keys).join(batch.select(*keys), keys, "left_semi")
+    wanted = (batch if asked is None else asked).select(*keys)
+    known = target.select(*keys).join(wanted, keys, "left_semi")
     return batch.join(known, keys, "left_anti")
 
 
@@ -44,7 +48,9 @@ def insert_if_absent(
     target: DataFrame, batch: DataFrame, keys: Sequence[str], *order: Column | str
 ) -> DataFrame:
     """Stored rows win over new ones, earlier batch rows over later ones."""
-    fresh = absent_rows(first_per_key(batch, keys, *order), target, keys)
+    fresh = absent_rows(
+        first_per_key(batch, keys, *order), target, keys, asked=batch.select(*keys).distinct()
+    )
     return target.unionByName(fresh.select(*target.columns))
 
 

@@ -12,8 +12,9 @@ HOT_ROWS = 1_000_000
 """A key on more rows than this is hot: its rows are not sent to one task."""
 HOT_KEYS = 64
 """Only this many hot keys are looked for, which bounds what is broadcast."""
+HOT_SALTS = 512
+"""Tasks over which the rows of one hot key are spread."""
 _TRACKED = 4096
-_SALTS = 1 << 20
 
 
 def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -38,44 +39,36 @@ def lookup_join(
     keys: Sequence[str],
     *,
     where: Column | None = None,
+    spread_by: Sequence[str] | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left join of many rows to a frame with **one row per key**; NULL key parts match each other.
 
-    Rows of a hot key take their value from a broadcast of at most ``HOT_KEYS`` look-up rows and
-    are spread over all tasks. The rest meet the look-up side on the key, where the engine
-    broadcasts it if it is small and shuffles otherwise. Rows that fail ``where`` match nothing
-    and are spread as well.
+    The rows of a hot key are salted over ``HOT_SALTS`` tasks and its one look-up row is repeated
+    for each salt, at most ``HOT_KEYS * HOT_SALTS`` extra rows. Keys that are not hot meet as in
+    a plain join, where the engine broadcasts a small look-up side. Rows that fail ``where``
+    match nothing and are spread as well. ``spread_by`` names columns that tell the rows of a
+    hot key apart, such as an id; without it all columns do.
     """
     keys = list(keys)
     values = [c for c in lookup.columns if c not in keys]
     asking = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    hot = hot_keys(rows.filter(asking), keys, hot_rows).withColumn("_hot", F.lit(True))
 
-    hot = hot_keys(rows.filter(asking), keys, hot_rows)
-    side = lookup.select(
-        F.xxhash64(*keys).alias("_hash"), F.struct(*keys).alias("_key"), F.struct(*values).alias("_found")
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    side = (
+        lookup.withColumn("_hash", F.xxhash64(*keys))
+        .join(F.broadcast(hot), "_hash", "left")
+        .select(F.struct(*keys).alias("_key"), F.explode(salts).alias("_salt"), *values)
     )
-    hot_side = (
-        side.join(F.broadcast(hot), "_hash", "left_semi")
-        .select("_key", F.col("_found").alias("_hot_found"))
-    )
-    cold_side = side.select("_key", F.lit(0).alias("_salt"), "_found")
-
-    spread = -1 - F.pmod(F.xxhash64(*rows.columns), F.lit(_SALTS)).cast("int")
+    spread = F.pmod(F.xxhash64(*(spread_by or rows.columns)), F.lit(HOT_SALTS)).cast("int")
+    salt = F.when(~asking, -1 - spread).when(F.col("_hot"), spread).otherwise(0)
     asked = (
-        rows.withColumn("_key", F.struct(*keys))
-        .withColumn("_hash", F.xxhash64(*keys))
-        .join(F.broadcast(hot.withColumn("_is_hot", F.lit(True))), "_hash", "left")
-        .join(F.broadcast(hot_side), "_key", "left")
-        .withColumn("_asking", asking)
-        .withColumn("_salt", F.when(F.col("_asking") & F.col("_is_hot").isNull(), 0).otherwise(spread))
-    )
-    joined = asked.join(cold_side, ["_key", "_salt"], "left")
-    value = F.coalesce("_hot_found", "_found")
-    return joined.select(
-        *[F.col(c) for c in rows.columns],
-        *[F.when(F.col("_asking"), value[c]).alias(c) for c in values],
+        rows.withColumn("_hash", F.xxhash64(*keys))
+        .join(F.broadcast(hot), "_hash", "left")
+        .select(*rows.columns, F.struct(*keys).alias("_key"), salt.alias("_salt"))
     )
+    return asked.join(side, ["_key", "_salt"], "left").drop("_key", "_salt")
 
 
 def next_marked(

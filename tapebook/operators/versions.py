@@ -42,7 +42,8 @@ def best_versions(rows: DataFrame) -> DataFrame:
 def find_losers(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every row with the ``winner_id`` of its key; NULL when its group stays as it is."""
     return lookup_join(
-        rows, best_versions(rows), NATURAL_KEY, where=F.col("is_active") == 1, hot_rows=hot_rows
+        rows, best_versions(rows), NATURAL_KEY,
+        where=F.col("is_active") == 1, spread_by=["transaction_id"], hot_rows=hot_rows,
     )
 
 
@@ -74,7 +75,8 @@ def supersede(
         .agg(F.min_by("transaction_id", F.struct("page_id", "pos")).alias("retired_by"))
     )
     stored = lookup_join(
-        target, first_new, NATURAL_KEY, where=F.col("is_active") == 1, hot_rows=hot_rows
+        target, first_new, NATURAL_KEY,
+        where=F.col("is_active") == 1, spread_by=["transaction_id"], hot_rows=hot_rows,
     )
     new = next_marked(
         fresh, NATURAL_KEY, "page_id", ["pos"], amends, F.col("transaction_id"), "retired_by",
