@@ -18,18 +18,16 @@ _TRACKED = 4096
 
 
 def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Hashes of the keys that hold more than ``hot_rows`` rows, at most ``HOT_KEYS`` of them.
+    """One row, ``hot``: the hashes of the keys that hold more than ``hot_rows`` rows.
 
     One pass with a frequent-items sketch: each task sends a few kilobytes, whatever the
-    number of keys. The estimate decides speed only; ``lookup_join`` is exact for any answer.
+    number of keys, and at most ``HOT_KEYS`` hashes come out. The estimate decides speed only;
+    ``lookup_join`` is exact for any answer.
     """
     sketch = F.call_function("approx_top_k", F.col("_hash"), F.lit(HOT_KEYS), F.lit(_TRACKED))
-    return (
-        rows.select(F.xxhash64(*keys).alias("_hash"))
-        .agg(sketch.alias("top"))
-        .select(F.explode("top").alias("top"))
-        .filter(F.col("top.count") > hot_rows)
-        .select(F.col("top.item").alias("_hash"))
+    frequent = F.filter(sketch, lambda t: t["count"] > hot_rows)
+    return rows.select(F.xxhash64(*keys).alias("_hash")).agg(
+        F.transform(frequent, lambda t: t["item"]).alias("hot")
     )
 
 
@@ -53,21 +51,14 @@ def lookup_join(
     keys = list(keys)
     values = [c for c in lookup.columns if c not in keys]
     asking = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
-    hot = hot_keys(rows.filter(asking), keys, hot_rows).withColumn("_hot", F.lit(True))
+    hot = hot_keys(rows.filter(asking), keys, hot_rows).scalar()
+    is_hot = F.coalesce(F.array_contains(hot, F.xxhash64(*keys)), F.lit(False))
 
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(F.array(F.lit(0)))
-    side = (
-        lookup.withColumn("_hash", F.xxhash64(*keys))
-        .join(F.broadcast(hot), "_hash", "left")
-        .select(F.struct(*keys).alias("_key"), F.explode(salts).alias("_salt"), *values)
-    )
+    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    side = lookup.select(F.struct(*keys).alias("_key"), F.explode(salts).alias("_salt"), *values)
     spread = F.pmod(F.xxhash64(*(spread_by or rows.columns)), F.lit(HOT_SALTS)).cast("int")
-    salt = F.when(~asking, -1 - spread).when(F.col("_hot"), spread).otherwise(0)
-    asked = (
-        rows.withColumn("_hash", F.xxhash64(*keys))
-        .join(F.broadcast(hot), "_hash", "left")
-        .select(*rows.columns, F.struct(*keys).alias("_key"), salt.alias("_salt"))
-    )
+    salt = F.when(~asking, -1 - spread).when(is_hot, spread).otherwise(0)
+    asked = rows.select(*rows.columns, F.struct(*keys).alias("_key"), salt.alias("_salt"))
     return asked.join(side, ["_key", "_salt"], "left").drop("_key", "_salt")
 
 

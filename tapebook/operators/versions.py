@@ -39,26 +39,42 @@ def best_versions(rows: DataFrame) -> DataFrame:
     )
 
 
-def find_losers(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def find_losers(rows: DataFrame, best: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every row with the ``winner_id`` of its key; NULL when its group stays as it is."""
     return lookup_join(
-        rows, best_versions(rows), NATURAL_KEY,
+        rows, best_versions(rows) if best is None else best, NATURAL_KEY,
         where=F.col("is_active") == 1, spread_by=["transaction_id"], hot_rows=hot_rows,
     )
 
 
-def reconcile_amendments(rows: DataFrame, as_of: datetime, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keep one active row in every natural-key group that holds an active amendment."""
-    judged = find_losers(rows, hot_rows)
+def reconcile_amendments(
+    rows: DataFrame, as_of: datetime, best: DataFrame | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Keep one active row in every natural-key group that holds an active amendment.
+
+    ``best`` may hand in ``best_versions(rows)`` from files, so that their size is known when the
+    join is planned: a small set is then broadcast and the rows do not move.
+    """
+    judged = find_losers(rows, best, hot_rows)
     beaten = (F.col("is_active") == 1) & (F.col("winner_id") != F.col("transaction_id"))
     return _retire(judged, "winner_id", beaten, clock.at(as_of))
 
 
+def first_amendments(fresh: DataFrame) -> DataFrame:
+    """First new amendment of each natural key, in page order."""
+    return (
+        fresh.filter(rules.marks_amendment(F.col("x_flags")))
+        .groupBy(*NATURAL_KEY)
+        .agg(F.min_by("transaction_id", F.struct("page_id", "pos")).alias("retired_by"))
+    )
+
+
 def supersede(
     target: DataFrame,
     fresh: DataFrame,
     as_of: datetime,
     *,
+    first_new: DataFrame | None = None,
     pages_per_chunk: int = 1024,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
@@ -66,21 +82,17 @@ def supersede(
 
     Each new amendment retires the active rows of its key that came before it: a stored row
     is retired by the first new amendment of its key, a new row by the next one after it.
-    ``fresh`` must hold no stored ids; it carries ``page_id`` and ``pos``.
+    ``fresh`` must hold no stored ids; it carries ``page_id`` and ``pos``. ``first_new`` may hand
+    in ``first_amendments(fresh)`` from files.
     """
-    amends = rules.marks_amendment(F.col("x_flags"))
-    first_new = (
-        fresh.filter(amends)
-        .groupBy(*NATURAL_KEY)
-        .agg(F.min_by("transaction_id", F.struct("page_id", "pos")).alias("retired_by"))
-    )
+    first_new = first_amendments(fresh) if first_new is None else first_new
     stored = lookup_join(
         target, first_new, NATURAL_KEY,
         where=F.col("is_active") == 1, spread_by=["transaction_id"], hot_rows=hot_rows,
     )
     new = next_marked(
-        fresh, NATURAL_KEY, "page_id", ["pos"], amends, F.col("transaction_id"), "retired_by",
-        pages_per_chunk,
+        fresh, NATURAL_KEY, "page_id", ["pos"], rules.marks_amendment(F.col("x_flags")),
+        F.col("transaction_id"), "retired_by", pages_per_chunk,
     ).select(*target.columns, "retired_by")
     retired = (F.col("is_active") == 1) & F.col("retired_by").isNotNull()
     now = clock.at(as_of)

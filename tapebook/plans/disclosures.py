@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import quality, runs, symbols, versions
 from ..operators.keyed import absent_rows, first_per_key
 from ..schemas import INSIDER_DATA
-from ..session import materialize
+from ..session import Scratch
 from ..sources import feeds, html
 from ..sources.store import SnapshotStore
 
@@ -54,7 +54,8 @@ def run_disclosures(
     run_id = runs.next_run_id(run_log)
     store.commit({"runs": runs.run_record(run_log, run_id, JOB, as_of)})
     try:
-        result = _ingest(store, pages, metadata, as_of, run_id, index_rows, fail_fast, reconcile_all)
+        with Scratch(store.spark, f"{store.root}/_work") as scratch:
+            result = _ingest(store, scratch, pages, metadata, as_of, run_id, index_rows, fail_fast, reconcile_all)
     except Exception as error:
         failed = runs.run_record(
             store.read("runs"), run_id, JOB, as_of,
@@ -69,6 +70,7 @@ def run_disclosures(
 
 def _ingest(
     store: SnapshotStore,
+    scratch: Scratch,
     pages: DataFrame,
     metadata: DataFrame,
     as_of: datetime,
@@ -77,36 +79,35 @@ def _ingest(
     fail_fast: bool,
     reconcile_all: bool,
 ) -> IngestResult:
-    spark = store.spark
-    scratch = f"{store.root}/_work"
     scanned = html.require_table(pages) if fail_fast else pages
     parsed = html.normalize_disclosures(html.extract_disclosures(scanned))
-    batch = materialize(
-        quality.fill_defaults(parsed, INSIDER_DATA, as_of, keep=("page_id", "pos", "company_name")),
-        scratch, "batch",
+    batch = scratch.write(
+        quality.fill_defaults(parsed, INSIDER_DATA, as_of, keep=("page_id", "pos", "company_name")), "batch"
     )
     good, bad = quality.split_valid(batch, INSIDER_DATA, fail_fast=fail_fast)
 
     tickers = store.read("ticker_data")
     indexes = store.read("index_data")
     new_tickers = symbols.ingest_tickers(tickers, batch, metadata, as_of)
-    seeds = index_rows if index_rows is not None else feeds.index_seed(spark)
+    seeds = index_rows if index_rows is not None else feeds.index_seed(store.spark)
     new_indexes = symbols.upsert_indexes(indexes, seeds, metadata)
 
     months = store.months_in("insider_data", batch)
     target = store.read("insider_data", months)
     one_each = first_per_key(good, ["transaction_id"], "page_id", "pos")
-    fresh = materialize(absent_rows(one_each, target, ["transaction_id"]), scratch, "fresh")
-    superseded = versions.supersede(target, fresh, as_of)
-    # Written out so that the counts before and after reconciliation read files.
-    merged = materialize(superseded, scratch, "merged")
+    fresh = scratch.write(
+        absent_rows(one_each, target, ["transaction_id"], asked=good.select("transaction_id").distinct()), "fresh"
+    )
+    first_new = scratch.write(versions.first_amendments(fresh), "first_new")
+    merged = scratch.write(versions.supersede(target, fresh, as_of, first_new=first_new), "merged")
 
     version = store.version() + 1
     if reconcile_all:
         others = [m for m in store.manifest().get("insider_data", {}) if m not in set(months)]
         merged = merged.unionByName(store.read("insider_data", others))
         target = store.read("insider_data")
-    entry, written = store.stage("insider_data", versions.reconcile_amendments(merged, as_of), version)
+    best = scratch.write(versions.best_versions(merged), "best")
+    entry, written = store.stage("insider_data", versions.reconcile_amendments(merged, as_of, best), version)
     ticker_entry, written_tickers = store.stage("ticker_data", new_tickers, version)
     index_entry, written_indexes = store.stage("index_data", new_indexes, version)
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import clock, text
 from ..operators import actions, health, paging, prices, quality, symbols
 from ..schemas import BATCH_STATUS, CORPORATE_ACTIONS, DIVIDENDS, PRICING_DATA, SPLITS
-from ..session import materialize
+from ..session import Scratch
 from ..sources.store import SnapshotStore
 
 logger = logging.getLogger(__name__)
@@ -56,8 +56,30 @@ def run_prices(
     ``requests`` (batch_id, ticker) says which symbols were asked for together; without it the
     work list is cut into batches of ``batch_size``. Only the months of the window are rewritten.
     """
+    with Scratch(store.spark, f"{store.root}/_work") as scratch:
+        result = _price(
+            store, scratch, feed, as_of, splits, dividends, batch_status, requests,
+            term_days, batch_size, source, threshold,
+        )
+    logger.info("%s: %s", JOB, result)
+    return result
+
+
+def _price(
+    store: SnapshotStore,
+    scratch: Scratch,
+    feed: DataFrame,
+    as_of: datetime,
+    splits: DataFrame | None,
+    dividends: DataFrame | None,
+    batch_status: DataFrame | None,
+    requests: DataFrame | None,
+    term_days: int,
+    batch_size: int,
+    source: str,
+    threshold: int,
+) -> PriceResult:
     spark = store.spark
-    scratch = f"{store.root}/_work"
     splits = splits if splits is not None else spark.createDataFrame([], SPLITS)
     dividends = dividends if dividends is not None else spark.createDataFrame([], DIVIDENDS)
     status = batch_status if batch_status is not None else spark.createDataFrame([], BATCH_STATUS)
@@ -65,23 +87,21 @@ def run_prices(
     indexes = store.read("index_data")
     tickers = symbols.ensure_tickers(store.read("ticker_data"), indexes, as_of, "index_name")
     exclusions = store.read("ticker_exclusions")
-    work = materialize(
-        health.drop_excluded(work_list(tickers, indexes), exclusions, as_of), scratch, "work"
-    )
+    work = scratch.write(health.drop_excluded(work_list(tickers, indexes), exclusions, as_of), "work")
     asked = requests.select("batch_id", "ticker") if requests is not None else paging.assign_batches(work, batch_size)
     asked = asked.join(work, "ticker", "left_semi")
 
     window = clock.price_window(as_of, term_days)
     in_window = feed.filter(clock.in_window(F.col("date"), window))
-    outcomes = materialize(
-        health.feed_outcomes(asked, health.feed_counts(in_window), status), scratch, "outcomes"
+    outcomes = scratch.write(
+        health.feed_outcomes(asked, health.feed_counts(in_window), status), "outcomes"
     )
     failed = health.failure_batch(outcomes)
     succeeded = outcomes.filter("succeeded").select("ticker")
 
     usable = prices.drop_empty_days(in_window).join(succeeded, "ticker", "left_semi")
     shaped = PRICING_DATA.conform(prices.cast_prices(usable, as_of, source))
-    batch = materialize(shaped, scratch, "prices")
+    batch = scratch.write(shaped, "prices")
     good, bad = quality.split_valid(batch, PRICING_DATA)
     target = store.read("pricing_data", store.months_in("pricing_data", batch))
     new_prices = prices.upsert_prices(target, good)
@@ -94,11 +114,11 @@ def run_prices(
     new_actions = actions.upsert_actions(store.read("corporate_actions"), good_actions)
 
     failures = health.upsert_failures(store.read("ticker_failures"), failed, JOB, as_of)
-    failures = materialize(health.clear_failures(failures, succeeded, JOB), scratch, "failures")
+    failures = scratch.write(health.clear_failures(failures, succeeded, JOB), "failures")
     last = succeeded.join(prices.latest_dates(good), "ticker", "left")
     tickers = health.touch_attempts(tickers, work, as_of)
     tickers = health.roll_up_failures(tickers, failed, as_of)
-    tickers = materialize(health.touch_successes(tickers, last, as_of), scratch, "tickers")
+    tickers = scratch.write(health.touch_successes(tickers, last, as_of), "tickers")
     new_exclusions, tickers = health.evaluate_health(failures, tickers, exclusions, JOB, as_of, threshold)
 
     store.commit(
@@ -110,11 +130,9 @@ def run_prices(
             "ticker_data": tickers,
         }
     )
-    result = PriceResult(
+    return PriceResult(
         requested=asked.count(),
         priced=succeeded.count(),
         price_rows=good.count(),
         quarantined=bad.count() + bad_actions.count(),
     )
-    logger.info("%s: %s", JOB, result)
-    return result

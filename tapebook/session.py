@@ -28,13 +28,26 @@ def shared_folder(spark: SparkSession, fallback: str) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or fallback
 
 
-def materialize(df: DataFrame, fallback: str, name: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back.
+class Scratch:
+    """Intermediate tables of one job, in the shared folder, removed when the job ends.
 
-    Cuts the lineage so that a lost executor costs a re-read of files, not a re-parse of
-    the landing data, and lets later steps read only the columns they need.
+    Reading them back cuts the lineage: a lost executor costs a re-read of files, not a
+    re-parse of the landing data. Later steps read only the columns they need, and the
+    planner knows their size.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark, fallback).rstrip('/')}/tapebook/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession, fallback: str):
+        self.spark = spark
+        self.root = f"{shared_folder(spark, fallback).rstrip('/')}/tapebook/{uuid.uuid4().hex}"
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.root}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -79,12 +79,13 @@ def extract_disclosures(pages: DataFrame) -> DataFrame:
     """All-text disclosure rows, one column per kept header, plus link and row order."""
     rows = scan_table(pages)
     def cell(header: str) -> Column:
-        hits = F.filter(F.col("_cells"), lambda z: (z["headers"] == header) & z["cells"].isNotNull())
-        return text.markup_text(F.try_element_at(hits, F.lit(-1))["cells"])
+        hits = F.filter(F.col("_cells"), lambda z: (z["headers"] == header) & z["texts"].isNotNull())
+        return F.try_element_at(hits, F.lit(-1))["texts"]
 
     at = F.array_position("headers", LINK_HEADER).cast("int")
     link_cell = F.when(at > 0, F.try_element_at("cells", at))
-    return rows.withColumn("_cells", F.arrays_zip("headers", "cells")).select(
+    read = rows.withColumn("texts", F.transform("cells", text.markup_text))
+    return read.withColumn("_cells", F.arrays_zip("headers", "texts")).select(
         "page_id",
         "pos",
         *[cell(h).alias(text.normalize_header(h)) for h in KEPT_HEADERS],
