@@ -40,10 +40,13 @@ def reconcile_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     AS n_active FROM ranked GROUP BY ALL""",
 )
 def active_after_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagship: deduplicate by content id, reconcile, count what stays active."""
-    once = first_per_key(disclosures(spark, sf_dir, hashed=True), ["transaction_id"], "filing_date")
-    rows = versions.reconcile_amendments(once, AS_OF)
-    return rows.groupBy("x_flags").agg(
+    """Flagship: content ids, reconciliation, one row per id, count what stays active.
+
+    Copies of a row share its id and its fate, so they are dropped last, on three columns.
+    """
+    rows = versions.reconcile_amendments(disclosures(spark, sf_dir, hashed=True), AS_OF)
+    once = rows.select("transaction_id", "x_flags", "is_active").distinct()
+    return once.groupBy("x_flags").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("is_active").cast("bigint")).alias("n_active")
     )
 

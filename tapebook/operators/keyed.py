@@ -58,7 +58,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], *order: Col
     """Batch rows replace stored ones; ``order`` puts the winning batch row first."""
     keys = list(keys)
     latest = first_per_key(batch, keys, *order) if order else batch
-    kept = target.join(latest.select(*keys), keys, "left_anti")
+    kept = target.join(batch.select(*keys).distinct(), keys, "left_anti")
     return kept.unionByName(latest.select(*target.columns))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,23 +32,28 @@ def fill_defaults(df: DataFrame, table: Table, as_of: datetime, keep: Sequence[s
     return table.conform(df.withColumns(filled) if filled else df, keep)
 
 
-def violations(table: Table, extra: dict[str, Column] | None = None) -> Column:
-    """Names of the broken constraints of a row; a check on NULL passes."""
-    broken = [F.when(F.col(c).isNull(), F.lit(f"{c} is required")) for c in table.required]
-    checks = {name: check() for name, check in table.checks.items()} | (extra or {})
-    broken += [F.when(~F.coalesce(ok, F.lit(True)), F.lit(f"{name} check")) for name, ok in checks.items()]
-    return F.array_compact(F.array(*broken))
+def _breaches(table: Table) -> dict[str, Column]:
+    """Constraint name -> is it broken? A check on NULL passes."""
+    missing = {f"{c} is required": F.col(c).isNull() for c in table.required}
+    return missing | {f"{n} check": ~F.coalesce(check(), F.lit(True)) for n, check in table.checks.items()}
+
+
+def violations(table: Table) -> Column:
+    """Names of the broken constraints of a row."""
+    return F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in _breaches(table).items()]))
 
 
 def split_valid(df: DataFrame, table: Table, *, fail_fast: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(good rows, quarantined rows with ``violations``). ``fail_fast`` raises on the first bad row."""
-    marked = df.withColumn("violations", violations(table))
-    bad = F.size("violations") > 0
+    """(good rows, quarantined rows with ``violations``). ``fail_fast`` raises on the first bad row.
+
+    The test is one chain of comparisons; names are collected for the bad rows only.
+    """
+    bad = reduce(Column.__or__, _breaches(table).values())
     if fail_fast:
-        message = F.concat(F.lit(f"{table.name}: "), F.array_join("violations", ", "))
-        checked = marked.withColumn("violations", F.when(bad, F.raise_error(message)).otherwise(F.col("violations")))
-        return checked.filter(F.size("violations") == 0).drop("violations"), marked.filter(F.lit(False))
-    return marked.filter(~bad).drop("violations"), marked.filter(bad)
+        message = F.concat(F.lit(f"{table.name}: "), F.array_join(violations(table), ", "))
+        checked = df.filter(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+        return checked, df.filter(F.lit(False)).withColumn("violations", violations(table))
+    return df.filter(~bad), df.filter(bad).withColumn("violations", violations(table))
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
