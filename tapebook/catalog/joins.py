@@ -47,7 +47,7 @@ def semi_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 def set_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     requested = table(spark, sf_dir, "part").select(F.col("p_brand").alias("ticker"))
     returned = table(spark, sf_dir, "supplier").select(F.concat(F.lit("Brand#"), "s_nationkey").alias("ticker"))
-    return requested.subtract(returned)
+    return keyed.difference(requested, returned)
 
 
 @query(
@@ -57,7 +57,7 @@ def set_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 def set_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
     requested = table(spark, sf_dir, "part").select(F.col("p_brand").alias("ticker"))
     returned = table(spark, sf_dir, "supplier").select(F.concat(F.lit("Brand#"), "s_nationkey").alias("ticker"))
-    return requested.intersect(returned)
+    return keyed.intersection(requested, returned)
 
 
 @query(

@@ -14,13 +14,14 @@ from .registry import AS_OF, TX_SQL, bars, bars_sql, day_text, disclosures, quer
 
 @query(
     "insert_if_absent",
-    f"""WITH {TX_SQL} SELECT transaction_id, filing_date,
-    CASE WHEN filing_date < '1999-01-01' THEN 'stored' ELSE 'new' END AS origin FROM tx""",
+    f"""WITH {TX_SQL}, s AS (SELECT transaction_id, min(filing_date) AS filing_date FROM tx GROUP BY ALL)
+  SELECT *, CASE WHEN filing_date < '1999-01-01' THEN 'stored' ELSE 'new' END AS origin FROM s""",
 )
 def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch overlaps the stored rows by one year; those are skipped."""
     rows = disclosures(spark, sf_dir).select("transaction_id", "filing_date")
-    stored = rows.filter("filing_date < date'1999-01-01'").withColumn("origin", F.lit("stored"))
+    early = rows.filter("filing_date < date'1999-01-01'")
+    stored = keyed.first_per_key(early, ["transaction_id"], "filing_date").withColumn("origin", F.lit("stored"))
     batch = rows.filter("filing_date >= date'1998-01-01'").withColumn("origin", F.lit("new"))
     merged = keyed.insert_if_absent(stored, batch, ["transaction_id"], "filing_date")
     return merged.withColumn("filing_date", day_text("filing_date"))
@@ -238,7 +239,7 @@ def ensure_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def ingest_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = disclosures(spark, sf_dir).select("transaction_id", "filing_date")
-    stored = rows.filter("filing_date < date'1999-01-01'")
+    stored = rows.filter("filing_date < date'1999-01-01'").select("transaction_id").distinct()
     batch = rows.filter("filing_date >= date'1998-01-01'")
     return runs.ingest_counters(runs.label_ingest(batch, stored, ["transaction_id"]))
 

@@ -104,18 +104,21 @@ def sorted_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as freshly landed rows: one page per ship day, ordered by id within the day."""
-    rows = disclosures(spark, sf_dir)
-    return rows.withColumns(
-        {"page_id": F.unix_date("filing_date").cast("bigint"), "pos": F.col("transaction_id")}
-    )
+    """Order lines as freshly landed rows, in order of ship day and digest.
+
+    A landed page holds few rows, so a day is cut into 2**20 pages by the leading digits of the
+    digest: a key with any share of the rows still spreads over many pages.
+    """
+    rows = disclosures(spark, sf_dir).withColumn("pos", F.sha2("transaction_id", 256))
+    sheet = F.conv(F.substring("pos", 1, 5), 16, 10).cast("bigint")
+    return rows.withColumn("page_id", F.unix_date("filing_date").cast("bigint") * (1 << 20) + sheet)
 
 
 @query(
     "sequential_supersede",
     f"""WITH {TX_SQL}
   SELECT transaction_id, first_value(CASE WHEN x_flags LIKE '%A%' THEN transaction_id END IGNORE NULLS) OVER (
-    PARTITION BY {KEY_SQL} ORDER BY filing_date, transaction_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)
+    PARTITION BY {KEY_SQL} ORDER BY filing_date, sha256(transaction_id) ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)
     AS superseded_by FROM tx""",
 )
 def sequential_supersede(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,7 +136,7 @@ INSERTED_SQL = f"""{TX_SQL}, placed AS (
     SELECT *, CASE WHEN filing_date >= '{SPLIT_DAY}' THEN 1 ELSE 0 END AS is_new FROM tx),
   merged AS (
     SELECT *, first_value(CASE WHEN is_new = 1 AND x_flags LIKE '%A%' THEN transaction_id END IGNORE NULLS) OVER (
-      PARTITION BY {KEY_SQL} ORDER BY is_new, filing_date, transaction_id
+      PARTITION BY {KEY_SQL} ORDER BY is_new, filing_date, sha256(transaction_id)
       ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS superseded_by FROM placed)"""
 
 

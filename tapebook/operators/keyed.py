@@ -44,6 +44,16 @@ def present_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Da
     return target.join(batch.select(*keys).distinct(), keys, "left_semi")
 
 
+def difference(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Distinct rows of ``a`` that ``b`` lacks. Both sides shrink to distinct rows before they meet."""
+    return a.distinct().join(b.distinct(), a.columns, "left_anti")
+
+
+def intersection(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Distinct rows that both sides have."""
+    return a.distinct().join(b.distinct(), a.columns, "left_semi")
+
+
 def insert_if_absent(
     target: DataFrame, batch: DataFrame, keys: Sequence[str], *order: Column | str
 ) -> DataFrame:

@@ -34,7 +34,7 @@ def screen(
 def assign_batches(symbols: DataFrame, size: int = 50) -> DataFrame:
     """(batch_id, ticker): batches of exactly ``size`` symbols but for the last, in hash order."""
     ranked = hash_rank(
-        symbols.select("ticker").withColumn("_digest", F.sha2(F.col("ticker").cast("string"), 256)),
+        symbols.select("ticker").distinct().withColumn("_digest", F.sha2(F.col("ticker").cast("string"), 256)),
         "_digest", "_at",
     )
     batch = F.floor((F.col("_at") - 1) / size).cast("string")

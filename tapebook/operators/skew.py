@@ -52,14 +52,25 @@ def lookup_join(
     values = [c for c in lookup.columns if c not in keys]
     asking = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
     hot = hot_keys(rows.filter(asking), keys, hot_rows).scalar()
-    is_hot = F.coalesce(F.array_contains(hot, F.xxhash64(*keys)), F.lit(False))
+    digest = F.xxhash64(*keys)
+    is_hot = F.coalesce(F.array_contains(hot, digest), F.lit(False))
+    # The digest leads the join key: sorting compares numbers and meets the key only on a tie.
+    key = [digest.alias("_hash"), F.struct(*keys).alias("_key")]
 
     salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(F.array(F.lit(0)))
-    side = lookup.select(F.struct(*keys).alias("_key"), F.explode(salts).alias("_salt"), *values)
+    side = lookup.select(*key, F.explode(salts).alias("_salt"), *values)
     spread = F.pmod(F.xxhash64(*(spread_by or rows.columns)), F.lit(HOT_SALTS)).cast("int")
     salt = F.when(~asking, -1 - spread).when(is_hot, spread).otherwise(0)
-    asked = rows.select(*rows.columns, F.struct(*keys).alias("_key"), salt.alias("_salt"))
-    return asked.join(side, ["_key", "_salt"], "left").drop("_key", "_salt")
+    asked = rows.select(*rows.columns, *key, salt.alias("_salt"))
+    return asked.join(side, ["_hash", "_salt", "_key"], "left").drop("_hash", "_salt", "_key")
+
+
+def keep_keys(
+    rows: DataFrame, wanted: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Rows whose key is in ``wanted`` (one row per key): a semi join that a hot key cannot stall."""
+    flags = wanted.select(*keys).withColumn("_wanted", F.lit(True))
+    return lookup_join(rows, flags, keys, hot_rows=hot_rows).filter("_wanted").drop("_wanted")
 
 
 def next_marked(
@@ -81,14 +92,15 @@ def next_marked(
     """
     order = [page, *within]
     base = (
-        rows.withColumn("_key", F.struct(*keys))
+        rows.withColumn("_hash", F.xxhash64(*keys))
+        .withColumn("_key", F.struct(*keys))
         .withColumn("_chunk", F.floor(F.col(page) / pages_per_chunk))
         .withColumn("_mark", F.when(F.coalesce(marked, F.lit(False)), value))
     )
     # Descending order with a frame that only grows: one pass, where a frame that
     # starts after the row and runs to the end would be rescanned for each row.
     after = (
-        W.partitionBy("_key", "_chunk")
+        W.partitionBy("_hash", "_key", "_chunk")
         .orderBy(*[F.col(c).desc() for c in order])
         .rowsBetween(W.unboundedPreceding, -1)
     )
@@ -96,15 +108,17 @@ def next_marked(
 
     first_here = F.min_by("_mark", F.when(F.col("_mark").isNotNull(), F.struct(*order)))
     later = (
-        W.partitionBy("_key").orderBy(F.col("_chunk").desc()).rowsBetween(W.unboundedPreceding, -1)
+        W.partitionBy("_hash", "_key")
+        .orderBy(F.col("_chunk").desc())
+        .rowsBetween(W.unboundedPreceding, -1)
     )
     far = (
-        base.groupBy("_key", "_chunk").agg(first_here.alias("_first"))
+        base.groupBy("_hash", "_key", "_chunk").agg(first_here.alias("_first"))
         .withColumn("_far", F.last("_first", ignorenulls=True).over(later))
         .filter(F.col("_far").isNotNull())
-        .select("_key", "_chunk", "_far")
+        .select("_hash", "_key", "_chunk", "_far")
     )
-    return near.join(far, ["_key", "_chunk"], "left").select(
+    return near.join(far, ["_hash", "_key", "_chunk"], "left").select(
         *rows.columns, F.coalesce("_near", "_far").alias(out)
     )
 

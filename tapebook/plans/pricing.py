@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clock, text
 from ..operators import actions, health, paging, prices, quality, symbols
+from ..operators.skew import keep_keys
 from ..schemas import BATCH_STATUS, CORPORATE_ACTIONS, DIVIDENDS, PRICING_DATA, SPLITS
 from ..session import Scratch
 from ..sources.store import SnapshotStore
@@ -99,7 +100,7 @@ def _price(
     failed = health.failure_batch(outcomes)
     succeeded = outcomes.filter("succeeded").select("ticker")
 
-    usable = prices.drop_empty_days(in_window).join(succeeded, "ticker", "left_semi")
+    usable = keep_keys(prices.drop_empty_days(in_window), succeeded, ["ticker"])
     shaped = PRICING_DATA.conform(prices.cast_prices(usable, as_of, source))
     batch = scratch.write(shaped, "prices")
     good, bad = quality.split_valid(batch, PRICING_DATA)
@@ -109,7 +110,7 @@ def _price(
     with_actions = outcomes.filter(F.col("batch_usable") > 0).select("ticker").join(
         work.filter("include_actions"), "ticker", "left_semi"
     )
-    landed = actions.action_rows(splits, dividends, as_of, source).join(with_actions, "ticker", "left_semi")
+    landed = keep_keys(actions.action_rows(splits, dividends, as_of, source), with_actions, ["ticker"])
     good_actions, bad_actions = quality.split_valid(landed, CORPORATE_ACTIONS)
     new_actions = actions.upsert_actions(store.read("corporate_actions"), good_actions)
 

@@ -201,3 +201,18 @@ def test_every_table_has_an_empty_frame(spark):
     for table in TABLES.values():
         assert table.empty(spark).columns == table.columns
         assert set(table.keys) <= set(table.columns)
+
+
+def test_set_operations(spark):
+    a = spark.createDataFrame([("x",), ("x",), ("y",)], "t string")
+    b = spark.createDataFrame([("y",), ("z",)], "t string")
+    assert rows(keyed.difference(a, b), "t") == [("x",)] and rows(keyed.intersection(a, b), "t") == [("y",)]
+
+
+def test_keep_keys(spark):
+    from tapebook.operators.skew import keep_keys
+
+    df = spark.createDataFrame([("x", 1), ("x", 2), ("y", 3), ("z", 4)], "t string, v int")
+    wanted = spark.createDataFrame([("x",), ("z",)], "t string")
+    for hot_rows in (1, 100):
+        assert rows(keep_keys(df, wanted, ["t"], hot_rows), "v") == [(1,), (2,), (4,)]
