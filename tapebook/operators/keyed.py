@@ -17,7 +17,8 @@ def first_per_key(df: DataFrame, keys: Sequence[str], *order: Column | str) -> D
     """The first row of each key.
 
     Each task keeps one row per key before the shuffle (WindowGroupLimit in the plan), so a
-    hot key costs one row per task.
+    hot key costs one row per task. The result stays partitioned by the key, which a join
+    that follows can use.
     """
     w = W.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1).drop("_rank")

@@ -81,8 +81,15 @@ def upsert_prices(prices: DataFrame, batch: DataFrame) -> DataFrame:
     return upsert(prices, batch, KEY, *order)
 
 
-def insert_prices_if_absent(prices: DataFrame, feed: DataFrame, as_of: datetime) -> DataFrame:
-    """Open and close only, to three places; stored days are never changed."""
+def insert_prices_if_absent(
+    prices: DataFrame, feed: DataFrame, as_of: datetime, term_days: int | None = None
+) -> DataFrame:
+    """Open and close only, to three places; stored days are never changed.
+
+    ``term_days`` cuts the feed to the window that ends at ``as_of``.
+    """
+    if term_days is not None:
+        feed = feed.filter(clock.in_window(F.col("date"), clock.price_window(as_of, term_days)))
     batch = PRICING_DATA.conform(
         cast_prices(drop_empty_days(feed), as_of).select(
             "ticker", "date",

@@ -44,10 +44,8 @@ def scan_table(pages: DataFrame, css_class: str = TABLE_CLASS) -> DataFrame:
 
     The first table row is the header row; rows without data cells are left out.
     """
-    found = pages.select("page_id", table_markup(F.col("html"), css_class).alias("markup")).filter(
-        F.col("markup").isNotNull()
-    )
-    rows = found.select(
+    # A page without the table has NULL markup and explodes to nothing.
+    rows = pages.select("page_id", table_markup(F.col("html"), css_class).alias("markup")).select(
         "page_id",
         F.transform(
             elements(F.col("markup"), "th", "tr|thead"),
@@ -56,10 +54,9 @@ def scan_table(pages: DataFrame, css_class: str = TABLE_CLASS) -> DataFrame:
         ).alias("headers"),
         F.posexplode(elements(F.col("markup"), "tr", "tbody")).alias("pos", "row"),
     )
-    return (
-        rows.filter(F.col("pos") > 0)
-        .select("page_id", "pos", "headers", elements(F.col("row"), "td", "tr").alias("cells"))
-        .filter(F.size("cells") > 0)
+    has_cells = F.col("row").rlike(r"(?i)<td[\s>/]")
+    return rows.filter((F.col("pos") > 0) & has_cells).select(
+        "page_id", "pos", "headers", elements(F.col("row"), "td", "tr").alias("cells")
     )
 
 

@@ -108,7 +108,9 @@ class SnapshotStore:
             return {WHOLE: version}, self.spark.read.schema(table.schema).parquet(base)
         # The rebalance hint gathers a month into few files and splits a month that is too large.
         laid_out = shaped.withColumn("month", month_of(table.month_of)).hint("rebalance", "month")
-        laid_out.write.mode("overwrite").partitionBy("month").parquet(base)
+        # Static mode clears what a failed attempt at this version may have left behind.
+        writer = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy("month").parquet(base)
         relative = f"data/{name}/{version:010d}"
         parts = [n.split("=", 1)[1] for n in self._names(relative) if n.startswith("month=")]
         if not parts:
@@ -116,6 +118,13 @@ class SnapshotStore:
         folders = [self._folder(table, p, version) for p in sorted(parts)]
         return dict.fromkeys(parts, version), self.spark.read.schema(table.schema).parquet(*folders)
 
+    def create_tables(self) -> None:
+        """Publish every declared table that does not exist yet, empty. Safe to repeat."""
+        known = self.manifest()
+        absent = {n: t.empty(self.spark) for n, t in TABLES.items() if n not in known}
+        if absent:
+            self.commit(absent)
+
     def commit(self, changes: dict[str, DataFrame]) -> int:
         """Write several tables and publish them together."""
         version = self.version() + 1

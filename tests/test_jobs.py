@@ -104,6 +104,13 @@ def test_store_versions(spark, store):
         store.publish(2, {})
 
 
+def test_create_tables(store):
+    store.create_tables()
+    store.create_tables()
+    assert store.version() == 1 and set(store.manifest()) == set(TABLES)
+    assert all(store.read(name).count() == 0 for name in TABLES)
+
+
 def feed_frame(spark, data):
     return spark.createDataFrame(data, OHLCV_LONG)
 

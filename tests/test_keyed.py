@@ -119,6 +119,8 @@ def test_prices(spark):
     legacy = prices.insert_prices_if_absent(merged, feed.withColumn("date", F.date_add("date", 1)), LATER)
     assert rows(legacy, "date", "open", "close") == [
         (date(2024, 1, 2), 1.0005, 9.0), (date(2024, 1, 3), None, 1.6), (date(2024, 1, 4), None, 1.6)]
+    windowed = prices.insert_prices_if_absent(PRICING_DATA.empty(spark), feed, AS_OF.replace(day=3), term_days=1)
+    assert rows(windowed, "date", "open", "close") == [(date(2024, 1, 2), 1.0, 1.5), (date(2024, 1, 3), None, 1.6)]
     trades = spark.createDataFrame([(1, "A", date(2024, 1, 2)), (2, "A", date(2024, 1, 9)), (3, "B", date(2024, 1, 2))],
                                    "id int, ticker string, trade_date date")
     assert rows(prices.price_on_date(trades, merged, "trade_date"), "id", "close_on_date", "low_on_date") == [
