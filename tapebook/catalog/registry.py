@@ -36,7 +36,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def day_text(c: Column | str) -> Column:
-    return F.date_format(c, "yyyy-MM-dd")
+    return F.to_date(c).cast("string")
 
 
 def labels() -> Column:

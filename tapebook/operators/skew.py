@@ -10,19 +10,21 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
 """A key on more rows than this is hot: its rows are not sent to one task."""
-HOT_KEYS = 64
+HOT_KEYS = 256
 """Only this many hot keys are looked for, which bounds what is broadcast."""
 HOT_SALTS = 512
 """Tasks over which the rows of one hot key are spread."""
-_TRACKED = 4096
+_TRACKED = 1024
+"""Counters of the sketch; its error is below a 500th of the rows."""
 
 
 def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row, ``hot``: the hashes of the keys that hold more than ``hot_rows`` rows.
 
-    One pass with a frequent-items sketch: each task sends a few kilobytes, whatever the
-    number of keys, and at most ``HOT_KEYS`` hashes come out. The estimate decides speed only;
-    ``lookup_join`` is exact for any answer.
+    One pass with a frequent-items sketch over the key digests. Each task sends one sketch of
+    about 25 kB at most, whatever the number of keys. Every key with more than a
+    ``HOT_KEYS``-th of the rows is found. The estimate decides speed only; ``lookup_join`` is
+    exact for any answer.
     """
     sketch = F.call_function("approx_top_k", F.col("_hash"), F.lit(HOT_KEYS), F.lit(_TRACKED))
     frequent = F.filter(sketch, lambda t: t["count"] > hot_rows)
