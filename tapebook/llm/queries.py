@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import digests
+from . import bpe, contamination, digests, lengths
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,73 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact totals of all documents' encoded lengths at every context limit that occurs."""
+    docs = _read(spark, sf_dir, "documents")
+    return lengths.suffix_sums(lengths.length_histogram(lengths.encoded_lengths(docs)))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of each document lies in benchmark passages, and of which items."""
+    marked = contamination.find_passages(
+        _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), keep=("doc_id",)
+    )
+    items = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item_id"])))
+    hit = F.when(F.size("matches") > 0, contamination.covered(F.col("matches"))).otherwise(F.lit(0).cast("long"))
+    return marked.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", items).cast("binary"), 256).alias("items_sha256"),
+        contamination.contaminated(hit, F.col("n_words")).alias("contaminated"),
+    )
+
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP2_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS gram
+    FROM (SELECT item_id, w, least(13, len(w)) AS k,
+                 unnest(generate_series(1, len(w) - least(13, len(w)) + 1)) AS i
+          FROM items WHERE len(w) > 0)
+),
+grams AS (
+    SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS gram
+    FROM (SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i
+          FROM d, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k)
+),
+found AS (SELECT doc_id, item_id, i, k FROM grams JOIN windows USING (k, gram)),
+hits AS (
+    SELECT doc_id, count(DISTINCT j) AS n_hit
+    FROM (SELECT doc_id, unnest(generate_series(i, i + k - 1)) AS j FROM found) GROUP BY doc_id
+),
+named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token ids, and the text that they decode to, as digests."""
+    encoded = bpe.encode(_read(spark, sf_dir, "documents"), with_text=True)
+    return encoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts of all documents; the largest id of each stays."""
     return digests.exact_groups(_read(spark, sf_dir, "documents"))
@@ -31,9 +98,13 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 QUERIES: dict[str, Query] = {
+    "op1_token_counts": op1_token_counts,
+    "op2_decontamination": op2_decontamination,
+    "op3_bpe_round_trip": op3_bpe_round_trip,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_decontamination": OP2_SQL,
     "op8_exact_dedup": OP8_SQL,
 }
