@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .shared import free_name, small_batches, written
-from .words import ALNUM, mix, string_column, word_blocks
+from .words import ALNUM, HashSet, mix, string_column, word_blocks
 
 #: A passage of so many words counts; a shorter item counts as a whole.
 WINDOW = 13
@@ -28,25 +28,6 @@ def _pairs(words: np.ndarray) -> np.ndarray:
     return mix(words[:-1] * _PAIR + words[1:])
 
 
-class Member:
-    """A set of 64-bit values that drops most others by a table of their low bits."""
-
-    def __init__(self, values: np.ndarray):
-        self.values = np.unique(values)
-        bits = max(16, int(self.values.size).bit_length() + 4)
-        self.mask = np.uint64((1 << bits) - 1)
-        self.low = np.zeros(1 << bits, bool)
-        self.low[(self.values & self.mask).astype(np.int64)] = True
-
-    def places(self, values: np.ndarray) -> np.ndarray:
-        """Indexes of the values that are in the set."""
-        near = np.flatnonzero(self.low[(values & self.mask).astype(np.int64)])
-        if not near.size or not self.values.size:
-            return near[:0]
-        at = np.minimum(np.searchsorted(self.values, values[near]), self.values.size - 1)
-        return near[self.values[at] == values[near]]
-
-
 @dataclass
 class TestItems:
     """All words of a block of benchmark items, one after the other."""
@@ -59,8 +40,8 @@ class TestItems:
     """words from here to the item's end"""
     need: np.ndarray
     """words of a window of the item"""
-    singles: Member
-    pairs: Member
+    singles: HashSet
+    pairs: HashSet
     """how the windows begin: a word that is a window, or two words"""
 
     @classmethod
@@ -78,7 +59,7 @@ class TestItems:
         alone = begins & (need == 1)
         two = np.flatnonzero(begins & (need > 1))
         pairs = mix(words[two] * _PAIR + words[two + 1]) if two.size else words[:0]
-        return cls([i for i, _ in rows], words, item, left, need, Member(words[alone]), Member(pairs))
+        return cls([i for i, _ in rows], words, item, left, need, HashSet(words[alone]), HashSet(pairs))
 
 
 class SuffixArray:
@@ -185,9 +166,9 @@ def _search_column(column: pa.Array, tests: TestItems) -> tuple[list[int], list[
         words = block.hashes()
         row = block.row_of_word()
         row_end = block.bounds[1:][row]
-        begin = tests.singles.places(words)
+        begin = tests.singles.find(words)[0]
         if len(words) > 1:
-            pair = tests.pairs.places(_pairs(words))
+            pair = tests.pairs.find(_pairs(words))[0]
             begin = np.union1d(begin, pair[pair + 1 < row_end[pair]])
         if not begin.size:
             continue

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, contamination, digests, lengths
+from . import bpe, contamination, digests, jaccard, lengths, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,6 +82,18 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents; learns from labels outside the held-out fold."""
+    docs = _read(spark, sf_dir, "documents")
+    return toxicity.predictions(docs, toxicity.learn(docs, _read(spark, sf_dir, "labels")))
+
+
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that are linked by similar shingle sets."""
+    linked = jaccard.link_documents(_read(spark, sf_dir, "documents"))
+    return linked.select("doc_id", "n_shingles", "component_id")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts of all documents; the largest id of each stays."""
     return digests.exact_groups(_read(spark, sf_dir, "documents"))
@@ -101,6 +113,8 @@ QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
     "op3_bpe_round_trip": op3_bpe_round_trip,
+    "op5_toxicity": op5_toxicity,
+    "op6_jaccard_join": op6_jaccard_join,
     "op8_exact_dedup": op8_exact_dedup,
 }
 

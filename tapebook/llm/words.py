@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,10 @@ LOWER[65:91] += 32
 NOT_SPACE = np.ones(256, bool)
 NOT_SPACE[[32, 9, 10, 11, 12, 13]] = False
 
+#: Bytes of words made of ASCII letters and everything beyond ASCII.
+LETTERS = np.zeros(256, bool)
+LETTERS[65:91] = LETTERS[97:123] = LETTERS[128:] = True
+
 #: Bytes of words made of ASCII letters, ASCII digits and everything beyond ASCII.
 ALNUM = np.zeros(256, bool)
 ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = ALNUM[128:] = True
@@ -66,12 +71,22 @@ class Block:
     bounds: np.ndarray
     """index of each row's first word, and the end"""
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word's bytes."""
-        powers, inverse = _tables(len(self.data) + 1)
+    @cached_property
+    def sums(self) -> np.ndarray:
+        """Running polynomial sums of the bytes, from which any stretch's hash follows."""
+        powers, _ = _tables(len(self.data) + 1)
         sums = np.zeros(len(self.data) + 1, np.uint64)
         np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * powers[: len(self.data)], out=sums[1:])
-        return mix((sums[self.ends] - sums[self.starts]) * inverse[self.starts])
+        return sums
+
+    def stretch(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """A 64-bit hash of the bytes of each stretch; equal bytes give equal hashes anywhere."""
+        _, inverse = _tables(len(self.data) + 1)
+        return mix((self.sums[ends] - self.sums[starts]) * inverse[starts])
+
+    def hashes(self) -> np.ndarray:
+        """A 64-bit hash of each word's bytes."""
+        return self.stretch(self.starts, self.ends)
 
     def row_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(self.rows), self.counts)
@@ -80,6 +95,26 @@ class Block:
         return self.data[self.starts[i] : self.ends[i]].tobytes()
 
 
+class HashSet:
+    """A set of 64-bit hashes that drops most others by a table of their low bits."""
+
+    def __init__(self, values: np.ndarray):
+        self.values = np.unique(values)
+        bits = max(16, int(self.values.size).bit_length() + 4)
+        self.mask = np.uint64((1 << bits) - 1)
+        self.low = np.zeros(1 << bits, bool)
+        self.low[(self.values & self.mask).astype(np.int64)] = True
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Indexes of the hashes that are in the set, and their places in it."""
+        near = np.flatnonzero(self.low[(hashes & self.mask).astype(np.int64)])
+        if not near.size or not self.values.size:
+            return near[:0], near[:0]
+        at = np.minimum(np.searchsorted(self.values, hashes[near]), self.values.size - 1)
+        real = self.values[at] == hashes[near]
+        return near[real], at[real]
+
+
 def string_column(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     """One array without nulls (a null text is empty)."""
     if isinstance(column, pa.ChunkedArray):
