@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, contamination, digests, jaccard, lengths, toxicity
+from . import bpe, contamination, digests, html_text, jaccard, lengths, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,6 +82,11 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_text.extract(_read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents; learns from labels outside the held-out fold."""
     docs = _read(spark, sf_dir, "documents")
@@ -113,6 +118,7 @@ QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
     "op3_bpe_round_trip": op3_bpe_round_trip,
+    "op4_html_extraction": op4_html_extraction,
     "op5_toxicity": op5_toxicity,
     "op6_jaccard_join": op6_jaccard_join,
     "op8_exact_dedup": op8_exact_dedup,
