@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, contamination, digests, html_text, jaccard, lengths, toxicity
+from . import bpe, contamination, digests, html_text, jaccard, language, lengths, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,11 +99,23 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select("doc_id", "n_shingles", "component_id")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents; learns from labels outside the held-out fold."""
+    docs = _read(spark, sf_dir, "documents")
+    return quality.predictions(docs, quality.learn(docs, _read(spark, sf_dir, "labels")))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts of all documents; the largest id of each stays."""
     return digests.exact_groups(_read(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents; learns from texts and languages outside the held-out fold."""
+    docs = _read(spark, sf_dir, "documents")
+    return language.predictions(docs, language.learn(docs))
+
+
 OP8_SQL = """
 SELECT doc_id,
        max(doc_id) OVER same AS keep_id,
@@ -121,7 +133,9 @@ QUERIES: dict[str, Query] = {
     "op4_html_extraction": op4_html_extraction,
     "op5_toxicity": op5_toxicity,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_quality": op7_quality,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLES: dict[str, str] = {

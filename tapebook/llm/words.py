@@ -60,6 +60,8 @@ class Block:
 
     first: int
     rows: int
+    raw: np.ndarray
+    """bytes as they are"""
     data: np.ndarray
     """lower-cased bytes"""
     offsets: np.ndarray
@@ -153,7 +155,7 @@ def word_blocks(column: pa.Array, kind: np.ndarray, limit: int = BLOCK_BYTES) ->
         starts = np.flatnonzero(inside & ~before)
         ends = np.flatnonzero(inside & ~after) + 1
         bounds = np.searchsorted(starts, offsets)
-        yield Block(first, rows, data, offsets, starts, ends, np.diff(bounds), bounds)
+        yield Block(first, rows, raw, data, offsets, starts, ends, np.diff(bounds), bounds)
 
 
 def replace_columns(batch: pa.RecordBatch, drop: tuple[str, ...], **added: pa.Array) -> pa.RecordBatch:
