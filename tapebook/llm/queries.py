@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, contamination, digests, html_text, jaccard, language, lengths, quality, toxicity
+from . import bpe, contamination, digests, html_text, jaccard, language, lengths, lm_scores, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,6 +116,11 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predictions(docs, language.learn(docs))
 
 
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-likelihood of all documents; learns from texts outside the held-out fold."""
+    return lm_scores.score(_read(spark, sf_dir, "documents"))
+
+
 OP8_SQL = """
 SELECT doc_id,
        max(doc_id) OVER same AS keep_id,
@@ -136,6 +141,7 @@ QUERIES: dict[str, Query] = {
     "op7_quality": op7_quality,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_language_id": op9_language_id,
+    "op10_lm_scores": op10_lm_scores,
 }
 
 ORACLES: dict[str, str] = {
