@@ -1,28 +1,62 @@
-"""A cleaning run over ``documents``: each stage reads what the one before it wrote."""
+"""A cleaning run over ``documents``: each stage reads what the one before it wrote.
+
+Stages take (spark, docs, sf_dir) and return a DataFrame; all but the last return the columns of
+``documents``. Null or repeated ids, null texts and empty tables pass through every stage.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapebook.llm import digests
+from tapebook.llm import bpe, contamination, digests, jaccard, toxicity
 from tapebook.llm.shared import written
 
 
+def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score as toxic go."""
+    return toxicity.clean_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the largest id stays."""
     return digests.distinct_documents(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by similar shingle sets, that with the smallest id stays."""
+    return jaccard.distinct_documents(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go of whose words one in twenty or more lie in benchmark passages."""
+    return contamination.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of what is left, and digests of them and of the text that they decode to."""
+    return bpe.encode(docs, with_text=True).select(
+        "doc_id",
+        "n_tokens",
+        "ids",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 STAGES = [
+    ("toxicity", toxic_out),
     ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontaminate),
+    ("bpe", encode),
 ]
 
-#: The toxicity score is learned, which SQL cannot express.
+#: The toxicity score is learned, which SQL cannot express; tests compare with brute force instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
