@@ -14,17 +14,27 @@ def float_text(c: Column) -> Column:
     """
     size = F.abs(c)
     text = c.cast("string")
-    digits = F.rtrim(c.try_cast("decimal(38,18)").cast("string"), F.lit("0"))
-    plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
     sci = F.split(text, "E")
     exponent = F.try_element_at(sci, F.lit(2)).try_cast("int")
+    # the shortest digits, set anew around the point
+    sign = F.when(c < 0, "-").otherwise("")
+    digits = F.regexp_replace(F.regexp_replace(sci[0], r"\.0$", ""), r"[-.]", "")
+    before = exponent + 1
+    whole = F.concat(F.rpad(digits, before, "0"), F.lit(".0"))
+    mixed = F.concat(F.substring(digits, F.lit(1), before), F.lit("."), F.substring(digits, before + 1, F.length(digits)))
+    plain = F.concat(
+        sign,
+        F.when(exponent < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -before), digits))
+        .when(F.length(digits) <= before, whole)
+        .otherwise(mixed),
+    )
     scientific = F.concat(
         F.regexp_replace(sci[0], r"\.0$", ""),
         F.when(exponent < 0, "e-").otherwise("e+"),
         F.lpad(F.abs(exponent).cast("string"), 2, "0"),
     )
     return (
-        F.when(size.between(0.001, 9999999) | (size == 0), text)
+        F.when(~F.contains(text, F.lit("E")) & ~text.rlike("[NI]"), text)
         .when((size >= 1e16) | (size < 1e-4), scientific)
         .otherwise(plain)
     )

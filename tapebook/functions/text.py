@@ -91,15 +91,16 @@ def clean_symbols(df: DataFrame, column: str = "ticker") -> DataFrame:
 
 # --- text inside markup ---------------------------------------------------
 
-_ENTITY_BOUNDARY = r"(?=&#?[0-9A-Za-z]{1,31};)|(?<=;)"
+_ENTITY_BOUNDARY = r"(?=&#?[0-9A-Za-z]+;)|(?<=;)"
 
 
 def _entity(token: Column) -> Column:
     """One token that may be a character reference -> its character."""
     names = F.create_map(*[F.lit(v) for k, cp in sorted(name2codepoint.items()) for v in (k, chr(cp))])
     body = F.regexp_extract(token, "^&(#?[0-9A-Za-z]+);$", 1)
-    digits = F.regexp_extract(body, "^#([0-9]{1,7})$", 1)
-    hexes = F.regexp_extract(body, "^#[xX]([0-9A-Fa-f]{1,6})$", 1)
+    # leading zeros say nothing; more digits than a code point has give none
+    digits = F.regexp_extract(body, "^#0*([0-9]{1,7})$", 1)
+    hexes = F.regexp_extract(body, "^#[xX]0*([0-9A-Fa-f]{1,6})$", 1)
     code = F.coalesce(
         F.when(digits != "", digits.try_cast("bigint")),
         F.when(hexes != "", F.conv(hexes, 16, 10).try_cast("bigint")),

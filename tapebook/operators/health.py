@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clock, rules
 from ..schemas import TICKER_EXCLUSIONS, TICKER_FAILURES
-from .keyed import delete_keys, merge, update_keys
+from .keyed import delete_keys, first_per_key, merge, update_keys
 from .prices import has_price
 from .skew import HOT_ROWS, lookup_join
 
@@ -32,8 +32,10 @@ def drop_excluded(symbols: DataFrame, exclusions: DataFrame, as_of: datetime) ->
 
 
 def feed_counts(feed: DataFrame) -> DataFrame:
-    """Rows and usable rows per returned symbol, pre-aggregated in each task."""
-    return feed.groupBy("ticker").agg(
+    """Rows and usable rows per returned symbol, pre-aggregated in each task; per batch and symbol if
+    the feed tells batches apart (``batch_id``)."""
+    keys = [c for c in ("batch_id", "ticker") if c in feed.columns]
+    return feed.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum(F.when(has_price(), 1).otherwise(0)).alias("n_usable"),
     )
@@ -54,12 +56,29 @@ def feed_outcomes(
 ) -> DataFrame:
     """(batch_id, ticker, n_usable, batch_usable, labels, succeeded) per requested symbol.
 
-    ``returned`` is ``feed_counts`` of the feed; ``labels`` lists the failures of the symbol in
-    the order they are recorded. A batch with an error class failed as a whole, whatever rows it left.
+    ``returned`` is ``feed_counts`` of the feed; with batch ids, rows count for their own batch only,
+    and rows without an id for every batch. ``labels`` lists the failures of the symbol in
+    the order they are recorded. A batch with an error class failed as a whole, whatever rows it
+    left. Repeated requests count once; of repeated states of a batch the first error counts.
     """
+    once = requests.select("batch_id", "ticker").distinct()
+    if "batch_id" in returned.columns:
+        own = once.join(returned.filter("batch_id IS NOT NULL"), ["batch_id", "ticker"], "left")
+        loose = returned.filter("batch_id IS NULL").select("ticker", F.col("n_rows").alias("_r"), F.col("n_usable").alias("_u"))
+        both = own.join(loose, "ticker", "left")
+        counted = both.select(
+            "batch_id", "ticker",
+            (F.coalesce("n_rows", F.lit(0)) + F.coalesce("_r", F.lit(0))).alias("n_rows"),
+            (F.coalesce("n_usable", F.lit(0)) + F.coalesce("_u", F.lit(0))).alias("n_usable"),
+        )
+    else:
+        counted = once.join(returned, "ticker", "left")
+    batch_status = first_per_key(
+        batch_status.select("batch_id", "error_class", "error_message"), ["batch_id"],
+        F.col("error_class").asc_nulls_last(), F.col("error_message").asc_nulls_last(),
+    )
     asked = (
-        requests.select("batch_id", "ticker")
-        .join(returned, "ticker", "left")
+        counted
         .withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
         .withColumn("n_usable", F.coalesce("n_usable", F.lit(0)))
     )

@@ -76,12 +76,13 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], *order: Col
 def update_keys(
     target: DataFrame, batch: DataFrame, keys: Sequence[str], values: Mapping[str, Column]
 ) -> DataFrame:
-    """Set columns on the rows whose key is in the batch (one batch row per key).
+    """Set columns on the rows whose key is in the batch.
 
-    Expressions see the target's columns and the batch's as ``new_<column>``.
+    Expressions see the target's columns and the batch's as ``new_<column>``. Of batch rows that
+    repeat a key the largest counts, column by column, so the target keeps one row per key.
     """
     keys = list(keys)
-    incoming = _incoming(batch, keys).withColumn("_hit", F.lit(True))
+    incoming = _incoming(_largest_per_key(batch, keys), keys).withColumn("_hit", F.lit(True))
     joined = target.join(incoming, keys, "left")
     return joined.select(
         *[
@@ -106,11 +107,11 @@ def merge(
 
     For the small state tables (symbols, failures, exclusions). Expressions see the target's
     columns and the batch's as ``new_<column>``; columns left out keep their value on a match
-    and are NULL on an insert. The batch has one row per key.
+    and are NULL on an insert. Of batch rows that repeat a key the largest counts, column by column.
     """
     keys = list(keys)
     stored = target.withColumn("_stored", F.lit(True))
-    joined = stored.join(_incoming(batch, keys).withColumn("_hit", F.lit(True)), keys, "full_outer")
+    joined = stored.join(_incoming(_largest_per_key(batch, keys), keys).withColumn("_hit", F.lit(True)), keys, "full_outer")
 
     def merged(c: str) -> Column:
         if c in keys:
@@ -127,5 +128,13 @@ def merge(
     return joined.select(*[merged(c) for c in target.columns])
 
 
+def _largest_per_key(batch: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key; sums are made before the shuffle, and a row that is alone stays as it is."""
+    others = [c for c in batch.columns if c not in keys]
+    if not others:
+        return batch.distinct()
+    return batch.groupBy(*keys).agg(F.max(F.struct(*others)).alias("_row")).select(*keys, "_row.*")
+
+
 def _incoming(batch: DataFrame, keys: list[str]) -> DataFrame:
     return batch.select(*keys, *[F.col(c).alias(f"new_{c}") for c in batch.columns if c not in keys])

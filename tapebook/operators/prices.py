@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clock, text
 from ..schemas import PRICE_FIELDS, PRICING_DATA
-from .keyed import first_per_key, insert_if_absent, update_keys, upsert
+from .keyed import insert_if_absent, update_keys, upsert
 from .skew import HOT_ROWS, lookup_join
 
 KEY = ("ticker", "date")
@@ -133,42 +133,53 @@ def price_stats(
     """Range and moving averages up to each bar, to three places.
 
     The range looks back ``range_days`` calendar days, the averages ``short_rows`` and
-    ``long_rows`` bars. One window partition is one symbol's bars, at most one per calendar
-    day by the table key, so no partition grows with the feed. Averages are differences of
-    running totals, one step per bar whatever the look-back; the totals are decimal, so the
-    difference is exact.
+    ``long_rows`` bars; NaN counts as absent. One window partition is one symbol's bars, at most
+    one per calendar day by the table key, so no partition grows with the feed.
     """
     by_day = W.partitionBy("ticker").orderBy(F.unix_date("date"))
     span = by_day.rangeBetween(-range_days, 0)
-    so_far = by_day.rowsBetween(W.unboundedPreceding, 0)
-    exact = F.coalesce(F.col("close").try_cast("decimal(28,10)"), F.lit(0).cast("decimal(28,10)"))
-    running = prices.select(
-        "ticker",
-        "date",
-        F.min("low").over(span).alias("_low"),
-        F.max("high").over(span).alias("_high"),
-        F.sum(exact).over(so_far).alias("_total"),
-        F.count("close").over(so_far).alias("_n"),
-    )
+    low, high, close = (text.null_if_nan(F.col(c)) for c in ("low", "high", "close"))
 
     def average(rows: int) -> Column:
-        total = F.col("_total") - F.coalesce(F.lag("_total", rows).over(by_day), F.lit(0))
-        n = F.col("_n") - F.lag("_n", rows, 0).over(by_day)
-        return text.round3(total.cast("double") / F.nullif(n, F.lit(0)))
+        return text.round3(F.avg(close).over(by_day.rowsBetween(1 - rows, 0)))
 
-    return running.select(
+    return prices.select(
         "ticker",
         "date",
-        text.round3(F.col("_low")).alias("low_52w"),
-        text.round3(F.col("_high")).alias("high_52w"),
+        text.round3(F.min(low).over(span)).alias("low_52w"),
+        text.round3(F.max(high).over(span)).alias("high_52w"),
         average(short_rows).alias("avg_50"),
         average(long_rows).alias("avg_200"),
     )
 
 
-def latest_stats(prices: DataFrame, **windows: int) -> DataFrame:
-    """The statistics as of each symbol's last bar."""
-    return first_per_key(price_stats(prices, **windows), ["ticker"], F.col("date").desc())
+def latest_stats(
+    prices: DataFrame, range_days: int = 364, short_rows: int = 50, long_rows: int = 200
+) -> DataFrame:
+    """The statistics of ``price_stats`` as of each symbol's last bar.
+
+    Bars are numbered from the last one back and summed up; no running frame is kept for the
+    bars before.
+    """
+    back = W.partitionBy("ticker").orderBy(F.col("date").desc())
+    low, high, close = (text.null_if_nan(F.col(c)) for c in ("low", "high", "close"))
+    recent = prices.select(
+        "ticker", "date", low.alias("low"), high.alias("high"), close.alias("close"),
+        F.row_number().over(back).alias("_nth"), F.first("date").over(back).alias("_last"),
+    )
+    near = F.col("date") >= F.date_sub("_last", range_days)
+    recent = recent.filter(near | (F.col("_nth") <= max(short_rows, long_rows)))
+
+    def average(rows: int) -> Column:
+        return text.round3(F.avg(F.when(F.col("_nth") <= rows, F.col("close"))))
+
+    return recent.groupBy("ticker").agg(
+        F.max("_last").alias("date"),
+        text.round3(F.min(F.when(near, F.col("low")))).alias("low_52w"),
+        text.round3(F.max(F.when(near, F.col("high")))).alias("high_52w"),
+        average(short_rows).alias("avg_50"),
+        average(long_rows).alias("avg_200"),
+    )
 
 
 def daily_bars(ticks: DataFrame, ticker: str, ts: str, value: str, tie: str) -> DataFrame:

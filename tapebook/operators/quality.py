@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clock
-from ..schemas import AS_OF, AS_OF_DATE, Table
+from ..schemas import AS_OF, AS_OF_DATE, REJECTED_ROWS, Table
 from .skew import lookup_join
 
 
@@ -56,6 +56,24 @@ def split_valid(df: DataFrame, table: Table, *, fail_fast: bool = False) -> tupl
     return df.filter(~bad), df.filter(bad).withColumn("violations", violations(table))
 
 
+def rejects(bad: DataFrame, table_name: str, job: str, as_of: datetime) -> DataFrame:
+    """Rows for ``rejected_rows`` from rows with ``violations``: the whole row as JSON, and the reasons."""
+    row = F.to_json(F.struct(*[F.col(c) for c in bad.columns if c != "violations"]), {"ignoreNullFields": "false"})
+    told = bad.select(F.array_join("violations", ", ").alias("violations"), row.alias("row_data"))
+    one_each = told.groupBy("violations", "row_data").agg(F.count(F.lit(1)).alias("n_rows"))
+    return REJECTED_ROWS.conform(
+        one_each.withColumns(
+            {
+                "job_name": F.lit(job),
+                "table_name": F.lit(table_name),
+                "rejected_on": clock.day(as_of),
+                "rejected_at": clock.at(as_of),
+                "reject_id": F.sha2(F.concat_ws("|", F.lit(f"{job}|{table_name}|{as_of.isoformat()}"), "row_data"), 256),
+            }
+        )
+    )
+
+
 def orphan_keys(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Distinct child keys that have no parent, with the number of rows that use them.
 
@@ -69,13 +87,10 @@ def orphan_keys(child: DataFrame, parent: DataFrame, child_key: str, parent_key:
     return used.join(parent.select(F.col(parent_key).alias("key")), "key", "left_anti")
 
 
-def split_orphans(
-    child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
-) -> tuple[DataFrame, DataFrame]:
-    """(rows whose parent exists or whose key is NULL, orphan rows)."""
+def mark_orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
+    """The child rows with ``_orphan``: the key is set and has no parent."""
     orphans = orphan_keys(child, parent, child_key, parent_key).select(
         F.col("key").alias(child_key), F.lit(True).alias("_orphan")
     )
     marked = lookup_join(child, orphans, [child_key], where=F.col(child_key).isNotNull())
-    lost = F.col("_orphan").isNotNull()
-    return marked.filter(~lost).drop("_orphan"), marked.filter(lost).drop("_orphan")
+    return marked.withColumn("_orphan", F.col("_orphan").isNotNull())

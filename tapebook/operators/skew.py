@@ -9,27 +9,20 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
-"""A key on more rows than this is hot: its rows are not sent to one task."""
-HOT_KEYS = 256
-"""Only this many hot keys are looked for, which bounds what is broadcast."""
-HOT_SALTS = 512
-"""Tasks over which the rows of one hot key are spread."""
-_TRACKED = 1024
-"""Counters of the sketch; its error is below a 500th of the rows."""
+"""A key on more rows than this is hot: its rows are dealt out over tasks of about this many."""
+IDLE_SALTS = 1 << 20
+"""Rows that ask for nothing are dealt out over so many salts."""
 
 
 def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """One row, ``hot``: the hashes of the keys that hold more than ``hot_rows`` rows.
+    """(_hash, _salts) of every key digest on more than ``hot_rows`` rows, by exact counts.
 
-    One pass with a frequent-items sketch over the key digests. Each task sends one sketch of
-    about 25 kB at most, whatever the number of keys. Every key with more than a
-    ``HOT_KEYS``-th of the rows is found. The estimate decides speed only; ``lookup_join`` is
-    exact for any answer.
+    Tasks count before the shuffle, so a hot key arrives as one count per task. The result has
+    fewer rows than the input has ``hot_rows``-s, 16 bytes each.
     """
-    sketch = F.call_function("approx_top_k", F.col("_hash"), F.lit(HOT_KEYS), F.lit(_TRACKED))
-    frequent = F.filter(sketch, lambda t: t["count"] > hot_rows)
-    return rows.select(F.xxhash64(*keys).alias("_hash")).agg(
-        F.transform(frequent, lambda t: t["item"]).alias("hot")
+    counted = rows.groupBy(F.xxhash64(*keys).alias("_hash")).agg(F.count(F.lit(1)).alias("_n"))
+    return counted.filter(F.col("_n") > hot_rows).select(
+        "_hash", F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts")
     )
 
 
@@ -44,27 +37,28 @@ def lookup_join(
 ) -> DataFrame:
     """Left join of many rows to a frame with **one row per key**; NULL key parts match each other.
 
-    The rows of a hot key are salted over ``HOT_SALTS`` tasks and its one look-up row is repeated
-    for each salt, at most ``HOT_KEYS * HOT_SALTS`` extra rows. Keys that are not hot meet as in
-    a plain join, where the engine broadcasts a small look-up side. Rows that fail ``where``
-    match nothing and are spread as well. ``spread_by`` names columns that tell the rows of a
-    hot key apart, such as an id; without it all columns do.
+    The rows of a hot key are salted, one salt per ``hot_rows`` of them, and its one look-up row is
+    repeated for each salt. The list of hot keys is broadcast: it has at most one row per
+    ``hot_rows`` input rows. Keys that are not hot meet as in a plain join, where the engine
+    broadcasts a small look-up side. Rows that fail ``where`` match nothing and are spread as well.
+    ``spread_by`` names columns that tell the rows of a hot key apart, such as an id; without it
+    all columns do.
     """
     keys = list(keys)
     values = [c for c in lookup.columns if c not in keys]
     asking = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
-    hot = hot_keys(rows.filter(asking), keys, hot_rows).scalar()
-    digest = F.xxhash64(*keys)
-    is_hot = F.coalesce(F.array_contains(hot, digest), F.lit(False))
+    hot = F.broadcast(hot_keys(rows.filter(asking), keys, hot_rows))
     # The digest leads the join key: sorting compares numbers and meets the key only on a tie.
-    key = [digest.alias("_hash"), F.struct(*keys).alias("_key")]
-
-    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(F.array(F.lit(0)))
-    side = lookup.select(*key, F.explode(salts).alias("_salt"), *values)
-    spread = F.pmod(F.xxhash64(*(spread_by or rows.columns)), F.lit(HOT_SALTS)).cast("int")
-    salt = F.when(~asking, -1 - spread).when(is_hot, spread).otherwise(0)
-    asked = rows.select(*rows.columns, *key, salt.alias("_salt"))
-    return asked.join(side, ["_hash", "_salt", "_key"], "left").drop("_hash", "_salt", "_key")
+    key = [F.xxhash64(*keys).alias("_hash"), F.struct(*keys).alias("_key")]
+    salts = F.coalesce("_salts", F.lit(1))
+
+    side = lookup.select(*key, *values).join(hot, "_hash", "left")
+    side = side.select("_hash", "_key", F.explode(F.sequence(F.lit(0), salts - 1)).alias("_salt"), *values)
+    spread = F.xxhash64(*(spread_by or rows.columns))
+    salt = F.when(~asking, -1 - F.pmod(spread, F.lit(IDLE_SALTS))).otherwise(F.pmod(spread, salts))
+    asked = rows.select("*", *key).join(hot, "_hash", "left").withColumn("_salt", salt.cast("int"))
+    found = asked.join(side, ["_hash", "_salt", "_key"], "left")
+    return found.select(*rows.columns, *values)
 
 
 def keep_keys(

@@ -102,16 +102,19 @@ def supersede(
 
 
 def amendment_audit(fresh: DataFrame, merged: DataFrame) -> DataFrame:
-    """New amendments that did not retire exactly one row, with their key and the count."""
-    retired = (
-        merged.filter(F.col("superseded_by").isNotNull())
-        .groupBy(F.col("superseded_by").alias("transaction_id"))
-        .agg(F.count(F.lit(1)).alias("n_retired"))
+    """New amendments that did not retire exactly one row, with their key and the count.
+
+    Amendments and the retired rows that point to them meet in one count, not in a join.
+    """
+    new = fresh.filter(rules.marks_amendment(F.col("x_flags"))).select(
+        "transaction_id", F.struct(*NATURAL_KEY).alias("_key"), F.lit(0).cast("long").alias("_n")
     )
-    return (
-        fresh.filter(rules.marks_amendment(F.col("x_flags")))
-        .select("transaction_id", *NATURAL_KEY)
-        .join(retired, "transaction_id", "left")
-        .withColumn("n_retired", F.coalesce("n_retired", F.lit(0)))
-        .filter(F.col("n_retired") != 1)
+    retired = merged.filter(F.col("superseded_by").isNotNull()).select(
+        F.col("superseded_by").alias("transaction_id"), F.lit(None).cast(new.schema["_key"].dataType).alias("_key"),
+        F.lit(1).cast("long").alias("_n"),
+    )
+    counted = new.unionByName(retired).groupBy("transaction_id").agg(
+        F.max("_key").alias("_key"), F.sum("_n").alias("n_retired")
     )
+    wrong = counted.filter(F.col("_key").isNotNull() & (F.col("n_retired") != 1))
+    return wrong.select("transaction_id", "_key.*", "n_retired")

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import clock
+from ..operators.keyed import first_per_key
 
 # The market indexes to follow.
 INDEX_ROWS = [
@@ -48,6 +49,28 @@ def read_prices(
     return feed if window is None else feed.filter(clock.in_window(F.col("date"), window))
 
 
+def typed_rows(rows: DataFrame, schema: T.StructType, required: tuple[str, ...] = ()) -> DataFrame:
+    """Landed text rows in their declared types, with ``violations``: texts that are no value of their
+    type, and missing ``required`` values. No row is dropped; a broken value is NULL."""
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    said = [
+        F.when(F.col(f.name).isNotNull() & typed[f.name].isNull(), F.lit(f"{f.name} is no {f.dataType.simpleString()}"))
+        for f in schema.fields
+    ] + [F.when(F.col(c).isNull(), F.lit(f"{c} is required")) for c in required]
+    return rows.select(*[typed[c].alias(c) for c in typed], F.array_compact(F.array(*said)).alias("violations"))
+
+
+def read_actions(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, fmt: str = "csv"
+) -> tuple[DataFrame, DataFrame]:
+    """Landed splits or dividends (``schemas.SPLITS``, ``schemas.DIVIDENDS``): good rows, and bad rows
+    with ``violations`` for ``quality.rejects``."""
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    texts = read_landed(spark, path, as_text if fmt in ("csv", "json") else schema, fmt)
+    rows = typed_rows(texts.select(*[F.col(c).cast("string") for c in schema.names]), schema, ("ticker", "action_date"))
+    return rows.filter(F.size("violations") == 0).drop("violations"), rows.filter(F.size("violations") > 0)
+
+
 def index_seed(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(INDEX_ROWS, schemas.INDEX_SEED)
 
@@ -55,10 +78,12 @@ def index_seed(spark: SparkSession) -> DataFrame:
 def metadata_columns(metadata: DataFrame) -> DataFrame:
     """One row per symbol with the metadata keys as columns; an absent key is NULL.
 
-    ``info`` is a map, or the JSON text of one.
+    ``info`` is a map, or the JSON text of one. Of repeated symbols the first row counts, by the
+    columns in their order with NULL last.
     """
     info: Column = F.col("info")
     if isinstance(metadata.schema["info"].dataType, T.StringType):
         info = F.from_json(info, T.MapType(T.StringType(), T.StringType()))
     picked = [F.try_element_at(info, F.lit(k)).alias(c) for k, c in METADATA_KEYS.items()]
-    return metadata.select("ticker", *picked)
+    columns = list(METADATA_KEYS.values())
+    return first_per_key(metadata.select("ticker", *picked), ["ticker"], *[F.col(c).asc_nulls_last() for c in columns])

@@ -28,6 +28,28 @@ def elements(markup: Column, tag: str, stops: str = "") -> Column:
     return F.transform(tail, lambda p: F.regexp_replace(p, rf"(?is)</(?:{closing})\s*>.*$", ""))
 
 
+def _own_markup(rest: Column) -> Column:
+    """What stands before the end of the table that ``rest`` begins in. Tables inside of its cells lose
+    their row and cell tags, so their text stays in the cell that holds them."""
+    pieces = F.split(rest, r"(?i)(?=</?table[\s>])")
+    start = F.struct(F.lit(1).alias("depth"), F.lit("").alias("text"))
+    loose = r"(?i)</?(?:table|caption|colgroup|col|thead|tbody|tfoot|tr|th|td)(?=[\s>/])[^>]*>"
+
+    def add(state: Column, piece: Column) -> Column:
+        opens, closes = piece.rlike(r"^(?i)<table[\s>]"), piece.rlike(r"^(?i)</table[\s>]")
+        depth = state["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)
+        own = F.when(depth > 1, F.regexp_replace(piece, loose, "<i>")).otherwise(
+            F.regexp_replace(piece, r"^(?i)</table(?=[\s>])[^>]*>", "<i>")
+        )
+        ended = (state["depth"] == 0) | (depth == 0)
+        return F.struct(
+            F.when(ended, 0).otherwise(depth).alias("depth"),
+            F.when(ended, state["text"]).otherwise(F.concat(state["text"], own)).alias("text"),
+        )
+
+    return F.aggregate(pieces, start, add, lambda state: state["text"])
+
+
 def table_markup(html: Column, css_class: str = TABLE_CLASS) -> Column:
     """Inner markup of the first table of a class, NULL if the page has none."""
     name = css_class
@@ -36,7 +58,7 @@ def table_markup(html: Column, css_class: str = TABLE_CLASS) -> Column:
     )
     visible = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
     opened = F.split(visible, rf"(?i)<table\s(?:[^>]*\s)?{attribute}[^>]*>", 2)
-    return F.when(F.size(opened) > 1, F.regexp_replace(F.try_element_at(opened, F.lit(2)), r"(?is)</table\s*>.*$", ""))
+    return F.when(F.size(opened) > 1, _own_markup(F.try_element_at(opened, F.lit(2))))
 
 
 def scan_table(pages: DataFrame, css_class: str = TABLE_CLASS) -> DataFrame:

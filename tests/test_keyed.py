@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import AS_OF, LATER, metadata_frame, tx
-from tapebook.operators import actions, keyed, paging, prices, quality, runs, symbols
-from tapebook.schemas import CORPORATE_ACTIONS, INDEX_DATA, INSIDER_DATA, OHLCV_LONG, PRICING_DATA, RUNS, TABLES, TICKER_DATA
+from tapebook.operators import actions, health, keyed, paging, prices, quality, runs, symbols
+from tapebook.schemas import CORPORATE_ACTIONS, INDEX_DATA, INSIDER_DATA, METADATA, OHLCV_LONG, PRICING_DATA, RUNS, TABLES, TICKER_DATA
 from tapebook.sources import feeds
 
 
@@ -74,8 +74,38 @@ def test_orphans(spark):
     child = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), (None, 4)], "ticker string, v int")
     parent = spark.createDataFrame([("a",)], "ticker string")
     assert rows(quality.orphan_keys(child, parent, "ticker", "ticker"), "key", "n_rows") == [("b", 2)]
-    good, bad = quality.split_orphans(child, parent, "ticker", "ticker")
-    assert rows(good, "v") == [(1,), (4,)] and rows(bad, "v") == [(2,), (3,)]
+    marked = quality.mark_orphans(child, parent, "ticker", "ticker")
+    assert rows(marked, "v", "_orphan") == [(1, False), (2, True), (3, True), (4, False)]
+
+
+def test_repeated_batch_keys_leave_one_row_per_key(spark):
+    target = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    batch = spark.createDataFrame([("a", 5), ("a", 7), ("c", 3), ("c", None)], "k string, v int")
+    updated = keyed.update_keys(target, batch, ["k"], {"v": F.col("new_v")})
+    assert rows(updated, "k", "v") == [("a", 7), ("b", 2)]
+    merged = keyed.merge(target, batch, ["k"], matched={"v": F.col("new_v")}, inserted={"v": F.col("new_v")})
+    assert rows(merged, "k", "v") == [("a", 7), ("b", 2), ("c", 3)]
+
+
+def test_repeated_metadata_leaves_one_row_per_symbol(spark):
+    metadata = spark.createDataFrame(
+        [("AAA", {"shortName": "Z"}), ("AAA", {"shortName": "B", "sector": "S"}), ("^GSPC", {"shortName": "X"}), ("^GSPC", {})], METADATA)
+    seen = tx(spark, [{"ticker": "AAA"}]).withColumn("company_name", F.lit("A Co"))
+    got = symbols.ingest_tickers(TICKER_DATA.empty(spark), seen, metadata, AS_OF)
+    assert rows(got, "ticker", "short_name", "sector") == [("AAA", "B", "S")]
+    seeds = spark.createDataFrame([("^GSPC", "S&P 500")], "ticker string, index_name string")
+    indexes = symbols.upsert_indexes(INDEX_DATA.empty(spark), seeds, metadata)
+    assert rows(indexes, "ticker", "short_name") == [("^GSPC", "X")]
+
+
+def test_feed_rows_count_for_their_own_batch(spark):
+    requests = spark.createDataFrame([("x", "A"), ("x", "A"), ("y", "A"), ("y", "B")], "batch_id string, ticker string")
+    feed = spark.createDataFrame(
+        [("x", "A", 1.0), (None, "B", 2.0), ("z", "A", 3.0)], "batch_id string, ticker string, close double"
+    ).withColumns({c: F.lit(None).cast("double") for c in ("open", "high", "low", "adj_close", "volume")})
+    status = spark.createDataFrame([("x", None, None), ("x", None, "again")], "batch_id string, error_class string, error_message string")
+    got = health.feed_outcomes(requests, health.feed_counts(feed), status)
+    assert rows(got, "batch_id", "ticker", "n_usable", "succeeded") == [("x", "A", 1, True), ("y", "A", 0, False), ("y", "B", 1, True)]
 
 
 def test_ticker_ingest(spark):
@@ -162,7 +192,20 @@ def test_price_stats_brute_force(spark):
             for n, c in ((50, "avg_50"), (200, "avg_200")):
                 closes = [x[2] for x in mine[max(0, i + 1 - n): i + 1] if x[2] is not None]
                 assert s[c] == (pytest.approx(sum(closes) / len(closes), abs=6e-4) if closes else None)
-    assert prices.latest_stats(df).count() == 2
+    for r in prices.latest_stats(df).collect():
+        assert r == got[(r["ticker"], r["date"])] and r["date"] == max(x[1] for x in data if x[0] == r["ticker"])
+
+
+def test_averages_of_extreme_closes(spark):
+    closes = {"big": [1e19, 1.0], "small": [1e-3, 1e-12], "nan": [float("nan"), 4.0], "none": [None, None]}
+    data = [(t, date(2024, 1, 1 + i), c, c, c) for t, cs in closes.items() for i, c in enumerate(cs)]
+    df = spark.createDataFrame(data, "ticker string, date date, close double, low double, high double")
+    got = {(r["ticker"], r["date"].day): (r["avg_50"], r["high_52w"]) for r in prices.price_stats(df).collect()}
+    assert got[("big", 1)] == (1e19, 1e19) and got[("big", 2)] == (5e18, 1e19)
+    assert got[("small", 2)] == (0.001, 0.001) and got[("nan", 1)] == (None, None) and got[("nan", 2)] == (4.0, 4.0)
+    assert got[("none", 2)] == (None, None)
+    last = {r["ticker"]: (r["avg_50"], r["high_52w"]) for r in prices.latest_stats(df).collect()}
+    assert last == {t: got[(t, 2)] for t in closes}
 
 
 def test_incremental_latest_date(spark):

@@ -78,6 +78,20 @@ def test_float_text_matches_python(spark):
     assert one(spark, values, identity.float_text, "double") == [repr(v) for v in values]
 
 
+def test_float_text_keeps_all_digits(spark):
+    values = [0.00012345678901234567, 0.0009876543210987653, -0.00012345678901234567, -123456789.5, 12345678.0, 9007199254740991.0]
+    rng = random.Random(11)
+    values += [v for v in (rng.uniform(1e-4, 1e-3) for _ in range(500)) if len(repr(v)) > 20]
+    shown = one(spark, values, identity.float_text, "double")
+    assert [float(t) for t in shown] == values and shown[:6] == [repr(v) for v in values[:6]]
+    assert all("E" not in t and "e" not in t for t in shown)
+
+
+def test_long_character_references(spark):
+    values = ["&#00000000065;", "&#x000000000000041;", "&#99999999;", "&" + "a" * 40 + ";", "&amp;"]
+    assert one(spark, values, text.unescape, "string") == ["A", "A", "&#99999999;", "&" + "a" * 40 + ";", "&"]
+
+
 def test_content_id(spark):
     parts = ["u", None, "é", "1.0"]
     df = spark.createDataFrame([tuple(parts)], "a string, b string, c string, d string")

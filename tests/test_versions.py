@@ -131,7 +131,7 @@ def test_lookup_join_hot_and_cold(spark):
     lookup = spark.createDataFrame([(None, "hot", 1), ("1", "c", 2), ("9", "c", 3)], "k string, j string, v int")
     expected = {(None, "hot"): 1, ("1", "c"): 2}
     for hot_rows, n_hot in ((500, 1), (100, 8), (10**9, 0)):
-        assert len(skew.hot_keys(rows, ["k", "j"], hot_rows).first()["hot"]) == n_hot
+        assert skew.hot_keys(rows, ["k", "j"], hot_rows).count() == n_hot
         got = skew.lookup_join(rows, lookup, ["k", "j"], where=F.col("id") < 2500, hot_rows=hot_rows).collect()
         assert len(got) == 3000
         assert all(r["v"] == (expected.get((r["k"], r["j"])) if r["id"] < 2500 else None) for r in got)
@@ -152,6 +152,16 @@ def test_hot_rows_are_spread(spark):
     assert sum(sizes) == 20000 and len(sizes) == 4 and max(sizes) < 10000
 
 
+def test_many_hot_keys_are_all_split(spark):
+    rows = spark.range(40_000).select("id", (F.col("id") % 400).cast("string").alias("k"))
+    hot = skew.hot_keys(rows, ["k"], 30)
+    assert hot.count() == 400 and {r["_salts"] for r in hot.collect()} == {4}
+    lookup = spark.range(400).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+    joined = skew.lookup_join(rows, lookup, ["k"], hot_rows=30)
+    assert joined.filter("v = id % 400").count() == 40_000
+    assert "SinglePartition" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_hash_rank(spark):
     df = spark.range(500).select(F.sha2(F.col("id").cast("string"), 256).alias("d"))
     got = skew.hash_rank(df, "d", "at", bucket_chars=1).orderBy("at").collect()
