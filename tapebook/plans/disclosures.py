@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import quality, runs, symbols, versions
-from ..operators.keyed import absent_rows, first_per_key
+from ..operators.keyed import absent_rows, first_per_key, upsert
 from ..schemas import INSIDER_DATA
 from ..session import Scratch
 from ..sources import feeds, html
@@ -42,10 +42,16 @@ def run_disclosures(
     *,
     index_rows: DataFrame | None = None,
     fail_fast: bool = False,
+    record_pages_without_table: bool = False,
     reconcile_all: bool = False,
+    streams: dict[str, int] | None = None,
 ) -> IngestResult:
     """Ingest landed pages.
 
+    Rows that break a constraint go to ``rejected_rows`` in the same commit; with ``fail_fast`` they
+    end the run. A page without the table ends the run, unless ``record_pages_without_table``
+    sends it there too. ``streams`` are micro-batch ids to keep with the commit.
+
     The parsed batch is written once to the shared folder; every later step reads only the
     columns it needs from there. All versions of a disclosure share its trade date, so only the
     trade months of the batch are read and rewritten. ``reconcile_all`` goes over every month.
@@ -55,7 +61,10 @@ def run_disclosures(
     store.commit({"runs": runs.run_record(run_log, run_id, JOB, as_of)})
     try:
         with Scratch(store.spark, f"{store.root}/_work") as scratch:
-            result = _ingest(store, scratch, pages, metadata, as_of, run_id, index_rows, fail_fast, reconcile_all)
+            result = _ingest(
+                store, scratch, pages, metadata, as_of, run_id, index_rows, fail_fast,
+                record_pages_without_table, reconcile_all, streams,
+            )
     except Exception as error:
         failed = runs.run_record(
             store.read("runs"), run_id, JOB, as_of,
@@ -77,14 +86,21 @@ def _ingest(
     run_id: int,
     index_rows: DataFrame | None,
     fail_fast: bool,
+    record_pages_without_table: bool,
     reconcile_all: bool,
+    streams: dict[str, int] | None,
 ) -> IngestResult:
-    scanned = html.require_table(pages) if fail_fast else pages
+    base = store.manifest()
+    scanned = pages if record_pages_without_table else html.require_table(pages)
     parsed = html.normalize_disclosures(html.extract_disclosures(scanned))
     batch = scratch.write(
         quality.fill_defaults(parsed, INSIDER_DATA, as_of, keep=("page_id", "pos", "company_name")), "batch"
     )
     good, bad = quality.split_valid(batch, INSIDER_DATA, fail_fast=fail_fast)
+    rejected = quality.rejects(bad, "insider_data", JOB, as_of)
+    if record_pages_without_table:
+        lost = html.pages_without_table(pages).drop("html").withColumn("violations", F.array(F.lit("no table on the page")))
+        rejected = rejected.unionByName(quality.rejects(lost, "pages", JOB, as_of))
 
     tickers = store.read("ticker_data")
     indexes = store.read("index_data")
@@ -101,32 +117,35 @@ def _ingest(
     first_new = scratch.write(versions.first_amendments(fresh), "first_new")
     merged = scratch.write(versions.supersede(target, fresh, as_of, first_new=first_new), "merged")
 
-    version = store.version() + 1
     if reconcile_all:
         others = [m for m in store.manifest().get("insider_data", {}) if m not in set(months)]
         merged = merged.unionByName(store.read("insider_data", others))
         target = store.read("insider_data")
     best = scratch.write(versions.best_versions(merged), "best")
-    entry, written = store.stage("insider_data", versions.reconcile_amendments(merged, as_of, best), version)
-    ticker_entry, written_tickers = store.stage("ticker_data", new_tickers, version)
-    index_entry, written_indexes = store.stage("index_data", new_indexes, version)
+    entry, written = store.stage("insider_data", versions.reconcile_amendments(merged, as_of, best))
+    ticker_entry, written_tickers = store.stage("ticker_data", new_tickers)
+    index_entry, written_indexes = store.stage("index_data", new_indexes)
+    stored_rejects = store.read("rejected_rows", store.months_in("rejected_rows", rejected))
+    reject_entry, _ = store.stage("rejected_rows", upsert(stored_rejects, rejected, ["reject_id"]))
 
     def inactive(df: DataFrame) -> int:
         return df.filter(F.col("is_active") == 0).count()
 
     inserted = fresh.count()
-    n_bad = bad.count()
+    n_bad = rejected.agg(F.sum("n_rows")).first()[0] or 0
+    n_broken = bad.count()
     before, between, after = inactive(target), inactive(merged), inactive(written)
     result = IngestResult(
         run_id=run_id,
         tickers_inserted=written_tickers.count() - tickers.count(),
         inserted=inserted,
-        skipped=batch.count() - n_bad - inserted,
+        skipped=batch.count() - n_broken - inserted,
         deactivated=between - before,
         reconciled=after - between,
         indexes_inserted=written_indexes.count() - indexes.count(),
         quarantined=n_bad,
     )
+    base["runs"] = store.manifest().get("runs", {})  # the log is read last
     finished = runs.run_record(
         store.read("runs"), run_id, JOB, as_of,
         finished_at=as_of,
@@ -134,15 +153,16 @@ def _ingest(
         rows_inserted=result.tickers_inserted + result.inserted + result.indexes_inserted,
         rows_updated=result.deactivated + result.reconciled,
     )
-    run_entry, _ = store.stage("runs", finished, version)
+    run_entry, _ = store.stage("runs", finished)
     store.publish(
-        version,
         {
-            "insider_data": entry, "ticker_data": ticker_entry,
-            "index_data": index_entry, "runs": run_entry,
+            "insider_data": entry, "ticker_data": ticker_entry, "index_data": index_entry,
+            "rejected_rows": reject_entry, "runs": run_entry,
         },
+        base,
+        streams,
     )
     if n_bad:
-        logger.warning("%s: %d rows broke constraints and were left out", JOB, n_bad)
+        logger.warning("%s: %d rows went to rejected_rows", JOB, n_bad)
     return result
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clock, text
 from ..operators import actions, health, paging, prices, quality, symbols
+from ..operators.keyed import upsert
 from ..operators.skew import keep_keys
 from ..schemas import BATCH_STATUS, CORPORATE_ACTIONS, DIVIDENDS, PRICING_DATA, SPLITS
 from ..session import Scratch
@@ -51,16 +52,19 @@ def run_prices(
     batch_size: int = 50,
     source: str = "yahoo",
     threshold: int = 3,
+    streams: dict[str, int] | None = None,
 ) -> PriceResult:
     """Price every symbol that is not excluded, from one landed feed, in one pass.
 
     ``requests`` (batch_id, ticker) says which symbols were asked for together; without it the
-    work list is cut into batches of ``batch_size``. Only the months of the window are rewritten.
+    work list is cut into batches of ``batch_size``. With requests, feed rows that carry a batch id
+    count for their own batch. Only the months of the window are rewritten. Rows that break a
+    constraint go to ``rejected_rows`` in the same commit; ``streams`` are micro-batch ids to keep with it.
     """
     with Scratch(store.spark, f"{store.root}/_work") as scratch:
         result = _price(
             store, scratch, feed, as_of, splits, dividends, batch_status, requests,
-            term_days, batch_size, source, threshold,
+            term_days, batch_size, source, threshold, streams,
         )
     logger.info("%s: %s", JOB, result)
     return result
@@ -79,8 +83,10 @@ def _price(
     batch_size: int,
     source: str,
     threshold: int,
+    streams: dict[str, int] | None,
 ) -> PriceResult:
     spark = store.spark
+    base = store.manifest()
     splits = splits if splits is not None else spark.createDataFrame([], SPLITS)
     dividends = dividends if dividends is not None else spark.createDataFrame([], DIVIDENDS)
     status = batch_status if batch_status is not None else spark.createDataFrame([], BATCH_STATUS)
@@ -89,16 +95,17 @@ def _price(
     tickers = symbols.ensure_tickers(store.read("ticker_data"), indexes, as_of, "index_name")
     exclusions = store.read("ticker_exclusions")
     work = scratch.write(health.drop_excluded(work_list(tickers, indexes), exclusions, as_of), "work")
-    asked = requests.select("batch_id", "ticker") if requests is not None else paging.assign_batches(work, batch_size)
+    asked = requests.select("batch_id", "ticker").distinct() if requests is not None else paging.assign_batches(work, batch_size)
     asked = asked.join(work, "ticker", "left_semi")
 
     window = clock.price_window(as_of, term_days)
     in_window = feed.filter(clock.in_window(F.col("date"), window))
     outcomes = scratch.write(
-        health.feed_outcomes(asked, health.feed_counts(in_window), status), "outcomes"
+        health.feed_outcomes(asked, health.feed_counts(in_window if requests is not None else in_window.drop("batch_id")), status),
+        "outcomes",
     )
     failed = health.failure_batch(outcomes)
-    succeeded = outcomes.filter("succeeded").select("ticker")
+    succeeded = outcomes.filter("succeeded").select("ticker").distinct()
 
     usable = keep_keys(prices.drop_empty_days(in_window), succeeded, ["ticker"])
     shaped = PRICING_DATA.conform(prices.cast_prices(usable, as_of, source))
@@ -107,12 +114,19 @@ def _price(
     target = store.read("pricing_data", store.months_in("pricing_data", batch))
     new_prices = prices.upsert_prices(target, good)
 
-    with_actions = outcomes.filter(F.col("batch_usable") > 0).select("ticker").join(
+    with_actions = outcomes.filter(F.col("batch_usable") > 0).select("ticker").distinct().join(
         work.filter("include_actions"), "ticker", "left_semi"
     )
-    landed = keep_keys(actions.action_rows(splits, dividends, as_of, source), with_actions, ["ticker"])
+    landed = scratch.write(
+        keep_keys(actions.action_rows(splits, dividends, as_of, source), with_actions, ["ticker"]), "actions"
+    )
     good_actions, bad_actions = quality.split_valid(landed, CORPORATE_ACTIONS)
-    new_actions = actions.upsert_actions(store.read("corporate_actions"), good_actions)
+    stored_actions = store.read("corporate_actions", store.months_in("corporate_actions", landed))
+    new_actions = actions.upsert_actions(stored_actions, good_actions)
+    rejected = quality.rejects(bad, "pricing_data", JOB, as_of).unionByName(
+        quality.rejects(bad_actions, "corporate_actions", JOB, as_of)
+    )
+    stored_rejects = store.read("rejected_rows", store.months_in("rejected_rows", rejected))
 
     failures = health.upsert_failures(store.read("ticker_failures"), failed, JOB, as_of)
     failures = scratch.write(health.clear_failures(failures, succeeded, JOB), "failures")
@@ -129,7 +143,10 @@ def _price(
             "ticker_failures": failures,
             "ticker_exclusions": new_exclusions,
             "ticker_data": tickers,
-        }
+            "rejected_rows": upsert(stored_rejects, rejected, ["reject_id"]),
+        },
+        base,
+        streams,
     )
     return PriceResult(
         requested=asked.count(),

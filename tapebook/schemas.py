@@ -171,6 +171,7 @@ CORPORATE_ACTIONS = Table(
     },
     defaults={"source": "yahoo", "fetched_at": AS_OF},
     references={"ticker": "ticker_data"},
+    month_of="action_date",
 )
 
 TICKER_EVENTS = Table(
@@ -213,11 +214,23 @@ TICKER_EXCLUSIONS = Table(
     defaults={"status": "EXCLUDED", "source": "system", "excluded_at": AS_OF, "is_active": 1},
 )
 
+REJECTED_ROWS = Table(
+    "rejected_rows",
+    struct(
+        "reject_id:string, job_name:string, table_name:string, violations:string, row_data:string,"
+        "n_rows:long, rejected_on:date, rejected_at:timestamp"
+    ),
+    keys=("reject_id",),
+    required=("reject_id", "job_name", "table_name", "violations", "rejected_on", "rejected_at"),
+    month_of="rejected_on",
+)
+"""Rows that a job left out, as JSON, with the reasons; equal rows of one run are one row with a count."""
+
 TABLES: dict[str, Table] = {
     t.name: t
     for t in (
         TICKER_DATA, INDEX_DATA, RUNS, INSIDER_DATA, PRICING_DATA, CORPORATE_ACTIONS,
-        TICKER_EVENTS, TICKER_FAILURES, TICKER_EXCLUSIONS,
+        TICKER_EVENTS, TICKER_FAILURES, TICKER_EXCLUSIONS, REJECTED_ROWS,
     )
 }
 

@@ -2,18 +2,18 @@
 
 Layout under the root folder::
 
-    data/<table>/<version>/            files written by one commit
-    commits/<version>.json             table -> {partition: version}, written last
+    data/<table>/<folder>/             files written by one stage, a folder of its own
+    commits/<version>.json             table -> {partition: folder}, written last
 
 A commit names, for each table, the folder that holds its current rows; tables laid out by
-month keep one entry per month, so a commit rewrites only the months it touches. Readers see
-the newest commit file, so a job that dies half-way leaves nothing visible. Nothing is
-overwritten in place.
+month keep one entry per month. Readers see the newest commit file. A commit that replaces a
+table which changed since its ``base`` was read is refused, so no update is lost.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +23,7 @@ from ..schemas import TABLES, Table
 
 WHOLE = ""
 NO_MONTH = "none"
+STREAMS = "_streams"
 
 
 def month_of(column: str) -> Column:
@@ -37,8 +38,6 @@ class SnapshotStore:
         self._jvm = spark.sparkContext._jvm
         self._fs = self._path("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    # -- commits ---------------------------------------------------------
-
     def _path(self, relative: str):
         return self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{relative}" if relative else self.root)
 
@@ -53,7 +52,7 @@ class SnapshotStore:
         done = [n[: -len(".json")] for n in self._names("commits") if n.endswith(".json")]
         return max((int(n) for n in done if n.isdigit()), default=0)
 
-    def manifest(self) -> dict[str, dict[str, int]]:
+    def manifest(self) -> dict[str, dict[str, str]]:
         version = self.version()
         if version == 0:
             return {}
@@ -63,7 +62,7 @@ class SnapshotStore:
         finally:
             stream.close()
 
-    def _publish(self, version: int, manifest: dict[str, dict[str, int]]) -> None:
+    def _publish(self, version: int, manifest: dict[str, dict[str, str]]) -> None:
         draft = self._path(f"commits/_{version:010d}.tmp")
         final = self._path(f"commits/{version:010d}.json")
         stream = self._fs.create(draft, True)
@@ -72,14 +71,11 @@ class SnapshotStore:
         if self._fs.exists(final) or not self._fs.rename(draft, final):
             raise RuntimeError(f"commit {version} was taken by another writer; run the job again")
 
-    # -- tables ----------------------------------------------------------
-
     def tables(self) -> list[str]:
         return list(TABLES)
 
-    def _folder(self, table: Table, part: str, version: int) -> str:
-        base = f"{self.root}/data/{table.name}/{version:010d}"
-        return base if part == WHOLE else f"{base}/month={part}"
+    def _folder(self, table: Table, part: str, folder: str) -> str:
+        return f"{self.root}/data/{table.name}/{folder}" + (f"/month={part}" if part != WHOLE else "")
 
     def read(self, name: str, months: Iterable[str] | None = None) -> DataFrame:
         """Current rows of a table; ``months`` limits a month-laid table to those folders."""
@@ -98,25 +94,22 @@ class SnapshotStore:
         column = TABLES[name].month_of
         return [r[0] for r in batch.select(month_of(column).alias("m")).distinct().collect()]
 
-    def stage(self, name: str, rows: DataFrame, version: int) -> tuple[dict[str, int], DataFrame]:
+    def stage(self, name: str, rows: DataFrame) -> tuple[dict[str, str], DataFrame]:
         """Write rows for a coming commit; returns its manifest entry and the written rows."""
         table = TABLES[name]
         shaped = table.conform(rows)
-        base = self._folder(table, WHOLE, version)
+        folder = f"{self.version() + 1:010d}-{uuid.uuid4().hex[:12]}"
+        base = self._folder(table, WHOLE, folder)
         if table.month_of is None:
-            shaped.write.mode("overwrite").parquet(base)
-            return {WHOLE: version}, self.spark.read.schema(table.schema).parquet(base)
+            shaped.write.parquet(base)
+            return {WHOLE: folder}, self.spark.read.schema(table.schema).parquet(base)
         # The rebalance hint gathers a month into few files and splits a month that is too large.
         laid_out = shaped.withColumn("month", month_of(table.month_of)).hint("rebalance", "month")
-        # Static mode clears what a failed attempt at this version may have left behind.
-        writer = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy("month").parquet(base)
-        relative = f"data/{name}/{version:010d}"
-        parts = [n.split("=", 1)[1] for n in self._names(relative) if n.startswith("month=")]
-        if not parts:
-            return {}, table.empty(self.spark)
-        folders = [self._folder(table, p, version) for p in sorted(parts)]
-        return dict.fromkeys(parts, version), self.spark.read.schema(table.schema).parquet(*folders)
+        laid_out.write.partitionBy("month").parquet(base)
+        parts = [n.split("=", 1)[1] for n in self._names(f"data/{name}/{folder}") if n.startswith("month=")]
+        folders = [self._folder(table, p, folder) for p in sorted(parts)]
+        written = self.spark.read.schema(table.schema).parquet(*folders) if parts else table.empty(self.spark)
+        return dict.fromkeys(parts, folder), written
 
     def create_tables(self) -> None:
         """Publish every declared table that does not exist yet, empty. Safe to repeat."""
@@ -125,16 +118,25 @@ class SnapshotStore:
         if absent:
             self.commit(absent)
 
-    def commit(self, changes: dict[str, DataFrame]) -> int:
+    def commit(self, changes: dict[str, DataFrame], base: dict | None = None, streams: dict | None = None) -> int:
         """Write several tables and publish them together."""
-        version = self.version() + 1
-        return self.publish(version, {n: self.stage(n, df, version)[0] for n, df in changes.items()})
-
-    def publish(self, version: int, entries: dict[str, dict[str, int]]) -> int:
-        """Make staged entries current. A whole table is replaced, months are replaced one by one."""
-        manifest = self.manifest()
+        base = self.manifest() if base is None else base
+        return self.publish({n: self.stage(n, df)[0] for n, df in changes.items()}, base, streams)
+
+    def publish(self, entries: dict[str, dict[str, str]], base: dict, streams: dict | None = None) -> int:
+        """Make staged entries current. A whole table is replaced, months are replaced one by one.
+        ``base`` is the manifest from before the tables were read; ``streams`` are batch ids to keep."""
+        version, manifest = self.version() + 1, self.manifest()
+        changed = [n for n in entries if manifest.get(n) != base.get(n)]
+        if changed:
+            raise RuntimeError(f"{', '.join(changed)} changed since it was read; run the job again")
         for name, entry in entries.items():
-            whole = TABLES[name].month_of is None
-            manifest[name] = entry if whole else manifest.get(name, {}) | entry
+            manifest[name] = entry if TABLES[name].month_of is None else manifest.get(name, {}) | entry
+        if streams:
+            manifest[STREAMS] = manifest.get(STREAMS, {}) | streams
         self._publish(version, manifest)
         return version
+
+    def last_batch(self, stream: str) -> int:
+        """Number of the last micro-batch of a stream that a commit holds; -1 for none."""
+        return int(self.manifest().get(STREAMS, {}).get(stream, -1))

@@ -1,8 +1,8 @@
 """Incremental runs: a file stream of landed pages or prices that calls the batch jobs.
 
-A batch that is replayed after a failure changes nothing: ids are content hashes and prices
-are keyed, so the tables themselves are the state and no watermark is needed. Corrections
-may arrive any time later.
+The id of each micro-batch is kept in the commit that holds its rows, under the checkpoint's path,
+so a batch that is replayed after a failure is skipped. Ids are content hashes and prices are keyed,
+so corrections may arrive any time later, and no watermark is needed.
 """
 
 from __future__ import annotations
@@ -30,6 +30,22 @@ def _drain(
     )
 
 
+def disclosure_batch(
+    store: SnapshotStore, batch: DataFrame, number: int, stream: str, metadata: DataFrame, as_of: datetime
+) -> None:
+    """Ingest one micro-batch, unless a commit already holds it."""
+    if number > store.last_batch(stream) and not batch.isEmpty():
+        run_disclosures(store, batch, metadata, as_of, streams={stream: number})
+
+
+def price_batch(
+    store: SnapshotStore, batch: DataFrame, number: int, stream: str, as_of: datetime, **options: object
+) -> None:
+    """Price one micro-batch, unless a commit already holds it."""
+    if number > store.last_batch(stream) and not batch.isEmpty():
+        run_prices(store, batch, as_of, streams={stream: number}, **options)
+
+
 def stream_disclosures(
     store: SnapshotStore,
     landing: str,
@@ -44,9 +60,8 @@ def stream_disclosures(
         store.spark.readStream.schema(PAGES).format(fmt).option("maxFilesPerTrigger", max_files).load(landing)
     )
 
-    def handle(batch: DataFrame, _: int) -> None:
-        if not batch.isEmpty():
-            run_disclosures(store, batch, metadata, clock())
+    def handle(batch: DataFrame, number: int) -> None:
+        disclosure_batch(store, batch, number, checkpoint, metadata, clock())
 
     return _drain(pages, handle, checkpoint)
 
@@ -65,8 +80,7 @@ def stream_prices(
     """
     feed = store.spark.readStream.schema(OHLCV_LONG).format(fmt).load(landing)
 
-    def handle(batch: DataFrame, _: int) -> None:
-        if not batch.isEmpty():
-            run_prices(store, batch, clock(), **options)
+    def handle(batch: DataFrame, number: int) -> None:
+        price_batch(store, batch, number, checkpoint, clock(), **options)
 
     return _drain(feed, handle, checkpoint)

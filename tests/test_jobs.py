@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import csv
 import glob
+import json
 import os
 from datetime import date, datetime, timedelta
 
@@ -18,7 +19,7 @@ from tapebook.schemas import (
 )
 from tapebook.sources import export, feeds
 from tapebook.sources.store import SnapshotStore
-from tapebook.streaming.incremental import stream_disclosures, stream_prices
+from tapebook.streaming.incremental import price_batch, stream_disclosures, stream_prices
 
 
 @pytest.fixture
@@ -84,12 +85,76 @@ def test_page_order_decides_between_amendments(spark, store):
 
 def test_failed_run_is_logged(spark, store):
     with pytest.raises(Exception, match="no table.tinytable"):
-        run_disclosures(store, pages_frame(spark, "<p/>"), metadata_frame(spark), AS_OF, fail_fast=True)
+        run_disclosures(store, pages_frame(spark, "<p/>"), metadata_frame(spark), AS_OF)
     log = store.read("runs").collect()
     assert [r["status"] for r in log] == ["FAILED"] and "tinytable" in log[0]["error_message"]
     assert store.read("insider_data").count() == 0
 
 
+def test_rejected_rows_are_kept_with_their_reasons(spark, store):
+    run_disclosures(store, pages_frame(spark, first_page()), metadata_frame(spark), AS_OF)
+    kept = store.read("rejected_rows").collect()
+    assert sum(r["n_rows"] for r in kept) == 2 and {r["table_name"] for r in kept} == {"insider_data"}
+    assert {r["violations"] for r in kept} == {"filing_date is required", "source_url is required"}
+    assert any(json.loads(r["row_data"])["insider_name"] == "Poe" for r in kept)
+    # scanned = accepted + copies + rejected
+    assert 6 == store.read("insider_data").count() + 1 + 2
+    run_disclosures(store, pages_frame(spark, first_page()), metadata_frame(spark), AS_OF)
+    assert store.read("rejected_rows").count() == len(kept)  # the same run again adds nothing
+
+
+def test_a_page_without_the_table_can_be_recorded(spark, store):
+    pages = pages_frame(spark, "<p/>", page([cells(href="/1")]))
+    result = run_disclosures(store, pages, metadata_frame(spark), AS_OF, record_pages_without_table=True)
+    assert (result.inserted, result.quarantined) == (1, 1)
+    (lost,) = store.read("rejected_rows").collect()
+    assert lost["table_name"] == "pages" and json.loads(lost["row_data"])["page_id"] == 1
+
+
+def test_rows_after_a_nested_table_stay(spark, store):
+    inner = "A<table><tr><td>x </td><th>y</th></tr><tr><td><table><tr><td>z</td></tr></table></td></tr></table>B"
+    html = page([cells(href="/1", company=inner), cells(href="/2", ticker="BBB")])
+    run_disclosures(store, pages_frame(spark, html), metadata_frame(spark), AS_OF)
+    assert rows(store.read("insider_data"), "ticker", "insider_name", "qty") == [("AAA", "Doe Jane", 1000), ("BBB", "Doe Jane", 1000)]
+    assert rows(store.read("ticker_data"), "ticker", "company_name") == [("AAA", "AxyzB"), ("BBB", "A Co")]
+    assert store.read("rejected_rows").count() == 0
+
+
+def test_interleaved_jobs_lose_no_update(spark, store):
+    seed_symbols(spark, store, {"A": None, "B": None})
+    base = store.manifest()
+    mine = store.read("ticker_data").withColumn("status", F.lit("MINE"))
+    entry, _ = store.stage("ticker_data", mine)
+    other = store.read("ticker_data").withColumn("status", F.lit("OTHER"))
+    other_entry, _ = store.stage("ticker_data", other)
+    assert entry != other_entry  # each stage has a folder of its own
+    store.publish({"ticker_data": other_entry}, base)
+    with pytest.raises(RuntimeError, match="ticker_data changed"):
+        store.publish({"ticker_data": entry}, base)
+    assert {r["status"] for r in store.read("ticker_data").collect()} == {"OTHER"}
+
+
+def test_a_replayed_price_batch_changes_nothing(spark, store):
+    seed_symbols(spark, store, {"A": None, "B": None})
+    feed = feed_frame(spark, [bar("A", 25, 4.0)])
+    for _ in range(3):
+        price_batch(store, feed, 0, "stream", AS_OF)
+    failures = store.read("ticker_failures").collect()
+    assert [(r["ticker"], r["fail_count"]) for r in failures] == [("B", 1)]
+    assert store.read("ticker_exclusions").count() == 0 and store.last_batch("stream") == 0
+    price_batch(store, feed, 1, "stream", LATER)
+    assert [r["fail_count"] for r in store.read("ticker_failures").collect()] == [2]
+
+
+def test_repeated_requests_and_states_keep_keys(spark, store):
+    seed_symbols(spark, store, {"A": None, "B": None})
+    requests = spark.createDataFrame([("x", "A", True), ("x", "A", True), ("y", "A", True), ("y", "B", True)], REQUESTS)
+    status = spark.createDataFrame([("y", None, None), ("y", None, "m")], BATCH_STATUS)
+    run_prices(store, feed_frame(spark, [bar("A", 25, 4.0, "x"), bar("B", 25, 5.0, "y")]), AS_OF, requests=requests, batch_status=status)
+    assert rows(store.read("ticker_data"), "ticker") == [("A",), ("B",)]
+    assert rows(store.read("pricing_data"), "ticker", "close") == [("A", 4.0), ("B", 5.0)]
+
+
 def test_store_versions(spark, store):
     assert store.version() == 0 and store.read("runs").count() == 0
     bars = spark.createDataFrame([("A", date(2024, 1, 2)), ("A", date(2024, 2, 2))], "ticker string, date date")
@@ -97,11 +162,12 @@ def test_store_versions(spark, store):
     february = spark.createDataFrame([("B", date(2024, 2, 3))], "ticker string, date date")
     assert store.months_in("pricing_data", february) == ["2024-02"]
     store.commit({"pricing_data": february})
-    assert store.manifest()["pricing_data"] == {"2024-01": 1, "2024-02": 2}
+    folders = store.manifest()["pricing_data"]
+    assert {m: int(f.split("-")[0]) for m, f in folders.items()} == {"2024-01": 1, "2024-02": 2}
     assert rows(store.read("pricing_data"), "ticker", "date") == [("A", date(2024, 1, 2)), ("B", date(2024, 2, 3))]
     assert rows(store.read("pricing_data", ["2024-01"]), "ticker") == [("A",)]
     with pytest.raises(RuntimeError, match="taken by another writer"):
-        store.publish(2, {})
+        store._publish(2, {})
 
 
 def test_create_tables(store):
@@ -182,7 +248,7 @@ def test_price_job(spark, store):
 
 def test_outcomes_count_twice_when_nothing_is_usable(spark, store):
     seed_symbols(spark, store, {"A": None, "B": None, "C": None})
-    feed = feed_frame(spark, [bar("A", 24, None), bar("B", 24, None)])
+    feed = feed_frame(spark, [bar("A", 24, None, "x"), bar("B", 24, None, "x")])
     run_prices(store, feed, AS_OF, requests=spark.createDataFrame(
         [("x", "A", True), ("x", "B", True), ("y", "C", True)], REQUESTS))
     got = {r["ticker"]: (r["error_class"], r["fail_count"]) for r in store.read("ticker_failures").collect()}
@@ -212,6 +278,15 @@ def test_readers(spark, tmp_path):
     assert rows(feeds.metadata_columns(text_info), "ticker", "short_name") == [("AAA", "Triple A"), ("^GSPC", "SPX")]
 
 
+def test_landed_actions_keep_bad_rows(spark, tmp_path):
+    lines = ["ticker,action_date,ratio", "A,2024-01-24 05:00:00,2.0", "B,never,2.0", ",2024-01-24 05:00:00,x", "C,2024-01-24 05:00:00,"]
+    (tmp_path / "splits.csv").write_text("\n".join(lines))
+    good, bad = feeds.read_actions(spark, str(tmp_path / "splits.csv"), SPLITS)
+    assert good.schema == SPLITS and rows(good, "ticker", "ratio") == [("A", 2.0), ("C", None)]
+    assert sorted((r["ticker"], tuple(r["violations"])) for r in bad.collect() if r["ticker"]) == [("B", ("action_date is no timestamp",))]
+    assert good.count() + bad.count() == 4
+
+
 def test_streams_are_incremental_and_idempotent(spark, store, tmp_path):
     landing, check = str(tmp_path / "landing"), str(tmp_path / "check")
     clock = lambda: AS_OF
