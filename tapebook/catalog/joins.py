@@ -14,30 +14,33 @@ from .registry import TX_SQL, bars, bars_sql, day_text, disclosures, query, tabl
 SINCE = "2001-01-01"
 
 
-def _recent_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
-    return orders.filter(F.col("o_orderdate") >= F.lit(SINCE).cast("timestamp_ntz"))
+def _orders(spark: SparkSession, sf_dir: str, *more: str) -> tuple[DataFrame, DataFrame]:
+    """Orders up to a day, which are the stored rows, and those from it on, which are the batch."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", *more)
+    recent = F.col("o_orderdate") >= F.lit(SINCE).cast("timestamp_ntz")
+    return orders.filter(~recent).drop("o_orderdate"), orders.filter(recent).drop("o_orderdate")
 
 
 @query(
     "new_keys_anti",
-    f"""SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN
-  (SELECT o_custkey FROM orders WHERE o_orderdate >= DATE '{SINCE}')""",
+    f"""SELECT o_orderkey, o_custkey FROM orders n WHERE o_orderdate >= DATE '{SINCE}' AND NOT EXISTS (SELECT 1 FROM orders o
+  WHERE o.o_custkey = n.o_custkey AND o.o_orderpriority = n.o_orderpriority AND o.o_orderdate < DATE '{SINCE}')""",
 )
 def new_keys_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = _recent_orders(spark, sf_dir).select(F.col("o_custkey").alias("c_custkey")).distinct()
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return keyed.absent_rows(customers, known, ["c_custkey"])
+    """Recent orders of a (customer, priority) without an older one."""
+    old, new = _orders(spark, sf_dir, "o_orderpriority")
+    return keyed.absent_rows(new, old, ["o_custkey", "o_orderpriority"]).drop("o_orderpriority")
 
 
 @query(
     "semi_update",
-    f"""SELECT c_custkey, c_name FROM customer WHERE c_custkey IN
+    f"""SELECT o_orderkey, o_custkey FROM orders WHERE o_orderdate < DATE '{SINCE}' AND o_custkey IN
   (SELECT o_custkey FROM orders WHERE o_orderdate >= DATE '{SINCE}')""",
 )
 def semi_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batch = _recent_orders(spark, sf_dir).select(F.col("o_custkey").alias("c_custkey"))
-    return keyed.present_keys(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), batch, ["c_custkey"])
+    """Older orders of customers with a recent one."""
+    old, new = _orders(spark, sf_dir)
+    return keyed.present_keys(old, new, ["o_custkey"])
 
 
 @query(
@@ -81,9 +84,8 @@ def fk_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("ticker")
     )
     child = disclosures(spark, sf_dir).select("transaction_id", "ticker")
-    good, bad = quality.split_orphans(child, parent, "ticker", "ticker")
-    good = good.select("transaction_id", F.lit(True).alias("accepted"))
-    return good.unionByName(bad.select("transaction_id", F.lit(False).alias("accepted")))
+    marked = quality.mark_orphans(child, parent, "ticker", "ticker")
+    return marked.select("transaction_id", (~F.col("_orphan")).alias("accepted"))
 
 
 @query(
@@ -129,16 +131,16 @@ def max_date_writeback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "point_price_lookup",
-    f"""WITH {bars_sql('p', 'view')}
+    f"""WITH {bars_sql('p', but='purchase')}
   SELECT event_id, round_even(p.close * 1000, 0) / 1000 AS close_on_date, round_even(p.low * 1000, 0) / 1000 AS low_on_date
-  FROM events e LEFT JOIN p ON p.ticker = CAST(e.user_id AS VARCHAR) AND p.date = CAST(e.ts AS DATE)
-  WHERE e.event_type = 'purchase'""",
+  FROM events e LEFT JOIN p ON p.ticker = CAST(e.user_id AS VARCHAR) AND p.date = CAST(e.ts AS DATE)""",
 )
 def point_price_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trades = table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase").select(
+    """Every event is a trade; all but purchases make the prices."""
+    trades = table(spark, sf_dir, "events").select(
         "event_id", F.col("user_id").cast("string").alias("ticker"), F.to_date("ts").alias("trade_date")
     )
-    found = prices.price_on_date(trades, bars(spark, sf_dir, "view"), "trade_date")
+    found = prices.price_on_date(trades, bars(spark, sf_dir, but="purchase"), "trade_date")
     return found.select("event_id", "close_on_date", "low_on_date")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import actions, keyed, runs, symbols
-from ..schemas import CORPORATE_ACTIONS, INDEX_DATA, TICKER_DATA
+from ..schemas import CORPORATE_ACTIONS, INDEX_DATA, RUNS, TICKER_DATA
 from ..sources import feeds
 from .registry import AS_OF, TX_SQL, bars, bars_sql, day_text, disclosures, query, table
 
@@ -46,16 +46,16 @@ def insert_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "latest_wins_upsert",
-    f"""WITH {bars_sql('stored', 'view', 'click')}, {bars_sql('batch', 'purchase')}
+    f"""WITH {bars_sql('stored', but='purchase')}, {bars_sql('batch', 'purchase')}
   SELECT ticker, strftime(date, '%Y-%m-%d') AS date, close, volume, 'batch' AS origin FROM batch
   UNION ALL
   SELECT ticker, strftime(date, '%Y-%m-%d'), close, volume, 'stored' FROM stored s
   WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.ticker = s.ticker AND b.date = s.date)""",
 )
 def latest_wins_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchase bars replace the view and click bars of the same symbol and day."""
+    """Purchase bars replace the other bars of the same symbol and day."""
     columns = ["ticker", "date", "close", "volume", "origin"]
-    stored = bars(spark, sf_dir, "view", "click").withColumn("origin", F.lit("stored")).select(*columns)
+    stored = bars(spark, sf_dir, but="purchase").withColumn("origin", F.lit("stored")).select(*columns)
     batch = bars(spark, sf_dir, "purchase").withColumn("origin", F.lit("batch")).select(*columns)
     merged = keyed.upsert(stored, batch, ["ticker", "date"], F.col("volume").desc())
     return merged.withColumn("date", day_text("date"))
@@ -112,38 +112,41 @@ def action_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 RECENT = "2001-01-01"
 
 
-def _recent_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recent = table(spark, sf_dir, "orders").filter(
-        F.col("o_orderdate") >= F.lit(RECENT).cast("timestamp_ntz")
-    )
-    return recent.select("o_custkey", "o_orderstatus", "o_orderdate")
+def _orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders up to a day, which are the stored rows, and those from it on, which are the batch."""
+    orders = table(spark, sf_dir, "orders")
+    recent = F.col("o_orderdate") >= F.lit(RECENT).cast("timestamp_ntz")
+    return orders.filter(~recent), orders.filter(recent)
 
 
 @query(
     "update_touch",
-    f"""SELECT c_custkey, CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderdate >= DATE '{RECENT}')
-    THEN 'seen' ELSE c_mktsegment END AS mark FROM customer""",
+    f"""WITH old AS (SELECT o_custkey, min(o_orderpriority) AS mark FROM orders WHERE o_orderdate < DATE '{RECENT}' GROUP BY ALL),
+  new AS (SELECT o_custkey, max(o_orderpriority) AS latest FROM orders WHERE o_orderdate >= DATE '{RECENT}' GROUP BY ALL)
+  SELECT old.o_custkey, coalesce(latest, mark) AS mark FROM old LEFT JOIN new USING (o_custkey)""",
 )
 def update_touch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seen = _recent_customers(spark, sf_dir).select(F.col("o_custkey").alias("c_custkey")).distinct()
-    customers = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("mark"))
-    return keyed.update_keys(customers, seen, ["c_custkey"], {"mark": F.lit("seen")})
+    """Customers with older orders are stored; every recent order is a batch row, so keys repeat."""
+    old, new = _orders(spark, sf_dir)
+    stored = old.groupBy("o_custkey").agg(F.min("o_orderpriority").alias("mark"))
+    return keyed.update_keys(stored, new.select("o_custkey", "o_orderpriority"), ["o_custkey"], {"mark": F.col("new_o_orderpriority")})
 
 
 @query(
     "keyed_delete",
-    f"""SELECT c_custkey, c_name FROM customer c WHERE NOT EXISTS (
-    SELECT 1 FROM orders WHERE o_custkey = c.c_custkey AND o_orderstatus = 'F' AND o_orderdate >= DATE '{RECENT}')""",
+    f"""SELECT o_orderkey, o_custkey FROM orders o WHERE o_orderdate < DATE '{RECENT}' AND NOT EXISTS (
+    SELECT 1 FROM orders n WHERE n.o_custkey = o.o_custkey AND n.o_orderdate >= DATE '{RECENT}')""",
 )
 def keyed_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = _recent_customers(spark, sf_dir).filter(F.col("o_orderstatus") == "F")
-    gone = done.select(F.col("o_custkey").alias("c_custkey")).distinct()
-    return keyed.delete_keys(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), gone, ["c_custkey"])
+    """Older orders go whose customer has a recent one."""
+    old, new = _orders(spark, sf_dir)
+    return keyed.delete_keys(old.select("o_orderkey", "o_custkey"), new.select("o_custkey"), ["o_custkey"])
 
 
 @query(
     "ticker_ingest",
-    f"""WITH known AS (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING'),
+    f"""WITH known AS (SELECT * FROM customer WHERE c_custkey IN (
+    SELECT o_custkey FROM orders WHERE o_orderdate < DATE '{RECENT}')),
   seen AS (SELECT o_custkey, o_orderpriority FROM orders WHERE o_orderdate >= DATE '{RECENT}'
     QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1)
   SELECT CAST(coalesce(k.c_custkey, s.o_custkey) AS VARCHAR) AS ticker,
@@ -155,11 +158,13 @@ def keyed_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
   LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) m ON m.c_custkey = s.o_custkey""",
 )
 def ticker_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored: customers outside one segment. Seen: customers with recent orders."""
+    """Stored: customers with older orders. Seen: customers with recent ones. All metadata lands twice,
+    once under another name."""
     customers = table(spark, sf_dir, "customer").withColumn("ticker", F.col("c_custkey").cast("string"))
+    old, new = _orders(spark, sf_dir)
     long_ago = F.lit("1990-01-01 00:00:00").cast("timestamp")
     known = TICKER_DATA.conform(
-        customers.filter(F.col("c_mktsegment") != "BUILDING").select(
+        customers.join(old.select(F.col("o_custkey").alias("c_custkey")).distinct(), "c_custkey", "left_semi").select(
             "ticker",
             F.col("c_name").alias("company_name"),
             F.col("c_mktsegment").alias("sector"),
@@ -168,16 +173,13 @@ def ticker_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     info = F.to_json(F.struct(F.col("c_mktsegment").alias("sector"), F.col("c_name").alias("shortName")))
-    metadata = customers.filter(F.col("c_acctbal") > 0).select("ticker", info.alias("info"))
-    batch = (
-        table(spark, sf_dir, "orders")
-        .filter(F.col("o_orderdate") >= F.lit(RECENT).cast("timestamp_ntz"))
-        .select(
-            F.col("o_custkey").cast("string").alias("ticker"),
-            F.col("o_orderpriority").alias("company_name"),
-            F.unix_date(F.to_date("o_orderdate")).alias("page_id"),
-            F.col("o_orderkey").alias("pos"),
-        )
+    again = F.to_json(F.struct(F.lit("none").alias("sector"), F.concat("c_name", F.lit(" again")).alias("shortName")))
+    metadata = customers.filter(F.col("c_acctbal") > 0).select("ticker", F.explode(F.array(again, info)).alias("info"))
+    batch = new.select(
+        F.col("o_custkey").cast("string").alias("ticker"),
+        F.col("o_orderpriority").alias("company_name"),
+        F.unix_date(F.to_date("o_orderdate")).alias("page_id"),
+        F.col("o_orderkey").alias("pos"),
     )
     result = symbols.ingest_tickers(known, batch, metadata, AS_OF)
     return result.select(
@@ -257,17 +259,20 @@ def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "run_log",
-    """SELECT o_custkey AS run_id, o_orderstatus AS status, o_orderkey AS last_entry FROM orders
-  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
+    """WITH s AS (SELECT o_custkey, max((o_orderdate, o_orderkey, o_orderstatus)) AS m FROM orders GROUP BY ALL)
+  SELECT o_custkey AS run_id, m[3] AS status, m[2] AS last_entry, CAST(NULL AS VARCHAR) AS error_message FROM s
+  UNION ALL SELECT max(o_custkey) + 1, 'FAILED', 7, 'x' FROM orders""",
 )
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as log entries of the run of their customer: the current state of each run."""
+    """Orders as log entries of the run of their customer: the current state of each run, and one more run."""
     entries = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("run_id"), F.col("o_orderstatus").alias("status"),
-        F.col("o_orderkey").alias("last_entry"), "o_orderdate",
+        F.col("o_orderkey").alias("rows_inserted"), F.col("o_orderdate").cast("timestamp").alias("started_at"),
     )
-    last = runs.latest_records(entries, "run_id", F.col("o_orderdate").desc(), F.col("last_entry").desc())
-    return last.drop("o_orderdate")
+    last = runs.latest_records(entries, "run_id", F.col("started_at").desc(), F.col("rows_inserted").desc())
+    log = RUNS.conform(last)
+    added = runs.run_record(log, runs.next_run_id(log), "price", AS_OF, status="FAILED", rows_inserted=7, error_message="x")
+    return added.select("run_id", "status", F.col("rows_inserted").alias("last_entry"), "error_message")
 
 
 @query(
@@ -276,9 +281,12 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     coalesce(max(o_orderkey), -1) AS last_order FROM orders""",
 )
 def scalar_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").agg(
-        F.coalesce(F.max(F.when(F.col("o_totalprice") < 0, F.col("o_orderkey"))), F.lit(-1)).alias("none_found"),
-        F.coalesce(F.max("o_orderkey"), F.lit(-1)).alias("last_order"),
+    """The first cell of a frame without rows gives the default, one with rows its value."""
+    orders = table(spark, sf_dir, "orders")
+    none_found = runs.scalar(orders.filter("o_totalprice < 0").select("o_orderkey"), -1)
+    last_order = runs.scalar(orders.select("o_orderkey").orderBy(F.desc("o_orderkey")), -1)
+    return orders.groupBy().agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(none_found).cast("bigint").alias("none_found"), F.lit(last_order).cast("bigint").alias("last_order")
     )
 
 

@@ -9,9 +9,6 @@ from ..functions import text
 from ..operators import prices
 from .registry import AS_OF, bars, bars_sql, day_text, query, table
 
-_TYPES = ("click", "error", "purchase", "signup", "view")
-
-
 @query(
     "ohlc_wide_to_long",
     """SELECT event_type AS ticker, strftime(ts, '%Y-%m-%d') AS date, min(value) AS low, max(value) AS high,
@@ -20,15 +17,10 @@ _TYPES = ("click", "error", "purchase", "signup", "view")
 def ohlc_wide_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per day with a column per (event type, field) -> one row per (type, day)."""
     events = table(spark, sf_dir, "events")
-
-    def field(kind: str, name: str) -> F.Column:
-        value = F.when(F.col("event_type") == kind, F.col("value"))
-        how = {"Low": F.min, "High": F.max, "Volume": F.count}[name]
-        return how(value).alias(f"{kind}|{name}")
-
-    wide = events.groupBy(F.to_date("ts").alias("date")).agg(
-        *[field(k, n) for k in _TYPES for n in ("Low", "High", "Volume")]
+    wide = events.groupBy(F.to_date("ts").alias("date")).pivot("event_type").agg(
+        F.min("value").alias("Low"), F.max("value").alias("High"), F.count("value").alias("Volume")
     )
+    wide = wide.select("date", *[F.col(f"`{c}`").alias("|".join(c.rsplit("_", 1))) for c in wide.columns if c != "date"])
     long = prices.drop_empty_days(prices.wide_to_long(wide).filter(F.col("volume") > 0))
     return long.select("ticker", day_text("date").alias("date"), "low", "high", "volume", "close")
 

@@ -108,16 +108,19 @@ tx AS (
   FROM tx0)"""
 
 
-def bars(spark: SparkSession, sf_dir: str, *event_types: str) -> DataFrame:
-    """Daily bars per user, from the ticks of the given event types (all if none)."""
+def bars(spark: SparkSession, sf_dir: str, *event_types: str, but: str | None = None) -> DataFrame:
+    """Daily bars per user, from the ticks of the given event types, or of all ``but`` one, or of all."""
     ticks = table(spark, sf_dir, "events").withColumn("symbol", F.col("user_id").cast("string"))
     if event_types:
         ticks = ticks.filter(F.col("event_type").isin(*event_types))
+    if but:
+        ticks = ticks.filter(~F.col("event_type").eqNullSafe(but))
     return daily_bars(ticks, "symbol", "ts", "value", "event_id")
 
 
-def bars_sql(name: str, *event_types: str) -> str:
+def bars_sql(name: str, *event_types: str, but: str | None = None) -> str:
     where = f"WHERE event_type IN ({', '.join(repr(t) for t in event_types)})" if event_types else ""
+    where = f"WHERE event_type IS DISTINCT FROM {but!r}" if but else where
     return f"""{name} AS (
   SELECT CAST(user_id AS VARCHAR) AS ticker, CAST(ts AS DATE) AS date,
          arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low,

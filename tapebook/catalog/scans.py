@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import clock, identity, rules, text
 from ..operators import paging, quality
-from ..schemas import INSIDER_DATA, TICKER_EXCLUSIONS, TICKER_FAILURES
-from ..sources import html
+from ..schemas import INSIDER_DATA, SPLITS, TICKER_EXCLUSIONS, TICKER_FAILURES
+from ..sources import feeds, html
 from .registry import AS_OF, HASHED_TX_SQL, LABEL_SQL, TX_SQL, day_text, disclosures, labels, query, table
 
 
@@ -389,3 +389,56 @@ def failure_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("ticker")).distinct()
     rows = quality.fill_defaults(keys.withColumn("job_name", F.lit("price")), TICKER_FAILURES, AS_OF)
     return rows.select("ticker", "job_name", day_text("failure_date").alias("failure_date"), "fail_count")
+
+
+@query(
+    "table_page_scan",
+    """SELECT o_custkey AS page_id, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS INTEGER) AS pos,
+    strftime(o_orderdate, '%Y-%m-%d') AS filing_date, 'C' || o_custkey AS ticker,
+    CASE WHEN o_orderkey % 2 = 1 THEN 'Axyz' ELSE 'A & z' END AS company_name, o_orderpriority AS title,
+    'https://openinsider.com/o/' || o_orderkey AS source_url FROM orders""",
+)
+def table_page_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page per customer with a table of its orders; every other row holds a table of its own."""
+    link = F.concat(F.lit('<a href="/o/'), "o_orderkey", F.lit('">'), day_text("o_orderdate"), F.lit("</a>"))
+    nested = F.lit("A<table><tr><td> x</td><td>y </td></tr></table>z")
+    cells = {
+        "Filing Date": link,
+        "Ticker": F.concat(F.lit("<b>C"), "o_custkey", F.lit("</b>")),
+        "Company Name": F.when(F.col("o_orderkey") % 2 == 1, nested).otherwise("A &amp; z"),
+        "Title": F.col("o_orderpriority"),
+    }
+    row = F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), cells.get(h, F.lit("-")), F.lit("</td>")) for h in html.KEPT_HEADERS], F.lit("</tr>"))
+    head = "".join(f"<th>{h}</th>" for h in html.KEPT_HEADERS)
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", row.alias("row"))
+    pages = orders.groupBy(F.col("o_custkey").alias("page_id")).agg(
+        F.concat(
+            F.lit(f'<p>before</p><table class="tinytable wide"><tr>{head}</tr>'),
+            F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o_orderkey", "row"))), lambda r: r["row"]), "\n"),
+            F.lit("</table><table><tr><td>after</td></tr></table>"),
+        ).alias("html")
+    )
+    return html.extract_disclosures(html.require_table(pages)).select(
+        "page_id", "pos", "filing_date", "ticker", "company_name", "title", "source_url"
+    )
+
+
+@query(
+    "typed_landing",
+    """SELECT l_orderkey * 10 + l_linenumber AS line, CASE WHEN l_linenumber <> 3 THEN l_discount END AS ratio,
+    CASE WHEN l_returnflag <> 'R' THEN strftime(l_shipdate, '%Y-%m-%d') END AS action_date,
+    (CASE WHEN l_linenumber = 3 THEN 1 ELSE 0 END) + (CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS n_violations
+  FROM lineitem""",
+)
+def typed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Splits that land as text, some with a ratio or a day that is none; every row stays."""
+    landed = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("ticker"),
+        F.when(F.col("l_returnflag") != "R", F.col("l_shipdate").cast("string")).alias("action_date"),
+        F.when(F.col("l_linenumber") != 3, F.col("l_discount").cast("string")).otherwise("n/a").alias("ratio"),
+    )
+    rows = feeds.typed_rows(landed, SPLITS, ("ticker", "action_date"))
+    return rows.select(
+        F.col("ticker").cast("bigint").alias("line"), "ratio", day_text("action_date").alias("action_date"),
+        F.size("violations").alias("n_violations"),
+    )

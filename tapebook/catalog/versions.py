@@ -14,19 +14,19 @@ from ..schemas import INSIDER_DATA, NATURAL_KEY
 from .registry import AS_OF, HASHED_TX_SQL, TX_SQL, day_text, disclosures, query
 
 KEY_SQL = "ticker, insider_name, sec_tx_code"
-RANKED_SQL = f"""ranked AS (
-  SELECT *, row_number() OVER best AS rn,
-    max(CASE WHEN x_flags ILIKE '%A%' THEN 1 ELSE 0 END) OVER (PARTITION BY {KEY_SQL}) AS has_amend,
-    first_value(transaction_id) OVER best AS winner_id
-  FROM tx WINDOW best AS (PARTITION BY {KEY_SQL}
-    ORDER BY CASE WHEN x_flags ILIKE '%A%' THEN 1 ELSE 0 END DESC, filing_date DESC, transaction_id DESC))"""
+SAME_KEY = " AND ".join(f"tx.{c} IS NOT DISTINCT FROM top.{c}" for c in KEY_SQL.split(", "))
+# The latest amendment of each key, and every row next to it.
+JUDGED_SQL = f"""top AS (
+  SELECT {KEY_SQL}, max((filing_date, transaction_id)) AS latest FROM tx WHERE contains(upper(x_flags), 'A') GROUP BY ALL),
+judged AS (
+  SELECT tx.*, top.latest[2] AS chosen FROM tx LEFT JOIN top ON {SAME_KEY})"""
 
 
 @query(
     "reconcile_versions",
-    f"""WITH {TX_SQL}, {RANKED_SQL}
-  SELECT transaction_id, CASE WHEN has_amend = 1 AND rn > 1 THEN 0 ELSE 1 END AS is_active,
-    CASE WHEN has_amend = 1 AND rn > 1 THEN winner_id END AS superseded_by FROM ranked""",
+    f"""WITH {TX_SQL}, {JUDGED_SQL}
+  SELECT transaction_id, CASE WHEN chosen <> transaction_id THEN 0 ELSE 1 END AS is_active,
+    nullif(chosen, transaction_id) AS superseded_by FROM judged""",
 )
 def reconcile_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = versions.reconcile_amendments(disclosures(spark, sf_dir), AS_OF)
@@ -35,27 +35,29 @@ def reconcile_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "active_after_reconcile",
-    f"""WITH {HASHED_TX_SQL}, {RANKED_SQL}
-  SELECT x_flags, count(*) AS n_rows, CAST(sum(CASE WHEN has_amend = 1 AND rn > 1 THEN 0 ELSE 1 END) AS BIGINT)
-    AS n_active FROM ranked GROUP BY ALL""",
+    f"""WITH {HASHED_TX_SQL.replace("tx AS (", "landed AS (")},
+  tx AS (SELECT DISTINCT * FROM (SELECT * FROM landed UNION ALL SELECT * FROM landed WHERE sec_tx_code IN ('1', '3'))),
+  {JUDGED_SQL}
+  SELECT x_flags, count(*) AS n_rows, count(*) FILTER (chosen IS NULL OR chosen = transaction_id) AS n_active
+  FROM judged GROUP BY ALL""",
 )
 def active_after_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagship: content ids, reconciliation, one row per id, count what stays active.
+    """Flagship: content ids, one row per id, reconciliation, count what stays active.
 
-    Copies of a row share its id and its fate, so they are dropped last, on three columns.
+    Two lines of every order land twice, so there are copies to drop.
     """
-    rows = versions.reconcile_amendments(disclosures(spark, sf_dir, hashed=True), AS_OF)
-    once = rows.select("transaction_id", "x_flags", "is_active").distinct()
-    return once.groupBy("x_flags").agg(
+    landed = disclosures(spark, sf_dir, hashed=True)
+    landed = landed.unionByName(landed.filter(F.col("sec_tx_code").isin("1", "3")))
+    once = first_per_key(landed, ["transaction_id"], "source_url")
+    rows = versions.reconcile_amendments(once, AS_OF)
+    return rows.groupBy("x_flags").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("is_active").cast("bigint")).alias("n_active")
     )
 
 
 @query(
     "losers_in_subquery",
-    f"""WITH {TX_SQL}, {RANKED_SQL}
-  SELECT transaction_id FROM tx WHERE transaction_id IN (
-    SELECT transaction_id FROM ranked WHERE has_amend = 1 AND rn > 1)""",
+    f"""WITH {TX_SQL}, {JUDGED_SQL} SELECT transaction_id FROM judged WHERE chosen <> transaction_id""",
 )
 def losers_in_subquery(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = versions.find_losers(disclosures(spark, sf_dir))
@@ -64,8 +66,7 @@ def losers_in_subquery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "winner_lookup",
-    f"""WITH {TX_SQL}, {RANKED_SQL}
-  SELECT transaction_id, CASE WHEN has_amend = 1 THEN winner_id END AS winner_id FROM ranked""",
+    f"""WITH {TX_SQL}, {JUDGED_SQL} SELECT transaction_id, chosen AS winner_id FROM judged""",
 )
 def winner_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.find_losers(disclosures(spark, sf_dir)).select("transaction_id", "winner_id")
@@ -73,8 +74,9 @@ def winner_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "best_version",
-    f"""WITH {TX_SQL}, {RANKED_SQL}
-  SELECT ticker, insider_name, sec_tx_code, transaction_id, filing_date FROM ranked WHERE rn = 1""",
+    f"""WITH {TX_SQL}, b AS (
+    SELECT {KEY_SQL}, max((contains(upper(x_flags), 'A'), filing_date, transaction_id)) AS best FROM tx GROUP BY ALL)
+  SELECT {KEY_SQL}, best[3] AS transaction_id, best[2] AS filing_date FROM b""",
 )
 def best_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top-1 per natural key, whether or not the key has an amendment."""

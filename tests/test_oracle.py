@@ -7,7 +7,8 @@ import os
 import pytest
 
 import oracle
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tapebook.catalog import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -19,9 +20,9 @@ def con():
     return oracle.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    problem = oracle.compare(spark, con, queries()[name], oracle_sql()[name], SF_DIR)
+    problem = oracle.compare(spark, con, QUERIES[name], ORACLES[name], SF_DIR)
     # The smallest data set has no second screening page.
     assert problem is None or (problem, name) == ("no rows", "screen_page")
 
@@ -32,7 +33,7 @@ def test_entry(spark):
 
 
 def test_plans_have_no_python_and_no_cross_joins(spark):
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         plan = fn(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
         for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "MapInPandas"):
             assert word not in plan, f"{word} in {name}"
