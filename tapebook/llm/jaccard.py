@@ -7,13 +7,12 @@ join is exact up to equal 64-bit shingle hashes:
    several of them. Names that one set alone has are counted out; of the others the rarest are kept,
    again so many that similar sets share one. What is left are a few names of sets that have
    near copies.
-2. Sets that share a name meet in size-banded tiles: a set meets those of its own size band and of
-   the next one.
+2. Sets meet in size-banded tiles: a set meets those of its own size band and of the next one. The
+   few sets of a rare name are joined by name. Sets that names of many sets connect are a family; its
+   sets are dealt out over blocks of a bounded size, and every two blocks that sizes allow are a tile.
 3. A bitmap of hashed shingles bounds the overlap of two sets from above by a bit count; sorted
-   arrays are intersected only beyond it.
-4. Each tile first links its sets to its smallest and largest member. Sets that are then connected
-   need no further comparison, so a large group of near copies costs links in proportion to its size.
-   All other pairs of a tile are compared.
+   arrays are intersected only beyond it. In a tile of a family, sets that are already connected
+   aren't compared again, so a large group of near copies gives links in proportion to its size.
 """
 
 from __future__ import annotations
@@ -21,22 +20,28 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .bitmaps import bitmap_levels, contains, level_of
 from .components import components
-from .shared import free_name, small_batches, written
+from .shared import free_name, partitions, small_batches, written
 from .words import NOT_SPACE, Block, mix, word_blocks
 
 #: Words of a shingle, and the least similarity in percent.
 WORDS, PERCENT = 5, 80
 #: Longs of a set's bitmap.
-SIGNATURE = 8
+SIGNATURE = 16
 #: A size band ends at so many times its start; more than 100 / PERCENT, so similar sets are at most one band apart.
 BAND = 1.26
 #: Names are ranked by how many sets share them, in powers of 8.
 LEVELS = 5
+#: A name of more sets than this makes them a family; sets of a block; names that a task packs together.
+RARE, BLOCK_SETS, PACKED = 48, 1024, 1 << 21
+
+SIGNATURE_COLUMNS = [f"s{k}" for k in range(SIGNATURE)]
+PACKED_COLUMNS = ["bucket", "tags", "low", "several", "high", "more", "many"]
 
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -68,7 +73,7 @@ def _least(n: int) -> int:
 
 def _spare(n: int | np.ndarray) -> int | np.ndarray:
     """Names that two similar sets share at least, of those that each gives."""
-    return 1 + n // 50
+    return 1 + n // 20
 
 
 def _set_key(shingles: np.ndarray) -> bytes:
@@ -84,8 +89,9 @@ def _signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def named_sets(docs: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame:
-    """Per document: the ``keep`` columns, ``n``, ``set_key`` (null without words), ``u`` (64 bits of
-    it) and ``names``, which are null where the same task has met the set before."""
+    """Per document: the ``keep`` columns (as ``kept``), ``n``, ``set_key`` (null without words), ``u``
+    (64 bits of it), the bitmap ``s0`` ..., and ``names``, which are null where the same task has met
+    the set before."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept"), F.col(f"`{text}`").cast("string").alias("body"))
     schema = T.StructType(
@@ -95,13 +101,14 @@ def named_sets(docs: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame:
             T.StructField("set_key", T.BinaryType()),
             T.StructField("u", T.LongType()),
             T.StructField("names", T.ArrayType(T.LongType())),
+            *[T.StructField(c, T.LongType()) for c in SIGNATURE_COLUMNS],
         ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
-            sizes, keys, names = [], [], []
+            sizes, keys, names, signatures = [], [], [], [np.zeros((0, SIGNATURE), np.int64)]
             for block in word_blocks(batch.column(1), NOT_SPACE):
                 for shingles in shingle_sets(block):
                     n = len(shingles)
@@ -109,8 +116,10 @@ def named_sets(docs: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame:
                     sizes.append(n)
                     keys.append(key)
                     names.append(None if key is None or key in seen else shingles[: n - _least(n) + _spare(n)].view(np.int64))
+                    signatures.append(_signature(shingles)[None])
                     seen.add(key)
             short = [None if k is None else int.from_bytes(k[:8], "little", signed=True) for k in keys]
+            bits = np.concatenate(signatures)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -118,6 +127,7 @@ def named_sets(docs: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame:
                     pa.array(keys, pa.binary()),
                     pa.array(short, pa.int64()),
                     pa.array(names, pa.list_(pa.int64())),
+                    *[pa.array(np.ascontiguousarray(bits[:, k])) for k in range(SIGNATURE)],
                 ],
                 schema.names,
             )
@@ -125,21 +135,96 @@ def named_sets(docs: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def rare_names(sets: DataFrame) -> DataFrame:
-    """``name``, ``u``, ``n``: of each set's names those that others have too, the rarest of them.
+def _tag(names: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """A name's bucket and its 32-bit tag there. Names that agree in both are taken for one, which
+    can only make more sets meet."""
+    names = names.view(np.uint64)
+    return (names & np.uint64(buckets - 1)).astype(np.int64), (names >> np.uint64(24)).astype(np.uint32)
+
+
+def _tag_value(bucket: np.ndarray, tag: np.ndarray) -> np.ndarray:
+    return mix((tag.astype(np.uint64) << np.uint64(16)) | bucket.astype(np.uint64)).view(np.int64)
+
+
+def _ends(order_by: np.ndarray, low: np.ndarray, high: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, ...]:
+    """For each different value of ``order_by``: itself, the least ``low``, the most ``high``, the sum of ``many``."""
+    order = np.argsort(order_by, kind="stable")
+    value = order_by[order]
+    first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]])) if len(value) else np.zeros(0, np.int64)
+    if not len(first):
+        return value, low, high, many
+    return (
+        value[first],
+        np.minimum.reduceat(low[order], first),
+        np.maximum.reduceat(high[order], first),
+        np.add.reduceat(many[order], first),
+    )
+
+
+def shared_names(sets: DataFrame) -> DataFrame:
+    """``value`` and ``level`` of every name that different sets have (as ``_tag_value``).
 
-    How often names occur is counted with map-side sums; the sums come back as bitmaps of a bounded
-    size, by powers of 8, so the names themselves needn't be shuffled again.
+    Tasks pack the names of each bucket into one row, every name once with the least and the most of
+    its sets and their number, so a name that very many sets share stays small; buckets are then merged.
     """
-    sets = sets.filter("names IS NOT NULL")
-    counted = (
-        sets.select(F.explode("names").alias("name"), "u")
-        .groupBy("name")
-        .agg(F.count(F.lit(1)).alias("many"), F.min("u").alias("least"), F.max("u").alias("most"))
-        .filter("least <> most")
-        .select("name", F.least(F.lit(LEVELS - 1), F.floor(F.log2("many") / 3)).cast("int").alias("level"))
+    buckets = 1 << max(6, min(16, (partitions(sets.sparkSession) - 1).bit_length()))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            names, u = (np.concatenate(x) for x in zip(*held))
+            bucket, tag = _tag(names, buckets)
+            order = np.argsort(bucket, kind="stable")
+            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            rows = []
+            for k in range(buckets):
+                at = order[edges[k] : edges[k + 1]]
+                if len(at):
+                    tags, low, high, many = _ends(tag[at], u[at], u[at], np.ones(len(at), np.uint32))
+                    several = np.flatnonzero(low != high).astype(np.uint32)
+                    more = np.flatnonzero(many > 1).astype(np.uint32)
+                    rows.append((k, tags, low, several, high[several], more, many[more].astype(np.uint32)))
+            columns = list(zip(*rows))
+            packed = [pa.array([x.tobytes() for x in c], pa.binary()) for c in columns[1:]]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *packed], PACKED_COLUMNS)
+
+        for batch in batches:
+            lists = batch.column(1)
+            held.append((lists.flatten().to_numpy(), np.repeat(batch.column(0).to_numpy(), lists.value_lengths().to_numpy())))
+            size += len(held[-1][0])
+            if size >= PACKED:
+                yield from flush()
+                held, size = [], 0
+        if size:
+            yield from flush()
+
+    def merge(table: pa.Table) -> pa.Table:
+        parts = []
+        for row in table.to_pylist():
+            tags, low = np.frombuffer(row["tags"], np.uint32), np.frombuffer(row["low"], np.int64)
+            high, many = low.copy(), np.ones(len(tags), np.int64)
+            high[np.frombuffer(row["several"], np.uint32)] = np.frombuffer(row["high"], np.int64)
+            many[np.frombuffer(row["more"], np.uint32)] = np.frombuffer(row["many"], np.uint32)
+            parts.append((tags, low, high, many))
+        tags, low, high, many = _ends(*(np.concatenate(x) for x in zip(*parts)))
+        shared = low != high
+        value = _tag_value(np.full(int(shared.sum()), table["bucket"][0].as_py()), tags[shared])
+        level = np.minimum(LEVELS - 1, np.log2(many[shared]) // 3).astype(np.int32)
+        return pa.table({"value": value, "level": level})
+
+    packed = sets.filter("names IS NOT NULL").select("u", "names").mapInArrow(
+        pack, "bucket int, tags binary, low binary, several binary, high binary, more binary, many binary"
     )
-    maps = sets.sparkSession.sparkContext.broadcast(bitmap_levels(written(counted, "shared-names"), "name", "level", LEVELS))
+    return packed.groupBy("bucket").applyInArrow(merge, "value long, level int")
+
+
+def rare_names(sets: DataFrame) -> DataFrame:
+    """``name``, ``u``, ``n``: of each set's names those that others have too, the rarest of them. How often names occur comes back as bitmaps of a bounded size, by powers of 8, so the names
+    themselves needn't be shuffled for it."""
+    spark = sets.sparkSession
+    buckets = 1 << max(6, min(16, (partitions(spark) - 1).bit_length()))
+    maps = spark.sparkContext.broadcast(bitmap_levels(written(shared_names(sets), "shared-names"), "value", "level", LEVELS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,7 +232,7 @@ def rare_names(sets: DataFrame) -> DataFrame:
             names = batch.column(2)
             flat = names.flatten().to_numpy()
             row = np.repeat(np.arange(len(u)), names.value_lengths().to_numpy())
-            level = level_of(maps.value, flat)
+            level = level_of(maps.value, _tag_value(*_tag(flat, buckets)))
             flat, row, level = flat[level >= 0], row[level >= 0], level[level >= 0]
             order = np.lexsort((flat, level, row))
             flat, row = flat[order], row[order]
@@ -157,48 +242,42 @@ def rare_names(sets: DataFrame) -> DataFrame:
             row = row[taken]
             yield pa.RecordBatch.from_arrays([pa.array(flat[taken]), pa.array(u[row]), pa.array(n[row])], ["name", "u", "n"])
 
-    return sets.select("u", "n", "names").mapInArrow(run, "name long, u long, n long").distinct()
+    rows = sets.filter("names IS NOT NULL").select("u", "n", "names")
+    return rows.mapInArrow(run, "name long, u long, n long").distinct()
+
+
+def _band(n: Column) -> Column:
+    return F.floor(F.log(n) / float(np.log(BAND)))
 
 
 def tiles(names: DataFrame) -> DataFrame:
-    """Each row once in the tile of its name and size band and once, as a guest, in the band before;
-    only tiles where two sets meet."""
-    band = F.floor(F.log("n") / float(np.log(BAND)))
-    at = F.array(F.struct(band.alias("band"), F.lit(True).alias("home")), F.struct((band - 1).alias("band"), F.lit(False).alias("home")))
-    return names.select("*", F.explode(at).alias("at")).select(*names.columns, "at.band", "at.home")
+    """Each row in the tile of its name and size band and, as a guest, in that of the band before."""
+    return names.select("*", F.explode(F.array(_band(F.col("n")), _band(F.col("n")) - 1)).alias("band"))
 
 
 def full_sets(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
-    """``u``, ``n``, ``s0`` ... (bitmap) and ``shingles`` (sorted 64-bit hashes) of the sets in
-    ``wanted`` (column ``u``), each once. Texts are read again; a bitmap of a bounded size tells
-    which, so those of other documents aren't moved."""
+    """``u`` and ``shingles`` (sorted 64-bit hashes) of at least the sets in ``wanted`` (column ``u``),
+    each once. Texts are read again; a bitmap of a bounded size tells which, so the sets of other
+    documents aren't moved."""
     marked = wanted.select("u", F.lit(0).alias("level"))
     bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_levels(marked, "u", "level", 1)[0])
-    names = ["u", "n", *(f"s{k}" for k in range(SIGNATURE)), "shingles"]
-    schema = ", ".join(f"{c} long" for c in names[:-1]) + ", shingles binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            u, n, signatures, bodies = [], [], [np.zeros((0, SIGNATURE), np.int64)], []
+            u, bodies = [], []
             for block in word_blocks(batch.column(0), NOT_SPACE):
                 for shingles in shingle_sets(block):
                     if not len(shingles):
                         continue
                     key = int.from_bytes(_set_key(shingles)[:8], "little", signed=True)
-                    if key in seen or not contains(bitmap.value, np.array([key], np.int64))[0]:
-                        continue
-                    seen.add(key)
-                    u.append(key)
-                    n.append(len(shingles))
-                    signatures.append(_signature(shingles)[None])
-                    bodies.append(shingles.tobytes())
-            parts = np.concatenate(signatures)
-            columns = [pa.array(u, pa.int64()), pa.array(n, pa.int64())]
-            columns += [pa.array(np.ascontiguousarray(parts[:, k])) for k in range(SIGNATURE)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(bodies, pa.binary())], names)
+                    if key not in seen and contains(bitmap.value, np.array([key], np.int64))[0]:
+                        seen.add(key)
+                        u.append(key)
+                        bodies.append(shingles.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(bodies, pa.binary())], ["u", "shingles"])
 
-    read = docs.select(F.col(f"`{text}`").cast("string").alias("body")).mapInArrow(run, schema)
+    read = docs.select(F.col(f"`{text}`").cast("string").alias("body")).mapInArrow(run, "u long, shingles binary")
     return read.dropDuplicates(["u"])
 
 
@@ -211,55 +290,137 @@ def _may_link(a: str, b: str) -> Column:
     return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & ((100 + PERCENT) * overlap >= PERCENT * (n + m))
 
 
+def possible(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
+    """The different pairs (``a``, ``b``) whose sizes and bitmaps allow a link."""
+    left = signatures.withColumnRenamed("u", "a").alias("x")
+    right = signatures.withColumnRenamed("u", "b").alias("y")
+    return pairs.distinct().join(left, "a").join(right, "b").filter(_may_link("x", "y")).select("a", "b")
+
+
+def _overlaps(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted sets link."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    both = int((y[at] == x).sum())
+    return 100 * both >= PERCENT * (len(x) + len(y) - both)
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (``a``, ``b``) whose sets link, by exact intersection of sorted arrays."""
-    left = sets.select(F.col("u").alias("a"), "*").alias("x")
-    right = sets.select(F.col("u").alias("b"), "*").alias("y")
-    joined = pairs.join(left, "a").join(right, "b").filter(_may_link("x", "y"))
+    """The pairs whose sets link, by exact intersection of sorted arrays."""
+    joined = (
+        pairs.join(sets.select(F.col("u").alias("a"), F.col("shingles").alias("one")), "a")
+        .join(sets.select(F.col("u").alias("b"), F.col("shingles").alias("other")), "b")
+        .select("a", "b", "one", "other")
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both = int((y[at] == x).sum())
-                linked.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+            linked = [
+                _overlaps(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64))
+                for x, y in zip(batch.column(2), batch.column(3))
+            ]
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    return joined.select("a", "b", F.col("x.shingles"), F.col("y.shingles").alias("others")).mapInArrow(run, "a long, b long")
+    return joined.mapInArrow(run, "a long, b long")
+
+
+def tile_links(u: np.ndarray, sets: list[np.ndarray], first: int) -> list[tuple[int, int]]:
+    """Links that connect the similar sets of a tile. The first ``first`` sets are one block, the others
+    another one, which is compared with the first only; a tile of one block is compared with itself."""
+    size = np.array([len(x) for x in sets])
+    width = 1 << max(9, min(14, int(4 * size.max()).bit_length()))
+    bits = np.zeros((len(sets), width // 64), np.uint64)
+    for k, x in enumerate(sets):
+        place = x & np.uint64(width - 1)
+        np.bitwise_or.at(bits[k], (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
+    group = np.arange(len(sets))
+    links = []
+    whole = first == len(sets)
+    for k in range(first):
+        others = np.arange(k + 1, len(sets)) if whole else np.arange(first, len(sets))
+        fits = 100 * np.minimum(size[k], size[others]) >= PERCENT * np.maximum(size[k], size[others])
+        others = others[fits & (group[others] != group[k])]
+        differ = np.bitwise_count(bits[others] ^ bits[k]).sum(1, dtype=np.int64)
+        both = size[k] + size[others]
+        bound = (both - differ) // 2
+        able = (100 + PERCENT) * bound >= PERCENT * both
+        others = others[able][np.argsort(-bound[able], kind="stable")]
+        for j in others.tolist():
+            if group[j] != group[k] and _overlaps(sets[k], sets[j]):
+                links.append((int(u[k]), int(u[j])))
+                group[group == group[j]] = group[k]
+    return links
+
+
+def family_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links inside of families (``family``, ``u``, ``n``; every set once), tile by tile.
+
+    A family's sets of one size band are dealt out over blocks of about ``BLOCK_SETS`` sets by hash.
+    A tile is a block with itself, with a later block of its band, or with one of the next band.
+    """
+    banded = members.withColumn("band", _band(F.col("n")))
+    blocks = banded.groupBy("family", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).cast("int").alias("own"))
+    beside = blocks.select("family", (F.col("band") - 1).alias("band"), F.col("own").alias("above")).unionByName(
+        blocks.select("family", (F.col("band") + 1).alias("band"), F.col("own").alias("below")), allowMissingColumns=True
+    )
+    beside = beside.groupBy("family", "band").agg(F.max("above").alias("above"), F.max("below").alias("below"))
+    known = blocks.join(beside, ["family", "band"], "left")
+    block = F.pmod(F.xxhash64("u"), F.col("own")).cast("int")
+
+    def places(count: Column) -> Column:
+        return F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+
+    def tile(band: Column, i: Column, step: int, j: Column, side: Column | int) -> Column:
+        side = F.lit(side) if isinstance(side, int) else side
+        return F.struct(band.alias("band"), i.alias("i"), F.lit(step).alias("step"), j.alias("j"), side.alias("side"))
+
+    here, b = F.col("band"), F.col("block")
+    own = F.transform(places(F.col("own")), lambda j: tile(here, F.least(b, j), 0, F.greatest(b, j), F.when(b <= j, 0).otherwise(1)))
+    up = F.transform(places(F.coalesce("above", F.lit(0))), lambda j: tile(here, b, 1, j, 0))
+    down = F.transform(places(F.coalesce("below", F.lit(0))), lambda j: tile(here - 1, j, 1, b, 1))
+    dealt = (
+        banded.join(known, ["family", "band"])
+        .withColumn("block", block)
+        .select("family", "u", F.explode(F.concat(own, up, down)).alias("t"))
+        .select("u", F.xxhash64("family", "t.band", "t.i", "t.step", "t.j").alias("tile"), "t.side")
+    )
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("side", "ascending"), ("u", "ascending")]).combine_chunks()
+        sets_ = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["shingles"].chunk(0)]
+        found = tile_links(table["u"].to_numpy(), sets_, int((table["side"].to_numpy() == 0).sum()))
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+    return dealt.join(sets, "u").groupBy("tile").applyInArrow(run, "a long, b long")
 
 
 def links(docs: DataFrame, text: str, sets: DataFrame) -> DataFrame:
     """Links (``a``, ``b``) between sets that connect exactly the similar ones."""
     names = written(rare_names(sets), "names")
-    met = tiles(names)
-    ends = met.groupBy("name", "band").agg(F.min("u").alias("least"), F.max("u").alias("most")).filter("least <> most")
-    meeting = written(met.join(ends, ["name", "band"]), "meeting")
-    whole = written(full_sets(docs, text, meeting.select("u").distinct()), "sets")
-
-    def ordered(other: str) -> DataFrame:
-        return meeting.filter(F.col("u") != F.col(other)).select(
-            F.least("u", other).alias("a"), F.greatest("u", other).alias("b")
-        )
-
-    first = written(verified(ordered("least").union(ordered("most")).distinct(), whole), "links")
-    group = components(first).select(F.col("node").alias("u"), F.col("component").alias("part"))
-    apart = meeting.select("name", "band", "home", "u").join(group, "u", "left")
-    apart = written(apart.withColumn("part", F.coalesce("part", "u")), "apart")
-    open_tiles = (
-        apart.groupBy("name", "band").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("name", "band")
-    )
-    rows = apart.join(open_tiles, ["name", "band"]).join(whole.drop("shingles"), "u")
-    x, y = rows.filter("home").alias("x"), rows.alias("y")
-    smaller_first = F.struct("x.n", "x.u") < F.struct("y.n", "y.u")
+    common = names.groupBy("name").agg(F.count(F.lit(1)).alias("many"), F.min("u").alias("least")).filter("many > 1")
+    met = written(names.join(common, "name"), "met")
+
+    rare = met.filter(F.col("many") <= RARE).select("name", "u", "n")
+    x = rare.withColumn("band", _band(F.col("n"))).alias("x")
+    y = tiles(rare).alias("y")
     same_tile = (F.col("x.name") == F.col("y.name")) & (F.col("x.band") == F.col("y.band"))
-    pairs = x.join(y, same_tile & smaller_first & (F.col("x.part") != F.col("y.part")) & _may_link("x", "y")).select(
+    smaller_first = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.u") < F.col("y.u")))
+    sizes_fit = 100 * F.col("x.n") >= PERCENT * F.col("y.n")
+    pairs = x.join(y, same_tile & smaller_first & sizes_fit).select(
         F.least("x.u", "y.u").alias("a"), F.greatest("x.u", "y.u").alias("b")
     )
-    return first.union(verified(written(pairs.distinct(), "pairs"), whole))
+    light = sets.filter("names IS NOT NULL").select("u", "n", *SIGNATURE_COLUMNS)
+    signatures = written(light.join(rare.select("u").distinct(), "u", "left_semi").dropDuplicates(["u"]), "signatures")
+    pairs = written(possible(pairs, signatures), "pairs")
+
+    family = components(met.filter(F.col("many") > RARE).select(F.col("u").alias("a"), F.col("least").alias("b")).distinct())
+    members = met.filter(F.col("many") > RARE).select("u", "n").distinct()
+    members = written(members.join(family.select(F.col("node").alias("u"), F.col("component").alias("family")), "u"), "families")
+
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("u")).union(members.select("u")).distinct()
+    whole = written(full_sets(docs, text, wanted), "sets")
+    return written(verified(pairs, whole).union(family_links(members, whole)), "links")
 
 
 def link_documents(
@@ -291,3 +452,37 @@ def link_documents(
         "component",
         *[F.col(f"kept.`{c}`") for c in keep],
     )
+
+
+def distinct_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One document of each group of linked ones, with its columns: that of the smallest id (a null id
+    only if all are null), of equal ids that of the smallest text digest. Documents without words all stay.
+
+    Most documents stay, so those that go are looked for: a bitmap of a bounded size lets through all
+    that surely stay, and only the rest is compared by key.
+    """
+    mark, maybe, turn = (free_name(docs, n) for n in ("_mark", "_maybe", "_turn"))
+    identity = F.col(f"`{doc_id}`")
+    digest = F.sha2(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary"), 256)
+    marked = docs.withColumn(mark, F.concat_ws(":", digest, F.coalesce(identity.cast("string"), F.lit("null"))))
+    linked = written(link_documents(marked, text, doc_id, keep=(mark,)).filter("component IS NOT NULL"), "linked")
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", F.col(mark))
+    stays = linked.groupBy("component").agg(F.min(rank).alias("stays"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    rows = linked.join(stays, "component").select(F.col(mark), (F.col(mark) == F.col(f"stays.{mark}")).alias("stays"))
+    named = written(rows.distinct(), "marks")
+    number = F.xxhash64(mark)
+    bitmap = docs.sparkSession.sparkContext.broadcast(
+        bitmap_levels(named.select(number.alias("value"), F.lit(0).alias("level")), "value", "level", 1)[0]
+    )
+
+    @F.pandas_udf("boolean")
+    def in_bitmap(values: pd.Series) -> pd.Series:
+        return pd.Series(contains(bitmap.value, values.to_numpy()))
+
+    checked = marked.withColumn(maybe, in_bitmap(number))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    sure = checked.filter(~F.col(maybe)).select(*columns)
+    near = checked.filter(F.col(maybe)).join(named, mark, "left")
+    once = F.row_number().over(Window.partitionBy(mark).orderBy(mark))
+    near = near.withColumn(turn, once).filter(F.col("stays").isNull() | (F.col("stays") & (F.col(turn) == 1)))
+    return sure.unionByName(near.select(*columns))
