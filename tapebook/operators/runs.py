@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clock
 from ..schemas import RUNS
-from .keyed import first_per_key, upsert
+from .keyed import first_per_key
 
 
 def next_run_id(runs: DataFrame) -> int:
@@ -40,7 +40,7 @@ def run_record(
         F.lit(rows_updated).alias("rows_updated"),
         F.lit(error_message).alias("error_message"),
     )
-    return upsert(runs, RUNS.conform(row), ["run_id"])
+    return runs.filter(~F.col("run_id").eqNullSafe(run_id)).unionByName(RUNS.conform(row))
 
 
 def latest_records(log: DataFrame, key: str, *order: object) -> DataFrame:
