@@ -99,6 +99,30 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select("doc_id", "n_shingles", "component_id")
 
 
+OP6_SQL = """
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS gram
+    FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY ALL),
+shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+    FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+    SELECT x, y FROM shared JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+    WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+steps AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION SELECT r.doc_id, steps.y FROM reach r JOIN steps ON r.other = steps.x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.other) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN reach r USING (doc_id) GROUP BY ALL
+"""
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents; learns from labels outside the held-out fold."""
     docs = _read(spark, sf_dir, "documents")
@@ -146,5 +170,6 @@ QUERIES: dict[str, Query] = {
 
 ORACLES: dict[str, str] = {
     "op2_decontamination": OP2_SQL,
+    "op6_jaccard_join": OP6_SQL,
     "op8_exact_dedup": OP8_SQL,
 }

@@ -13,13 +13,18 @@ from tapebook.session import shared_folder
 BATCH_ROWS = 500
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``. Where that is unset: a temporary
+    folder if all runs on one machine (tests), else the warehouse, which executors share as well."""
+    alone = spark.sparkContext.master.split("[")[0] == "local"
+    return shared_folder(spark, tempfile.gettempdir() if alone else spark.conf.get("spark.sql.warehouse.dir"))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the folder that the cluster shares and read it back: cuts the lineage,
-    lets executors be lost, and tells the planner the size. Without ``spark.checkpoint.dir``
-    (tests on one machine) a temporary folder is used."""
+    """Write a table to the shared folder and read it back: cuts the lineage, lets executors be lost,
+    and tells the planner the size."""
     spark = df.sparkSession
-    root = shared_folder(spark, "") or tempfile.gettempdir()
-    path = f"{root.rstrip('/')}/llm/{uuid.uuid4().hex}-{name}"
+    path = f"{scratch_root(spark).rstrip('/')}/llm/{uuid.uuid4().hex}-{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
