@@ -66,7 +66,7 @@ def shingle_sets(block: Block, words: int = WORDS) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
-def _least(n: int) -> int:
+def _least(n: int | np.ndarray) -> int | np.ndarray:
     """The least overlap of a set of n with a similar one."""
     return -(-n * PERCENT // 100)
 
@@ -219,6 +219,23 @@ def shared_names(sets: DataFrame) -> DataFrame:
     return packed.groupBy("bucket").applyInArrow(merge, "value long, level int")
 
 
+def rarest(names: np.ndarray, row: np.ndarray, level: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row's names (a set of ``n[row]`` shingles) those to keep, in the order of level and name.
+
+    Names of level -1 are in no other set. Two similar sets share at least ``_spare`` of the smaller
+    one's size many names, and that one is at least ``_least`` of the other's size. So each may leave
+    out its commonest ones up to one less than ``_spare(_least(n))``, and the rarest name that both
+    have is still kept by both.
+    """
+    names, row, level = names[level >= 0], row[level >= 0], level[level >= 0]
+    order = np.lexsort((names, level, row))
+    names, row = names[order], row[order]
+    shared = np.bincount(row, minlength=len(n))
+    rank = np.arange(len(row)) - np.repeat(np.cumsum(shared) - shared, shared)
+    taken = rank < (shared - _spare(_least(n)) + 1)[row]
+    return names[taken], row[taken]
+
+
 def rare_names(sets: DataFrame) -> DataFrame:
     """``name``, ``u``, ``n``: of each set's names those that others have too, the rarest of them. How often names occur comes back as bitmaps of a bounded size, by powers of 8, so the names
     themselves needn't be shuffled for it."""
@@ -232,15 +249,8 @@ def rare_names(sets: DataFrame) -> DataFrame:
             names = batch.column(2)
             flat = names.flatten().to_numpy()
             row = np.repeat(np.arange(len(u)), names.value_lengths().to_numpy())
-            level = level_of(maps.value, _tag_value(*_tag(flat, buckets)))
-            flat, row, level = flat[level >= 0], row[level >= 0], level[level >= 0]
-            order = np.lexsort((flat, level, row))
-            flat, row = flat[order], row[order]
-            shared = np.bincount(row, minlength=len(u))
-            rank = np.arange(len(row)) - np.repeat(np.cumsum(shared) - shared, shared)
-            taken = rank < (shared - _spare(n) + 1)[row]
-            row = row[taken]
-            yield pa.RecordBatch.from_arrays([pa.array(flat[taken]), pa.array(u[row]), pa.array(n[row])], ["name", "u", "n"])
+            flat, row = rarest(flat, row, level_of(maps.value, _tag_value(*_tag(flat, buckets))), n)
+            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(u[row]), pa.array(n[row])], ["name", "u", "n"])
 
     rows = sets.filter("names IS NOT NULL").select("u", "n", "names")
     return rows.mapInArrow(run, "name long, u long, n long").distinct()

@@ -111,6 +111,26 @@ def test_tiles_connect_what_all_pairs_connect():
     assert groups(got) == groups(across) and all((i < 20) != (j < 20) for i, j in got)
 
 
+def test_similar_sets_keep_a_common_name():
+    """Any sizes, any overlap from the least one on, any order of rarity."""
+    rng = np.random.default_rng(6)
+    for _ in range(4000):
+        n = int(rng.integers(1, 260))
+        m = int(rng.integers(jaccard._least(n), n + 1))
+        both = next(o for o in range(1, m + 1) if 100 * o >= 80 * (n + m - o)) if 100 * m >= 80 * n else None
+        both = int(rng.integers(both, m + 1))
+        shingles = rng.choice(2**62, n + m - both, replace=False).astype(np.uint64)
+        x, y = np.sort(shingles[:n]), np.sort(shingles[n - both :])
+        prefixes = [s[: len(s) - jaccard._least(len(s)) + jaccard._spare(len(s))] for s in (x, y)]
+        names, row = np.concatenate(prefixes), np.repeat([0, 1], [len(p) for p in prefixes])
+        common = np.intersect1d(x, y)
+        rare = rng.integers(0, 5)
+        level = np.where(np.isin(names, common), (names % np.uint64(7) >= rare).astype(int), rng.integers(-1, 2, len(names)))
+        level[~np.isin(names, common)] = np.where(names[~np.isin(names, common)] % np.uint64(3) == 0, -1, 0)
+        kept, of = jaccard.rarest(names, row, level, np.array([len(x), len(y)]))
+        assert len(np.intersect1d(kept[of == 0], kept[of == 1])), (n, m, both)
+
+
 def test_nulls_empty_and_repeated_rows(spark):
     long = " ".join(f"v{i % 977}x{i % 31}" for i in range(30000))
     rows = [
