@@ -53,7 +53,7 @@ BEGINNINGS = (3, 4, 5)
 #: Likelihood-ratio statistic that a feature needs.
 LEAST_G2 = 25.0
 #: Bound of the labelled sample, for each class.
-SAMPLE = 3000
+SAMPLE = 2000
 
 
 def trigram_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -308,10 +308,10 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
 
     sample = labelled_sample(docs, labels, "toxic", text, doc_id, per_class=per_class)
     rows = sample.mapInArrow(run, "label int, features binary").collect()
-    parts = [np.frombuffer(bytes(r.features), np.uint64) for r in rows]
     label = np.array([r.label for r in rows], float)
-    feature = np.concatenate([np.zeros(0, np.uint64), *parts])
-    row = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r.features) // 8 for r in rows])
+    feature = np.frombuffer(b"".join(r.features for r in rows), np.uint64)
+    del rows
     values, weights, bias = fit_weights(feature, row, label)
     clean, toxic = class_counts(labels, "toxic", doc_id)
     drawn = math.log((label.sum() + 0.5) / (len(label) - label.sum() + 0.5))
