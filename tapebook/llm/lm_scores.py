@@ -18,6 +18,8 @@ from .words import NOT_SPACE, word_blocks
 
 #: Words that the recurrent model tells apart (a text's end is one), and the bound of its sample.
 VOCABULARY, SAMPLE = 2048, 1200
+#: Powers of two that counts are told apart by when the commonest words are looked for.
+LEVELS = 48
 #: Tokens that share one list of different words.
 CHUNK_TOKENS = 4 << 20
 
@@ -118,8 +120,9 @@ def token_chunks(docs: DataFrame, text: str, keep: tuple[str, ...], train: str)
 def counted_words(chunks: DataFrame) -> DataFrame:
     """For each row of words of ``chunks`` its chunk, bucket, number of words and, in ``body``, how
     often all training texts have each. One row per bucket more (chunk -1) has the bucket's commonest
-    words in ``body``, their counts in ``more``, its number of different training words in ``n`` and of
-    training tokens in ``total``."""
+    words (and the text's end) in ``body``, their counts in ``more``, its number of different training
+    words in ``n``, of training tokens in ``total``, and in ``levels`` how many words have a count of at
+    least 1, 2, 4, ..."""
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -130,6 +133,8 @@ def counted_words(chunks: DataFrame) -> DataFrame:
         parts = np.split(total[inverse], np.cumsum([len(h) for h in hashes])[:-1])
         known = np.flatnonzero(total)
         top = known[np.lexsort((words[known], -total[known]))][:VOCABULARY]
+        top = np.union1d(top, known[words[known] == END])
+        levels = np.array([(total >= 1 << k).sum() for k in range(LEVELS)], np.int64)
         bucket = rows[0]["bucket"]
         return pa.table(
             {
@@ -139,28 +144,36 @@ def counted_words(chunks: DataFrame) -> DataFrame:
                 "body": pa.array([_packed(p) for p in parts] + [words[top].tobytes()], pa.binary()),
                 "more": pa.array([None] * len(rows) + [total[top].tobytes()], pa.binary()),
                 "total": pa.array([None] * len(rows) + [int(total.sum())], pa.int64()),
+                "levels": pa.array([None] * len(rows) + [levels.tobytes()], pa.binary()),
             }
         )
 
     words = chunks.filter("bucket IS NOT NULL").select("chunk", "bucket", "n", "body", "more")
-    return words.groupBy("bucket").applyInArrow(run, "chunk long, bucket int, n long, body binary, more binary, total long")
+    return words.groupBy("bucket").applyInArrow(run, "chunk long, bucket int, n long, body binary, more binary, total long, levels binary")
 
 
 def vocabulary(counted: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
     """Hashes and counts of the commonest words, the text's end first; all training tokens; different ones."""
     stats = counted.filter("chunk = -1")
     total = stats.agg(F.sum("total").alias("tokens"), F.sum("n").alias("words")).first()
+    levels = sum((np.frombuffer(bytes(r.levels), np.int64) for r in stats.select("levels").collect()), np.zeros(LEVELS, np.int64))
+    enough = np.flatnonzero(levels >= VOCABULARY)
+    least = 1 << int(enough[-1]) if len(enough) else 1  # words of so many occurrences fill the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for body, more in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                columns = [pa.array(np.frombuffer(x, np.int64)) for x in (body, more)]
+                hashes, counts = np.frombuffer(body, np.uint64), np.frombuffer(more, np.int64)
+                kept = (counts >= least) | (hashes == END)
+                columns = [pa.array(hashes[kept].view(np.int64)), pa.array(counts[kept])]
                 yield pa.RecordBatch.from_arrays(columns, ["hash", "count"])
 
     listed = stats.select("body", "more").mapInArrow(run, "hash long, count long")
     end = int(END)
-    ends = listed.filter(F.col("hash") == end).collect()
-    top = listed.filter(F.col("hash") != end).orderBy(F.desc("count"), "hash").limit(VOCABULARY - 1).collect()
+    first = F.col("hash") == end
+    top = listed.orderBy(F.desc(first), F.desc("count"), "hash").limit(VOCABULARY).collect()
+    ends = [r for r in top if r["hash"] == end]
+    top = [r for r in top if r["hash"] != end][: VOCABULARY - 1]
     hashes = np.array([end, *(r["hash"] for r in top)], np.int64).view(np.uint64)
     counts = np.array([ends[0]["count"] if ends else 0, *(r["count"] for r in top)], np.int64)
     return hashes, counts, total.tokens or 0, total.words or 0
