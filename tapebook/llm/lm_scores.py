@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,12 +13,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .labelled import fold
-from .recurrent import Recurrent
+from .recurrent import RATE, ROUNDS, TRAIN_LANES, Adam, Recurrent
 from .shared import partitions, small_batches, written
 from .words import NOT_SPACE, word_blocks
 
-#: Words that the recurrent model tells apart (a text's end is one), and the bound of its sample.
-VOCABULARY, SAMPLE = 2048, 1200
+#: Words that the recurrent model tells apart (a text's end is one).
+VOCABULARY = 2048
+#: Training: tokens of a block, parts of the texts after each of which weights are averaged, tokens of a
+#: part that a task learns from by itself, and slices in which weights are summed.
+BLOCK_TOKENS, PARTS, TASK_TOKENS, SLICES = 1 << 17, 6, 1 << 20, 64
 #: Powers of two that counts are told apart by when the commonest words are looked for.
 LEVELS = 48
 #: Tokens that share one list of different words.
@@ -186,33 +190,97 @@ def _numbers(hashes: np.ndarray, listed: np.ndarray) -> np.ndarray:
     return np.where(listed[order][at] == hashes, order[at], len(listed))
 
 
-def learn(docs: DataFrame, text: str, doc_id: str, listed: np.ndarray, counts: np.ndarray, others: int, sample: int = SAMPLE) -> Recurrent:
-    """A recurrent model that starts from the corpus's counts and is trained on at most ``sample``
-    training documents, those of the smallest id hashes. Ids are chosen first and few enough to be broadcast."""
-    model = Recurrent(len(listed))
-    model.set_unigrams(counts, others)
-    known = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("body"))
-    known = known.filter(F.col("id").isNotNull() & (fold("id", 5) != 1))
-    chosen = known.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
+def training_blocks(known: DataFrame, listed: np.ndarray) -> DataFrame:
+    """The word numbers of all texts (column ``body``), run together and cut into blocks, and a part for each."""
+    sent = known.sparkSession.sparkContext.broadcast(listed)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, size = TaskContext.get().partitionId(), [], 0
+
+        def blocks(stream: np.ndarray) -> Iterator[pa.RecordBatch]:
+            nonlocal number
+            for k in range(0, len(stream), BLOCK_TOKENS):
+                cut = stream[k : k + BLOCK_TOKENS]
+                columns = [pa.array([number % PARTS], pa.int32()), pa.array([len(cut)], pa.int64()), pa.array([_packed(cut)], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "n", "body"])
+                number += 1
+
+        for batch in batches:
+            for hashes in _token_hashes(batch.column(0)):
+                held.append(_numbers(hashes, sent.value).astype(np.uint16))
+                size += len(hashes)
+                if size >= BLOCK_TOKENS:
+                    stream = np.concatenate(held)
+                    whole = size - size % BLOCK_TOKENS
+                    yield from blocks(stream[:whole])
+                    held, size = [stream[whole:]], size - whole
+        if size:
+            yield from blocks(np.concatenate(held))
+
+    return known.select("body").mapInArrow(run, "part int, n long, body binary")
+
+
+def averaged(blocks: DataFrame, model: Recurrent, rate: float, lanes: int = TRAIN_LANES) -> Recurrent:
+    """The mean, by tokens, of the models that tasks get from ``model`` by one pass over their blocks."""
+    sent = blocks.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, seen, pace = pickle.loads(pickle.dumps(sent.value)), 0, None
         for batch in batches:
-            tokens = [_numbers(t, listed).astype(np.int32).tobytes() for t in _token_hashes(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.binary())], ["tokens"])
+            for n, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                pace = pace or Adam(own)
+                own.follow(np.append(0, _unpacked(body, np.uint16, n)).astype(np.int64), pace, rate, lanes)
+                seen += n
+        if seen:
+            bodies = [x.tobytes() for x in np.array_split(own.flat(), SLICES)]
+            columns = [pa.array(range(SLICES), pa.int32()), pa.array([seen] * SLICES, pa.int64()), pa.array(bodies, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["slice", "n", "body"])
+
+    def mean(table: pa.Table) -> pa.Table:
+        rows = sorted((r["n"], r["body"]) for r in table.to_pylist())  # the same order whatever tasks end first
+        total = sum(n for n, _ in rows)
+        body = sum(np.frombuffer(x, np.float32).astype(np.float64) * (n / total) for n, x in rows)
+        return pa.table({"slice": table["slice"][:1], "body": pa.array([body.tobytes()], pa.binary())})
+
+    learnt = blocks.select("n", "body").mapInArrow(run, "slice int, n long, body binary")
+    found = learnt.groupBy("slice").applyInArrow(mean, "slice int, body binary").collect()
+    sent.unpersist()
+    if found:
+        model.set_flat(np.concatenate([np.frombuffer(r["body"], np.float64) for r in sorted(found, key=lambda r: r["slice"])]))
+    return model
 
-    rows = known.join(F.broadcast(chosen), "id").select("body").mapInArrow(run, "tokens binary").collect()
-    texts = sorted(bytes(r.tokens) for r in rows)  # the same order whatever tasks end first
-    np.random.default_rng(5).shuffle(texts)
-    model.train([np.frombuffer(t, np.int32).astype(np.int64) for t in texts])
+
+def learn(
+    docs: DataFrame, text: str, doc_id: str, listed: np.ndarray, counts: np.ndarray, others: int, sample: int | None = None
+) -> Recurrent:
+    """A recurrent model that starts from the corpus's counts and is trained on all training documents
+    (with ``sample``, on so many of the smallest id hashes). Tasks train on their own texts from the same
+    weights, which are averaged after each part of the texts; only weights reach the driver."""
+    model = Recurrent(len(listed))
+    model.set_unigrams(counts, others)
+    known = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("body")).filter(fold("id", 5) != 1)
+    if sample is not None:
+        known = known.filter(F.col("id").isNotNull())
+        chosen = known.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
+        known = known.join(F.broadcast(chosen), "id")
+    blocks = written(training_blocks(known, listed), "training")
+    total = blocks.agg(F.sum("n")).first()[0] or 0
+    tasks = max(1, -(-total // (PARTS * TASK_TOKENS)))
+    lanes = min(TRAIN_LANES, max(32, total >> 15))  # few texts give more updates of fewer lanes
+    if total:
+        for k in range(ROUNDS * PARTS):
+            part = blocks.filter(F.col("part") == k % PARTS).coalesce(tasks)
+            model = averaged(part, model, RATE * (1 - 0.9 * k / (ROUNDS * PARTS)), lanes)
     return model
 
 
-def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sample: int = SAMPLE) -> DataFrame:
+def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sample: int | None = None) -> DataFrame:
     """One row per document: ``doc_id``, ``held_out`` (fold 1 of 5, from which nothing is learned),
     ``n_tokens`` (words and the text's end), ``n_known`` (tokens that training texts have),
     ``train_tokens``, ``base_score`` (log10 likelihood under the smoothed counts of all training
     texts) and ``score`` (that under the recurrent model, which tells the commonest words apart and
-    gives the others their share of the counts).
+    gives the others their share of the counts, and is trained on all training texts unless ``sample``
+    names a smaller number).
 
     Null counts as empty, which is an end alone. Rows and ids may repeat; without training texts all
     counts are 0. An empty table gives no rows.

@@ -14,8 +14,8 @@ import numpy as np
 
 #: Hidden units, words of a class, steps of a window, texts that run side by side.
 HIDDEN, CLASS_WORDS, WINDOW, LANES = 24, 32, 32, 1024
-#: Training: texts side by side, rounds, step size.
-TRAIN_LANES, ROUNDS, RATE = 64, 2, 0.01
+#: Training: texts side by side at most, windows of each at least, passes over all texts, step size.
+TRAIN_LANES, LANE_WINDOWS, ROUNDS, RATE = 512, 8, 2, 0.01
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -37,6 +37,26 @@ def _chosen_logs(weights: np.ndarray, bias: np.ndarray, hidden: np.ndarray, chos
     return out
 
 
+def _softmax_slopes(weights: np.ndarray, bias: np.ndarray, hidden: np.ndarray, chosen: np.ndarray) -> tuple:
+    """Summed loss of the softmax at ``chosen`` and its gradients by weights, bias and each hidden row."""
+    loss, by_weights, by_bias, back = 0.0, np.zeros_like(weights), np.zeros_like(bias), np.empty_like(hidden)
+    for k in range(0, len(hidden), 2048):
+        rows, part = hidden[k : k + 2048], chosen[k : k + 2048]
+        at = np.arange(len(part))
+        pull = weights.T @ rows.T + bias[:, None]
+        pull -= pull.max(0)
+        own = pull[part, at]
+        np.exp(pull, out=pull)
+        sums = pull.sum(0)
+        loss += float((np.log(sums) - own).sum(dtype=np.float64))
+        pull /= sums
+        pull[part, at] -= 1
+        by_weights += (pull @ rows).T
+        by_bias += pull.sum(1)
+        back[k : k + 2048] = (weights @ pull).T
+    return loss, by_weights, by_bias, back
+
+
 class Recurrent:
     def __init__(self, size: int, seed: int = 3):
         rng = np.random.default_rng(seed)
@@ -80,11 +100,6 @@ class Recurrent:
         n = np.tanh(x[:, 2 * h :] + r * inner)
         return n + z * (state - n), z, r, inner, n
 
-    def _class_logs(self, hidden: np.ndarray) -> np.ndarray:
-        logits = hidden @ self.weights["class"] + self.weights["class_bias"]
-        logits -= logits.max(1, keepdims=True)
-        return logits - np.log(np.exp(logits).sum(1, keepdims=True))
-
     def _by_class(self, target: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         inside = np.flatnonzero(target < self.size)
         group = target[inside] // CLASS_WORDS
@@ -94,11 +109,6 @@ class Recurrent:
             if edges[k] < edges[k + 1]:
                 yield k, inside[order[edges[k] : edges[k + 1]]]
 
-    def _word_logs(self, hidden: np.ndarray, k: int) -> np.ndarray:
-        logits = hidden @ self.weights["word"][k] + self.weights["word_bias"][k]
-        logits -= logits.max(1, keepdims=True)
-        return logits - np.log(np.exp(logits).sum(1, keepdims=True))
-
     def log_probabilities(self, hidden: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural logarithms of the targets' chances; for other words that of their class."""
         w = self.weights
@@ -152,67 +162,95 @@ class Recurrent:
         flat = np.concatenate(hidden)
         target = targets.T.ravel()
         total = len(target)
-        logs = self._class_logs(flat)
         group = np.where(target < self.size, target // CLASS_WORDS, self.classes)
-        loss = -logs[np.arange(total), group].sum(dtype=np.float64)
-        pull = np.exp(logs)
-        pull[np.arange(total), group] -= 1
-        slopes = {name: np.zeros_like(x) for name, x in w.items()}
-        slopes["class"], slopes["class_bias"] = flat.T @ pull, pull.sum(0)
-        back = pull @ w["class"].T
+        slopes = {"word": np.zeros_like(w["word"]), "word_bias": np.zeros_like(w["word_bias"])}
+        loss, slopes["class"], slopes["class_bias"], back = _softmax_slopes(w["class"], w["class_bias"], flat, group)
         for k, rows in self._by_class(target):
-            logs = self._word_logs(flat[rows], k)
-            place = target[rows] % CLASS_WORDS
-            loss -= logs[np.arange(len(rows)), place].sum(dtype=np.float64)
-            pull = np.exp(logs)
-            pull[np.arange(len(rows)), place] -= 1
-            slopes["word"][k], slopes["word_bias"][k] = flat[rows].T @ pull, pull.sum(0)
-            back[rows] += pull @ w["word"][k].T
+            more, slopes["word"][k], slopes["word_bias"][k], pull = _softmax_slopes(
+                w["word"][k], w["word_bias"][k], flat[rows], target[rows] % CLASS_WORDS
+            )
+            loss += more
+            back[rows] += pull
         back = back.reshape(steps, lanes, h)
         carried = np.zeros((lanes, h), np.float32)
+        into, through, inside = [], [], np.zeros_like(w["bias"])
         for t in range(steps - 1, -1, -1):
             begin, z, r, inner, n = kept[t]
             d = back[t] + carried
             dn = d * (1 - z) * (1 - n * n)
             dz = d * (begin - n) * z * (1 - z)
             dr = dn * inner * r * (1 - r)
-            dx = np.concatenate([dz, dr, dn], 1)
+            into.append(np.concatenate([dz, dr, dn], 1))
             du = np.concatenate([dz, dr, dn * r], 1)
-            np.add.at(slopes["input"], tokens[:, t], dx)
-            slopes["state"] += begin.T @ du
-            slopes["bias"] += (dn * r).sum(0)
+            through.append(du)
+            inside += du[:, 2 * h :].sum(0)
             carried = d * z + du @ w["state"].T
             carried[tokens[:, t] == 0] = 0
-        return loss / total, {name: s / total for name, s in slopes.items()}, state
+        slopes["bias"] = inside
+        slopes["state"] = np.concatenate([k[0] for k in kept[::-1]]).T @ np.concatenate(through)
+        word = tokens[:, ::-1].T.ravel()
+        order = np.argsort(word, kind="stable")
+        edges = np.flatnonzero(np.diff(word[order], prepend=-1))
+        slopes["input"] = np.zeros_like(w["input"])
+        slopes["input"][word[order][edges]] = np.add.reduceat(np.concatenate(into)[order], edges, 0)
+        return loss / total, {name: slopes[name] / total for name in w}, state
 
     def train(self, texts: list[np.ndarray], rounds: int = ROUNDS) -> list[float]:
         """Truncated backpropagation through time over all texts, with Adam; returns the mean losses."""
         stream = np.concatenate([np.zeros(1, np.int64), *texts]) if texts else np.zeros(1, np.int64)
-        lanes = max(1, min(TRAIN_LANES, (len(stream) - 1) // (2 * WINDOW)))
+        pace, losses = Adam(self), []
+        for k in range(rounds):
+            sums = self.follow(stream, pace, RATE * (1 - 0.9 * k / rounds))
+            if not sums:
+                return []
+            losses.append(float(np.mean(sums)))
+        return losses
+
+    def follow(self, stream: np.ndarray, pace: Adam, rate: float, most: int = TRAIN_LANES) -> list[float]:
+        """One pass over a stream of texts, cut into lanes that run side by side; returns the windows' losses."""
+        lanes = max(1, min(most, (len(stream) - 1) // (LANE_WINDOWS * WINDOW)))
         steps = (len(stream) - 1) // lanes
-        if steps < 1:
-            return []
         tokens = stream[: lanes * steps].reshape(lanes, steps)
         targets = stream[1 : lanes * steps + 1].reshape(lanes, steps)
-        first = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        second = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        losses, updates = [], 0
-        whole = rounds * -(-steps // WINDOW)
-        for _ in range(rounds):
-            state = np.zeros((lanes, HIDDEN), np.float32)
-            sums = []
-            for start in range(0, steps, WINDOW):
-                end = min(start + WINDOW, steps)
-                loss, slopes, state = self.loss_and_slopes(tokens[:, start:end], targets[:, start:end], state)
-                sums.append(loss)
-                updates += 1
-                rate = RATE * (1 - 0.9 * updates / whole)
-                size = np.sqrt(sum(float((s * s).sum()) for s in slopes.values()))
-                for k, s in slopes.items():
-                    s = s * min(1.0, 1.0 / (size + 1e-9))
-                    first[k] += 0.1 * (s - first[k])
-                    second[k] += 0.01 * (s * s - second[k])
-                    pace = (first[k] / (1 - 0.9**updates)) / (np.sqrt(second[k] / (1 - 0.99**updates)) + 1e-6)
-                    self.weights[k] -= (rate * pace).astype(np.float32)
-            losses.append(float(np.mean(sums)))
+        state = np.zeros((lanes, HIDDEN), np.float32)
+        losses = []
+        for start in range(0, steps, WINDOW):
+            end = min(start + WINDOW, steps)
+            loss, slopes, state = self.loss_and_slopes(tokens[:, start:end], targets[:, start:end], state)
+            losses.append(loss)
+            pace.update(self, slopes, rate)
+        left = len(stream) - 1 - lanes * steps
+        if left:  # fewer tokens than lanes, as one lane more
+            tail = stream[-left - 1 :][None]
+            loss, slopes, _ = self.loss_and_slopes(tail[:, :-1], tail[:, 1:], np.zeros((1, HIDDEN), np.float32))
+            losses.append(loss)
+            pace.update(self, slopes, rate * left / (lanes * WINDOW))
         return losses
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([x.ravel() for x in self.weights.values()])
+
+    def set_flat(self, values: np.ndarray) -> None:
+        at = 0
+        for name, x in self.weights.items():
+            self.weights[name] = values[at : at + x.size].reshape(x.shape).astype(np.float32)
+            at += x.size
+
+
+class Adam:
+    """Step sizes from running means of the gradient and its square, the gradient cut to length 1."""
+
+    def __init__(self, model: Recurrent):
+        self.first = {k: np.zeros_like(v) for k, v in model.weights.items()}
+        self.second = {k: np.zeros_like(v) for k, v in model.weights.items()}
+        self.updates = 0
+
+    def update(self, model: Recurrent, slopes: dict, rate: float) -> None:
+        self.updates += 1
+        size = np.sqrt(sum(float((s * s).sum()) for s in slopes.values()))
+        for k, s in slopes.items():
+            s = s * min(1.0, 1.0 / (size + 1e-9))
+            self.first[k] += 0.1 * (s - self.first[k])
+            self.second[k] += 0.01 * (s * s - self.second[k])
+            pace = (self.first[k] / (1 - 0.9**self.updates)) / (np.sqrt(self.second[k] / (1 - 0.99**self.updates)) + 1e-6)
+            model.weights[k] -= (rate * pace).astype(np.float32)

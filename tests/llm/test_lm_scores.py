@@ -135,3 +135,22 @@ def test_training_lowers_the_loss():
     model = R.Recurrent(10)
     losses = model.train(texts, 3)
     assert losses[-1] < losses[0] * 0.8
+
+
+def test_every_training_text_is_trained_on(spark, monkeypatch):
+    monkeypatch.setattr(S, "BLOCK_TOKENS", 500)
+    rows = [(i, "one two three four " * (1 + i % 7), None) for i in range(1700)]  # more than the former sample
+    rows.append((None, "five six", None))
+    want = sum(len(tokens(t)) for i, t, _ in rows if not held_out(i))
+    seen, plain = [], S.averaged
+
+    def spied(blocks, model, *others):
+        seen.append(blocks.selectExpr("sum(n) AS n").first().n or 0)
+        before = model.flat()
+        after = plain(blocks, model, *others)
+        assert not np.array_equal(before, after.flat())
+        return after
+
+    monkeypatch.setattr(S, "averaged", spied)
+    S.score(spark.createDataFrame(rows, SCHEMA)).count()
+    assert sum(seen) == R.ROUNDS * want
