@@ -9,7 +9,6 @@ words are scored with the others by a model of toxic words and word beginnings.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -29,8 +28,9 @@ LOOKS_LIKE = {
 #: Signs that may be put between the letters of a word.
 BETWEEN = " .-_*"
 #: Log-probabilities of the channel: a symbol stands for a letter or ends the word, a sign was put in
-#: or ends the word, a letter was repeated from one or from two.
+#: or ends the word, a letter was repeated from one or from two, a pair is a pair or one doubled.
 STANDS, ENDS, PUT_IN, KEPT_APART, REPEATED = map(math.log, (0.99, 0.01, 0.9, 0.1, 0.5))
+PAIR, DOUBLED = map(math.log, (0.9, 0.1))
 
 #: And of a word without letters.
 EMPTY = math.log(0.001)
@@ -44,9 +44,10 @@ _SYMBOL[192:] = 27
 
 _LEET = np.zeros(256, bool)
 _LEET[[ord(c) for c in LOOKS_LIKE]] = True
-_DIGIT_END = np.zeros(256, bool)
-_DIGIT_END[[ord(c) for c in "0123456789@$"]] = True
-_SPACE = re.compile(rb"[\x09-\x0d ]")
+_BETWEEN = np.zeros(256, bool)
+_BETWEEN[[ord(c) for c in BETWEEN]] = True
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 #: Lengths of word beginnings that are features besides the whole word.
 BEGINNINGS = (3, 4, 5)
@@ -112,13 +113,17 @@ class Deobfuscator:
             char, run = text[i], 1
             while i + run < len(text) and text[i + run] == char:
                 run += 1
+            once, more = (DOUBLED, PAIR) if run == 2 else (REPEATED, REPEATED)
             if char in LOOKS_LIKE:
                 letters = LOOKS_LIKE[char]
                 options = [(c, STANDS - math.log(len(letters))) for c in letters] + [(" ", ENDS)]
-                steps += [options] * run
+                steps.append(options)
+                steps += [[*((c, p + more) for c, p in options), ("", once)]] * (run - 1)
             elif char.isalpha():
-                steps.append([(char, REPEATED), (char * 2, REPEATED)] if run > 2 else [(char * run, 0.0)])
-            elif char in BETWEEN and run == 1:
+                steps.append([(char, once), (char * 2, more)] if run > 1 else [(char, 0.0)])
+            elif char in BETWEEN:
+                while i + run < len(text) and text[i + run] in BETWEEN:
+                    run += 1
                 steps.append([("", PUT_IN), (" ", KEPT_APART)])
             else:
                 steps.append([(" ", 0.0)])
@@ -159,29 +164,54 @@ class Deobfuscator:
         return " ".join("".join(reversed(parts)).split())
 
 
+def _edges(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of marked places."""
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], marks, [False]]).astype(np.int8)))
+    return edge[::2], edge[1::2]
+
+
 def hidden_stretches(block: Block) -> list[tuple[int, int]]:
-    """Byte ranges of a block, in order and apart, that may hide a word."""
+    """Byte ranges of a block, in order and apart, that may hide a word: white-space-bounded tokens of
+    letters and look-alikes or with a letter three times in a row, and three or more single letters or
+    look-alikes (a letter among them), whatever separators lie between."""
     data = np.insert(block.data, block.offsets[1:], 32)  # rows must not touch
     if len(data) < 3:
         return []
-    letter, leet, last = LETTERS[data], _LEET[data], _DIGIT_END[data]
-    marked = np.zeros(len(data), bool)
-    marked[:-1] |= leet[:-1] & letter[1:]
-    marked[1:-1] |= last[1:-1] & letter[:-2] & ~leet[2:] & ~letter[2:]
-    marked[:-2] |= (data[:-2] == data[1:-1]) & (data[1:-1] == data[2:]) & letter[:-2] & (data[:-2] < 128)
+    letter, leet = LETTERS[data], _LEET[data]
+    repeated = np.zeros(len(data), bool)
+    repeated[:-2] = (data[:-2] == data[1:-1]) & (data[1:-1] == data[2:]) & letter[:-2] & (data[:-2] < 128)
+
+    def within(marks: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """How many marked places each range has."""
+        sums = np.concatenate([[0], np.cumsum(marks)])
+        return sums[ends] - sums[starts]
+
+    row_start = block.offsets + np.arange(block.rows + 1)
+
+    def row_of(places: np.ndarray) -> np.ndarray:
+        return np.searchsorted(row_start, places, side="right") - 1
+
     found: list[tuple[int, int]] = []
-    places = np.flatnonzero(marked)
-    row_of = np.searchsorted(block.offsets + np.arange(block.rows + 1), places, side="right") - 1
-    data = block.data
-    for at, row in zip((places - row_of).tolist(), row_of.tolist()):
-        if found and at < found[-1][1]:
-            continue
-        low, high = int(block.offsets[row]), int(block.offsets[row + 1])
-        left = at
-        while left > low and not _SPACE.match(data[left - 1 : left].tobytes()):
-            left -= 1
-        space = _SPACE.search(data[at:high].tobytes())
-        found.append((left, at + space.start() if space else high))
+
+    def add(starts: np.ndarray, ends: np.ndarray) -> None:
+        row = row_of(starts)
+        found.extend(zip((starts - row).tolist(), (ends - row).tolist()))
+
+    starts, ends = _edges(~_SPACE[data])
+    hit = (within(letter, starts, ends) > 0) & (within(leet, starts, ends) > 0) | (within(repeated, starts, ends) > 0)
+    add(starts[hit], ends[hit])
+
+    starts, ends = _edges(letter | leet)
+    if len(starts) > 2:
+        one = ends - starts == 1
+        other = within(~_BETWEEN[data], ends[:-1], starts[1:])
+        follows = np.concatenate([[False], one[1:] & one[:-1] & ((starts[1:] - ends[:-1] <= 3) | (other == 0))])
+        at = np.flatnonzero(follows)
+        follows[at] = row_of(starts[at]) == row_of(starts[at - 1])
+        first, last = _edges(follows)
+        first, last = starts[first[last - first >= 2] - 1], ends[last[last - first >= 2] - 1]
+        worded = within(letter, first, last) > 0
+        add(first[worded], last[worded])
 
     single = (block.ends - block.starts == 1) if len(block.starts) else np.zeros(0, bool)
     joined = np.zeros(len(single), bool)

@@ -136,3 +136,22 @@ def test_a_text_is_scored_alike_in_any_company(model):
     texts = ["le!!", "an 1d10t", "", "i d i", "o t", "abb", "bbc", "x1", "2y", "m0r0n"]
     alone = [model.scores(pa.array([t]))[0] for t in texts]
     assert np.allclose(alone, model.scores(pa.array(texts)))
+
+
+MORE_HIDDEN = ["1 d 1 0 t", "i  d  i  o  t", "i--d--i--o--t", "i - d - i - o - t", "iddiot", "1d1000t", "idi00t!", "w0rthle55", "worthle$$", "m 0 r 0 n", "idio+", "1di0++"]
+
+
+def test_more_forms_of_each_disguise_are_found_and_restored(spark, model):
+    rows = [(k, f"under the {h} house", None) for k, h in enumerate(MORE_HIDDEN) if h != "iddiot"]
+    got = scores(spark, model, rows)
+    assert {MORE_HIDDEN[k]: v for k, v in got.items() if v < 0.5} == {}
+    assert model.decoder.restore("iddiot") == "idiot"
+    assert model.decoder.restore("small!") == "small" and model.decoder.restore("letter+") == "letter"
+
+
+def test_tokens_that_end_in_look_alikes_are_stretches():
+    for text in ("ki11", "a55", "a$$", "shi+", "$ h 1 t", "a   b   c"):
+        block = next(tox.word_blocks(pa.array(["x", text, "y"]), tox.LETTERS))
+        assert [block.data[s:e].tobytes().decode() for s, e in tox.hidden_stretches(block)] == [text]
+    block = next(tox.word_blocks(pa.array(["a", "b", "c", "1 2 3 4 5"]), tox.LETTERS))
+    assert tox.hidden_stretches(block) == []
