@@ -26,7 +26,7 @@ from .words import LETTERS, Block, HashSet, mix, word_blocks
 RUN_BYTES = 40
 #: Bytes of text whose different words are segmented together, and words in one forward pass.
 SHARD_BYTES, PASS_WORDS = 8 << 20, 20_000
-#: Bound of the sample that the models are fitted on (documents), rounds, and added counts.
+#: Documents of each language that the models are fitted on (about), rounds, and added counts.
 SAMPLE, ROUNDS, SMOOTHING = 3000, 4, 0.05
 #: Predicted for texts without any letter.
 UNDETERMINED = "und"
@@ -196,13 +196,15 @@ def fit(words: list[tuple[str, bytes, int]], path: str) -> LanguageModel:
 def learn(
     docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample: int = SAMPLE, path: str | None = None
 ) -> LanguageModel:
-    """Models of all languages from at most ``sample`` documents with a known language outside fold 1
-    of 3: those of the smallest id hashes. Ids are chosen first and are few enough to be broadcast."""
+    """Models of all languages from documents with a known language outside fold 1 of 3: all of a
+    language that has at most ``sample``, else about so many, those whose id hash is below the
+    language's limit. Only the languages and their numbers of documents are broadcast."""
     small_batches(docs.sparkSession)
     path = path or public_tokenizers.path("piece_bpe_32k.model")
     known = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").cast("string").alias("body"))
     known = known.filter(F.col("lang").isNotNull() & F.col("id").isNotNull() & (fold("id", 3) != 1))
-    chosen = known.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
+    sizes = known.select("lang", "id").distinct().groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n_ids"))
+    place = F.shiftrightunsigned(F.xxhash64("id"), 11) / F.lit(float(1 << 53))  # from 0 to 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,7 +221,8 @@ def learn(
                     )
 
     counted = (
-        known.join(F.broadcast(chosen), "id")
+        known.join(F.broadcast(sizes), F.col("lang") == F.col("of"))
+        .filter(place * F.col("n_ids") < sample)
         .select("lang", "body")
         .mapInArrow(run, "lang string, word binary, n long")
         .groupBy("lang", "word")

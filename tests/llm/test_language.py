@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
@@ -113,3 +114,11 @@ def test_empty_tables(spark):
     got = L.predict(spark.createDataFrame([(1, "some text", None, None)], SCHEMA), nothing).collect()
     assert [(r.lang_pred, r.score_) for r in got] == [("und", 0.0)]
     assert L.predict(spark.createDataFrame([], SCHEMA), nothing).collect() == []
+
+
+def test_a_rare_language_is_learned_beside_a_common_one(spark):
+    rows = [(i, "the house water reading", "en", None) for i in range(4000)] + [(9000 + i, "straße über wasser", "de", None) for i in range(4)]
+    assert any(zlib.crc32(str(9000 + i).encode()) % 3 != 1 for i in range(4))
+    model = L.learn(spark.createDataFrame(rows, SCHEMA).repartition(3), sample=50)
+    assert model.languages == ["de", "en"]
+    assert model.predict(pa.array(["über wasser"]))[0] == ["de"]
