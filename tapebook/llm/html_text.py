@@ -2,7 +2,8 @@
 
 For every element the density is its characters per tag, lowered by the share of them in links. The
 element whose children's densities have the largest sum holds the article. The least density on the
-path from the body down to it is the threshold for text outside of it.
+path from the body down to it is the threshold for text outside of it, and for link lists and hinted
+sections inside. An ``article`` or ``main`` around it adds what it holds.
 """
 
 from __future__ import annotations
@@ -80,6 +81,9 @@ class Element:
     children: list[int] = field(default_factory=list)
     density: float = 0.0
     density_sum: float = 0.0
+    #: left out whatever its density; the top of a part that only a hint leaves out
+    never: bool = False
+    aside: bool = False
 
 
 def composite_density(chars: int, tags: int, link_chars: int, link_tags: int, link_share: float) -> float:
@@ -196,21 +200,25 @@ class Page:
             paragraphs[up] += paragraphs[i]
             holds[up] |= holds[i]
         for i, e in enumerate(elements):
+            e.never = e.boilerplate or (e.comments and not holds[i])
             most = paragraphs[i] > 1 and 2 * whole[i] > whole[0]
             if e.comments or (e.hinted and not most):
                 e.boilerplate |= not holds[i]
         for i in range(1, len(elements)):
-            elements[i].boilerplate |= elements[elements[i].parent].boilerplate
+            e, up = elements[i], elements[elements[i].parent]
+            e.aside = e.boilerplate and not (e.never or up.boilerplate)
+            e.boilerplate |= up.boilerplate
+            e.never |= up.never
         in_link = [False] * len(elements)
         for i in range(1, len(elements)):
             in_link[i] = elements[i].tag == "a" or in_link[elements[i].parent]
         for i in range(len(elements) - 1, -1, -1):
             e = elements[i]
-            if e.boilerplate:
+            if e.never:
                 continue
             e.chars += own[i]
             e.link_chars += own[i] if in_link[i] else 0
-            if i:
+            if i and not e.aside:  # what a hint leaves out is measured by itself
                 up = elements[e.parent]
                 up.chars += e.chars
                 up.link_chars += e.link_chars
@@ -220,9 +228,9 @@ class Page:
         base = body.link_chars / max(1, body.chars)
         for i in range(len(elements) - 1, -1, -1):
             e = elements[i]
-            if not e.boilerplate and e.chars:
+            if not e.never and e.chars:
                 e.density = composite_density(e.chars, e.tags, e.link_chars, e.link_tags, base)
-            if i:
+            if i and not e.aside:
                 elements[e.parent].density_sum += e.density
 
     def body(self) -> int:
@@ -249,25 +257,27 @@ class Page:
             best = max(usable, key=lambda i: (elements[i].density, -i))
         up = self.path(best)
         threshold = min(elements[i].density for i in up)
-        # the whole article element, if there is one around the densest part
+        # the article element around the densest part adds what it holds
         semantic = [i for i in up if elements[i].tag == "article"] or [i for i in up if elements[i].tag == "main"]
         if semantic:
             best = semantic[-1]
             up = self.path(best)
         chosen = {best}
-        if not semantic:
-            for i in up[1:]:
-                for child in elements[i].children:
-                    e = elements[child]
-                    dense = e.density >= threshold > 0 and e.link_chars * 2 < e.chars and e.density_sum > 0
-                    if child not in up and not e.boilerplate and (dense or (e.tag in HEADINGS and child < best)):
-                        chosen.add(child)
+        for i in up[1:]:
+            for child in elements[i].children:
+                e = elements[child]
+                dense = e.density >= threshold > 0 and e.link_chars * 2 < e.chars and e.density_sum > 0
+                if child not in up and not e.boilerplate and (dense or (e.tag in HEADINGS and child < best)):
+                    chosen.add(child)
         out: set[int] = set()
         for i in range(len(elements)):
             e = elements[i]
-            if e.boilerplate:
+            if e.never:
                 continue
-            if i in chosen or (e.parent in out and not self._link_list(i)):
+            dense = e.density >= threshold > 0
+            if e.aside and not (semantic and dense and 2 * e.link_chars < e.chars):
+                continue
+            if i in chosen or (e.parent in out and (dense or not self._link_list(i))):
                 out.add(i)
         return out
 

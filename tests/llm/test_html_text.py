@@ -89,3 +89,22 @@ def test_operator(spark):
 
 def test_empty_table(spark):
     assert H.extract(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+LONG = "This sentence has many words, and it goes on and on for quite a while. " * 4
+
+
+def test_siblings_of_an_article_element_meet_the_threshold():
+    first, second = (f"<article>{f'<p>{name} {LONG}</p>' * n}</article>" for name, n in (("One", 4), ("Two", 3)))
+    menu = "<ul>" + "<li><a href=x>menu entry</a></li>" * 9 + "</ul>"
+    got = H.main_text(f"<body><h1>Headline</h1>{first}{second}<div><p>Three {LONG}</p><p>Three {LONG}</p></div>{menu}</body>")
+    lines = [line.split()[0] for line in got.split("\n")]
+    assert lines == ["Headline", *["One"] * 4, *["Two"] * 3, "Three", "Three"]
+
+
+def test_hinted_sections_and_link_lists_in_an_article_meet_the_threshold():
+    menu = "<ul>" + "<li><a href=x>menu entry</a></li>" * 9 + "</ul>"
+    page = f"<body><article><p>{LONG}</p><p>{LONG}</p><div class=sidebar><p>Box {LONG}</p></div><div class=share>Share</div>{menu}</article></body>"
+    got = H.main_text(page)
+    assert "Box This" in got and "menu" not in got and "Share" not in got
+    assert "Ad" not in H.main_text(f"<body><p>{LONG}</p><p>{LONG}</p><div class=ad><p>Ad {LONG}</p></div></body>")
