@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, contamination, digests, html_text, jaccard, language, lengths, lm_scores, quality, toxicity
+from . import (
+    bag_search, bpe, contamination, digests, html_text, jaccard, language, lengths, licences, lm_scores, quality, toxicity,
+    vector_codes,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -145,6 +148,94 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores.score(_read(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all embeddings, their errors and the digest of the codebooks."""
+    coded = vector_codes.compress(_read(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def _op11_sql() -> str:
+    parts, entries, rounds = vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS
+    steps = [
+        f"""kept AS MATERIALIZED (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({vector_codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""cut AS MATERIALIZED (
+    SELECT vec_id, p, v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] AS x FROM kept, range({parts}) AS r(p))""",
+        f"""c0 AS MATERIALIZED (
+    SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS k, x AS c FROM cut QUALIFY k < {entries})""",
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""near{i} AS MATERIALIZED (
+    SELECT vec_id, p, min((d, k)) AS best FROM (
+        SELECT vec_id, p, k, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+        FROM cut JOIN c{i} USING (p))
+    GROUP BY vec_id, p)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""c{i + 1} AS MATERIALIZED (
+    SELECT c{i}.p, c{i}.k, coalesce(m.c, c{i}.c) AS c FROM c{i} LEFT JOIN (
+        SELECT p, k, list((s - ((s % n) + n) % n) // n ORDER BY j) AS c FROM (
+            SELECT p, best[2] AS k, j, CAST(sum(x[j]) AS BIGINT) AS s, count(*) AS n
+            FROM near{i} JOIN cut USING (vec_id, p), LATERAL (SELECT unnest(range(1, len(x) + 1)) AS j)
+            GROUP BY ALL)
+        GROUP BY p, k) m USING (p, k))"""
+            )
+    steps.append(
+        f"""coded AS (
+    SELECT vec_id, string_agg(printf('%02x', best[2]), '' ORDER BY p) AS code, CAST(sum(best[1]) AS BIGINT) AS error
+    FROM near{rounds} GROUP BY vec_id),
+books AS (
+    SELECT sha256(string_agg(list_aggregate(c, 'string_agg', ','), ',' ORDER BY p, k)) AS codebooks_sha256 FROM c{rounds})"""
+    )
+    return "WITH " + ",\n".join(steps) + """
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id), books"""
+
+
+def op12_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and covered licence templates of all documents."""
+    found = licences.scan(_read(spark, sf_dir, "documents"), keep=("doc_id",))
+    starts = F.transform("places", lambda p: p["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        licences.label_text(F.col("places")).alias("base_labels"),
+        licences.label_text(F.col("places"), F.col("spans")).alias("labels"),
+        F.col("cover").alias("score"),
+    )
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item, of all documents."""
+    return bag_search.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = f"""
+WITH words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+terms AS (SELECT doc_id, unnest(w) AS term FROM words),
+corpus AS (SELECT count(*) FILTER (len(w) > 0) AS docs, CAST(sum(len(w)) AS BIGINT) AS total FROM words),
+wanted AS (SELECT DISTINCT item_id, unnest({_WORDS}) AS term FROM benchmark),
+counts AS (
+    SELECT doc_id, term, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM counts, corpus GROUP BY term, docs),
+lengths AS (
+    SELECT doc_id, 100 - 90 + (90 * len(w) * docs) // total AS m FROM words, corpus WHERE len(w) > 0),
+scored AS (
+    SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+    FROM wanted JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
 OP8_SQL = """
 SELECT doc_id,
        max(doc_id) OVER same AS keep_id,
@@ -166,10 +257,15 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_language_id": op9_language_id,
     "op10_lm_scores": op10_lm_scores,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_licence_scan": op12_licence_scan,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLES: dict[str, str] = {
     "op2_decontamination": OP2_SQL,
     "op6_jaccard_join": OP6_SQL,
     "op8_exact_dedup": OP8_SQL,
+    "op11_vector_codes": _op11_sql(),
+    "op13_lexical_search": OP13_SQL,
 }
