@@ -115,14 +115,14 @@ def enrich_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     "max_date_writeback",
     """SELECT CAST(c_custkey AS VARCHAR) AS ticker, strftime(greatest(
     CASE WHEN c_acctbal > 0 THEN DATE '2000-06-01' END, max(o_orderdate)), '%Y-%m-%d') AS last_price_date
-  FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderstatus = 'F' GROUP BY c_custkey, c_acctbal""",
+  FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey, c_acctbal""",
 )
 def max_date_writeback(spark: SparkSession, sf_dir: str) -> DataFrame:
     tickers = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("ticker"),
         F.when(F.col("c_acctbal") > 0, F.lit("2000-06-01").cast("date")).alias("last_price_date"),
     )
-    batch = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F").select(
+    batch = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").cast("string").alias("ticker"), F.to_date("o_orderdate").alias("date")
     )
     updated = prices.write_back_latest(tickers, prices.latest_dates(batch))

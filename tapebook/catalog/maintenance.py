@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import actions, keyed, runs, symbols
+from ..operators import actions, key_bits, keyed, runs, symbols
 from ..schemas import CORPORATE_ACTIONS, INDEX_DATA, RUNS, TICKER_DATA
+from ..session import Scratch, scratch_root
 from ..sources import feeds
+from ..sources.store import month_of
 from .registry import AS_OF, TX_SQL, bars, bars_sql, day_text, disclosures, query, table
 
 
@@ -27,6 +29,23 @@ def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.withColumn("filing_date", day_text("filing_date"))
 
 
+@query(
+    "insert_by_bitmap",
+    f"""WITH {TX_SQL} SELECT DISTINCT transaction_id, filing_date FROM tx
+  WHERE filing_date >= '1998-06-01' AND (transaction_id, filing_date) NOT IN (
+    SELECT (transaction_id, filing_date) FROM tx WHERE filing_date < '1999-01-01')""",
+)
+def insert_by_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch overlaps the stored rows by seven months; bitmaps of their keys tell which months to read."""
+    rows = disclosures(spark, sf_dir).select("transaction_id", "filing_date", month_of("filing_date").alias("month")).distinct()
+    keys = ["transaction_id", "filing_date"]
+    stored, batch = rows.filter("filing_date < date'1999-01-01'"), rows.filter("filing_date >= date'1998-06-01'")
+    scratch = Scratch(spark, scratch_root(spark))
+    bits = scratch.write(key_bits.key_bits(stored, "month", keys), "bits")
+    fresh = key_bits.absent_rows(batch, bits, "month", keys, lambda months: stored.filter(F.col("month").isin(months)), scratch)
+    return fresh.select("transaction_id", day_text("filing_date").alias("filing_date"))
+
+
 @query(
     "insert_first_wins",
     """WITH s AS (
@@ -246,7 +265,10 @@ def ingest_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.ingest_counters(runs.label_ingest(batch, stored, ["transaction_id"]))
 
 
-_COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "pages")
+_COUNTED = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+)
 
 
 @query(

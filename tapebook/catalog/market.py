@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import prices
+from ..operators import extremes, prices
 from .registry import AS_OF, bars, bars_sql, day_text, query, table
 
+
 @query(
     "ohlc_wide_to_long",
     """SELECT event_type AS ticker, strftime(ts, '%Y-%m-%d') AS date, min(value) AS low, max(value) AS high,
@@ -79,8 +80,8 @@ def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _STATS_SQL = f"""{bars_sql('b')},
   r AS (SELECT ticker, date, min(low) OVER span AS low_52w, max(high) OVER span AS high_52w,
-      CAST(sum(CAST(close AS DECIMAL(18, 4))) OVER five AS DOUBLE) / count(*) OVER five AS avg_50,
-      CAST(sum(CAST(close AS DECIMAL(18, 4))) OVER ten AS DOUBLE) / count(*) OVER ten AS avg_200
+      list_reduce(list(close) OVER five, lambda x, y: x + y) / count(*) OVER five AS avg_50,
+      list_reduce(list(close) OVER ten, lambda x, y: x + y) / count(*) OVER ten AS avg_200
     FROM b WINDOW
       span AS (PARTITION BY ticker ORDER BY date RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW),
       five AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW),
@@ -98,6 +99,20 @@ def rolling_52w(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.select("ticker", day_text("date").alias("date"), "low_52w", "high_52w")
 
 
+@query(
+    "sliding_extremes",
+    f"""WITH {bars_sql('b')}, d AS (
+    SELECT ticker, date, CASE WHEN volume % 3 > 0 THEN low END AS low, CASE WHEN volume % 5 > 0 THEN high END AS high FROM b)
+  SELECT ticker, strftime(date, '%Y-%m-%d') AS date, min(low) OVER span AS low, max(high) OVER span AS high FROM d
+  WINDOW span AS (PARTITION BY ticker ORDER BY date RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)""",
+)
+def sliding_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Range of a week up to each bar, by blocks; some lows and highs are NULL."""
+    low, high = F.when(F.col("volume") % 3 > 0, F.col("low")), F.when(F.col("volume") % 5 > 0, F.col("high"))
+    found = extremes.sliding_extremes(bars(spark, sf_dir), ["ticker"], "date", 6, {"low": low}, {"high": high})
+    return found.withColumn("date", day_text("date"))
+
+
 @query(
     "moving_avg_50_200",
     f"""WITH {_STATS_SQL} SELECT ticker, strftime(date, '%Y-%m-%d') AS date,

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..operators import versions
 from ..operators.keyed import first_per_key
-from ..operators.paging import page_of
+from ..operators.chains import follow_links
+from ..operators.paging import By, page_of
 from ..operators.skew import next_marked
 from ..schemas import INSIDER_DATA, NATURAL_KEY
-from .registry import AS_OF, HASHED_TX_SQL, TX_SQL, day_text, disclosures, query
+from ..session import Scratch, scratch_root
+from .registry import AS_OF, HASHED_TX_SQL, TX_SQL, day_text, disclosures, query, table
 
 KEY_SQL = "ticker, insider_name, sec_tx_code"
 SAME_KEY = " AND ".join(f"tx.{c} IS NOT DISTINCT FROM top.{c}" for c in KEY_SQL.split(", "))
@@ -48,7 +51,9 @@ def active_after_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     landed = disclosures(spark, sf_dir, hashed=True)
     landed = landed.unionByName(landed.filter(F.col("sec_tx_code").isin("1", "3")))
-    once = first_per_key(landed, ["transaction_id"], "source_url")
+    needed = [*NATURAL_KEY, "transaction_id", "filing_date", "scraped_at", "x_flags", "is_active", "superseded_by", "superseded_at"]
+    once = first_per_key(landed, ["transaction_id"], "source_url").select(*needed)
+    once = Scratch(spark, scratch_root(spark)).write(once, "once")
     rows = versions.reconcile_amendments(once, AS_OF)
     return rows.groupBy("x_flags").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("is_active").cast("bigint")).alias("n_active")
@@ -92,6 +97,12 @@ def best_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _in_version_order(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[By]]:
+    amended = F.when(rules.counts_as_amendment(F.col("x_flags")), 1).otherwise(0)
+    order = [By(c, descending=True) for c in ("amended", "filing_date", "scraped_at", "transaction_id")]
+    return disclosures(spark, sf_dir).withColumn("amended", amended), order
+
+
 @query(
     "sorted_page",
     f"""WITH {TX_SQL} SELECT transaction_id, filing_date FROM tx
@@ -99,12 +110,43 @@ def best_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def sorted_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First page in version order: sort by a computed key and three columns, all descending."""
-    amended = F.when(rules.counts_as_amendment(F.col("x_flags")), 1).otherwise(0)
-    order = [amended.desc(), F.col("filing_date").desc(), F.col("scraped_at").desc(), F.col("transaction_id").desc()]
-    top = page_of(disclosures(spark, sf_dir), order, 1, 500)
+    rows, order = _in_version_order(spark, sf_dir)
+    top = page_of(rows, order, 1, 500, tie=())
     return top.select("transaction_id", day_text("filing_date").alias("filing_date"))
 
 
+@query(
+    "deep_page",
+    f"""WITH {TX_SQL}, placed AS (
+    SELECT transaction_id, filing_date, row_number() OVER (
+      ORDER BY CASE WHEN x_flags ILIKE '%A%' THEN 1 ELSE 0 END DESC, filing_date DESC, transaction_id DESC) - 1 AS place
+    FROM tx)
+  SELECT transaction_id, filing_date FROM placed
+  WHERE place // 100 = (SELECT count(*) // 200 FROM tx)""",
+)
+def deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page of 100 rows in the middle of all rows in version order, found by counting."""
+    rows, order = _in_version_order(spark, sf_dir)
+    page = rows.count() // 200 + 1
+    found = page_of(rows, order, page, 100, tie=(), direct_rows=1000)
+    return found.select("transaction_id", day_text("filing_date").alias("filing_date"))
+
+
+@query(
+    "large_page",
+    """WITH placed AS (
+    SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderpriority DESC, o_totalprice, o_orderkey) - 1 AS place FROM orders)
+  SELECT o_orderkey, o_totalprice FROM placed
+  WHERE place // (SELECT count(*) // 3 FROM orders) = 1""",
+)
+def large_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second page of a third of all orders, by a column of few values, then by price."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    order = [By("o_orderpriority", descending=True), By("o_totalprice"), By("o_orderkey")]
+    found = page_of(orders, order, 2, orders.count() // 3, tie=(), direct_rows=100)
+    return found.select("o_orderkey", "o_totalprice")
+
+
 def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as freshly landed rows, in order of ship day and digest.
 
@@ -132,6 +174,55 @@ def sequential_supersede(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("transaction_id", F.col("next_id").alias("superseded_by"))
 
 
+@query(
+    "final_winner",
+    """WITH e AS (SELECT event_id, user_id, ts, CASE WHEN event_type = 'purchase' THEN event_id END AS mark FROM events)
+  SELECT event_id, first_value(mark IGNORE NULLS) OVER later AS superseded_by,
+    coalesce(last_value(mark IGNORE NULLS) OVER later, event_id) AS final_id, count(mark) OVER later AS hops
+  FROM e WINDOW later AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)""",
+)
+def final_winner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each tick is superseded by its user's next purchase, and that one by the next: which one stands at last?"""
+    ticks = table(spark, sf_dir, "events").withColumn("day", F.unix_date(F.to_date("ts")))
+    bought = F.col("event_type") == "purchase"
+    links = next_marked(ticks, ["user_id"], "day", ["ts", "event_id"], bought, F.col("event_id"), "superseded_by", 4)
+    ends = follow_links(links, Scratch(spark, scratch_root(spark)), "event_id", "superseded_by")
+    return ends.drop("cycle_id")
+
+
+_PART_LINKS_SQL = """lines AS (
+    SELECT l_orderkey, l_linenumber, l_partkey,
+      coalesce(lead(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey), -1) AS next FROM lineitem),
+  links AS (
+    SELECT l_partkey AS id, nullif(min((l_orderkey, l_linenumber, next))[3], -1) AS next FROM lines GROUP BY l_partkey)"""
+
+
+@query(
+    "supersede_cycles",
+    f"""WITH RECURSIVE {_PART_LINKS_SQL},
+  reach(id, met_id) AS (
+    SELECT id, next FROM links WHERE next IS NOT NULL
+    UNION SELECT r.id, l.next FROM reach r JOIN links l ON l.id = r.met_id WHERE l.next IS NOT NULL),
+  loops AS (SELECT id FROM reach WHERE id = met_id),
+  met AS (
+    SELECT r.id, min(r.met_id) FILTER (r.met_id IN (SELECT id FROM loops)) AS cycle_id, count(*) AS hops,
+      min(r.met_id) FILTER (r.met_id NOT IN (SELECT id FROM links WHERE next IS NOT NULL)) AS last
+    FROM reach r GROUP BY r.id)
+  SELECT l.id, l.next, CASE WHEN cycle_id IS NULL THEN coalesce(last, l.id) END AS final_id,
+    CASE WHEN cycle_id IS NULL THEN coalesce(hops, 0) END AS hops, cycle_id
+  FROM links l LEFT JOIN met USING (id)""",
+)
+def supersede_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each part points to the part behind it in the first order that holds it: ends of chains, and cycles."""
+    in_order = W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey")
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.coalesce(F.lead("l_partkey").over(in_order), F.lit(-1)).alias("next")
+    )
+    first = lines.groupBy(F.col("l_partkey").alias("id")).agg(F.min(F.struct("l_orderkey", "l_linenumber", "next")).alias("first"))
+    links = first.select("id", F.nullif(F.col("first.next"), F.lit(-1)).alias("next"))
+    return follow_links(links, Scratch(spark, scratch_root(spark)))
+
+
 SPLIT_DAY = "1999-01-01"
 
 INSERTED_SQL = f"""{TX_SQL}, placed AS (

@@ -31,7 +31,8 @@ def float_text(c: Column) -> Column:
     scientific = F.concat(
         F.regexp_replace(sci[0], r"\.0$", ""),
         F.when(exponent < 0, "e-").otherwise("e+"),
-        F.lpad(F.abs(exponent).cast("string"), 2, "0"),
+        F.when(F.abs(exponent) < 10, F.lit("0")).otherwise(F.lit("")),
+        F.abs(exponent).cast("string"),
     )
     return (
         F.when(~F.contains(text, F.lit("E")) & ~text.rlike("[NI]"), text)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +30,15 @@ def shared_folder(spark: SparkSession, fallback: str) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or fallback
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """Folder for intermediate tables of a query that belongs to no store: the cluster's checkpoint
+    folder. A session on one machine (tests) may do without and gets a temporary one; a cluster may not,
+    since its executors would each write to a disk of their own."""
+    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return shared_folder(spark, tempfile.gettempdir())
+
+
 class Scratch:
     """Intermediate tables of one job, in the shared folder, removed when the job ends.
 
@@ -39,9 +50,11 @@ class Scratch:
     def __init__(self, spark: SparkSession, fallback: str):
         self.spark = spark
         self.root = f"{shared_folder(spark, fallback).rstrip('/')}/tapebook/{uuid.uuid4().hex}"
+        self._written: Counter[str] = Counter()
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}"
+        self._written[name] += 1
+        path = f"{self.root}/{name}" + (f"~{self._written[name]}" if self._written[name] > 1 else "")
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

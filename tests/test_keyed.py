@@ -239,7 +239,7 @@ def test_batches_and_pages(spark):
     sizes = {r["batch_id"]: r["count"] for r in paging.assign_batches(symbols_, 50).groupBy("batch_id").count().collect()}
     assert sizes == {"0": 50, "1": 50, "2": 20}
     df = spark.range(10)
-    assert [r["id"] for r in paging.page_of(df, [F.col("id").desc()], 2, 4).collect()] == [5, 4, 3, 2]
+    assert [r["id"] for r in paging.page_of(df, [paging.By("id", descending=True)], 2, 4).collect()] == [5, 4, 3, 2]
 
 
 def test_every_table_has_an_empty_frame(spark):
