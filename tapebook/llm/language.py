@@ -1,13 +1,15 @@
 """Language of texts by segmentation-marginalised unigram models.
 
 Every language gives each piece of a fixed public vocabulary (and each single byte) a probability. A
-word's probability is the sum over all its segmentations into pieces, found by a forward pass; the
-models are fitted by expectation maximisation over the same segmentations. A text's score is the
+word's probability is the sum over all its segmentations into pieces, found by a forward pass over
+the whole word, however long; the models are fitted by expectation maximisation over the same segmentations,
+in rounds of Spark tasks. A text's score is the
 product over its words, so each different word is segmented once for many texts.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -19,13 +21,13 @@ import sentencepiece
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .labelled import fold
-from .shared import free_name, small_batches
+from .shared import free_name, small_batches, written
 from .words import LETTERS, Block, HashSet, mix, word_blocks
 
-#: Words are cut into runs of at most so many bytes, which keeps probabilities within doubles.
-RUN_BYTES = 40
-#: Bytes of text whose different words are segmented together, and words in one forward pass.
-SHARD_BYTES, PASS_WORDS = 8 << 20, 20_000
+#: Bytes of text whose different words are segmented together, and (word, end, language) cells of one forward pass.
+SHARD_BYTES, PASS_CELLS = 8 << 20, 1 << 22
+#: Expected counts are summed over tasks as whole numbers of this fraction, in any order alike.
+GRAIN = 1 << 20
 #: Documents of each language that the models are fitted on (about), rounds, and added counts.
 SAMPLE, ROUNDS, SMOOTHING = 3000, 4, 0.05
 #: Predicted for texts without any letter.
@@ -44,7 +46,7 @@ class Pieces:
         for i in range(model.get_piece_size()):
             if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i)):
                 texts.add(model.id_to_piece(i).replace("▁", " ").lower().encode())
-        ordered = sorted(t for t in texts if 0 < len(t) <= RUN_BYTES)
+        ordered = sorted(t for t in texts if t)
         ends = np.cumsum([len(t) for t in ordered])
         starts = ends - np.array([len(t) for t in ordered])
         hashes = _plain_block(np.frombuffer(b"".join(ordered), np.uint8)).stretch(starts, ends)
@@ -113,33 +115,95 @@ class Words:
         out[self.order] = np.log(self.totals(self.forward(model)))
         return out
 
-    def expected(self, model: np.ndarray, weight: np.ndarray, counts: np.ndarray) -> None:
-        """Add to ``counts`` how often each piece is expected in the words, ``weight`` times each."""
-        weight = weight[self.order]
-        alpha = self.forward(model)
-        total = self.totals(alpha)
+    def expected(self, model: np.ndarray, language: np.ndarray, weight: np.ndarray, counts: np.ndarray) -> None:
+        """Add to ``counts`` how often each piece is expected in the words, ``weight`` times each, where
+        every word is of one language."""
+        language, weight = language[self.order], weight[self.order]
+        alpha = np.zeros((self.count, self.most + 1))
+        alpha[:, 0] = 1
+        for end, found, byte in self.steps:
+            n = self.active[end]
+            alpha[:n, end] = alpha[:n, end - 1] * model[byte, language[:n]]
+            for start, words, places in found:
+                alpha[words, end] += alpha[words, start] * model[places, language[words]]
         beta = np.zeros_like(alpha)
-        beta[np.arange(self.count), self.sorted_length] = weight / total
+        beta[np.arange(self.count), self.sorted_length] = weight / self.totals(alpha)
         for end, found, byte in reversed(self.steps):
             n = self.active[end]
-            after = beta[:n, end]
-            through = after * model[byte]
-            np.add.at(counts, byte, alpha[:n, end - 1] * through)
+            through = beta[:n, end] * model[byte, language[:n]]
+            np.add.at(counts, (byte, language[:n]), alpha[:n, end - 1] * through)
             beta[:n, end - 1] += through
             for start, words, places in found:
-                through = beta[words, end] * model[places]
-                np.add.at(counts, places, alpha[words, start] * through)
+                through = beta[words, end] * model[places, language[words]]
+                np.add.at(counts, (places, language[words]), alpha[words, start] * through)
                 beta[words, start] += through
 
 
-def runs(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and rows of a block's words, long ones cut."""
-    length = block.ends - block.starts
-    parts = -(-length // RUN_BYTES)
-    first = np.repeat(block.starts, parts)
-    number = np.arange(len(first)) - np.repeat(np.cumsum(parts) - parts, parts)
-    starts = first + number * RUN_BYTES
-    return starts, np.minimum(starts + RUN_BYTES, np.repeat(block.ends, parts)), np.repeat(block.row_of_word(), parts)
+class LongWord:
+    """One word that is too long for plain doubles: all pieces in it, by their ends."""
+
+    def __init__(self, book: Pieces, word: bytes):
+        flat = np.frombuffer(b" " + word, np.uint8)
+        block, self.length = _plain_block(flat), len(flat)
+        starts, ends, places = [np.arange(self.length)], [np.arange(1, self.length + 1)], [flat.astype(np.int64) + book.size]
+        for size in range(1, min(self.length, book.longest) + 1):
+            at, place = book.set.find(block.stretch(np.arange(self.length - size + 1), np.arange(size, self.length + 1)))
+            starts.append(at)
+            ends.append(at + size)
+            places.append(place)
+        order = np.argsort(np.concatenate(ends), kind="stable")
+        self.starts, self.ends, self.places = (np.concatenate(x)[order] for x in (starts, ends, places))
+        self.bounds = np.searchsorted(self.ends, np.arange(self.length + 2))
+
+    def log_likelihood(self, model: np.ndarray) -> np.ndarray:
+        """For each language. Sums are kept as fractions and exponents for the last ends a piece can reach back to."""
+        ring = int((self.ends - self.starts).max()) + 1
+        value, power = np.zeros((ring, model.shape[1])), np.zeros((ring, model.shape[1]), np.int64)
+        value[0] = 1
+        for end in range(1, self.length + 1):
+            found = slice(self.bounds[end], self.bounds[end + 1])
+            at = self.starts[found] % ring
+            top = power[at].max(0)
+            total = np.ldexp(value[at] * model[self.places[found]], power[at] - top).sum(0)
+            value[end % ring], more = np.frexp(total)
+            power[end % ring] = top + more
+        last = self.length % ring
+        return np.log(value[last]) + power[last] * math.log(2)
+
+    def expected(self, model: np.ndarray, language: int, weight: float, counts: np.ndarray) -> None:
+        """Add to ``counts`` how often each piece is expected in the word, ``weight`` times."""
+        log = np.log(model[self.places, language])
+        before, after = np.full(self.length + 1, -np.inf), np.full(self.length + 1, -np.inf)
+        before[0] = after[self.length] = 0
+        for end in range(1, self.length + 1):
+            found = slice(self.bounds[end], self.bounds[end + 1])
+            before[end] = np.logaddexp.reduce(before[self.starts[found]] + log[found])
+        for end in range(self.length, 0, -1):
+            found = slice(self.bounds[end], self.bounds[end + 1])
+            at = self.starts[found]  # each start once, since pieces of one end differ in size
+            np.logaddexp.at(after, at, after[end] + log[found])
+        share = np.exp(before[self.starts] + log + after[self.ends] - before[self.length])
+        np.add.at(counts, (self.places, np.full(len(self.places), language)), weight * share)
+
+
+def plain_bytes(model: np.ndarray) -> int:
+    """Words of so many bytes and a blank have probabilities well within doubles, byte by byte at worst."""
+    return max(1, int(280 / -math.log10(min(0.1, float(model.min())))) - 1)
+
+
+def passes(lengths: np.ndarray, languages: int) -> Iterator[np.ndarray]:
+    """Words of similar length, a bounded number of cells at a time."""
+    order = np.argsort(lengths, kind="stable")
+    first = 0
+    while first < len(order):
+        # all cells are as long as the last word, so grow while they fit
+        last = first + 1
+        step = 1
+        while last < len(order) and (last - first + step) * (lengths[order[min(last + step, len(order)) - 1]] + 2) * languages <= PASS_CELLS:
+            last = min(last + step, len(order))
+            step *= 2
+        yield order[first:last]
+        first = last
 
 
 @dataclass
@@ -153,15 +217,19 @@ class LanguageModel:
         if not self.languages:
             return [UNDETERMINED] * len(column), np.zeros(len(column))
         book, names, scores = pieces(self.path), [], []
+        short = plain_bytes(self.model)
         for block in word_blocks(column, LETTERS, SHARD_BYTES):
-            starts, ends, row = runs(block)
+            starts, ends, row = block.starts, block.ends, block.row_of_word()
             _, first, inverse = np.unique(block.stretch(starts, ends), return_index=True, return_inverse=True)
             likelihood = np.empty((len(first), len(self.languages)))
-            by_length = np.argsort(ends[first] - starts[first], kind="stable")
-            for k in range(0, len(first), PASS_WORDS):
-                part = by_length[k : k + PASS_WORDS]
+            length = ends[first] - starts[first]
+            plain = np.flatnonzero(length <= short)
+            for part in passes(length[plain], len(self.languages)):
+                part = plain[part]
                 words = Words(book, block.data, starts[first[part]], ends[first[part]])
                 likelihood[part] = words.log_likelihoods(self.model)
+            for k in np.flatnonzero(length > short):
+                likelihood[k] = LongWord(book, block.word(first[k])).log_likelihood(self.model)
             total = np.stack([np.bincount(row, likelihood[inverse, k], minlength=block.rows) for k in range(len(self.languages))], 1)
             best = total.argmax(1)
             names += [self.languages[k] for k in best]
@@ -169,27 +237,48 @@ class LanguageModel:
         return names, np.concatenate(scores) if scores else np.zeros(0)
 
 
-def fit(words: list[tuple[str, bytes, int]], path: str) -> LanguageModel:
-    """Models from counted words (language, word, count)."""
-    languages = sorted({lang for lang, _, _ in words})
-    book = pieces(path)
-    number = {lang: k for k, lang in enumerate(languages)}
-    different = sorted({w for _, w, _ in words}, key=lambda w: (len(w), w))
-    at = {w: i for i, w in enumerate(different)}
-    weight = np.zeros((len(different), len(languages)))
-    for lang, w, n in words:
-        weight[at[w], number[lang]] += n
-    ends = np.cumsum([len(w) for w in different])
-    starts = ends - np.array([len(w) for w in different], np.int64)
-    data = np.frombuffer(b"".join(different), np.uint8)
-    parts = [slice(k, k + PASS_WORDS) for k in range(0, len(different), PASS_WORDS)]
-    laid = [Words(book, data, starts[p], ends[p]) for p in parts]
-    model = np.full((book.size + 256, len(languages)), 1 / (book.size + 256))
-    for _ in range(ROUNDS):
+def expected_counts(book: Pieces, model: np.ndarray, words: list[bytes], language: np.ndarray, weight: np.ndarray, counts: np.ndarray) -> None:
+    """Add to ``counts`` how often each piece is expected in counted words, each of one language."""
+    length = np.array([len(w) for w in words], np.int64)
+    ends = np.cumsum(length)
+    starts, data = ends - length, np.frombuffer(b"".join(words), np.uint8)
+    short = plain_bytes(model)
+    plain = np.flatnonzero(length <= short)
+    for part in passes(length[plain], 1):
+        part = plain[part]
+        Words(book, data, starts[part], ends[part]).expected(model, language[part], weight[part], counts)
+    for k in np.flatnonzero(length > short):
+        LongWord(book, words[k]).expected(model, int(language[k]), float(weight[k]), counts)
+
+
+def fit(counted: DataFrame, path: str, rounds: int = ROUNDS) -> LanguageModel:
+    """Models of counted words (``lang``, ``word``, ``n``; a written table) by expectation maximisation in
+    Spark: each round sends the models to the tasks, which add up the pieces that they expect in their
+    own words; only these sums, one per piece and language, come to the driver."""
+    spark = counted.sparkSession
+    languages = sorted(r.lang for r in counted.select("lang").distinct().collect())
+    size = pieces(path).size + 256
+    model = np.full((size, len(languages)), 1 / size)
+    for _ in range(rounds if languages else 0):
+        sent = spark.sparkContext.broadcast((model, languages))
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            model, languages = sent.value
+            book, counts, number = pieces(path), np.zeros_like(model), {x: k for k, x in enumerate(languages)}
+            for batch in batches:
+                language = np.array([number[x] for x in batch.column(0).to_pylist()], np.int64)
+                expected_counts(book, model, batch.column(1).to_pylist(), language, np.asarray(batch.column(2)).astype(float), counts)
+            grains = np.rint(counts * GRAIN).astype(np.int64)
+            piece, language = np.nonzero(grains)
+            columns = [pa.array(piece, pa.int64()), pa.array(language, pa.int64()), pa.array(grains[piece, language])]
+            yield pa.RecordBatch.from_arrays(columns, ["piece", "language", "grains"])
+
+        found = counted.select("lang", "word", "n").mapInArrow(run, "piece long, language long, grains long")
+        sums = found.groupBy("piece", "language").agg(F.sum("grains").alias("grains")).toArrow()
         counts = np.full(model.shape, SMOOTHING)
-        for words_, p in zip(laid, parts):
-            words_.expected(model, weight[p], counts)
+        counts[np.asarray(sums["piece"]), np.asarray(sums["language"])] += np.asarray(sums["grains"]) / GRAIN
         model = counts / counts.sum(0)
+        sent.unpersist()
     return LanguageModel(languages, model, path)
 
 
@@ -198,7 +287,8 @@ def learn(
 ) -> LanguageModel:
     """Models of all languages from documents with a known language outside fold 1 of 3: all of a
     language that has at most ``sample``, else about so many, those whose id hash is below the
-    language's limit. Only the languages and their numbers of documents are broadcast."""
+    language's limit. Broadcast are the languages with their numbers of documents, and models: a
+    quarter of a megabyte per language. Words are counted and kept in a table; the driver holds models only."""
     small_batches(docs.sparkSession)
     path = path or public_tokenizers.path("piece_bpe_32k.model")
     known = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").cast("string").alias("body"))
@@ -210,7 +300,7 @@ def learn(
         for batch in batches:
             langs = np.array(batch.column(0).to_pylist(), object)
             for block in word_blocks(batch.column(1), LETTERS):
-                starts, ends, row = runs(block)
+                starts, ends, row = block.starts, block.ends, block.row_of_word()
                 if len(starts):
                     key = mix(block.stretch(starts, ends) + mix(row.astype(np.uint64)))
                     _, first, many = np.unique(key, return_index=True, return_counts=True)
@@ -228,8 +318,8 @@ def learn(
         .groupBy("lang", "word")
         .agg(F.sum("n").alias("n"))
     )
-    rows = sorted((r.lang, bytes(r.word), r.n) for r in counted.collect())
-    return fit(rows, path)
+    # in a fixed order, so that sums of doubles inside a task are the same at every run
+    return fit(written(counted.sortWithinPartitions("word", "lang"), "language_words"), path)
 
 
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:

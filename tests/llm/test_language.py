@@ -82,7 +82,7 @@ def test_expectation_maximisation_never_lowers_the_likelihood():
         assert now >= last - 1e-9
         last = now
         counts = np.zeros(model.shape)
-        laid.expected(model, np.ones((len(words), 1)), counts)
+        laid.expected(model, np.zeros(len(words), int), np.ones(len(words)), counts)
         model = counts / counts.sum(0)
 
 
@@ -122,3 +122,79 @@ def test_a_rare_language_is_learned_beside_a_common_one(spark):
     model = L.learn(spark.createDataFrame(rows, SCHEMA).repartition(3), sample=50)
     assert model.languages == ["de", "en"]
     assert model.predict(pa.array(["über wasser"]))[0] == ["de"]
+
+
+def forward(book, model, word):
+    """The plain recursion from the left, in logarithms."""
+    text = b" " + word
+    flat = np.frombuffer(text, np.uint8)
+    block = L._plain_block(flat)
+    sums = np.full((len(text) + 1, model.shape[1]), -np.inf)
+    sums[0] = 0
+    for end in range(1, len(text) + 1):
+        ways = [sums[end - 1] + np.log(model[book.size + text[end - 1]])]
+        for size in range(1, min(end, book.longest) + 1):
+            found, place = book.set.find(block.stretch(np.array([end - size]), np.array([end])))
+            ways += [sums[end - size] + np.log(model[p]) for p in place]
+        sums[end] = np.logaddexp.reduce(ways)
+    return sums[-1]
+
+
+@pytest.mark.parametrize("word", ["ภาษาไทยไม่มีช่องว่าง" * 9, "straßeüberwasser" * 32, "x" * 500, "a" * 45, "語" * 200])
+def test_long_words_are_summed_whole(model, word):
+    word = word.encode()
+    assert len(word) > 40
+    book = L.pieces(PATH)
+    want = forward(book, model.model, word)
+    assert L.LongWord(book, word).log_likelihood(model.model) == pytest.approx(want, rel=1e-9)
+    if len(word) <= L.plain_bytes(model.model):
+        data = np.frombuffer(word, np.uint8)
+        assert L.Words(book, data, np.array([0]), np.array([len(word)])).log_likelihoods(model.model)[0] == pytest.approx(want, rel=1e-9)
+    names, scores = model.predict(pa.array([word.decode()]))
+    assert names == [model.languages[int(want.argmax())]]
+    assert scores[0] == pytest.approx(1 / np.exp(want - want.max()).sum(), rel=1e-6)
+
+
+def test_long_and_short_words_expect_the_same(model):
+    book = L.pieces(PATH)
+    words = [w.encode() for w in ("straße", "water", "lettering", "été")]
+    language, weight = np.array([0, 1, 1, 2]), np.array([3.0, 1.0, 2.0, 5.0])
+    short, long = np.zeros_like(model.model), np.zeros_like(model.model)
+    L.expected_counts(book, model.model, words, language, weight, short)
+    for w, k, n in zip(words, language, weight):
+        L.LongWord(book, w).expected(model.model, int(k), float(n), long)
+    assert np.allclose(short, long, rtol=1e-9, atol=1e-12)
+    whole = np.zeros_like(model.model)
+    L.expected_counts(book, model.model, ["語".encode() * 300], np.array([0]), np.array([1.0]), whole)
+    assert whole.sum() > 100 and np.isfinite(whole).all()
+
+
+def test_rounds_in_spark_equal_one_loop(spark):
+    words = [(lang, w.encode(), n + 1) for lang, ws in VOCABULARY.items() for n, w in enumerate(ws)]
+    frame = spark.createDataFrame(words, "lang string, word binary, n long").repartition(5)
+    got = L.fit(frame, PATH)
+    book, languages = L.pieces(PATH), sorted(VOCABULARY)
+    model = np.full((book.size + 256, 3), 1 / (book.size + 256))
+    for _ in range(L.ROUNDS):
+        counts = np.full(model.shape, L.SMOOTHING)
+        L.expected_counts(book, model, [w for _, w, _ in words], np.array([languages.index(x) for x, _, _ in words]), np.array([float(n) for *_, n in words]), counts)
+        model = counts / counts.sum(0)
+    assert got.languages == languages and np.allclose(got.model, model, rtol=1e-3, atol=1e-9)
+
+
+def test_many_languages_fit(spark):
+    rng = random.Random(2)
+    rows = [(i, " ".join(f"{chr(97 + lang % 26)}{chr(97 + lang // 26)}{rng.choice('aeiou')}" for _ in range(20)), f"l{lang}", None) for i, lang in enumerate(list(range(200)) * 4)]
+    model = L.learn(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    assert len(model.languages) > 190
+    names, _ = model.predict(pa.array([rows[k][1] for k in range(0, 800, 10)]))
+    assert np.mean([n == rows[k][2] for n, k in zip(names, range(0, 800, 10))]) > 0.9
+
+
+@pytest.mark.parametrize("cells", [1, 50, 1 << 22])
+def test_passes_hold_every_word_once(cells, monkeypatch):
+    monkeypatch.setattr(L, "PASS_CELLS", cells)
+    lengths = np.random.default_rng(1).integers(1, 30, 200)
+    parts = list(L.passes(lengths, 2))
+    assert sorted(np.concatenate(parts).tolist()) == list(range(200))
+    assert all(len(p) == 1 or len(p) * (lengths[p].max() + 2) * 2 <= cells for p in parts)
