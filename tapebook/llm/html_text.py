@@ -1,9 +1,12 @@
 """Main text of HTML pages by composite text density.
 
 For every element the density is its characters per tag, lowered by the share of them in links. The
-element whose children's densities have the largest sum holds the article. The least density on the
-path from the body down to it is the threshold for text outside of it, and for link lists and hinted
-sections inside. An ``article`` or ``main`` around it adds what it holds.
+block whose child blocks' densities have the largest sum holds the article (a block without any
+counts by its own); menus and headers take part,
+and lose by their links. The least density on the path from the body down to it is the threshold for
+text outside of it, and for link lists and hinted sections inside. Of elements with equal sums one in
+an ``article`` or ``main`` counts first. Tags and names tell only what densities cannot: that a dense
+text is an advert, a form, a footer, a notice or a comment.
 """
 
 from __future__ import annotations
@@ -28,6 +31,8 @@ INLINE = {
     "sup", "time", "tt", "u", "var", "wbr",
 }
 BOILERPLATE = {"nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "input", "fieldset", "head"}
+#: Of these, the ones that take part in the choice by density.
+RIVALS = {"nav", "menu", "header"}
 #: Elements that open tags of the same list end, and where the search for them stops.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -72,6 +77,7 @@ class Element:
     tag: str
     parent: int
     boilerplate: bool
+    hidden: bool = False
     hinted: bool = False
     comments: bool = False
     chars: int = 0
@@ -84,6 +90,47 @@ class Element:
     #: left out whatever its density; the top of a part that only a hint leaves out
     never: bool = False
     aside: bool = False
+    #: in an ``article`` or ``main``; is or holds a heading
+    semantic: bool = False
+    headed: bool = False
+    #: left out by its tag alone, but takes part in the choice; not to be chosen
+    rival: bool = False
+    barred: bool = False
+    #: no block with text inside: its density stands for the sum, whatever inline elements it holds
+    leaf: bool = True
+
+
+class Open:
+    """The open elements, with the places of each tag and of those that aren't inline."""
+
+    def __init__(self) -> None:
+        self.stack, self.tags, self.blocks = [0], [""], [0]
+        self.places: dict[str, list[int]] = {"": [0]}
+
+    def push(self, element: int, tag: str) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.stack.append(element)
+        self.tags.append(tag)
+
+    def cut(self, depth: int) -> None:
+        """End the element at ``depth`` and all that it holds."""
+        while len(self.stack) > depth:
+            self.stack.pop()
+            self.places[self.tags.pop()].pop()
+        while self.blocks[-1] >= depth:
+            self.blocks.pop()
+
+    def last(self, tags: set[str] | tuple[str, ...]) -> int:
+        """Depth of the innermost open element of ``tags``; -1 for none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def close(self, tags: set[str], until: set[str]) -> None:
+        """End the innermost open element of ``tags``, unless one of ``until`` is open inside of it."""
+        depth = self.last(tags)
+        if depth > 0 and depth > self.last(until):
+            self.cut(depth)
 
 
 def composite_density(chars: int, tags: int, link_chars: int, link_tags: int, link_share: float) -> float:
@@ -121,7 +168,8 @@ class Page:
         self._measure()
 
     def _parse(self, source: str) -> None:
-        elements, stack, block, at, size = self.elements, [0], 0, 0, len(source)
+        elements, open_, block, at, size = self.elements, Open(), 0, 0, len(source)
+        stack = open_.stack
         while at < size:
             found = _MARKUP.search(source, at)
             text = source[at : found.start()] if found else source[at:]
@@ -142,49 +190,36 @@ class Page:
             elif tag == "br":
                 self.runs.append((" ", stack[-1], block))
             if closing:
-                if tag == "p" and not any(elements[i].tag == "p" for i in stack):
-                    continue
-                for depth in range(len(stack) - 1, 0, -1):
-                    if elements[stack[depth]].tag == tag:
-                        del stack[depth:]
-                        break
-                    if tag in INLINE and elements[stack[depth]].tag not in INLINE:
-                        break
+                depth = open_.last((tag,))
+                # the end of an inline element doesn't reach beyond the block that it stands in
+                if depth > 0 and not (tag in INLINE and open_.blocks[-1] > depth):
+                    open_.cut(depth)
                 continue
             if tag in RAW and not attributes.endswith("/"):
                 end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(source, at)
                 at = end.end() if end else size
                 continue
             if tag not in INLINE:
-                self._close(stack, {"p"}, {"td", "th", "div", "li", "body", "article", "section", "main", "blockquote"})
+                open_.close({"p"}, {"td", "th", "div", "li", "body", "article", "section", "main", "blockquote"})
             if tag in ENDS:
-                self._close(stack, *ENDS[tag])
-            if tag in ("html", "body") and any(elements[i].tag == tag for i in stack):
+                open_.close(*ENDS[tag])
+            if tag in ("html", "body") and open_.last((tag,)) > 0:
                 continue
             if tag == "body":
-                self._close(stack, {"head"}, set())
+                open_.close({"head"}, set())
             parent = stack[-1]
             hidden, hinted, comments, header = _hints(attributes) if attributes else (False,) * 4
-            in_article = any(elements[i].tag in ("article", "main") for i in stack)
+            in_article = open_.last(("article", "main")) > 0
             role = tag in BOILERPLATE or hidden or (tag == "header" and not in_article)
             hinted |= header and not in_article
             whole = tag in ("html", "body", "main") or (tag == "article" and not comments)
             elements.append(
-                Element(tag, parent, role and tag not in ("html", "body"), hinted and not whole and tag not in HEADINGS, comments and not whole)
+                Element(tag, parent, role and tag not in ("html", "body"), hidden, hinted and not whole and tag not in HEADINGS, comments and not whole)
             )
+            elements[-1].semantic = in_article or tag in ("article", "main")
             elements[parent].children.append(len(elements) - 1)
             if tag not in VOID:
-                stack.append(len(elements) - 1)
-
-    def _close(self, stack: list[int], tags: set[str], until: set[str]) -> None:
-        """End the innermost open element of ``tags``, with what it holds, up to one of ``until``."""
-        for depth in range(len(stack) - 1, 0, -1):
-            tag = self.elements[stack[depth]].tag
-            if tag in tags:
-                del stack[depth:]
-                return
-            if tag in until:
-                return
+                open_.push(len(elements) - 1, tag)
 
     def _measure(self) -> None:
         elements = self.elements
@@ -200,15 +235,21 @@ class Page:
             paragraphs[up] += paragraphs[i]
             holds[up] |= holds[i]
         for i, e in enumerate(elements):
-            e.never = e.boilerplate or (e.comments and not holds[i])
+            e.never = (e.boilerplate and (e.tag not in RIVALS or e.hidden)) or (e.comments and not holds[i])
             most = paragraphs[i] > 1 and 2 * whole[i] > whole[0]
+            e.rival = e.boilerplate and not e.never
             if e.comments or (e.hinted and not most):
                 e.boilerplate |= not holds[i]
+                e.rival &= holds[i]
         for i in range(1, len(elements)):
             e, up = elements[i], elements[elements[i].parent]
-            e.aside = e.boilerplate and not (e.never or up.boilerplate)
+            e.aside = e.boilerplate and not (e.never or up.boilerplate or e.tag in RIVALS)
+            e.barred = up.barred or (e.boilerplate and not e.rival)
             e.boilerplate |= up.boilerplate
             e.never |= up.never
+        for i in range(len(elements) - 1, 0, -1):
+            elements[i].headed |= elements[i].tag in HEADINGS
+            elements[elements[i].parent].headed |= elements[i].headed
         in_link = [False] * len(elements)
         for i in range(1, len(elements)):
             in_link[i] = elements[i].tag == "a" or in_link[elements[i].parent]
@@ -230,8 +271,11 @@ class Page:
             e = elements[i]
             if not e.never and e.chars:
                 e.density = composite_density(e.chars, e.tags, e.link_chars, e.link_tags, base)
-            if i and not e.aside:
+            if e.leaf:
+                e.density_sum = e.density
+            if i and not e.aside and e.tag not in INLINE and e.chars and not e.never:
                 elements[e.parent].density_sum += e.density
+                elements[e.parent].leaf = False
 
     def body(self) -> int:
         return next((i for i, e in enumerate(self.elements) if e.tag == "body"), 0)
@@ -249,33 +293,30 @@ class Page:
     def content(self) -> set[int]:
         """Elements whose own text belongs to the article."""
         elements = self.elements
-        usable = [i for i, e in enumerate(elements) if not e.boilerplate and e.chars and e.tag not in INLINE]
+        usable = [i for i, e in enumerate(elements) if e.chars and not e.barred and e.tag not in INLINE]
         if not usable:
             return set()
-        best = max(usable, key=lambda i: (elements[i].density_sum, elements[i].chars, -i))
+        best = max(usable, key=lambda i: (elements[i].density_sum, elements[i].semantic, elements[i].chars, -i))
         if elements[best].density_sum == 0:
-            best = max(usable, key=lambda i: (elements[i].density, -i))
+            best = max(usable, key=lambda i: (elements[i].density, elements[i].semantic, -i))
         up = self.path(best)
         threshold = min(elements[i].density for i in up)
-        # the article element around the densest part adds what it holds
-        semantic = [i for i in up if elements[i].tag == "article"] or [i for i in up if elements[i].tag == "main"]
-        if semantic:
-            best = semantic[-1]
-            up = self.path(best)
-        chosen = {best}
+        on_path, chosen = set(up), {best}
         for i in up[1:]:
             for child in elements[i].children:
                 e = elements[child]
-                dense = e.density >= threshold > 0 and e.link_chars * 2 < e.chars and e.density_sum > 0
-                if child not in up and not e.boilerplate and (dense or (e.tag in HEADINGS and child < best)):
+                few_links = e.link_chars * 2 < e.chars
+                dense = e.density >= threshold > 0 and few_links and e.density_sum > 0
+                headline = child < best and few_links and e.headed
+                if child not in on_path and not e.boilerplate and (dense or headline):
                     chosen.add(child)
         out: set[int] = set()
         for i in range(len(elements)):
             e = elements[i]
-            if e.never:
+            if e.never or (e.rival and i not in on_path):
                 continue
             dense = e.density >= threshold > 0
-            if e.aside and not (semantic and dense and 2 * e.link_chars < e.chars):
+            if e.aside and not (e.semantic and dense and 2 * e.link_chars < e.chars):
                 continue
             if i in chosen or (e.parent in out and (dense or not self._link_list(i))):
                 out.add(i)

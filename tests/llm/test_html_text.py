@@ -108,3 +108,81 @@ def test_hinted_sections_and_link_lists_in_an_article_meet_the_threshold():
     got = H.main_text(page)
     assert "Box This" in got and "menu" not in got and "Share" not in got
     assert "Ad" not in H.main_text(f"<body><p>{LONG}</p><p>{LONG}</p><div class=ad><p>Ad {LONG}</p></div></body>")
+
+
+def random_tree(rng, depth=0):
+    tag = rng.choice(["div", "section", "div", "span", "a"] if depth else ["div"])
+    inside = [rng.choice(["", "word", "some more words here", "x" * 60]) if rng.random() < 0.5 or depth > 4 else random_tree(rng, depth + 1) for _ in range(rng.randint(0, 5))]
+    if tag in ("a", "span"):
+        inside = [x for x in inside if isinstance(x, str)]
+    return tag, inside
+
+
+def render(tree):
+    return f"<{tree[0]}>" + "".join(x if isinstance(x, str) else render(x) for x in tree[1]) + f"</{tree[0]}>"
+
+
+def measures(tree, in_link=False, out=None):
+    """(tag, characters, tags, characters in links, links) of every element in page order, by recursion."""
+    here = len(out)
+    out.append(None)
+    tag, linked = tree[0], in_link or tree[0] == "a"
+    chars = tags = link_chars = links = 0
+    below = []
+    for x in tree[1]:
+        if isinstance(x, str):
+            n = len(x.replace(" ", ""))
+            chars, link_chars = chars + n, link_chars + n * linked
+        else:
+            child = measures(x, linked, out)
+            below.append(child)
+            chars, tags = chars + child[1], tags + child[2] + 1
+            link_chars, links = link_chars + child[3], links + child[4] + (x[0] == "a")
+    out[here] = (tag, chars, tags, link_chars, links, below)
+    return out[here]
+
+
+def test_densities_equal_plain_recursion():
+    rng = random.Random(3)
+    for _ in range(200):
+        tree = random_tree(rng)
+        page = H.Page(f"<body>{render(tree)}</body>")
+        want = []
+        measures(("body", [tree]), out=want)
+        total = want[0]
+        base = total[3] / max(1, total[1])
+        density = lambda m: H.composite_density(*m[1:5], base) if m[1] else 0.0
+
+        def summed(m):
+            blocks = [c for c in m[5] if c[0] not in H.INLINE and c[1]]
+            return sum(map(density, blocks)) if blocks else density(m)
+
+        for e, m in zip(page.elements[1:], want, strict=True):
+            assert (e.tag, e.chars, e.tags, e.link_chars, e.link_tags) == m[:5]
+            assert e.density == pytest.approx(density(m)) and e.density_sum == pytest.approx(summed(m))
+        blocks = [k for k, m in enumerate(want) if m[1] and m[0] not in H.INLINE]
+        if blocks and max(map(summed, want)) > 0:
+            best = max(blocks, key=lambda k: (summed(want[k]), want[k][1], -k))
+            assert best + 1 in page.content()
+
+
+def test_densities_decide(monkeypatch):
+    """Without an article element, the dense part wins against longer lists; with a wrong density it doesn't."""
+    menu = "<nav><ul>" + "<li><a href=x>menu entry of some words</a></li>" * 40 + "</ul></nav>"
+    for tag in ("div", "article"):
+        page = f"<body>{menu}<{tag}><p>One {LONG}</p><p>Two {LONG}</p></{tag}><footer>{LONG}</footer></body>"
+        assert [x.split()[0] for x in H.main_text(page).split("\n")] == ["One", "Two"]
+        for wrong in (lambda *counts: 1.0, lambda chars, tags, *links: tags / chars):
+            with monkeypatch.context() as m:
+                m.setattr(H, "composite_density", wrong)
+                assert "menu entry" in H.main_text(page)
+
+
+@pytest.mark.parametrize("tag", ["div", "b", "li", "p", "x-y"])
+def test_deep_pages_take_linear_time(tag):
+    import time
+
+    start = time.process_time()
+    page = f"<{tag}>" * 50_000 + f"<p>{LONG}</p>" + "<i>x</i></i>" * 1000 + f"</{tag}>" * 50_000
+    assert "This sentence" in H.main_text(page)
+    assert time.process_time() - start < 20
