@@ -19,6 +19,8 @@ WINDOW = 13
 SHARD_BYTES = 4 << 20
 #: Benchmark text is searched in blocks of at most about so many bytes, which every task holds.
 ITEM_BLOCK_BYTES = 16 << 20
+#: Matches that grow at a time.
+MATCHES = 1 << 18
 
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -76,13 +78,17 @@ class SuffixArray:
             at = places + depth
             inside = at < row_end[places]
             columns[depth, inside] = words[at[inside]]
-        order = np.lexsort(columns[::-1])
-        self.places, self.columns = places[order], columns[:, order]
-
-    def _bound(self, depth: int, low: np.ndarray, high: np.ndarray, word: np.ndarray, after: bool) -> np.ndarray:
-        """For each range, its first suffix whose word at ``depth`` is not before (or is after) ``word``."""
+        # Suffixes that begin alike are ordered by the word before them, 0 for none.
+        before = np.zeros(len(places), np.uint64)
+        inner = np.flatnonzero(places > 0)
+        inner = inner[row_end[places[inner] - 1] == row_end[places[inner]]]
+        before[inner] = words[places[inner] - 1]
+        order = np.lexsort([before, *columns[::-1]])
+        self.places, self.columns, self.before = places[order], columns[:, order], before[order]
+
+    def _bound(self, column: np.ndarray, low: np.ndarray, high: np.ndarray, word: np.ndarray, after: bool) -> np.ndarray:
+        """For each range, in which ``column`` ascends, its first suffix whose word there is not below (or is above) ``word``."""
         low, high = low.copy(), high.copy()
-        column = self.columns[depth]
         while (open_ := low < high).any():
             mid = (low + high) >> 1
             value = column[np.minimum(mid, len(column) - 1)]
@@ -91,50 +97,57 @@ class SuffixArray:
             low = np.where(right, mid + 1, low)
         return low
 
-    def search(self, tests: TestItems) -> tuple[np.ndarray, np.ndarray]:
-        """Test suffixes and where they occur: pairs (place in the test words, place in the shard).
+    def search(self, tests: TestItems) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Test suffixes and the ranges of the array where their windows occur, but for places where a match
+        could begin one word earlier: place in the test words, first and last suffix (behind).
 
-        Each suffix's range of the array is narrowed word by word until its window is used up.
+        Each suffix's range is narrowed word by word until its window is used up. Within the range of a
+        whole window, suffixes are ordered by the word before; those with the same word before as in the
+        item are part of a longer match and left out as a range, however many they are.
         """
         query = np.flatnonzero(tests.left >= tests.need)
         low = np.zeros(len(query), np.int64)
         high = np.full(len(query), len(self.places), np.int64)
-        found_query, found_low, found_high = [], [], []
+        found = []
         for depth in range(WINDOW):
-            word = tests.words[query + depth]
-            low, high = self._bound(depth, low, high, word, False), self._bound(depth, low, high, word, True)
+            word, column = tests.words[query + depth], self.columns[depth]
+            low, high = self._bound(column, low, high, word, False), self._bound(column, low, high, word, True)
             alive = low < high
             query, low, high = query[alive], low[alive], high[alive]
             done = tests.need[query] == depth + 1
-            found_query.append(query[done])
-            found_low.append(low[done])
-            found_high.append(high[done])
+            found.append((query[done], low[done], high[done]))
             query, low, high = query[~done], low[~done], high[~done]
             if not query.size:
                 break
-        query, low, high = map(np.concatenate, (found_query, found_low, found_high))
-        size = high - low
-        index = np.repeat(low - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        return np.repeat(query, size), self.places[index]
-
-    def longest(self, tests: TestItems) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Longest verbatim matches: place in the test words, place in the shard, words."""
-        query, place = self.search(tests)
-        words, item = self.words, tests.item
-        before = np.minimum(query, place) > 0
-        begun = before.copy()
-        begun[before] = (
-            (item[query[before] - 1] == item[query[before]])
-            & (self.row_end[place[before] - 1] == self.row_end[place[before]])
-            & (tests.words[query[before] - 1] == words[place[before] - 1])
-        )
-        # a match that could begin one word earlier is part of a longer one, if that one has a whole window
-        query, place = query[~begun], place[~begun]
+        query, low, high = map(np.concatenate, zip(*found))
+        # Only whole items are shorter than a window, and they have no word before.
+        inner = np.flatnonzero(query > 0)
+        inner = inner[tests.item[query[inner] - 1] == tests.item[query[inner]]]
+        word = tests.words[query[inner] - 1]
+        same = self._bound(self.before, low[inner], high[inner], word, False)
+        more = self._bound(self.before, low[inner], high[inner], word, True)
+        rest = query[inner], more, high[inner].copy()
+        high[inner] = same
+        query, low, high = (np.concatenate(x) for x in zip((query, low, high), rest))
+        some = low < high
+        return query[some], low[some], high[some]
+
+    def longest(self, tests: TestItems) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Longest verbatim matches, a bounded number at a time: place in the test words, place in the
+        shard, words."""
+        query, low, high = self.search(tests)
+        total = np.cumsum(high - low)
+        for first in range(0, int(total[-1]) if len(total) else 0, MATCHES):
+            number = np.arange(first, min(first + MATCHES, int(total[-1])))
+            which = np.searchsorted(total, number, side="right")
+            yield self._grown(tests, query[which], self.places[high[which] - (total[which] - number)])
+
+    def _grown(self, tests: TestItems, query: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         length = tests.need[query].copy()
         most = np.minimum(tests.left[query], self.row_end[place] - place)
         growing = np.flatnonzero(length < most)
         while growing.size:
-            same = tests.words[query[growing] + length[growing]] == words[place[growing] + length[growing]]
+            same = tests.words[query[growing] + length[growing]] == self.words[place[growing] + length[growing]]
             growing = growing[same]
             length[growing] += 1
             growing = growing[length[growing] < most[growing]]
@@ -172,16 +185,17 @@ def _search_column(column: pa.Array, tests: TestItems) -> tuple[list[int], list[
             begin = np.union1d(begin, pair[pair + 1 < row_end[pair]])
         if not begin.size:
             continue
-        for query, place, length in zip(*SuffixArray(words, row_end, begin).longest(tests)):
-            r = row[place]
-            found[r].append(
-                {
-                    "item_id": tests.ids[tests.item[query]],
-                    "item_start": int(test_start[query]),
-                    "start": int(place - block.bounds[r]),
-                    "length": int(length),
-                }
-            )
+        for some in SuffixArray(words, row_end, begin).longest(tests):
+            for query, place, length in zip(*some):
+                r = row[place]
+                found[r].append(
+                    {
+                        "item_id": tests.ids[tests.item[query]],
+                        "item_start": int(test_start[query]),
+                        "start": int(place - block.bounds[r]),
+                        "length": int(length),
+                    }
+                )
     return counts, matches
 
 

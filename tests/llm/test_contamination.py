@@ -96,3 +96,32 @@ def test_clean_documents(spark):
     kept = con.clean_documents(spark.createDataFrame(docs, DOCS), spark.createDataFrame([("i", item)], ITEMS))
     assert kept.columns == DOCS.names
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4]
+
+
+def test_words_that_repeat(spark):
+    """Ends of one item and one text that are all alike: only matches that begin as early as they can are kept."""
+    import resource
+    import time
+
+    tests = con.TestItems.build([("i", "x " * 2000), ("j", "x y " * 700)])
+    start, before = time.process_time(), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    counts, matches = con._search_column(con.pa.array(["x " * 20_000, "x y " * 3000 + "x " * 40]), tests)
+    assert counts == [20_000, 6040]
+    assert time.process_time() - start < 30
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 500 * 1024
+    # one match per place of the text for the item's first word, one per place of the item for the text's
+    assert len(matches[0]) == 20_000 - 12 + 2000 - 13
+    assert max(m["length"] for m in matches[0]) == 2000 and max(m["length"] for m in matches[1]) == 1400
+    docs, items = [(1, "x " * 60, None), (2, "x y " * 30 + "x " * 20, "x")], [("i", "x " * 30), ("j", "x y " * 10)]
+    assert found(spark, docs, items) == brute(docs, items)
+
+
+def test_matches_in_small_parts(spark, monkeypatch):
+    docs, items = random_case(2)
+    monkeypatch.setattr(con, "MATCHES", 3)
+    tests = con.TestItems.build([(i, b) for i, b in items if b])
+    _, matches = con._search_column(con.pa.array([t for _, t, _ in docs]), tests)
+    monkeypatch.undo()
+    _, whole = con._search_column(con.pa.array([t for _, t, _ in docs]), tests)
+    key = lambda m: sorted(map(repr, m))
+    assert list(map(key, matches)) == list(map(key, whole))
