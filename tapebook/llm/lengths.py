@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .bpe import codec, vocabulary
-from .shared import small_batches
+from .shared import small_batches, written
 
 #: Lengths of one block of the suffix sums; sums run over blocks and then inside each block.
 BLOCK = 1024
@@ -30,8 +30,9 @@ def encoded_lengths(docs: DataFrame, text: str = "text", paths: tuple[str, str]
 
 
 def length_histogram(lengths: DataFrame) -> DataFrame:
-    """Documents of each length: ``n_tokens``, ``n_docs``. Partly counted before the shuffle."""
-    return lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
+    """Documents of each length: ``n_tokens``, ``n_docs``. Partly counted before the shuffle, and written,
+    since what follows reads it twice and would encode every text twice."""
+    return written(lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs")), "lengths")
 
 
 def suffix_sums(histogram: DataFrame) -> DataFrame:
