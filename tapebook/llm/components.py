@@ -4,12 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tapebook.operators.skew import lookup_join
+
 from .shared import written
 
+#: A node on more edges than this is hot: its edges are dealt out over tasks when they look up its minimum.
+HOT_EDGES = 2048
+
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    found = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b") % 1_000_003).alias("s")).first()
-    return found.n, found.s or 0
+def _settled(edges: DataFrame) -> bool:
+    """Do the edges form stars: no node has two smaller ones, and none has a smaller and a larger one?
+    Each component is then one star around its smallest node, since rounds never part what is linked."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above")).union(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("below"), F.lit(1).alias("above"))
+    )
+    counted = ends.groupBy("node").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return counted.filter((F.col("below") > 1) | ((F.col("below") > 0) & (F.col("above") > 0))).isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -18,23 +28,20 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large-star and small-star rounds in turn: every node hands its neighbours the smallest node it
     knows, until each points at the smallest of its component. Each round is written to the shared
-    folder. A node with very many neighbours is a pre-aggregated minimum and a join with one row.
+    folder. A node with very many neighbours is a pre-aggregated minimum, which its edges look up in
+    as many tasks as they need.
     """
     smaller, larger = F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")
     edges = written(edges.filter("a <> b").select(larger, smaller).distinct(), "edges")
-    state = _state(edges)
-    while state[0]:
+    while not _settled(edges):
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.filter("a <> b").distinct()
+        large = lookup_join(both, least, ["a"], spread_by=["b"], hot_rows=HOT_EDGES).filter("b > a")
+        large = written(large.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct(), "large")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        handed = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        small = handed.union(least.select("a", F.col("m").alias("b"))).distinct()
-        edges = written(small, "edges")
-        before, state = state, _state(edges)
-        if state == before:
-            break
+        handed = lookup_join(large, least, ["a"], spread_by=["b"], hot_rows=HOT_EDGES).filter("b <> m")
+        small = handed.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
+        edges = written(small.distinct(), "edges")
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     centres = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return stars.union(centres)

@@ -2,22 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapebook.session import shared_folder
+from tapebook.session import scratch_root
 
-#: Rows handed to Python at a time, so that a batch of long texts stays small.
-BATCH_ROWS = 500
-
-
-def scratch_root(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``. Where that is unset: a temporary
-    folder if all runs on one machine (tests), else the warehouse, which executors share as well."""
-    alone = spark.sparkContext.master.split("[")[0] == "local"
-    return shared_folder(spark, tempfile.gettempdir() if alone else spark.conf.get("spark.sql.warehouse.dir"))
+#: Rows and bytes handed to Python at a time, so that a batch of long texts stays small.
+BATCH_ROWS, BATCH_BYTES = 500, 8 << 20
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -30,8 +22,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> SparkSession:
-    """Keep Arrow batches of whole texts small."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Keep Arrow batches of whole texts small. A session's own lower limits stay."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        now = int(spark.conf.get(f"spark.sql.execution.arrow.{name}").rstrip("b"))
+        if now > most or now <= 0:
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", str(most))
     return spark
 
 
