@@ -13,7 +13,8 @@ def float_text(c: Column) -> Column:
     outside take the longer way.
     """
     size = F.abs(c)
-    text = c.cast("string")
+    # The engine gives the least value one digit more than it takes.
+    text = F.replace(c.cast("string"), F.lit("4.9E-324"), F.lit("5.0E-324"))
     sci = F.split(text, "E")
     exponent = F.try_element_at(sci, F.lit(2)).try_cast("int")
     # the shortest digits, set anew around the point

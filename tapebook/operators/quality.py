@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clock
-from ..schemas import AS_OF, AS_OF_DATE, REJECTED_ROWS, Table
+from ..schemas import AS_OF, AS_OF_DATE, REJECTED_ROWS, TABLES, Table
 from .skew import lookup_join
 
 
@@ -56,6 +56,23 @@ def split_valid(df: DataFrame, table: Table, *, fail_fast: bool = False) -> tupl
     return df.filter(~bad), df.filter(bad).withColumn("violations", violations(table))
 
 
+def split_references(df: DataFrame, table: Table, parents: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(rows whose references are met, orphans with ``violations``), by the table's declared references.
+
+    A NULL refers to nothing. ``parents`` holds the tables that are referred to; those not given are not
+    checked. A row is an orphan by the first reference that isn't met. Keys without a parent are few as a
+    rule, and counted before they move; a hot one is split by the engine's skew join.
+    """
+    bad = df.filter(F.lit(False)).withColumn("violations", F.array().cast("array<string>"))
+    for column, name in table.references.items():
+        if name in parents:
+            lacking = orphan_keys(df, parents[name], column, TABLES[name].keys[0]).select(F.col("key").alias(column))
+            told = F.array(F.lit(f"{column} has no row in {name}"))
+            bad = bad.unionByName(df.join(lacking, column, "left_semi").select(*df.columns).withColumn("violations", told))
+            df = df.join(lacking, column, "left_anti").select(*df.columns)
+    return df, bad
+
+
 def rejects(bad: DataFrame, table_name: str, job: str, as_of: datetime) -> DataFrame:
     """Rows for ``rejected_rows`` from rows with ``violations``: the whole row as JSON, and the reasons."""
     row = F.to_json(F.struct(*[F.col(c) for c in bad.columns if c != "violations"]), {"ignoreNullFields": "false"})

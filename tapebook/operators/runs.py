@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 from functools import reduce
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,9 @@ from ..functions import clock
 from ..schemas import RUNS
 from .keyed import first_per_key
 
+if TYPE_CHECKING:
+    from ..sources.store import SnapshotStore
+
 
 def next_run_id(runs: DataFrame) -> int:
     return int(scalar(runs.agg(F.max("run_id")), 0)) + 1
@@ -43,6 +47,19 @@ def run_record(
     return runs.filter(~F.col("run_id").eqNullSafe(run_id)).unionByName(RUNS.conform(row))
 
 
+def start_run(store: SnapshotStore, job: str, as_of: datetime) -> int:
+    """Add a RUNNING record under the next id and return the id. The id is taken from the log that
+    the commit replaces, so runs that start together get ids of their own."""
+    taken: list[int] = []
+
+    def started(log: DataFrame) -> DataFrame:
+        taken.append(next_run_id(log))
+        return run_record(log, taken[-1], job, as_of)
+
+    store.publish({}, {}, log=started)
+    return taken[-1]
+
+
 def latest_records(log: DataFrame, key: str, *order: object) -> DataFrame:
     """The last record of each run in an append-only log; ``order`` puts the last one first."""
     return first_per_key(log, [key], *order)

@@ -56,9 +56,7 @@ def run_disclosures(
     columns it needs from there. All versions of a disclosure share its trade date, so only the
     trade months of the batch are read and rewritten. ``reconcile_all`` goes over every month.
     """
-    run_log = store.read("runs")
-    run_id = runs.next_run_id(run_log)
-    store.commit({"runs": runs.run_record(run_log, run_id, JOB, as_of)})
+    run_id = runs.start_run(store, JOB, as_of)
     try:
         with Scratch(store.spark, f"{store.root}/_work") as scratch:
             result = _ingest(
@@ -66,11 +64,10 @@ def run_disclosures(
                 record_pages_without_table, reconcile_all, streams,
             )
     except Exception as error:
-        failed = runs.run_record(
-            store.read("runs"), run_id, JOB, as_of,
-            finished_at=as_of, status="FAILED", error_message=str(error),
-        )
-        store.commit({"runs": failed})
+        message = str(error)
+        store.publish({}, {}, log=lambda log: runs.run_record(
+            log, run_id, JOB, as_of, finished_at=as_of, status="FAILED", error_message=message
+        ))
         logger.exception("%s failed, run %d", JOB, run_id)
         raise
     logger.info("%s: %s", JOB, result)
@@ -97,14 +94,16 @@ def _ingest(
         quality.fill_defaults(parsed, INSIDER_DATA, as_of, keep=("page_id", "pos", "company_name")), "batch"
     )
     good, bad = quality.split_valid(batch, INSIDER_DATA, fail_fast=fail_fast)
+    tickers = store.read("ticker_data")
+    ticker_entry, written_tickers = store.stage("ticker_data", symbols.ingest_tickers(tickers, batch, metadata, as_of))
+    good, orphans = quality.split_references(good, INSIDER_DATA, {"ticker_data": written_tickers})
+    bad = bad.unionByName(orphans)
     rejected = quality.rejects(bad, "insider_data", JOB, as_of)
     if record_pages_without_table:
         lost = html.pages_without_table(pages).drop("html").withColumn("violations", F.array(F.lit("no table on the page")))
         rejected = rejected.unionByName(quality.rejects(lost, "pages", JOB, as_of))
 
-    tickers = store.read("ticker_data")
     indexes = store.read("index_data")
-    new_tickers = symbols.ingest_tickers(tickers, batch, metadata, as_of)
     seeds = index_rows if index_rows is not None else feeds.index_seed(store.spark)
     new_indexes = symbols.upsert_indexes(indexes, seeds, metadata)
 
@@ -123,7 +122,6 @@ def _ingest(
         target = store.read("insider_data")
     best = scratch.write(versions.best_versions(merged), "best")
     entry, written = store.stage("insider_data", versions.reconcile_amendments(merged, as_of, best))
-    ticker_entry, written_tickers = store.stage("ticker_data", new_tickers)
     index_entry, written_indexes = store.stage("index_data", new_indexes)
     stored_rejects = store.read("rejected_rows", store.months_in("rejected_rows", rejected))
     reject_entry, _ = store.stage("rejected_rows", upsert(stored_rejects, rejected, ["reject_id"]))
@@ -145,22 +143,17 @@ def _ingest(
         indexes_inserted=written_indexes.count() - indexes.count(),
         quarantined=n_bad,
     )
-    base["runs"] = store.manifest().get("runs", {})  # the log is read last
-    finished = runs.run_record(
-        store.read("runs"), run_id, JOB, as_of,
-        finished_at=as_of,
-        status="SUCCESS",
-        rows_inserted=result.tickers_inserted + result.inserted + result.indexes_inserted,
-        rows_updated=result.deactivated + result.reconciled,
-    )
-    run_entry, _ = store.stage("runs", finished)
     store.publish(
-        {
-            "insider_data": entry, "ticker_data": ticker_entry, "index_data": index_entry,
-            "rejected_rows": reject_entry, "runs": run_entry,
-        },
+        {"insider_data": entry, "ticker_data": ticker_entry, "index_data": index_entry, "rejected_rows": reject_entry},
         base,
         streams,
+        log=lambda log: runs.run_record(
+            log, run_id, JOB, as_of,
+            finished_at=as_of,
+            status="SUCCESS",
+            rows_inserted=result.tickers_inserted + result.inserted + result.indexes_inserted,
+            rows_updated=result.deactivated + result.reconciled,
+        ),
     )
     if n_bad:
         logger.warning("%s: %d rows went to rejected_rows", JOB, n_bad)

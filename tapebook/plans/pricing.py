@@ -59,7 +59,7 @@ def run_prices(
     ``requests`` (batch_id, ticker) says which symbols were asked for together; without it the
     work list is cut into batches of ``batch_size``. With requests, feed rows that carry a batch id
     count for their own batch. Only the months of the window are rewritten. Rows that break a
-    constraint go to ``rejected_rows`` in the same commit; ``streams`` are micro-batch ids to keep with it.
+    constraint or name no stored symbol go to ``rejected_rows`` in the same commit; ``streams`` are micro-batch ids to keep with it.
     """
     with Scratch(store.spark, f"{store.root}/_work") as scratch:
         result = _price(
@@ -111,16 +111,20 @@ def _price(
     shaped = PRICING_DATA.conform(prices.cast_prices(usable, as_of, source))
     batch = scratch.write(shaped, "prices")
     good, bad = quality.split_valid(batch, PRICING_DATA)
+    unknown = PRICING_DATA.conform(prices.cast_prices(prices.drop_empty_days(in_window), as_of, source))
+    _, orphans = quality.split_references(unknown, PRICING_DATA, {"ticker_data": tickers})
+    bad = scratch.write(bad.unionByName(orphans), "bad_prices")
     target = store.read("pricing_data", store.months_in("pricing_data", batch))
     new_prices = prices.upsert_prices(target, good)
 
     with_actions = outcomes.filter(F.col("batch_usable") > 0).select("ticker").distinct().join(
         work.filter("include_actions"), "ticker", "left_semi"
     )
-    landed = scratch.write(
-        keep_keys(actions.action_rows(splits, dividends, as_of, source), with_actions, ["ticker"]), "actions"
-    )
+    all_actions = scratch.write(actions.action_rows(splits, dividends, as_of, source), "all_actions")
+    landed = scratch.write(keep_keys(all_actions, with_actions, ["ticker"]), "actions")
     good_actions, bad_actions = quality.split_valid(landed, CORPORATE_ACTIONS)
+    _, orphan_actions = quality.split_references(all_actions, CORPORATE_ACTIONS, {"ticker_data": tickers})
+    bad_actions = scratch.write(bad_actions.unionByName(orphan_actions), "bad_actions")
     stored_actions = store.read("corporate_actions", store.months_in("corporate_actions", landed))
     new_actions = actions.upsert_actions(stored_actions, good_actions)
     rejected = quality.rejects(bad, "pricing_data", JOB, as_of).unionByName(

@@ -7,15 +7,17 @@ Layout under the root folder::
 
 A commit names, for each table, the folder that holds its current rows; tables laid out by
 month keep one entry per month. Readers see the newest commit file. A commit that replaces a
-table which changed since its ``base`` was read is refused, so no update is lost.
+table which changed since its ``base`` was read is refused, so no update is lost; the run log is
+carried over to whatever commit is the newest, so runs may overlap.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,8 +54,8 @@ class SnapshotStore:
         done = [n[: -len(".json")] for n in self._names("commits") if n.endswith(".json")]
         return max((int(n) for n in done if n.isdigit()), default=0)
 
-    def manifest(self) -> dict[str, dict[str, str]]:
-        version = self.version()
+    def manifest(self, version: int | None = None) -> dict[str, dict[str, str]]:
+        version = self.version() if version is None else version
         if version == 0:
             return {}
         stream = self._fs.open(self._path(f"commits/{version:010d}.json"))
@@ -62,14 +64,23 @@ class SnapshotStore:
         finally:
             stream.close()
 
-    def _publish(self, version: int, manifest: dict[str, dict[str, str]]) -> None:
-        draft = self._path(f"commits/_{version:010d}.tmp")
-        final = self._path(f"commits/{version:010d}.json")
-        stream = self._fs.create(draft, True)
+    def _publish(self, version: int, manifest: dict[str, dict[str, str]]) -> bool:
+        """Make a manifest the given version; False if another writer has taken it. Each writer has a
+        draft of its own, and the rename never replaces a file."""
+        draft = self._path(f"commits/_{version:010d}-{uuid.uuid4().hex}.tmp")
+        stream = self._fs.create(draft, False)
         stream.write(bytearray(json.dumps(manifest, sort_keys=True).encode()))
         stream.close()
-        if self._fs.exists(final) or not self._fs.rename(draft, final):
-            raise RuntimeError(f"commit {version} was taken by another writer; run the job again")
+        keep = self.spark.sparkContext._gateway.new_array(getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        files = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self._fs.getConf())
+        try:
+            files.rename(draft, self._path(f"commits/{version:010d}.json"), keep)
+        except Py4JJavaError as error:
+            self._fs.delete(draft, False)
+            if "FileAlreadyExists" in error.java_exception.getClass().getName():
+                return False
+            raise
+        return True
 
     def tables(self) -> list[str]:
         return list(TABLES)
@@ -77,10 +88,10 @@ class SnapshotStore:
     def _folder(self, table: Table, part: str, folder: str) -> str:
         return f"{self.root}/data/{table.name}/{folder}" + (f"/month={part}" if part != WHOLE else "")
 
-    def read(self, name: str, months: Iterable[str] | None = None) -> DataFrame:
-        """Current rows of a table; ``months`` limits a month-laid table to those folders."""
+    def read(self, name: str, months: Iterable[str] | None = None, manifest: dict | None = None) -> DataFrame:
+        """Current rows of a table (or those of a manifest); ``months`` limits a month-laid table to those folders."""
         table = TABLES[name]
-        parts = self.manifest().get(name, {})
+        parts = (self.manifest() if manifest is None else manifest).get(name, {})
         if months is not None:
             wanted = set(months)
             parts = {p: v for p, v in parts.items() if p in wanted}
@@ -123,19 +134,30 @@ class SnapshotStore:
         base = self.manifest() if base is None else base
         return self.publish({n: self.stage(n, df)[0] for n, df in changes.items()}, base, streams)
 
-    def publish(self, entries: dict[str, dict[str, str]], base: dict, streams: dict | None = None) -> int:
+    def publish(
+        self, entries: dict[str, dict[str, str]], base: dict, streams: dict | None = None, log: Callable[[DataFrame], DataFrame] | None = None
+    ) -> int:
         """Make staged entries current. A whole table is replaced, months are replaced one by one.
-        ``base`` is the manifest from before the tables were read; ``streams`` are batch ids to keep."""
-        version, manifest = self.version() + 1, self.manifest()
-        changed = [n for n in entries if manifest.get(n) != base.get(n)]
-        if changed:
-            raise RuntimeError(f"{', '.join(changed)} changed since it was read; run the job again")
-        for name, entry in entries.items():
-            manifest[name] = entry if TABLES[name].month_of is None else manifest.get(name, {}) | entry
-        if streams:
-            manifest[STREAMS] = manifest.get(STREAMS, {}) | streams
-        self._publish(version, manifest)
-        return version
+        ``base`` is the manifest from before the tables were read; ``streams`` are batch ids to keep.
+
+        ``log`` gives the new run log from the one that the commit replaces. A commit that another writer
+        overtakes is tried again on top of it, unless that one changed a table of this one.
+        """
+        while True:
+            version = self.version()
+            manifest = self.manifest(version)
+            changed = [n for n in entries if manifest.get(n) != base.get(n)]
+            if changed:
+                raise RuntimeError(f"{', '.join(changed)} changed since it was read; run the job again")
+            entries_now = dict(entries)
+            if log is not None:
+                entries_now["runs"] = self.stage("runs", log(self.read("runs", manifest=manifest)))[0]
+            for name, entry in entries_now.items():
+                manifest[name] = entry if TABLES[name].month_of is None else manifest.get(name, {}) | entry
+            if streams:
+                manifest[STREAMS] = manifest.get(STREAMS, {}) | streams
+            if self._publish(version + 1, manifest):
+                return version + 1
 
     def last_batch(self, stream: str) -> int:
         """Number of the last micro-batch of a stream that a commit holds; -1 for none."""

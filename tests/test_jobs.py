@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import AS_OF, LATER, cells, metadata_frame, page, pages_frame
+from tapebook.operators import quality, runs
 from tapebook.plans.disclosures import run_disclosures
 from tapebook.plans.pricing import run_prices
 from tapebook.session import Scratch
@@ -134,6 +135,67 @@ def test_interleaved_jobs_lose_no_update(spark, store):
     assert {r["status"] for r in store.read("ticker_data").collect()} == {"OTHER"}
 
 
+def test_a_commit_that_is_overtaken_goes_on_top(spark, store, monkeypatch):
+    """Another writer publishes between this one's look at the newest commit and its own commit."""
+    entry, _ = store.stage("index_data", spark.createDataFrame([("^A", "a")], "ticker string, index_name string"))
+    publish, others = SnapshotStore._publish, []
+
+    def overtaken(self, version, manifest):
+        if not others:
+            others.append(True)
+            seed_symbols(spark, SnapshotStore(spark, store.root), {"A": None})
+        return publish(self, version, manifest)
+
+    monkeypatch.setattr(SnapshotStore, "_publish", overtaken)
+    assert store.publish({"index_data": entry}, {}) == 2
+    assert rows(store.read("index_data"), "ticker") == [("^A",)] and rows(store.read("ticker_data"), "ticker") == [("A",)]
+
+
+def test_runs_that_start_together_get_ids_of_their_own(spark, store, monkeypatch):
+    record, ids = runs.run_record, []
+
+    def interrupted(log, run_id, job, *args, **more):
+        if not ids:
+            ids.append(None)
+            ids[0] = runs.start_run(SnapshotStore(spark, store.root), "other", AS_OF)
+        return record(log, run_id, job, *args, **more)
+
+    monkeypatch.setattr(runs, "run_record", interrupted)
+    mine = runs.start_run(store, "mine", AS_OF)
+    assert sorted([ids[0], mine]) == [1, 2]
+    assert rows(store.read("runs"), "run_id", "job_name") == [(1, "other"), (2, "mine")]
+
+
+def test_references_are_checked(spark, store):
+    bars = spark.createDataFrame([("A",), ("Z",), (None,), ("Z",)], "ticker string")
+    known = spark.createDataFrame([("A",), ("B",)], "ticker string")
+    good, orphans = quality.split_references(bars, PRICING_DATA, {"ticker_data": known})
+    assert rows(good, "ticker") == [("A",), (None,)] and good.columns == ["ticker"]
+    assert rows(orphans, "ticker", "violations") == [("Z", ["ticker has no row in ticker_data"])] * 2
+    unchecked, none = quality.split_references(bars, PRICING_DATA, {})
+    assert unchecked.count() == 4 and none.count() == 0
+
+    seed_symbols(spark, store, {"A": None})
+    splits = spark.createDataFrame([("A", AS_OF, 2.0), ("Q", AS_OF, 2.0)], SPLITS)
+    result = run_prices(store, feed_frame(spark, [bar("A", 25, 4.0), bar("Z", 25, 4.0)]), AS_OF, splits=splits)
+    assert (result.price_rows, result.quarantined) == (1, 2)
+    assert rows(store.read("rejected_rows"), "table_name", "violations") == [
+        ("corporate_actions", "ticker has no row in ticker_data"), ("pricing_data", "ticker has no row in ticker_data"),
+    ]
+
+
+def test_sorted_export(spark, tmp_path):
+    data = [(k * 7919 % 1000, f'v "{k}"' if k % 3 else None) for k in range(1000)]
+    frame = spark.createDataFrame(data, "k int, v string").repartition(7)
+    listed = export.write_sorted_csv(frame, str(tmp_path / "out"), ["k"], rows_per_part=100).orderBy("position").collect()
+    assert len(listed) > 5 and sum(r.n_lines for r in listed) == 1000 and {r["columns"] for r in listed} == {"k,v"}
+    joined = "".join((tmp_path / "out" / "parts" / r.part).read_text() for r in listed)
+    want = sorted(data)
+    assert [(int(a), b or None) for a, b in csv.reader(joined.splitlines())] == want
+    lines = sorted(tuple(r) for r in export.read_sorted_lines(spark, str(tmp_path / "out")).collect())
+    assert lines == [(i, line) for i, line in enumerate(joined.splitlines(), 1)]
+
+
 def test_a_replayed_price_batch_changes_nothing(spark, store):
     seed_symbols(spark, store, {"A": None, "B": None})
     feed = feed_frame(spark, [bar("A", 25, 4.0)])
@@ -166,8 +228,9 @@ def test_store_versions(spark, store):
     assert {m: int(f.split("-")[0]) for m, f in folders.items()} == {"2024-01": 1, "2024-02": 2}
     assert rows(store.read("pricing_data"), "ticker", "date") == [("A", date(2024, 1, 2)), ("B", date(2024, 2, 3))]
     assert rows(store.read("pricing_data", ["2024-01"]), "ticker") == [("A",)]
-    with pytest.raises(RuntimeError, match="taken by another writer"):
-        store._publish(2, {})
+    before = store.manifest()
+    assert store._publish(2, {}) is False and store.manifest() == before and store._publish(3, before)
+    assert store._names("commits") and not [n for n in store._names("commits") if n.endswith(".tmp")]
 
 
 def test_create_tables(store):
@@ -220,7 +283,7 @@ def test_price_job(spark, store):
          ("WATCHED", datetime(2024, 1, 24), -1.0)], SPLITS)
     dividends = spark.createDataFrame([("GONE", datetime(2024, 1, 24), 0.5), ("LATEBAD", datetime(2024, 1, 24), 0.5)], DIVIDENDS)
     result = run_prices(store, feed, AS_OF, splits=splits, dividends=dividends, batch_status=status, requests=requests)
-    assert (result.requested, result.priced, result.price_rows, result.quarantined) == (8, 4, 5, 1)
+    assert (result.requested, result.priced, result.price_rows, result.quarantined) == (8, 4, 5, 2)  # one is the stranger's
     assert rows(store.read("pricing_data"), "ticker", "date", "close") == [
         ("EXPIRED", date(2024, 1, 25), 2.0), ("GOOD", date(2024, 1, 24), 10.0), ("GOOD", date(2024, 1, 25), 11.0),
         ("WATCHED", date(2024, 1, 24), 3.0), ("^DJI", date(2024, 1, 25), 7.0)]

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import AS_OF, LATER, metadata_frame, tx
+from tapebook.functions import identity
 from tapebook.operators import actions, health, keyed, paging, prices, quality, runs, symbols
 from tapebook.schemas import CORPORATE_ACTIONS, INDEX_DATA, INSIDER_DATA, METADATA, OHLCV_LONG, PRICING_DATA, RUNS, TABLES, TICKER_DATA
 from tapebook.sources import feeds
@@ -56,6 +57,12 @@ def test_defaults_and_constraints(spark):
         strict.collect()
 
 
+@pytest.mark.parametrize("value", [1e100, 1e-100, 5e-324, 1.7976931348623157e308, 2.5e-10, -3.25e123, 1e16, 1e-5])
+def test_texts_of_extreme_values(spark, value):
+    got = spark.range(1).select(identity.float_text(F.lit(value)).alias("t")).first().t
+    assert got == repr(value)
+
+
 def test_action_constraints(spark):
     splits = spark.createDataFrame([("A", -1.0), ("B", 0.0), ("C", None), ("D", 2.0)], "ticker string, ratio double")
     divs = spark.createDataFrame([("A", -1.0), ("B", 0.0), ("C", None), ("D", 0.5)], "ticker string, cash double")
