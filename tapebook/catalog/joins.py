@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import keyed, prices, quality
 from ..operators.skew import lookup_join
 from ..plans.pricing import work_list
+from ..sources import feeds
 from ..sources.feeds import metadata_columns
 from .registry import TX_SQL, bars, bars_sql, day_text, disclosures, query, table
 
@@ -111,6 +112,38 @@ def enrich_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _any_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as JSON metadata with nested values and values that are no text."""
+    rating = F.struct(F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation"))
+    tags = F.when(F.col("c_nationkey") > 10, F.array("c_mktsegment"))
+    info = F.struct(F.col("c_name").alias("shortName"), rating.alias("rating"), (F.col("c_acctbal") > 0).alias("credit"), tags.alias("tags"))
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("ticker"), F.to_json(info).alias("info"))
+
+
+@query(
+    "metadata_paths",
+    """SELECT CAST(c_custkey AS VARCHAR) AS ticker, c_name AS short_name, c_mktsegment AS segment, CAST(c_nationkey AS BIGINT) AS nation,
+    CASE WHEN c_nationkey > 10 THEN '["' || c_mktsegment || '"]' END AS tags, CAST(NULL AS BIGINT) AS city FROM customer""",
+)
+def metadata_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values by their paths, nested ones and lists included; a path that is absent is NULL."""
+    paths = {
+        "short_name": ("$.shortName", "string"), "segment": ("$.rating.segment", "string"), "nation": ("$.rating.nation", "bigint"),
+        "tags": ("$.tags", "string"), "city": ("$.rating.segment", "bigint"),
+    }
+    return feeds.metadata_paths(_any_metadata(spark, sf_dir), paths)
+
+
+@query(
+    "metadata_unknown_keys",
+    """SELECT 'rating' AS key, 'object' AS kind, count(*) AS n_rows FROM customer
+  UNION ALL SELECT 'credit', 'boolean', count(*) FROM customer
+  UNION ALL SELECT 'tags', 'array', count(*) FROM customer WHERE c_nationkey > 10""",
+)
+def metadata_unknown_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feeds.unknown_keys(_any_metadata(spark, sf_dir))
+
+
 @query(
     "max_date_writeback",
     """SELECT CAST(c_custkey AS VARCHAR) AS ticker, strftime(greatest(

@@ -87,3 +87,33 @@ def metadata_columns(metadata: DataFrame) -> DataFrame:
     picked = [F.try_element_at(info, F.lit(k)).alias(c) for k, c in METADATA_KEYS.items()]
     columns = list(METADATA_KEYS.values())
     return first_per_key(metadata.select("ticker", *picked), ["ticker"], *[F.col(c).asc_nulls_last() for c in columns])
+
+
+def metadata_values(metadata: DataFrame) -> DataFrame:
+    """The rows with ``info`` as VARIANT, whatever its shape: a map, or JSON text with values of any kind
+    and depth. Text that is no JSON gives NULL."""
+    info = F.col("info")
+    if not isinstance(metadata.schema["info"].dataType, T.StringType):
+        info = F.to_json(info)
+    return metadata.withColumn("info", F.try_parse_json(info))
+
+
+def metadata_paths(metadata: DataFrame, paths: dict[str, tuple[str, str]]) -> DataFrame:
+    """One row per symbol with a column for each path: name -> (path such as ``$.address.city``, type).
+
+    A value of another kind, or an absent path, is NULL; an object or array asked for as text is its
+    JSON. Of repeated symbols the first row counts, by the columns in their order with NULL last.
+    """
+    values = metadata_values(metadata)
+    picked = [F.try_variant_get("info", path, kind).alias(name) for name, (path, kind) in paths.items()]
+    return first_per_key(values.select("ticker", *picked), ["ticker"], *[F.col(c).asc_nulls_last() for c in paths])
+
+
+def unknown_keys(metadata: DataFrame, known: tuple[str, ...] = tuple(METADATA_KEYS)) -> DataFrame:
+    """(key, kind, n_rows): top-level keys that no column takes, with the kind of their values (``object``,
+    ``array``, ``string``, ``bigint``, ...), counted in each task first."""
+    values = metadata_values(metadata).select("info").filter(F.col("info").isNotNull())
+    spark = metadata.sparkSession
+    pairs = values.lateralJoin(spark.tvf.variant_explode(F.col("info").outer())).filter(F.col("key").isNotNull())
+    kind = F.lower(F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0))
+    return pairs.filter(~F.col("key").isin(*known)).groupBy("key", kind.alias("kind")).agg(F.count(F.lit(1)).alias("n_rows"))
