@@ -25,13 +25,13 @@ _KNOWN_SQL = f"""known AS (SELECT CAST(c_custkey AS VARCHAR) AS ticker FROM cust
   feed AS (SELECT * FROM b WHERE date BETWEEN DATE '{FIRST}' AND DATE '{LAST}')"""
 
 
-def _folder(spark: SparkSession, kind: str) -> str:
+def shared_path(spark: SparkSession, kind: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/tapebook/{kind}-{uuid.uuid4().hex}"
 
 
 def _priced(spark: SparkSession, sf_dir: str) -> SnapshotStore:
     """A store of its own after one run of the price job, which asks for all symbols at once."""
-    store = SnapshotStore(spark, _folder(spark, "store"))
+    store = SnapshotStore(spark, shared_path(spark, "store"))
     known = table(spark, sf_dir, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").cast("string").alias("ticker"))
     store.commit({"ticker_data": fill_defaults(known, TICKER_DATA, RUN)})
     feed = bars(spark, sf_dir).withColumns(
@@ -84,6 +84,6 @@ def price_run_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders as sorted CSV parts, read again line by line."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", day_text("o_orderdate").alias("o_orderdate"))
-    path = _folder(spark, "export")
+    path = shared_path(spark, "export")
     write_sorted_csv(orders, path, ["o_orderdate", "o_orderkey"], rows_per_part=4000)
     return read_sorted_lines(spark, path)
