@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import asdict
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import fill_defaults
-from ..plans.pricing import run_prices
+from ..plans.pricing import PriceResult, run_prices
 from ..schemas import TICKER_DATA
 from ..session import scratch_root
 from ..sources.export import read_sorted_lines, write_sorted_csv
@@ -29,7 +30,7 @@ def shared_path(spark: SparkSession, kind: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/tapebook/{kind}-{uuid.uuid4().hex}"
 
 
-def _priced(spark: SparkSession, sf_dir: str) -> SnapshotStore:
+def _run(spark: SparkSession, sf_dir: str) -> tuple[SnapshotStore, PriceResult]:
     """A store of its own after one run of the price job, which asks for all symbols at once."""
     store = SnapshotStore(spark, shared_path(spark, "store"))
     known = table(spark, sf_dir, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").cast("string").alias("ticker"))
@@ -37,8 +38,11 @@ def _priced(spark: SparkSession, sf_dir: str) -> SnapshotStore:
     feed = bars(spark, sf_dir).withColumns(
         {"batch_id": F.lit(None).cast("string"), "adj_close": F.lit(None).cast("double"), "volume": F.col("volume").cast("double")}
     )
-    run_prices(store, feed, RUN, requests=known.withColumn("batch_id", F.lit("all")), term_days=5)
-    return store
+    return store, run_prices(store, feed, RUN, requests=known.withColumn("batch_id", F.lit("all")), term_days=5)
+
+
+def _priced(spark: SparkSession, sf_dir: str) -> SnapshotStore:
+    return _run(spark, sf_dir)[0]
 
 
 @query(
@@ -76,6 +80,19 @@ def price_run_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.groupBy(ticker, "table_name", "violations").agg(F.sum("n_rows").alias("n_rows"))
 
 
+@query(
+    "price_run_counters",
+    f"""WITH {_KNOWN_SQL}
+  SELECT (SELECT count(*) FROM known) AS requested, (SELECT count(DISTINCT ticker) FROM feed WHERE ticker IN (SELECT ticker FROM known)) AS priced,
+    (SELECT count(*) FROM feed WHERE ticker IN (SELECT ticker FROM known)) AS price_rows,
+    (SELECT count(*) FROM feed WHERE ticker NOT IN (SELECT ticker FROM known)) AS quarantined""",
+)
+def price_run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters of a run, taken from its writes."""
+    counters = asdict(_run(spark, sf_dir)[1])
+    return spark.range(1).select(*[F.lit(n).cast("long").alias(name) for name, n in counters.items()])
+
+
 @query(
     "csv_export",
     """SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS line_no,

@@ -6,13 +6,13 @@ import logging
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import quality, runs, symbols, versions
 from ..operators.keyed import absent_rows, first_per_key, upsert
 from ..schemas import INSIDER_DATA
-from ..session import Scratch
+from ..session import Observed, Scratch
 from ..sources import feeds, html
 from ..sources.store import SnapshotStore
 
@@ -34,6 +34,10 @@ class IngestResult:
     quarantined: int
 
 
+def _inactive() -> Column:
+    return F.count_if(F.col("is_active") == 0)
+
+
 def run_disclosures(
     store: SnapshotStore,
     pages: DataFrame,
@@ -90,18 +94,22 @@ def _ingest(
     base = store.manifest()
     scanned = pages if record_pages_without_table else html.require_table(pages)
     parsed = html.normalize_disclosures(html.extract_disclosures(scanned))
+    seen = Observed(n_rows=F.count(F.lit(1)))
     batch = scratch.write(
-        quality.fill_defaults(parsed, INSIDER_DATA, as_of, keep=("page_id", "pos", "company_name")), "batch"
+        quality.fill_defaults(parsed, INSIDER_DATA, as_of, keep=("page_id", "pos", "company_name")), "batch", seen
     )
     good, bad = quality.split_valid(batch, INSIDER_DATA, fail_fast=fail_fast)
     tickers = store.read("ticker_data")
-    ticker_entry, written_tickers = store.stage("ticker_data", symbols.ingest_tickers(tickers, batch, metadata, as_of))
+    symbols_after = Observed(n_rows=F.count(F.lit(1)))
+    ticker_entry, written_tickers = store.stage("ticker_data", symbols.ingest_tickers(tickers, batch, metadata, as_of), symbols_after)
     good, orphans = quality.split_references(good, INSIDER_DATA, {"ticker_data": written_tickers})
     bad = bad.unionByName(orphans)
     rejected = quality.rejects(bad, "insider_data", JOB, as_of)
     if record_pages_without_table:
         lost = html.pages_without_table(pages).drop("html").withColumn("violations", F.array(F.lit("no table on the page")))
         rejected = rejected.unionByName(quality.rejects(lost, "pages", JOB, as_of))
+    refused = Observed(n_rows=F.sum("n_rows"), n_broken=F.sum(F.when(F.col("table_name") == "insider_data", F.col("n_rows"))))
+    rejected = scratch.write(rejected, "rejected", refused)
 
     indexes = store.read("index_data")
     seeds = index_rows if index_rows is not None else feeds.index_seed(store.spark)
@@ -110,37 +118,36 @@ def _ingest(
     months = store.months_in("insider_data", batch)
     target = store.read("insider_data", months)
     one_each = first_per_key(good, ["transaction_id"], "page_id", "pos")
+    new = Observed(n_rows=F.count(F.lit(1)))
     fresh = scratch.write(
-        absent_rows(one_each, target, ["transaction_id"], asked=good.select("transaction_id").distinct()), "fresh"
+        absent_rows(one_each, target, ["transaction_id"], asked=good.select("transaction_id").distinct()), "fresh", new
     )
     first_new = scratch.write(versions.first_amendments(fresh), "first_new")
-    merged = scratch.write(versions.supersede(target, fresh, as_of, first_new=first_new), "merged")
+    superseded, reconciled = Observed(n_inactive=_inactive()), Observed(n_inactive=_inactive())
+    merged = scratch.write(versions.supersede(target, fresh, as_of, first_new=first_new), "merged", superseded)
+    before = target.agg(_inactive()).first()[0]
 
+    others = 0
     if reconcile_all:
-        others = [m for m in store.manifest().get("insider_data", {}) if m not in set(months)]
-        merged = merged.unionByName(store.read("insider_data", others))
-        target = store.read("insider_data")
+        untouched = store.read("insider_data", [m for m in base.get("insider_data", {}) if m not in set(months)])
+        others = untouched.agg(_inactive()).first()[0]
+        merged = merged.unionByName(untouched)
     best = scratch.write(versions.best_versions(merged), "best")
-    entry, written = store.stage("insider_data", versions.reconcile_amendments(merged, as_of, best))
-    index_entry, written_indexes = store.stage("index_data", new_indexes)
+    entry, _ = store.stage("insider_data", versions.reconcile_amendments(merged, as_of, best), reconciled)
+    indexes_after = Observed(n_rows=F.count(F.lit(1)))
+    index_entry, _ = store.stage("index_data", new_indexes, indexes_after)
     stored_rejects = store.read("rejected_rows", store.months_in("rejected_rows", rejected))
     reject_entry, _ = store.stage("rejected_rows", upsert(stored_rejects, rejected, ["reject_id"]))
 
-    def inactive(df: DataFrame) -> int:
-        return df.filter(F.col("is_active") == 0).count()
-
-    inserted = fresh.count()
-    n_bad = rejected.agg(F.sum("n_rows")).first()[0] or 0
-    n_broken = bad.count()
-    before, between, after = inactive(target), inactive(merged), inactive(written)
+    n_bad = refused["n_rows"]
     result = IngestResult(
         run_id=run_id,
-        tickers_inserted=written_tickers.count() - tickers.count(),
-        inserted=inserted,
-        skipped=batch.count() - n_broken - inserted,
-        deactivated=between - before,
-        reconciled=after - between,
-        indexes_inserted=written_indexes.count() - indexes.count(),
+        tickers_inserted=symbols_after["n_rows"] - tickers.count(),
+        inserted=new["n_rows"],
+        skipped=seen["n_rows"] - refused["n_broken"] - new["n_rows"],
+        deactivated=superseded["n_inactive"] - before,
+        reconciled=reconciled["n_inactive"] - others - superseded["n_inactive"],
+        indexes_inserted=indexes_after["n_rows"] - indexes.count(),
         quarantined=n_bad,
     )
     store.publish(
@@ -158,4 +165,3 @@ def _ingest(
     if n_bad:
         logger.warning("%s: %d rows went to rejected_rows", JOB, n_bad)
     return result
-

@@ -14,7 +14,7 @@ from ..operators import actions, health, paging, prices, quality, symbols
 from ..operators.keyed import upsert
 from ..operators.skew import keep_keys
 from ..schemas import BATCH_STATUS, CORPORATE_ACTIONS, DIVIDENDS, PRICING_DATA, SPLITS
-from ..session import Scratch
+from ..session import Observed, Scratch
 from ..sources.store import SnapshotStore
 
 logger = logging.getLogger(__name__)
@@ -100,20 +100,23 @@ def _price(
 
     window = clock.price_window(as_of, term_days)
     in_window = feed.filter(clock.in_window(F.col("date"), window))
+    asked_for, priced = Observed(n_rows=F.count(F.lit(1))), Observed(n_rows=F.count(F.lit(1)))
     outcomes = scratch.write(
         health.feed_outcomes(asked, health.feed_counts(in_window if requests is not None else in_window.drop("batch_id")), status),
-        "outcomes",
+        "outcomes", asked_for,
     )
     failed = health.failure_batch(outcomes)
-    succeeded = outcomes.filter("succeeded").select("ticker").distinct()
+    succeeded = scratch.write(outcomes.filter("succeeded").select("ticker").distinct(), "succeeded", priced)
 
     usable = keep_keys(prices.drop_empty_days(in_window), succeeded, ["ticker"])
     shaped = PRICING_DATA.conform(prices.cast_prices(usable, as_of, source))
-    batch = scratch.write(shaped, "prices")
+    usable_rows = Observed(n_rows=F.count_if(F.size(quality.violations(PRICING_DATA)) == 0))
+    bad_rows, bad_action_rows = Observed(n_rows=F.count(F.lit(1))), Observed(n_rows=F.count(F.lit(1)))
+    batch = scratch.write(shaped, "prices", usable_rows)
     good, bad = quality.split_valid(batch, PRICING_DATA)
     unknown = PRICING_DATA.conform(prices.cast_prices(prices.drop_empty_days(in_window), as_of, source))
     _, orphans = quality.split_references(unknown, PRICING_DATA, {"ticker_data": tickers})
-    bad = scratch.write(bad.unionByName(orphans), "bad_prices")
+    bad = scratch.write(bad.unionByName(orphans), "bad_prices", bad_rows)
     target = store.read("pricing_data", store.months_in("pricing_data", batch))
     new_prices = prices.upsert_prices(target, good)
 
@@ -124,7 +127,7 @@ def _price(
     landed = scratch.write(keep_keys(all_actions, with_actions, ["ticker"]), "actions")
     good_actions, bad_actions = quality.split_valid(landed, CORPORATE_ACTIONS)
     _, orphan_actions = quality.split_references(all_actions, CORPORATE_ACTIONS, {"ticker_data": tickers})
-    bad_actions = scratch.write(bad_actions.unionByName(orphan_actions), "bad_actions")
+    bad_actions = scratch.write(bad_actions.unionByName(orphan_actions), "bad_actions", bad_action_rows)
     stored_actions = store.read("corporate_actions", store.months_in("corporate_actions", landed))
     new_actions = actions.upsert_actions(stored_actions, good_actions)
     rejected = quality.rejects(bad, "pricing_data", JOB, as_of).unionByName(
@@ -153,8 +156,8 @@ def _price(
         streams,
     )
     return PriceResult(
-        requested=asked.count(),
-        priced=succeeded.count(),
-        price_rows=good.count(),
-        quarantined=bad.count() + bad_actions.count(),
+        requested=asked_for["n_rows"],
+        priced=priced["n_rows"],
+        price_rows=usable_rows["n_rows"],
+        quarantined=bad_rows["n_rows"] + bad_action_rows["n_rows"],
     )

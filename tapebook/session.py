@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections import Counter
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def build_session(app: str = "tapebook", master: str | None = None, **conf: str) -> SparkSession:
@@ -39,6 +39,25 @@ def scratch_root(spark: SparkSession) -> str:
     return shared_folder(spark, tempfile.gettempdir())
 
 
+class Observed:
+    """Numbers taken from rows while they are written, so that nothing is read again to count it.
+
+    A write observes them in its last stage, where each task counts once however often it runs.
+    A number over no rows is 0.
+    """
+
+    def __init__(self, **numbers: Column):
+        self._numbers = numbers
+        self._seen = Observation()
+
+    def over(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._seen, *[number.alias(name) for name, number in self._numbers.items()])
+
+    def __getitem__(self, name: str) -> int:
+        """Known once the write is done."""
+        return int(self._seen.get.get(name) or 0)
+
+
 class Scratch:
     """Intermediate tables of one job, in the shared folder, removed when the job ends.
 
@@ -52,10 +71,10 @@ class Scratch:
         self.root = f"{shared_folder(spark, fallback).rstrip('/')}/tapebook/{uuid.uuid4().hex}"
         self._written: Counter[str] = Counter()
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, observed: Observed | None = None) -> DataFrame:
         self._written[name] += 1
         path = f"{self.root}/{name}" + (f"~{self._written[name]}" if self._written[name] > 1 else "")
-        df.write.parquet(path)
+        (observed.over(df) if observed else df).write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def __enter__(self) -> Scratch:

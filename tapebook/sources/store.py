@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import TABLES, Table
+from ..session import Observed
 
 WHOLE = ""
 NO_MONTH = "none"
@@ -105,18 +106,19 @@ class SnapshotStore:
         column = TABLES[name].month_of
         return [r[0] for r in batch.select(month_of(column).alias("m")).distinct().collect()]
 
-    def stage(self, name: str, rows: DataFrame) -> tuple[dict[str, str], DataFrame]:
-        """Write rows for a coming commit; returns its manifest entry and the written rows."""
+    def stage(self, name: str, rows: DataFrame, observed: Observed | None = None) -> tuple[dict[str, str], DataFrame]:
+        """Write rows for a coming commit; returns its manifest entry and the written rows. ``observed``
+        takes numbers from them on the way."""
         table = TABLES[name]
         shaped = table.conform(rows)
         folder = f"{self.version() + 1:010d}-{uuid.uuid4().hex[:12]}"
         base = self._folder(table, WHOLE, folder)
         if table.month_of is None:
-            shaped.write.parquet(base)
+            (observed.over(shaped) if observed else shaped).write.parquet(base)
             return {WHOLE: folder}, self.spark.read.schema(table.schema).parquet(base)
         # The rebalance hint gathers a month into few files and splits a month that is too large.
         laid_out = shaped.withColumn("month", month_of(table.month_of)).hint("rebalance", "month")
-        laid_out.write.partitionBy("month").parquet(base)
+        (observed.over(laid_out) if observed else laid_out).write.partitionBy("month").parquet(base)
         parts = [n.split("=", 1)[1] for n in self._names(f"data/{name}/{folder}") if n.startswith("month=")]
         folders = [self._folder(table, p, folder) for p in sorted(parts)]
         written = self.spark.read.schema(table.schema).parquet(*folders) if parts else table.empty(self.spark)

@@ -13,7 +13,7 @@ from fixtures import AS_OF, LATER, cells, metadata_frame, page, pages_frame
 from tapebook.operators import quality, runs
 from tapebook.plans.disclosures import run_disclosures
 from tapebook.plans.pricing import run_prices
-from tapebook.session import Scratch
+from tapebook.session import Observed, Scratch
 from tapebook.schemas import (
     BATCH_STATUS, DIVIDENDS, OHLCV_LONG, PRICING_DATA, REQUESTS, SPLITS, TABLES,
     TICKER_DATA, TICKER_EXCLUSIONS, TICKER_FAILURES,
@@ -378,3 +378,32 @@ def test_scratch_uses_the_shared_folder_and_cleans_up(spark, tmp_path):
         assert scratch.root.startswith(f"{shared}/tapebook/")
         assert scratch.write(spark.range(3), "rows").count() == 3 and os.path.exists(scratch.root)
     assert not os.path.exists(scratch.root) and not list(tmp_path.iterdir())
+
+
+def test_numbers_come_from_the_writes(spark, store, monkeypatch):
+    """Only tables of the last commit are counted, never what the run has written."""
+    run_disclosures(store, pages_frame(spark, first_page()), metadata_frame(spark), AS_OF)
+    stored = {f for t in ("ticker_data", "index_data") for f in store.read(t).inputFiles()}
+    count = type(spark.range(1)).count
+
+    def watched(df):
+        assert set(df.inputFiles()) <= stored
+        return count(df)
+
+    monkeypatch.setattr(type(spark.range(1)), "count", watched)
+    pages = pages_frame(spark, page([cells(href="/1"), cells(href="/9", x="A"), cells(href="/5", filed="no")]), first_id=2)
+    again = run_disclosures(store, pages, metadata_frame(spark), LATER)
+    assert (again.inserted, again.skipped, again.quarantined, again.tickers_inserted) == (1, 1, 1, 0)
+    stored |= set(store.read("ticker_data").inputFiles())
+    priced = run_prices(store, feed_frame(spark, [bar("AAA", 25, 4.0), bar("ZZZ", 25, 1.0)]), LATER)
+    assert (priced.priced, priced.price_rows, priced.quarantined) == (1, 1, 1)
+
+
+def test_observed_numbers_of_empty_rows(spark, tmp_path):
+    with Scratch(spark, str(tmp_path)) as scratch:
+        for rows in (spark.range(0), spark.range(5).join(spark.range(9, 12), "id"), spark.range(5).limit(0)):
+            seen = Observed(n=F.count(F.lit(1)), s=F.sum("id"))
+            assert scratch.write(rows, "none", seen).count() == 0 and (seen["n"], seen["s"]) == (0, 0)
+        seen = Observed(n=F.count(F.lit(1)), s=F.sum("id"))
+        scratch.write(spark.range(5).repartition(3), "some", seen)
+        assert (seen["n"], seen["s"]) == (5, 10)
