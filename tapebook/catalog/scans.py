@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clock, identity, rules, text
@@ -400,24 +400,33 @@ def failure_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def table_page_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One page per customer with a table of its orders; every other row holds a table of its own."""
-    link = F.concat(F.lit('<a href="/o/'), "o_orderkey", F.lit('">'), day_text("o_orderdate"), F.lit("</a>"))
     nested = F.lit("A<table><tr><td> x</td><td>y </td></tr></table>z")
+    company = F.when(F.col("o_orderkey") % 2 == 1, nested).otherwise("A &amp; z")
+    return scanned_orders(order_pages(spark, sf_dir, company))
+
+
+def order_pages(spark: SparkSession, sf_dir: str, company: Column) -> DataFrame:
+    """(page_id, html): one page per customer with a table of its orders."""
+    link = F.concat(F.lit('<a href="/o/'), "o_orderkey", F.lit('">'), day_text("o_orderdate"), F.lit("</a>"))
     cells = {
         "Filing Date": link,
         "Ticker": F.concat(F.lit("<b>C"), "o_custkey", F.lit("</b>")),
-        "Company Name": F.when(F.col("o_orderkey") % 2 == 1, nested).otherwise("A &amp; z"),
+        "Company Name": company,
         "Title": F.col("o_orderpriority"),
     }
     row = F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), cells.get(h, F.lit("-")), F.lit("</td>")) for h in html.KEPT_HEADERS], F.lit("</tr>"))
     head = "".join(f"<th>{h}</th>" for h in html.KEPT_HEADERS)
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", row.alias("row"))
-    pages = orders.groupBy(F.col("o_custkey").alias("page_id")).agg(
+    return orders.groupBy(F.col("o_custkey").alias("page_id")).agg(
         F.concat(
             F.lit(f'<p>before</p><table class="tinytable wide"><tr>{head}</tr>'),
             F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o_orderkey", "row"))), lambda r: r["row"]), "\n"),
             F.lit("</table><table><tr><td>after</td></tr></table>"),
         ).alias("html")
     )
+
+
+def scanned_orders(pages: DataFrame) -> DataFrame:
     return html.extract_disclosures(html.require_table(pages)).select(
         "page_id", "pos", "filing_date", "ticker", "company_name", "title", "source_url"
     )

@@ -54,7 +54,8 @@ def run_disclosures(
 
     Rows that break a constraint go to ``rejected_rows`` in the same commit; with ``fail_fast`` they
     end the run. A page without the table ends the run, unless ``record_pages_without_table``
-    sends it there too. ``streams`` are micro-batch ids to keep with the commit.
+    sends it there too. Pages may be landed bytes (``body``, and ``charset`` if the server declared one);
+    those that can't be decoded go there as well. ``streams`` are micro-batch ids to keep with the commit.
 
     The parsed batch is written once to the shared folder; every later step reads only the
     columns it needs from there. All versions of a disclosure share its trade date, so only the
@@ -92,6 +93,9 @@ def _ingest(
     streams: dict[str, int] | None,
 ) -> IngestResult:
     base = store.manifest()
+    undecodable = None
+    if "body" in pages.columns:
+        pages, undecodable = feeds.decode_pages(pages, fail_fast=fail_fast)
     scanned = pages if record_pages_without_table else html.require_table(pages)
     parsed = html.normalize_disclosures(html.extract_disclosures(scanned))
     seen = Observed(n_rows=F.count(F.lit(1)))
@@ -108,6 +112,8 @@ def _ingest(
     if record_pages_without_table:
         lost = html.pages_without_table(pages).drop("html").withColumn("violations", F.array(F.lit("no table on the page")))
         rejected = rejected.unionByName(quality.rejects(lost, "pages", JOB, as_of))
+    if undecodable is not None:
+        rejected = rejected.unionByName(quality.rejects(undecodable, "pages", JOB, as_of))
     refused = Observed(n_rows=F.sum("n_rows"), n_broken=F.sum(F.when(F.col("table_name") == "insider_data", F.col("n_rows"))))
     rejected = scratch.write(rejected, "rejected", refused)
 

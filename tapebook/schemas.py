@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 _TYPES = {
     "string": T.StringType(),
+    "binary": T.BinaryType(),
     "long": T.LongType(),
     "int": T.IntegerType(),
     "double": T.DoubleType(),
@@ -236,6 +237,7 @@ TABLES: dict[str, Table] = {
 
 # Landing inputs.
 PAGES = struct("page_id:long, url:string, html:string")
+PAGE_FILES = struct("path:string, modificationTime:timestamp, length:long, content:binary")
 OHLCV_LONG = struct(
     "batch_id:string, ticker:string, date:date, open:double, high:double, low:double,"
     "close:double, adj_close:double, volume:double"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..functions import clock
+from ..functions import charset, clock
 from ..operators.keyed import first_per_key
 
 # The market indexes to follow.
@@ -41,6 +41,44 @@ def read_landed(spark: SparkSession, path: str | list[str], schema: T.StructType
     return reader.format(fmt).load(path)
 
 
+def page_files(files: DataFrame) -> DataFrame:
+    """Pages as landed bytes (page_id, url, body) from the binary file source, streaming or not. The page id
+    is the number that a file's name begins with, else a hash of its path."""
+    number = F.regexp_extract("path", r"/([0-9]{1,18})[^/]*$", 1).try_cast("long")
+    return files.select(
+        F.coalesce(number, F.xxhash64("path")).alias("page_id"), F.col("path").alias("url"), F.col("content").alias("body")
+    )
+
+
+def read_page_files(spark: SparkSession, path: str | list[str], names: str = "*") -> DataFrame:
+    """One page per file below a folder; ``names`` is a pattern of file names."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", names)
+    return page_files(reader.load(path))
+
+
+def decode_pages(landed: DataFrame, encoding: str | None = None, *, fail_fast: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(pages, undecodable pages with ``violations``) from landed bytes (page_id, url, body).
+
+    A column ``charset``, or ``encoding`` for all pages, is what the server declared; see
+    ``charset.charset_of``. ``fail_fast`` raises on the first page that can't be decoded.
+    """
+    declared = F.col("charset") if "charset" in landed.columns else F.lit(encoding) if encoding else None
+    named = landed.withColumn("_charset", charset.charset_of(F.col("body"), declared))
+    read = named.withColumn("html", charset.decoded(F.col("body"), F.col("_charset")))
+    why = (
+        F.when(F.col("body").isNull(), F.lit("page has no bytes"))
+        .when(~F.col("_charset").isin(*charset.LABELS), F.concat(F.lit("unknown charset "), "_charset"))
+        .otherwise(F.concat(F.lit("bytes are not "), "_charset"))
+    )
+    columns = schemas.PAGES.fieldNames()
+    if fail_fast:
+        message = F.concat(F.lit("page "), F.col("page_id").cast("string"), F.lit(": "), why)
+        read = read.withColumn("html", F.when(F.col("html").isNull(), F.raise_error(message)).otherwise(F.col("html")))
+        return read.select(*columns), landed.filter(F.lit(False)).withColumn("violations", F.array(F.lit("")))
+    lost = read.filter(F.col("html").isNull())
+    return read.filter(F.col("html").isNotNull()).select(*columns), lost.select(*landed.columns, F.array(why).alias("violations"))
+
+
 def read_prices(
     spark: SparkSession, path: str | list[str], window: tuple[str, str] | None = None, fmt: str = "parquet"
 ) -> DataFrame:

@@ -15,7 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.disclosures import run_disclosures
 from ..plans.pricing import run_prices
-from ..schemas import OHLCV_LONG, PAGES
+from ..schemas import OHLCV_LONG, PAGE_FILES, PAGES
+from ..sources import feeds
 from ..sources.store import SnapshotStore
 
 
@@ -55,10 +56,12 @@ def stream_disclosures(
     fmt: str = "parquet",
     max_files: int = 1000,
 ) -> StreamingQuery:
-    """Ingest the page files that have landed since the last call."""
-    pages = (
-        store.spark.readStream.schema(PAGES).format(fmt).option("maxFilesPerTrigger", max_files).load(landing)
-    )
+    """Ingest the page files that have landed since the last call. With ``fmt="binaryFile"`` each file is
+    one page of raw bytes."""
+    raw = fmt == "binaryFile"
+    reader = store.spark.readStream.format(fmt).option("maxFilesPerTrigger", max_files)
+    landed = reader.schema(PAGE_FILES if raw else PAGES).load(landing)
+    pages = feeds.page_files(landed) if raw else landed
 
     def handle(batch: DataFrame, number: int) -> None:
         disclosure_batch(store, batch, number, checkpoint, metadata, clock())
