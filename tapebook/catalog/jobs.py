@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import asdict
 from datetime import datetime
 
@@ -12,10 +11,9 @@ from pyspark.sql import functions as F
 from ..operators.quality import fill_defaults
 from ..plans.pricing import PriceResult, run_prices
 from ..schemas import TICKER_DATA
-from ..session import scratch_root
 from ..sources.export import read_sorted_lines, write_sorted_csv
 from ..sources.store import SnapshotStore
-from .registry import bars, bars_sql, day_text, query, table
+from .registry import bars, bars_sql, day_text, query, shared_path, table
 
 RUN = datetime(2024, 1, 25, 23, 0)
 FIRST, LAST = "2024-01-20", "2024-01-25"
@@ -26,10 +24,6 @@ _KNOWN_SQL = f"""known AS (SELECT CAST(c_custkey AS VARCHAR) AS ticker FROM cust
   feed AS (SELECT * FROM b WHERE date BETWEEN DATE '{FIRST}' AND DATE '{LAST}')"""
 
 
-def shared_path(spark: SparkSession, kind: str) -> str:
-    return f"{scratch_root(spark).rstrip('/')}/tapebook/{kind}-{uuid.uuid4().hex}"
-
-
 def _run(spark: SparkSession, sf_dir: str) -> tuple[SnapshotStore, PriceResult]:
     """A store of its own after one run of the price job, which asks for all symbols at once."""
     store = SnapshotStore(spark, shared_path(spark, "store"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,9 +12,9 @@ from ..functions import text
 from ..operators import actions, key_bits, keyed, runs, symbols
 from ..schemas import CORPORATE_ACTIONS, INDEX_DATA, RUNS, TICKER_DATA
 from ..session import Scratch, scratch_root
-from ..sources import feeds
+from ..sources import bucketed, feeds
 from ..sources.store import month_of
-from .registry import AS_OF, TX_SQL, bars, bars_sql, day_text, disclosures, query, table
+from .registry import AS_OF, TX_SQL, bars, bars_sql, day_text, disclosures, query, shared_path, table
 
 
 @query(
@@ -46,6 +49,51 @@ def insert_by_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fresh.select("transaction_id", day_text("filing_date").alias("filing_date"))
 
 
+_LINES = ["l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
+_BY_KEY = bucketed.Buckets(("l_orderkey", "l_linenumber"), 16)
+
+
+def _bucketed_lines(spark: SparkSession, sf_dir: str, change: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """What ``change`` makes of lines stored in buckets and the lines shipped later."""
+    rows = table(spark, sf_dir, "lineitem").select(*_BY_KEY.keys, *_LINES)
+    early = F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    name, path = f"lines_{uuid.uuid4().hex}", shared_path(spark, "lines")
+    stored = bucketed.write_bucketed(keyed.first_per_key(rows.filter(early), _BY_KEY.keys, *_LINES), name, f"{path}/stored", _BY_KEY)
+    changed = bucketed.write_bucketed(change(stored, rows.filter(~early)), f"{name}_new", f"{path}/new", _BY_KEY, in_place=True)
+    columns = changed.columns
+    for known in (name, f"{name}_new"):  # the files stay
+        spark.sql(f"DROP TABLE {known}")
+    return spark.read.parquet(f"{path}/new").select(*columns).withColumn("l_shipdate", day_text("l_shipdate"))
+
+
+_SPLIT_SQL = """s AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate,
+    l_shipdate >= DATE '1998-01-01' AS is_new FROM lineitem),
+  one AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber, is_new
+    ORDER BY l_partkey, l_suppkey, l_extendedprice, l_shipdate) = 1)"""
+
+
+@query(
+    "bucketed_upsert",
+    f"""WITH {_SPLIT_SQL} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+    strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate FROM one
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY is_new DESC) = 1""",
+)
+def bucketed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New lines replace stored ones in a bucketed table; the stored side isn't shuffled."""
+    return _bucketed_lines(spark, sf_dir, lambda stored, new: bucketed.upsert(stored, new, _BY_KEY, *_LINES))
+
+
+@query(
+    "bucketed_insert",
+    f"""WITH {_SPLIT_SQL} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+    strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate FROM one a WHERE is_new AND NOT EXISTS (
+    SELECT 1 FROM one b WHERE NOT b.is_new AND b.l_orderkey = a.l_orderkey AND b.l_linenumber = a.l_linenumber)""",
+)
+def bucketed_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that an insert adds to a bucketed table."""
+    return _bucketed_lines(spark, sf_dir, lambda stored, new: bucketed.insert_if_absent(stored, new, _BY_KEY, *_LINES))
+
+
 @query(
     "insert_first_wins",
     """WITH s AS (

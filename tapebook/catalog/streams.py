@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..streaming import stateful
-from .jobs import shared_path
-from .registry import TX_SQL, day_text, disclosures, query, table
+from .registry import TX_SQL, day_text, disclosures, query, shared_path, table
 
 BATCHES = 3
 
