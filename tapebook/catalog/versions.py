@@ -237,8 +237,10 @@ def _insert(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = _landed(spark, sf_dir)
     new = F.col("filing_date") >= F.lit(SPLIT_DAY).cast("date")
     stored = rows.filter(~new).select(*INSIDER_DATA.columns)
-    fresh = rows.filter(new)
-    return fresh, versions.supersede(stored, fresh, AS_OF)
+    scratch = Scratch(spark, scratch_root(spark))
+    fresh = scratch.write(rows.filter(new), "fresh")
+    first_new = scratch.write(versions.first_amendments(fresh), "first_new")
+    return fresh, versions.supersede(stored, fresh, AS_OF, first_new=first_new)
 
 
 @query(

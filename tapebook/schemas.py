@@ -56,7 +56,9 @@ class Table:
         return self.schema.fieldNames()
 
     def empty(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([], self.schema)
+        """No rows, which the planner knows, so joins with them vanish from plans."""
+        none = spark.range(1).filter(F.lit(False))
+        return none.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields])
 
     def conform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """Exactly the declared columns, in order, with the declared types; then ``keep``."""
