@@ -26,11 +26,47 @@ BLOCK_TOKENS, PARTS, TASK_TOKENS, SLICES = 1 << 17, 6, 1 << 20, 64
 LEVELS = 48
 #: Tokens that share one list of different words.
 CHUNK_TOKENS = 4 << 20
+#: Tokens of a chunk that are sorted at once.
+BATCH_TOKENS = 1 << 18
 
 #: The hash of a text's end.
 END = np.uint64(0x045D9F3B3335B369)
 
 
+class Chunk:
+    """Texts as numbers of their different words. Each batch is sorted by itself, and batches meet in
+    their different words only, so that a token takes four bytes here."""
+
+    def __init__(self) -> None:
+        self.words, self.trained, self.numbers, self.lengths, self.kept, self.size = [], [], [], [], [], 0
+
+    def add(self, texts: list[np.ndarray], flags: list[bool], kept: pa.Array) -> None:
+        lengths = np.array([len(t) for t in texts])
+        words, inverse = np.unique(np.concatenate(texts), return_inverse=True)
+        in_training = np.repeat(np.array(flags), lengths)
+        self.words.append(words)
+        self.trained.append(np.bincount(inverse[in_training], minlength=len(words)).astype(np.uint32))
+        self.numbers.append(inverse.astype(np.uint32))
+        self.lengths.append(lengths)
+        self.kept.append(kept)
+        self.size += len(inverse)
+
+    def merged(self, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All different words by bucket, then hash, their buckets, and how often training texts have
+        them; afterwards ``numbers`` are places in this order."""
+        words, inverse = np.unique(np.concatenate(self.words), return_inverse=True)
+        trained = np.bincount(inverse, np.concatenate(self.trained), minlength=len(words)).astype(np.uint32)
+        bucket = (words % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((words, bucket))
+        place = np.empty(len(words), np.uint32)
+        place[order] = np.arange(len(words), dtype=np.uint32)
+        first = 0
+        for k, own in enumerate(self.words):
+            self.numbers[k] = place[inverse[first : first + len(own)]][self.numbers[k]]
+            first += len(own)
+        return words[order], bucket[order], trained[order]
+
+
 def _token_hashes(column: pa.Array) -> Iterator[np.ndarray]:
     """Hashes of each text's words and its end."""
     for block in word_blocks(column, NOT_SPACE):
@@ -73,50 +109,44 @@ def token_chunks(docs: DataFrame, text: str, keep: tuple[str, ...], train: str)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 24
-        texts, kept, flags, size = [], [], [], 0
+        chunk = Chunk()
 
         def flush(number: int) -> Iterator[pa.RecordBatch]:
-            lengths = np.array([len(t) for t in texts])
-            words, inverse, many = np.unique(np.concatenate(texts), return_inverse=True, return_counts=True)
-            in_training = np.repeat(np.array(flags), lengths)
-            trained = np.bincount(inverse[in_training], minlength=len(words))
-            # by bucket, then hash; documents hold places in that order
-            bucket = (words % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((words, bucket))
-            place = np.empty(len(words), np.uint32)
-            place[order] = np.arange(len(words), dtype=np.uint32)
-            numbers = np.split(place[inverse], np.cumsum(lengths)[:-1])
-            n = len(texts)
-            nothing = pa.nulls(n, pa.binary())
-            bodies = pa.array([_packed(x) for x in numbers], pa.binary())
-            arrays = [pa.array([number] * n, pa.int64()), pa.nulls(n, pa.int32()), pa.concat_arrays(kept), pa.array(lengths), bodies, nothing]
-            yield pa.RecordBatch.from_arrays(arrays, schema.names)
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            words, bucket, trained = chunk.merged(buckets)
+            for numbers, lengths, kept in zip(chunk.numbers, chunk.lengths, chunk.kept):
+                n = len(lengths)
+                bodies = pa.array([_packed(x) for x in np.split(numbers, np.cumsum(lengths)[:-1])], pa.binary())
+                arrays = [pa.array([number] * n, pa.int64()), pa.nulls(n, pa.int32()), kept, pa.array(lengths), bodies, pa.nulls(n, pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, schema.names)
+            edges = np.searchsorted(bucket, np.arange(buckets + 1)).tolist()
             full = [k for k in range(buckets) if edges[k] < edges[k + 1]]
-            slices = [order[edges[k] : edges[k + 1]] for k in full]
+            slices = [slice(edges[k], edges[k + 1]) for k in full]
             arrays = [
                 pa.array([number] * len(full), pa.int64()),
                 pa.array(full, pa.int32()),
-                pa.nulls(len(full), kept[0].type),
-                pa.array([len(s) for s in slices], pa.int64()),
+                pa.nulls(len(full), chunk.kept[0].type),
+                pa.array([s.stop - s.start for s in slices], pa.int64()),
                 pa.array([words[s].tobytes() for s in slices], pa.binary()),
-                pa.array([_packed(trained[s].astype(np.uint32)) for s in slices], pa.binary()),
+                pa.array([_packed(trained[s]) for s in slices], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(arrays, schema.names)
 
         for batch in batches:
-            position = 0
-            for tokens, flag in zip(_token_hashes(batch.column(1)), batch.column(2).to_pylist()):
+            texts, first, size = [], 0, 0
+            for position, tokens in enumerate(_token_hashes(batch.column(1)), 1):
                 texts.append(tokens)
-                flags.append(flag)
-                kept.append(batch.column(0).slice(position, 1))
                 size += len(tokens)
-                position += 1
-                if size >= CHUNK_TOKENS:
+                full = chunk.size + size >= CHUNK_TOKENS
+                if full or size >= BATCH_TOKENS or position == batch.num_rows:
+                    rows = batch.slice(first, position - first)
+                    chunk.add(texts, rows.column(2).to_pylist(), rows.column(0))
+                    texts, first, size = [], position, 0
+                if full:
                     yield from flush(number)
-                    number, texts, kept, flags, size = number + 1, [], [], [], 0
-        if texts:
+                    number, chunk = number + 1, Chunk()
+        if chunk.size:
             yield from flush(number)
+        pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(run, schema)
 
@@ -129,26 +159,30 @@ def counted_words(chunks: DataFrame) -> DataFrame:
     least 1, 2, 4, ..."""
 
     def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        hashes = [np.frombuffer(r["body"], np.uint64) for r in rows]
-        trained = [_unpacked(r["more"], np.uint32, r["n"]) for r in rows]
-        words, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
-        total = np.bincount(inverse, np.concatenate(trained), minlength=len(words)).astype(np.int64)
-        parts = np.split(total[inverse], np.cumsum([len(h) for h in hashes])[:-1])
+        lengths = table["n"].to_pylist()
+        hashes = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in table["body"]])
+        words, inverse = np.unique(hashes, return_inverse=True)
+        inverse = inverse.astype(np.uint32)
+        del hashes
+        edges = np.cumsum([0, *lengths]).tolist()
+        total = np.zeros(len(words), np.int64)
+        for k, x in enumerate(table["more"]):  # a chunk's words differ
+            total[inverse[edges[k] : edges[k + 1]]] += _unpacked(x.as_py(), np.uint32, lengths[k])
+        bodies = [_packed(total[inverse[edges[k] : edges[k + 1]]]) for k in range(len(lengths))]
         known = np.flatnonzero(total)
         top = known[np.lexsort((words[known], -total[known]))][:VOCABULARY]
         top = np.union1d(top, known[words[known] == END])
         levels = np.array([(total >= 1 << k).sum() for k in range(LEVELS)], np.int64)
-        bucket = rows[0]["bucket"]
+        bucket, none = table["bucket"][0].as_py(), [None] * len(lengths)
         return pa.table(
             {
-                "chunk": pa.array([r["chunk"] for r in rows] + [-1], pa.int64()),
-                "bucket": pa.array([bucket] * (len(rows) + 1), pa.int32()),
-                "n": pa.array([r["n"] for r in rows] + [len(known)], pa.int64()),
-                "body": pa.array([_packed(p) for p in parts] + [words[top].tobytes()], pa.binary()),
-                "more": pa.array([None] * len(rows) + [total[top].tobytes()], pa.binary()),
-                "total": pa.array([None] * len(rows) + [int(total.sum())], pa.int64()),
-                "levels": pa.array([None] * len(rows) + [levels.tobytes()], pa.binary()),
+                "chunk": pa.array(table["chunk"].to_pylist() + [-1], pa.int64()),
+                "bucket": pa.array([bucket] * (len(lengths) + 1), pa.int32()),
+                "n": pa.array(lengths + [len(known)], pa.int64()),
+                "body": pa.array(bodies + [words[top].tobytes()], pa.binary()),
+                "more": pa.array(none + [total[top].tobytes()], pa.binary()),
+                "total": pa.array(none + [int(total.sum())], pa.int64()),
+                "levels": pa.array(none + [levels.tobytes()], pa.binary()),
             }
         )
 
@@ -300,18 +334,20 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sample: i
         model, listed = sent.value
         is_text = pc.is_null(table["bucket"])
         texts = table.filter(is_text).combine_chunks()
-        rows = table.filter(pc.invert(is_text)).select(["bucket", "n", "body", "counted"]).to_pylist()
-        hashes = {r["bucket"]: r["body"] for r in rows if not r["counted"]}
-        totals = {r["bucket"]: _unpacked(r["body"], np.int64, r["n"]) for r in rows if r["counted"]}
-        count = np.concatenate([totals[k] for k in sorted(totals)])
-        word = np.concatenate([np.frombuffer(hashes[k], np.uint64) for k in sorted(hashes)])
-        number = _numbers(word, listed)
+        rows = table.filter(pc.invert(is_text)).select(["bucket", "n", "body", "counted"]).sort_by("bucket")
+        del table
+        first, second = (rows.filter(x) for x in (pc.invert(rows["counted"]), rows["counted"]))
+        word = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in first["body"]])
+        count = np.concatenate([_unpacked(x.as_py(), np.int64, n) for x, n in zip(second["body"], second["n"].to_pylist())])
+        del rows, first, second
+        number = _numbers(word, listed).astype(np.uint16 if len(listed) < 1 << 16 else np.uint32)
+        del word
         base_log = np.log10((count + 0.5) / base)
         rest_log = np.where(number == len(listed), np.log10((count + 0.5) / rest), 0.0)
         known = count > 0
         documents, base_scores, known_tokens, rest_scores = [], [], [], []
-        for body, n in zip(texts["body"].to_pylist(), texts["n"].to_pylist()):
-            at = _unpacked(body, np.uint32, n)
+        for body, n in zip(texts["body"], texts["n"].to_pylist()):
+            at = _unpacked(body.as_py(), np.uint32, n)
             documents.append(number[at])
             base_scores.append(float(base_log[at].sum()))
             known_tokens.append(int(known[at].sum()))

@@ -4,12 +4,13 @@ Words are numbered 0 to ``size - 1`` by frequency, 0 being a text's end; ``size`
 other word and is a class of its own. The chance of a word is that of its class times its own in the
 class. A text starts from the zero state after a text's end, and its state goes on from window to
 window, so its whole likelihood is exact, however long it is.
+
+Inside, states are columns, one per lane and step: every operation then runs along whole rows of
+lanes. The last row of hidden columns is 1, which takes the biases of the softmax along.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 
 #: Hidden units, words of a class, steps of a window, texts that run side by side.
@@ -26,10 +27,11 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def _chosen_logs(weights: np.ndarray, bias: np.ndarray, hidden: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """Logarithm of the softmax at ``chosen``, a slice of rows at a time."""
-    out = np.empty(len(hidden))
-    for k in range(0, len(hidden), 4096):
-        logits = weights.T @ hidden[k : k + 4096].T + bias[:, None]
+    """Logarithm of the softmax at ``chosen``, a slice of the hidden columns at a time."""
+    both = np.vstack([weights, bias]).T
+    out = np.empty(hidden.shape[1])
+    for k in range(0, len(out), 4096):
+        logits = both @ hidden[:, k : k + 4096]
         part = chosen[k : k + 4096]
         logits -= logits.max(0)
         own = logits[part, np.arange(len(part))]
@@ -38,23 +40,23 @@ def _chosen_logs(weights: np.ndarray, bias: np.ndarray, hidden: np.ndarray, chos
 
 
 def _softmax_slopes(weights: np.ndarray, bias: np.ndarray, hidden: np.ndarray, chosen: np.ndarray) -> tuple:
-    """Summed loss of the softmax at ``chosen`` and its gradients by weights, bias and each hidden row."""
-    loss, by_weights, by_bias, back = 0.0, np.zeros_like(weights), np.zeros_like(bias), np.empty_like(hidden)
-    for k in range(0, len(hidden), 2048):
-        rows, part = hidden[k : k + 2048], chosen[k : k + 2048]
+    """Summed loss of the softmax at ``chosen`` and its gradients by weights, bias and each hidden column."""
+    both = np.vstack([weights, bias])
+    loss, slopes, back = 0.0, np.zeros_like(both), np.empty_like(hidden[:-1])
+    for k in range(0, hidden.shape[1], 2048):
+        columns, part = hidden[:, k : k + 2048], chosen[k : k + 2048]
         at = np.arange(len(part))
-        pull = weights.T @ rows.T + bias[:, None]
+        pull = both.T @ columns
         pull -= pull.max(0)
         own = pull[part, at]
         np.exp(pull, out=pull)
         sums = pull.sum(0)
         loss += float((np.log(sums) - own).sum(dtype=np.float64))
-        pull /= sums
+        pull *= np.reciprocal(sums)
         pull[part, at] -= 1
-        by_weights += (pull @ rows).T
-        by_bias += pull.sum(1)
-        back[k : k + 2048] = (weights @ pull).T
-    return loss, by_weights, by_bias, back
+        slopes += columns @ pull.T
+        np.matmul(weights, pull, out=back[:, k : k + 2048])
+    return loss, slopes[:-1], slopes[-1], back
 
 
 class Recurrent:
@@ -90,32 +92,51 @@ class Recurrent:
         self.weights["word_bias"] = np.log(padded / padded.sum(1, keepdims=True)).astype(np.float32)
 
     def step(self, token: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
-        """The next state, and what its gradient needs."""
+        """The next state [lane, unit], and what its gradient needs."""
+        return tuple(x.T for x in self._advance(self.weights["input"][token].T, state.T))
+
+    def _advance(self, x: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
+        """``step`` for columns of input weights and states."""
         w, h = self.weights, HIDDEN
-        x = w["input"][token]
-        u = state @ w["state"]
-        gates = _sigmoid(x[:, : 2 * h] + u[:, : 2 * h])
-        z, r = gates[:, :h], gates[:, h:]
-        inner = u[:, 2 * h :] + w["bias"]
-        n = np.tanh(x[:, 2 * h :] + r * inner)
-        return n + z * (state - n), z, r, inner, n
-
-    def _by_class(self, target: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        u = w["state"].T @ state
+        gates = _sigmoid(x[: 2 * h] + u[: 2 * h])
+        z, r = gates[:h], gates[h:]
+        inner = u[2 * h :] + w["bias"][:, None]
+        n = r * inner
+        n += x[2 * h :]
+        np.tanh(n, out=n)
+        after = state - n
+        after *= z
+        after += n
+        return after, z, r, inner, n
+
+    def _inputs(self, tokens: np.ndarray) -> np.ndarray:
+        """Input weights of tokens, as columns."""
+        return np.take(np.ascontiguousarray(self.weights["input"].T), tokens, axis=1)
+
+    def _by_class(self, target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+        """Places of the words' targets, ordered by class, and each class with its slice of them."""
         inside = np.flatnonzero(target < self.size)
         group = target[inside] // CLASS_WORDS
-        order = np.argsort(group, kind="stable")
-        edges = np.searchsorted(group[order], np.arange(self.classes + 1))
-        for k in range(self.classes):
-            if edges[k] < edges[k + 1]:
-                yield k, inside[order[edges[k] : edges[k + 1]]]
+        order = np.argsort(group.astype(np.uint16), kind="stable")
+        edges = np.searchsorted(group[order], np.arange(self.classes + 1)).tolist()
+        full = [(k, slice(edges[k], edges[k + 1])) for k in range(self.classes) if edges[k] < edges[k + 1]]
+        return inside[order], full
 
     def log_probabilities(self, hidden: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Natural logarithms of the targets' chances; for other words that of their class."""
+        """Natural logarithms of the targets' chances after states [row, unit]; for other words that of their class."""
+        return self._logs(np.vstack([hidden.T, np.ones((1, len(hidden)), hidden.dtype)]), target)
+
+    def _logs(self, hidden: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """``log_probabilities`` for hidden columns."""
         w = self.weights
         group = np.where(target < self.size, target // CLASS_WORDS, self.classes)
         out = _chosen_logs(w["class"], w["class_bias"], hidden, group)
-        for k, rows in self._by_class(target):
-            out[rows] += _chosen_logs(w["word"][k], w["word_bias"][k], hidden[rows], target[rows] % CLASS_WORDS)
+        places, full = self._by_class(target)
+        sorted_hidden, inside, logs = np.take(hidden, places, axis=1), target[places] % CLASS_WORDS, np.empty(len(places))
+        for k, at in full:
+            logs[at] = _chosen_logs(w["word"][k], w["word_bias"][k], sorted_hidden[:, at], inside[at])
+        out[places] += logs
         return out
 
     def text_scores(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -125,27 +146,29 @@ class Recurrent:
         for first in range(0, len(order), LANES):
             lanes = order[first : first + LANES]
             lengths = np.array([len(texts[i]) for i in lanes])
-            state = np.zeros((len(lanes), HIDDEN), np.float32)
+            state = np.zeros((HIDDEN, len(lanes)), np.float32)
             before = np.zeros(len(lanes), np.int64)
-            for start in range(0, int(lengths[0]), WINDOW):
+            start, longest = 0, int(lengths[0])
+            while start < longest:
                 running = int(np.searchsorted(-lengths, -start))  # texts longer than start
-                state, before = state[:running], before[:running]
-                width = int(min(WINDOW, lengths[0] - start))
-                window = np.zeros((running, width), np.int64)
+                width = min(max(WINDOW, LANES * WINDOW // running), longest - start)  # few texts take longer windows
+                window = np.zeros((running, width + 1), np.int64)  # the token before, then the window's
+                window[:, 0] = before[:running]
                 for row, i in enumerate(lanes[:running]):
                     part = texts[i][start : start + width]
-                    window[row, : len(part)] = part
-                active = np.searchsorted(-lengths[:running], -(start + np.arange(width)))
-                hidden, lane = [], []
-                for t in range(width):
-                    n = int(active[t])
-                    state = self.step(before[:n], state[:n])[0]
-                    hidden.append(state)
-                    lane.append(np.arange(n))
-                    before = window[:n, t]
-                target = np.concatenate([window[: int(active[t]), t] for t in range(width)])
-                logs = self.log_probabilities(np.concatenate(hidden), target)
-                scores[lanes[:running]] += np.bincount(np.concatenate(lane), logs, minlength=running)
+                    window[row, 1 : len(part) + 1] = part
+                active = np.searchsorted(-lengths[:running], -(start + np.arange(width))).tolist()
+                edges = np.concatenate([[0], np.cumsum(active)]).tolist()
+                x = self._inputs(np.concatenate([window[:n, t] for t, n in enumerate(active)]))
+                hidden = np.ones((HIDDEN + 1, edges[-1]), np.float32)
+                for t, n in enumerate(active):
+                    state = self._advance(x[:, edges[t] : edges[t + 1]], state[:, :n])[0]
+                    hidden[:-1, edges[t] : edges[t + 1]] = state
+                before = window[:, width]
+                logs = self._logs(hidden, np.concatenate([window[:n, t + 1] for t, n in enumerate(active)]))
+                lane = np.concatenate([np.arange(n) for n in active])
+                scores[lanes[:running]] += np.bincount(lane, logs, minlength=running)
+                start += width
         return scores
 
     def loss_and_slopes(self, tokens: np.ndarray, targets: np.ndarray, state: np.ndarray) -> tuple[float, dict, np.ndarray]:
@@ -153,47 +176,54 @@ class Recurrent:
         A text's end as input resets the state."""
         w, h = self.weights, HIDDEN
         lanes, steps = tokens.shape
-        kept, hidden = [], []
-        for t in range(steps):
-            begin = np.where((tokens[:, t] == 0)[:, None], np.float32(0), state)
-            state, z, r, inner, n = self.step(tokens[:, t], begin)
-            kept.append((begin, z, r, inner, n))
-            hidden.append(state)
-        flat = np.concatenate(hidden)
-        target = targets.T.ravel()
+        kind = w["state"].dtype
+        word, target = tokens.T.ravel(), targets.T.ravel()
         total = len(target)
+        alive = (word != 0).astype(kind)
+        at = [slice(t * lanes, (t + 1) * lanes) for t in range(steps)]
+        x = self._inputs(word)
+        hidden = np.ones((h + 1, total), kind)
+        begin, z, r, inner, n = (np.empty((h, total), kind) for _ in range(5))
+        state = state.T
+        for s in at:
+            np.multiply(state, alive[s], out=begin[:, s])
+            state, z[:, s], r[:, s], inner[:, s], n[:, s] = self._advance(x[:, s], begin[:, s])
+            hidden[:-1, s] = state
         group = np.where(target < self.size, target // CLASS_WORDS, self.classes)
         slopes = {"word": np.zeros_like(w["word"]), "word_bias": np.zeros_like(w["word_bias"])}
-        loss, slopes["class"], slopes["class_bias"], back = _softmax_slopes(w["class"], w["class_bias"], flat, group)
-        for k, rows in self._by_class(target):
-            more, slopes["word"][k], slopes["word_bias"][k], pull = _softmax_slopes(
-                w["word"][k], w["word_bias"][k], flat[rows], target[rows] % CLASS_WORDS
+        loss, slopes["class"], slopes["class_bias"], back = _softmax_slopes(w["class"], w["class_bias"], hidden, group)
+        places, full = self._by_class(target)
+        sorted_hidden, inside = np.take(hidden, places, axis=1), target[places] % CLASS_WORDS
+        pull = np.zeros((h, len(places) + 1), kind)  # one column more for the targets without a word
+        for k, s in full:
+            more, slopes["word"][k], slopes["word_bias"][k], pull[:, s] = _softmax_slopes(
+                w["word"][k], w["word_bias"][k], sorted_hidden[:, s], inside[s]
             )
             loss += more
-            back[rows] += pull
-        back = back.reshape(steps, lanes, h)
-        carried = np.zeros((lanes, h), np.float32)
-        into, through, inside = [], [], np.zeros_like(w["bias"])
-        for t in range(steps - 1, -1, -1):
-            begin, z, r, inner, n = kept[t]
-            d = back[t] + carried
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (begin - n) * z * (1 - z)
-            dr = dn * inner * r * (1 - r)
-            into.append(np.concatenate([dz, dr, dn], 1))
-            du = np.concatenate([dz, dr, dn * r], 1)
-            through.append(du)
-            inside += du[:, 2 * h :].sum(0)
-            carried = d * z + du @ w["state"].T
-            carried[tokens[:, t] == 0] = 0
-        slopes["bias"] = inside
-        slopes["state"] = np.concatenate([k[0] for k in kept[::-1]]).T @ np.concatenate(through)
-        word = tokens[:, ::-1].T.ravel()
-        order = np.argsort(word, kind="stable")
-        edges = np.flatnonzero(np.diff(word[order], prepend=-1))
-        slopes["input"] = np.zeros_like(w["input"])
-        slopes["input"][word[order][edges]] = np.add.reduceat(np.concatenate(into)[order], edges, 0)
-        return loss / total, {name: slopes[name] / total for name in w}, state
+        source = np.full(total, len(places))
+        source[places] = np.arange(len(places))
+        back += np.take(pull, source, axis=1)
+        # by how much a change of the state changes the candidate, the gates
+        by_n = (1 - z) * (1 - n * n)
+        by_z = (begin - n) * z * (1 - z)
+        by_r = inner * r * (1 - r)
+        through, into_n = np.empty((3 * h, total), kind), np.empty((h, total), kind)
+        carried = np.zeros((h, lanes), kind)
+        for s in at[::-1]:
+            d = back[:, s] + carried
+            np.multiply(d, by_z[:, s], out=through[:h, s])
+            dn = np.multiply(d, by_n[:, s], out=into_n[:, s])
+            np.multiply(dn, by_r[:, s], out=through[h : 2 * h, s])
+            np.multiply(dn, r[:, s], out=through[2 * h :, s])
+            carried = w["state"] @ through[:, s]
+            d *= z[:, s]
+            carried += d
+            carried *= alive[s]
+        slopes["bias"] = through[2 * h :].sum(1)
+        slopes["state"] = begin @ through.T
+        into = [*through[: 2 * h], *into_n]
+        slopes["input"] = np.stack([np.bincount(word, row, minlength=self.size + 1) for row in into], 1).astype(kind)
+        return loss / total, {name: slopes[name] / total for name in w}, state.T
 
     def train(self, texts: list[np.ndarray], rounds: int = ROUNDS) -> list[float]:
         """Truncated backpropagation through time over all texts, with Adam; returns the mean losses."""
@@ -247,7 +277,7 @@ class Adam:
 
     def update(self, model: Recurrent, slopes: dict, rate: float) -> None:
         self.updates += 1
-        size = np.sqrt(sum(float((s * s).sum()) for s in slopes.values()))
+        size = float(np.sqrt(sum(float((s * s).sum()) for s in slopes.values())))
         for k, s in slopes.items():
             s = s * min(1.0, 1.0 / (size + 1e-9))
             self.first[k] += 0.1 * (s - self.first[k])
