@@ -30,12 +30,12 @@ def _chosen_logs(weights: np.ndarray, bias: np.ndarray, hidden: np.ndarray, chos
     """Logarithm of the softmax at ``chosen``, a slice of the hidden columns at a time."""
     both = np.vstack([weights, bias]).T
     out = np.empty(hidden.shape[1])
-    for k in range(0, len(out), 4096):
-        logits = both @ hidden[:, k : k + 4096]
-        part = chosen[k : k + 4096]
+    for k in range(0, len(out), 1024):
+        logits = both @ hidden[:, k : k + 1024]
+        part = chosen[k : k + 1024]
         logits -= logits.max(0)
         own = logits[part, np.arange(len(part))]
-        out[k : k + 4096] = own - np.log(np.exp(logits, out=logits).sum(0))
+        out[k : k + 1024] = own - np.log(np.exp(logits, out=logits).sum(0))
     return out
 
 
@@ -43,8 +43,8 @@ def _softmax_slopes(weights: np.ndarray, bias: np.ndarray, hidden: np.ndarray, c
     """Summed loss of the softmax at ``chosen`` and its gradients by weights, bias and each hidden column."""
     both = np.vstack([weights, bias])
     loss, slopes, back = 0.0, np.zeros_like(both), np.empty_like(hidden[:-1])
-    for k in range(0, hidden.shape[1], 2048):
-        columns, part = hidden[:, k : k + 2048], chosen[k : k + 2048]
+    for k in range(0, hidden.shape[1], 1024):
+        columns, part = hidden[:, k : k + 1024], chosen[k : k + 1024]
         at = np.arange(len(part))
         pull = both.T @ columns
         pull -= pull.max(0)
@@ -55,7 +55,7 @@ def _softmax_slopes(weights: np.ndarray, bias: np.ndarray, hidden: np.ndarray, c
         pull *= np.reciprocal(sums)
         pull[part, at] -= 1
         slopes += columns @ pull.T
-        np.matmul(weights, pull, out=back[:, k : k + 2048])
+        np.matmul(weights, pull, out=back[:, k : k + 1024])
     return loss, slopes[:-1], slopes[-1], back
 
 
