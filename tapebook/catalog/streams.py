@@ -15,7 +15,7 @@ def _landed(spark: SparkSession, rows: DataFrame, kind: str) -> DataFrame:
     """The rows as files that land in ``BATCHES`` micro-batches; each task deals its own rows out."""
     path = shared_path(spark, f"{kind}-landing")
     dealt = rows.withColumn("slice", F.pmod(F.xxhash64(*rows.columns), F.lit(BATCHES)).cast("int"))
-    dealt.write.partitionBy("slice").parquet(path)
+    dealt.write.partitionBy("slice").option("compression", "zstd").parquet(path)
     n_files = len(spark.read.schema(dealt.schema).parquet(path).inputFiles())
     reader = spark.readStream.schema(dealt.schema).option("maxFilesPerTrigger", max(1, -(-n_files // BATCHES)))
     return reader.parquet(path).drop("slice")

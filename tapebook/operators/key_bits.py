@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch
+from . import keyed
 
 #: Bits kept for each key: about one new key in so many is looked up among the stored keys for nothing.
 BITS_PER_KEY = 32
@@ -37,36 +38,46 @@ def key_bits(rows: DataFrame, part: str, keys: Sequence[str]) -> DataFrame:
     return sized.groupBy("part", "pages", page.alias("page")).agg(F.bitmap_construct_agg(bit).alias("bits"))
 
 
+def _met(asked: DataFrame, bits: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``asked`` (part and keys) whose bit is set in one of their part's sets of pages."""
+    sets = bits.select("part", "pages").distinct()
+    page, bit = _place(keys)
+    placed = asked.join(F.broadcast(sets), "part").withColumns({"page": page, "_bit": bit})
+    met = placed.join(bits, ["part", "pages", "page"])
+    byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return met.withColumn("_byte", byte).filter(F.expr("shiftright(_byte, _bit % 8) % 2 = 1"))
+
+
 def maybe_stored(batch: DataFrame, bits: DataFrame, part: str, keys: Sequence[str]) -> DataFrame:
     """(part, *keys) of the batch's keys that the parts may hold; all others they certainly lack.
 
     ``bits`` is the union of what ``key_bits`` gave for each insert: a part may have several sets of
     pages, which are all asked. The batch meets single pages, never a part's keys.
     """
-    keys = list(keys)
-    sets = bits.select("part", "pages").distinct()
-    page, bit = _place(keys)
-    asked = batch.select(F.col(part).alias("part"), *keys).distinct().join(F.broadcast(sets), "part")
-    met = asked.withColumns({"page": page, "_bit": bit}).join(bits, ["part", "pages", "page"])
-    byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    is_set = F.expr("shiftright(_byte, _bit % 8) % 2 = 1")
-    return met.withColumn("_byte", byte).filter(is_set).select("part", *keys).distinct()
+    asked = batch.select(F.col(part).alias("part"), *keys).distinct()
+    return _met(asked, bits, keys).select("part", *keys).distinct()
+
+
+def maybe_parts(batch: DataFrame, bits: DataFrame, part: str, keys: Sequence[str]) -> DataFrame:
+    """(part) of the parts that may hold a key of the batch; of each row only its part, a page and a bit move."""
+    return _met(batch.select(F.col(part).alias("part"), *keys), bits, keys).select("part").distinct()
 
 
 def absent_rows(
     batch: DataFrame, bits: DataFrame, part: str, keys: Sequence[str], read: Callable[[list[str]], DataFrame], scratch: Scratch
 ) -> DataFrame:
-    """Batch rows whose key is not stored in its part; ``read`` gives the stored rows of some parts.
+    """Batch rows whose key is not stored in its part; ``read`` gives the stored rows of some parts, without
+    the column ``part`` if a key has but one part.
 
     Only parts that may hold a key of the batch are read, and only their key columns; keys that the bitmaps
     name wrongly are told apart there. A batch of new keys reads no part at all. The list of parts
-    (calendar months) comes to the driver. A key with a NULL is never stored, as in an equi-join.
+    (calendar months) comes to the driver. A key with a NULL is never stored, as in an equi-join. A batch
+    that lies in partitions of its keys is not moved.
     """
     keys = list(keys)
-    hits = scratch.write(maybe_stored(batch.dropna(subset=keys), bits, part, keys), "maybe_stored")
-    parts = sorted(r.part for r in hits.select("part").distinct().collect())
+    hits = scratch.write(maybe_parts(batch.dropna(subset=keys), bits, part, keys), "parts")
+    parts = sorted(r.part for r in hits.collect())
     if not parts:
         return batch
-    hits = hits.withColumnRenamed("part", part)
-    known = read(parts).select(part, *keys).join(hits, [part, *keys], "left_semi")
-    return batch.join(known, [part, *keys], "left_anti")
+    stored = read(parts)
+    return keyed.absent_rows(batch, stored, [c for c in (part, *keys) if c in keys or c in stored.columns])

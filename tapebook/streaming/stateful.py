@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.storagelevel import StorageLevel
 
 from ..operators import key_bits
 from ..schemas import TICKER_FAILURES
@@ -77,8 +78,8 @@ def read_failures(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _digest(keys: Sequence[str]) -> Column:
-    """One text for a key of any columns; NULLs are equal to each other."""
-    return F.sha2(F.to_json(F.struct(*keys)), 256)
+    """128 bits for a key of any columns; NULLs are equal to each other."""
+    return F.substring(F.unhex(F.sha2(F.to_json(F.struct(*keys)), 256)), 1, 16)
 
 
 def first_arrivals(rows: DataFrame, keys: Sequence[str], remember: str) -> DataFrame:
@@ -98,7 +99,8 @@ def insert_new(
 
     Repetitions within ``remember`` meet the state. Later ones pass it and meet the bitmaps of all
     inserted keys (per month of ``date``, which must follow from the key): months that may hold a key
-    are read, a batch of new keys reads none. Rows of one key in one batch are taken as equal, as keys are
+    are read, a batch of new keys reads none. What passes the state is kept on the executors' disks, in the state's
+    partitions, so that only stored keys move to meet it. Rows of one key in one batch are taken as equal, as keys are
     digests of content; any one of them stays. NULL keys are equal.
     """
     spark = rows.sparkSession
@@ -107,18 +109,22 @@ def insert_new(
         return spark.read.parquet(f"{path}/{folder}").filter(F.col(BATCH) < number)
 
     def write(batch: DataFrame, number: int) -> None:
+        batch = batch.withColumn("month", month_of(date)).persist(StorageLevel.DISK_ONLY)
         with Scratch(spark, f"{path}/_work") as scratch:
-            fresh = scratch.write(batch.withColumn("month", month_of(date)), "batch")
+            fresh = batch
             # The first batch writes its folders even if it is empty, so later ones find them.
             if number > 0:
                 fresh = key_bits.absent_rows(
-                    fresh, earlier("bits", number), "month", ["_key"],
-                    lambda months: earlier("rows", number).filter(F.col("month").isin(months)).withColumn("_key", _digest(keys)),
+                    batch, earlier("bits", number), "month", ["_key"],
+                    lambda months: earlier("rows", number).filter(F.col("month").isin(months)).select(_digest(keys).alias("_key")),
                     scratch,
                 )
-                fresh = scratch.write(fresh, "fresh")
-            fresh.drop("_key").write.mode("overwrite").parquet(f"{path}/rows/{BATCH}={number}")
-            key_bits.key_bits(fresh, "month", ["_key"]).write.mode("overwrite").parquet(f"{path}/bits/{BATCH}={number}")
+            fresh = fresh.drop("_key")
+            folder = f"{path}/rows/{BATCH}={number}"
+            fresh.write.mode("overwrite").option("compression", "zstd").parquet(folder)
+            inserted = spark.read.schema(fresh.schema).parquet(folder).withColumn("_key", _digest(keys))
+            key_bits.key_bits(inserted, "month", ["_key"]).write.mode("overwrite").parquet(f"{path}/bits/{BATCH}={number}")
+        batch.unpersist()
 
     return (
         first_arrivals(rows, keys, remember).writeStream.foreachBatch(write)

@@ -62,3 +62,30 @@ def test_nulls_and_empty_sides(spark, scratch):
     assert key_bits.absent_rows(none, bits, "month", KEYS, no_read, scratch).count() == 1
     assert key_bits.absent_rows(nothing, bits, "month", KEYS, no_read, scratch).count() == 0
     assert key_bits.absent_rows(frame(spark, 0, 5), key_bits.key_bits(nothing, "month", KEYS), "month", KEYS, no_read, scratch).count() == 5
+
+
+def test_a_batch_in_partitions_of_its_keys_is_not_moved(spark, scratch):
+    """Only the stored keys are shuffled, once; and of the rows that ask the bitmaps no key is."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        stored = frame(spark, 0, 500)
+        bits = key_bits.key_bits(stored, "month", KEYS)
+        batch = frame(spark, 400, 600).repartition(4, *KEYS).persist()
+        fresh = key_bits.absent_rows(batch, bits, "month", KEYS, lambda months: stored.select(*KEYS), scratch)
+        names = []
+
+        def walk(node):
+            names.append(node.nodeName())
+            if node.nodeName() == "AdaptiveSparkPlan":
+                return walk(node.initialPlan())
+            for k in range(node.children().size()):
+                walk(node.children().apply(k))
+
+        walk(fresh._jdf.queryExecution().executedPlan())
+        assert names.count("Exchange") == 1
+        assert sorted(r.a for r in fresh.collect()) == list(range(500, 600))
+        asked = key_bits.maybe_parts(batch, bits, "month", KEYS)
+        assert [r.part for r in asked.collect()] == ["m1"]
+        batch.unpersist()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
