@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import rules
+from ..functions import identity, rules
 from ..operators import versions
 from ..operators.keyed import first_per_key
 from ..operators.chains import follow_links
@@ -47,9 +47,10 @@ def reconcile_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def active_after_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: content ids, one row per id, reconciliation, count what stays active.
 
-    Two lines of every order land twice, so there are copies to drop.
+    Two lines of every order land twice, so there are copies to drop. Ids move as bytes.
     """
     landed = disclosures(spark, sf_dir, hashed=True)
+    landed = landed.withColumns({c: identity.packed_id(c) for c in ("transaction_id", "superseded_by")})
     landed = landed.unionByName(landed.filter(F.col("sec_tx_code").isin("1", "3")))
     needed = [*NATURAL_KEY, "transaction_id", "filing_date", "scraped_at", "x_flags", "is_active", "superseded_by", "superseded_at"]
     once = first_per_key(landed, ["transaction_id"], "source_url").select(*needed)

@@ -61,3 +61,8 @@ def transaction_id() -> Column:
         F.col("qty").cast("string"),
         F.col("x_flags"),
     )
+
+
+def packed_id(c: Column | str) -> Column:
+    """The 32 bytes of a content id of 64 letters. They sort as the letters do and move as half as much."""
+    return F.unhex(c)

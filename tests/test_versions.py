@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import random
 from datetime import date, datetime
 
@@ -7,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import AS_OF, tx
+from tapebook.catalog import QUERIES
 from tapebook.functions import rules
+from tapebook.functions.identity import packed_id
 from tapebook.operators import skew, versions
 from tapebook.schemas import INSIDER_DATA, NATURAL_KEY
 
@@ -167,3 +170,27 @@ def test_hash_rank(spark):
     got = skew.hash_rank(df, "d", "at", bucket_chars=1).orderBy("at").collect()
     assert [r["at"] for r in got] == list(range(1, 501))
     assert [r["d"] for r in got] == sorted(r["d"] for r in got)
+
+
+def test_packed_ids_have_the_same_winners(spark):
+    """Ids as bytes sort as their letters do, so reconciliation retires the same rows; the flagship moves bytes."""
+    rows = spark.range(300).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("transaction_id"),
+        (F.col("id") % 40).cast("string").alias("ticker"), F.lit(None).cast("string").alias("insider_name"), F.lit("P").alias("sec_tx_code"),
+        F.lit("2024-01-18").cast("date").alias("trade_date"), F.lit("2024-01-18").cast("date").alias("filing_date"),
+        F.lit(1.0).alias("price"), F.lit(1).cast("bigint").alias("qty"), F.lit("t").alias("title"), F.lit("P - Purchase").alias("trade_type"),
+        F.lit(None).cast("timestamp").alias("scraped_at"), F.when(F.col("id") % 3 == 0, "A").otherwise("D").alias("x_flags"),
+        F.lit(1).alias("is_active"), F.lit(None).cast("string").alias("superseded_by"), F.lit(None).cast("timestamp").alias("superseded_at"),
+    )
+    ids = ("transaction_id", "superseded_by")
+    packed = rows.withColumns({c: packed_id(c) for c in ids})
+    as_of = datetime(2024, 2, 1)
+    got = versions.reconcile_amendments(packed, as_of).withColumns({c: F.lower(F.hex(c)) for c in ids})
+    want = versions.reconcile_amendments(rows, as_of)
+    columns = [*ids, "is_active"]
+    assert sorted(map(repr, got.select(*columns).collect())) == sorted(map(repr, want.select(*columns).collect()))
+    assert want.filter("is_active = 0").count() > 100
+
+    flagship = QUERIES["active_after_reconcile"](spark, "/root/testdata/sf0.001")
+    stored = spark.read.parquet(os.path.dirname(flagship.inputFiles()[0]))
+    assert stored.schema["transaction_id"].dataType.typeName() == "binary"
