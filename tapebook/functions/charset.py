@@ -63,11 +63,13 @@ def charset_of(body: Column, declared: Column | None = None) -> Column:
 
 
 def _whole_utf16(body: Column, big: bool) -> Column:
-    """Is every surrogate one of a pair? Units are looked at as blank-separated groups of four digits."""
+    """Is every surrogate one of a pair? Units are looked at as blank-separated groups of four digits, but
+    only if any byte could begin a surrogate."""
     units = F.regexp_replace(F.hex(body), "([0-9A-F]{4})", "$1 ")
     high, low = (r"\bD[89AB]..\b", r"\bD[C-F]..\b") if big else (r"\b..D[89AB]\b", r"\b..D[C-F]\b")
     lone = rf"{high}(?! {low[2:]})|(?<!{high} ){low}"
-    return (F.length(body) % 2 == 0) & ~units.rlike(lone)
+    suspect = F.decode(body, "ISO-8859-1").rlike("[\u00d8-\u00df]")
+    return (F.length(body) % 2 == 0) & F.when(suspect, ~units.rlike(lone)).otherwise(F.lit(True))
 
 
 def decoded(body: Column, charset: Column) -> Column:

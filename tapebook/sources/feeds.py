@@ -76,7 +76,9 @@ def decode_pages(landed: DataFrame, encoding: str | None = None, *, fail_fast: b
         read = read.withColumn("html", F.when(F.col("html").isNull(), F.raise_error(message)).otherwise(F.col("html")))
         return read.select(*columns), landed.filter(F.lit(False)).withColumn("violations", F.array(F.lit("")))
     lost = read.filter(F.col("html").isNull())
-    return read.filter(F.col("html").isNotNull()).select(*columns), lost.select(*landed.columns, F.array(why).alias("violations"))
+    # A filter would be moved before the decoding and decode every page once more.
+    known = read.select(*[c for c in columns if c != "html"], F.explode(F.array_compact(F.array("html"))).alias("html"))
+    return known.select(*columns), lost.select(*landed.columns, F.array(why).alias("violations"))
 
 
 def read_prices(

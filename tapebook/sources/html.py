@@ -50,32 +50,41 @@ def _own_markup(rest: Column) -> Column:
     return F.aggregate(pieces, start, add, lambda state: state["text"])
 
 
-def table_markup(html: Column, css_class: str = TABLE_CLASS) -> Column:
-    """Inner markup of the first table of a class, NULL if the page has none."""
+def _around_opening(html: Column, css_class: str) -> Column:
+    """What stands before and after the opening tag of the first table of a class; one text if there is none."""
     name = css_class
     attribute = (
         rf"class\s*=\s*(?:\"(?:[^\"]*\s)?{name}(?:\s[^\"]*)?\"|'(?:[^']*\s)?{name}(?:\s[^']*)?'|{name}(?=[\s>]))"
     )
     visible = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
-    opened = F.split(visible, rf"(?i)<table\s(?:[^>]*\s)?{attribute}[^>]*>", 2)
+    return F.split(visible, rf"(?i)<table\s(?:[^>]*\s)?{attribute}[^>]*>", 2)
+
+
+def table_markup(html: Column, css_class: str = TABLE_CLASS) -> Column:
+    """Inner markup of the first table of a class, NULL if the page has none."""
+    opened = _around_opening(html, css_class)
     return F.when(F.size(opened) > 1, _own_markup(F.try_element_at(opened, F.lit(2))))
 
 
+def _lacks_table(html: Column, css_class: str) -> Column:
+    """Is ``table_markup`` NULL? Nothing after the opening tag is looked at."""
+    return ~F.coalesce(F.size(_around_opening(html, css_class)) > 1, F.lit(False))
+
+
 def scan_table(pages: DataFrame, css_class: str = TABLE_CLASS) -> DataFrame:
     """(page_id, pos, headers, cells): the data rows of the table on each page.
 
     The first table row is the header row; rows without data cells are left out.
     """
-    # A page without the table has NULL markup and explodes to nothing.
-    rows = pages.select("page_id", table_markup(F.col("html"), css_class).alias("markup")).select(
-        "page_id",
-        F.transform(
-            elements(F.col("markup"), "th", "tr|thead"),
-            lambda h: F.replace(text.markup_text(F.regexp_replace(h, r"(?is)<t[dr][\s>].*$", "")),
-                                F.lit(text.NBSP), F.lit(" ")),
-        ).alias("headers"),
-        F.posexplode(elements(F.col("markup"), "tr", "tbody")).alias("pos", "row"),
+    headers = F.transform(
+        elements(F.col("markup"), "th", "tr|thead"),
+        lambda h: F.replace(text.markup_text(F.regexp_replace(h, r"(?is)<t[dr][\s>].*$", "")),
+                            F.lit(text.NBSP), F.lit(" ")),
     )
+    # Beside the generator headers would be read again for every row of the page.
+    tables = pages.select("page_id", table_markup(F.col("html"), css_class).alias("markup")).withColumn("headers", headers)
+    # A page without the table has NULL markup and explodes to nothing.
+    rows = tables.select("page_id", "headers", F.posexplode(elements(F.col("markup"), "tr", "tbody")).alias("pos", "row"))
     has_cells = F.col("row").rlike(r"(?i)<td[\s>/]")
     return rows.filter((F.col("pos") > 0) & has_cells).select(
         "page_id", "pos", "headers", elements(F.col("row"), "td", "tr").alias("cells")
@@ -84,13 +93,13 @@ def scan_table(pages: DataFrame, css_class: str = TABLE_CLASS) -> DataFrame:
 
 def pages_without_table(pages: DataFrame, css_class: str = TABLE_CLASS) -> DataFrame:
     """Pages that cannot be scanned."""
-    return pages.filter(table_markup(F.col("html"), css_class).isNull())
+    return pages.filter(_lacks_table(F.col("html"), css_class))
 
 
 def require_table(pages: DataFrame, css_class: str = TABLE_CLASS) -> DataFrame:
     """Pass pages through, failing on the first one that has no table of the class."""
     message = F.concat(F.lit(f"no table.{css_class} on page "), F.col("page_id").cast("string"))
-    lacks = table_markup(F.col("html"), css_class).isNull()
+    lacks = _lacks_table(F.col("html"), css_class)
     return pages.withColumn("html", F.when(lacks, F.raise_error(message)).otherwise(F.col("html")))
 
 
@@ -103,12 +112,13 @@ def extract_disclosures(pages: DataFrame) -> DataFrame:
 
     at = F.array_position("headers", LINK_HEADER).cast("int")
     link_cell = F.when(at > 0, F.try_element_at("cells", at))
-    read = rows.withColumn("texts", F.transform("cells", text.markup_text))
+    # A column of its own each, so that no text is taken again wherever it is looked at.
+    read = rows.withColumns({"texts": F.transform("cells", text.markup_text), "_href": text.first_href(link_cell)})
     return read.withColumn("_cells", F.arrays_zip("headers", "texts")).select(
         "page_id",
         "pos",
         *[cell(h).alias(text.normalize_header(h)) for h in KEPT_HEADERS],
-        text.resolve_link(text.first_href(link_cell)).alias("source_url"),
+        text.resolve_link(F.col("_href")).alias("source_url"),
     )
 
 

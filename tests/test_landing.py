@@ -113,3 +113,14 @@ def test_page_files_through_the_job_and_the_stream(spark, tmp_path):
         other, str(folder), str(tmp_path / "check"), metadata_frame(spark), lambda: AS_OF, fmt="binaryFile"
     ).awaitTermination()
     assert (other.read("insider_data").count(), other.read("rejected_rows").count()) == (2, 1)
+
+
+def test_a_page_is_decoded_once_and_its_headers_are_read_once(spark):
+    """Not again for each row of its table, nor by filters that were moved before the decoding."""
+    from tapebook.catalog import QUERIES
+
+    plan = QUERIES["landed_bytes_scan"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    explode = next(k for k, line in enumerate(lines) if "Generate posexplode" in line)
+    assert not any("<th(?=" in line for line in lines[:explode]) and any("<th(?=" in line for line in lines[explode:])
+    assert plan.count("([0-9A-F]{4})") == 2  # one for each byte order
