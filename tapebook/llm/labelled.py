@@ -11,6 +11,16 @@ def fold(doc_id: str | Column, folds: int) -> Column:
     return F.crc32(F.coalesce(identity.cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def known_labels(labels: DataFrame, label: str, doc_id: str = "doc_id", folds: int = 5) -> DataFrame:
+    """(labelled_id, label) of all labelled documents of class 0 or 1 that aren't held out (fold 0 is)."""
+    return (
+        labels.select(F.col(doc_id).alias("labelled_id"), F.col(label).cast("int").alias("label"))
+        .filter(F.col("labelled_id").isNotNull() & F.col("label").isin(0, 1) & (fold("labelled_id", folds) != 0))
+        .groupBy("labelled_id")
+        .agg(F.max("label").alias("label"))
+    )
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, text: str = "text", doc_id: str = "doc_id", folds: int = 5, per_class: int = 3000
 ) -> DataFrame:
@@ -19,12 +29,7 @@ def labelled_sample(
 
     Ids are chosen first, so only their texts are read out; the ids are few enough to be broadcast.
     """
-    known = (
-        labels.select(F.col(doc_id).alias("labelled_id"), F.col(label).cast("int").alias("label"))
-        .filter(F.col("labelled_id").isNotNull() & F.col("label").isin(0, 1) & (fold("labelled_id", folds) != 0))
-        .groupBy("labelled_id")
-        .agg(F.max("label").alias("label"))
-    )
+    known = known_labels(labels, label, doc_id, folds)
     order = [F.xxhash64("labelled_id"), F.col("labelled_id")]
     chosen = known.filter("label = 0").orderBy(*order).limit(per_class)
     chosen = chosen.union(known.filter("label = 1").orderBy(*order).limit(per_class))

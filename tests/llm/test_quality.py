@@ -150,3 +150,19 @@ def test_empty_tables_and_one_class(spark):
     docs = spark.createDataFrame(rows, SCHEMA)
     one = Q.learn(docs, spark.createDataFrame([(i, 1) for i, _ in labels], LABELS))
     assert {r.predicted for r in Q.predictions(docs, one).collect()} == {1}
+
+
+def test_every_labelled_text_counts(spark):
+    """More texts than any sample of before: steps and threshold are those of all of them, in any order."""
+    n = 9000
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat(repeat('plain ', cast(id % 50 AS int)), if(id % 9 < 2, '$$ ## $$', 'words.')) AS text")
+    labels = spark.range(n).selectExpr("id AS doc_id", "cast(id % 9 > 1 AS int) AS quality")
+    measured = Q.measured_labels(docs, labels, "text", "doc_id")
+    assert measured.count() == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(n)) > 7000
+    first, second = Q.learn(docs, labels), Q.learn(docs.repartition(7), labels.repartition(3))
+    assert first.threshold == second.threshold and all(np.array_equal(a, b) for a, b in zip(first.worth, second.worth))
+    label = np.arange(700) % 7 > 1
+    better, worse = Q._pairs(label.astype(np.uint8), 3)
+    assert set(better) == set(np.flatnonzero(label)) and set(worse) == set(np.flatnonzero(~label))
+    got = {r.doc_id: r.predicted for r in Q.predictions(docs, first).collect()}
+    assert np.mean([got[i] == int(i % 9 > 1) for i in range(n)]) > 0.99
