@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from .labelled import fold
 from .recurrent import RATE, ROUNDS, TRAIN_LANES, Adam, Recurrent
 from .shared import partitions, small_batches, written
-from .words import NOT_SPACE, word_blocks
+from .words import NOT_SPACE, HashSet, word_blocks
 
 #: Words that the recurrent model tells apart (a text's end is one).
 VOCABULARY = 2048
@@ -28,6 +28,8 @@ LEVELS = 48
 CHUNK_TOKENS = 4 << 20
 #: Tokens of a chunk that are sorted at once.
 BATCH_TOKENS = 1 << 18
+#: Bytes of texts that are cut into words at once.
+TEXT_BYTES = 1 << 17
 
 #: The hash of a text's end.
 END = np.uint64(0x045D9F3B3335B369)
@@ -69,7 +71,7 @@ class Chunk:
 
 def _token_hashes(column: pa.Array) -> Iterator[np.ndarray]:
     """Hashes of each text's words and its end."""
-    for block in word_blocks(column, NOT_SPACE):
+    for block in word_blocks(column, NOT_SPACE, TEXT_BYTES):
         hashes = block.hashes()
         for first, last in zip(block.bounds[:-1].tolist(), block.bounds[1:].tolist()):
             yield np.append(hashes[first:last], END)
@@ -217,11 +219,17 @@ def vocabulary(counted: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
     return hashes, counts, total.tokens or 0, total.words or 0
 
 
-def _numbers(hashes: np.ndarray, listed: np.ndarray) -> np.ndarray:
-    """Places of hashes in a list, its length for others."""
-    order = np.argsort(listed)
-    at = np.minimum(np.searchsorted(listed[order], hashes), len(listed) - 1)
-    return np.where(listed[order][at] == hashes, order[at], len(listed))
+class Places:
+    """Places of hashes in a list of different ones, its length for others."""
+
+    def __init__(self, listed: np.ndarray):
+        self.known, self.order, self.size = HashSet(listed), np.argsort(listed), len(listed)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.full(len(hashes), self.size, np.uint16 if self.size < 1 << 16 else np.uint32)
+        near, at = self.known.find(hashes)
+        out[near] = self.order[at]
+        return out
 
 
 def training_blocks(known: DataFrame, listed: np.ndarray) -> DataFrame:
@@ -230,18 +238,19 @@ def training_blocks(known: DataFrame, listed: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, size = TaskContext.get().partitionId(), [], 0
+        places = Places(sent.value)
 
         def blocks(stream: np.ndarray) -> Iterator[pa.RecordBatch]:
             nonlocal number
             for k in range(0, len(stream), BLOCK_TOKENS):
-                cut = stream[k : k + BLOCK_TOKENS]
+                cut = places.find(stream[k : k + BLOCK_TOKENS]).astype(np.uint16)
                 columns = [pa.array([number % PARTS], pa.int32()), pa.array([len(cut)], pa.int64()), pa.array([_packed(cut)], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["part", "n", "body"])
                 number += 1
 
         for batch in batches:
             for hashes in _token_hashes(batch.column(0)):
-                held.append(_numbers(hashes, sent.value).astype(np.uint16))
+                held.append(hashes)
                 size += len(hashes)
                 if size >= BLOCK_TOKENS:
                     stream = np.concatenate(held)
@@ -340,7 +349,7 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sample: i
         word = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in first["body"]])
         count = np.concatenate([_unpacked(x.as_py(), np.int64, n) for x, n in zip(second["body"], second["n"].to_pylist())])
         del rows, first, second
-        number = _numbers(word, listed).astype(np.uint16 if len(listed) < 1 << 16 else np.uint32)
+        number = Places(listed).find(word)
         del word
         base_log = np.log10((count + 0.5) / base)
         rest_log = np.where(number == len(listed), np.log10((count + 0.5) / rest), 0.0)

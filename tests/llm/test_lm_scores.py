@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -154,3 +155,63 @@ def test_every_training_text_is_trained_on(spark, monkeypatch):
     monkeypatch.setattr(S, "averaged", spied)
     S.score(spark.createDataFrame(rows, SCHEMA)).count()
     assert sum(seen) == R.ROUNDS * want
+
+
+@pytest.mark.parametrize("scale", [1, 60])
+def test_slopes_do_not_depend_on_pieces_and_marks(monkeypatch, scale):
+    rng = np.random.default_rng(6)
+    model = R.Recurrent(200)
+    model.weights = {k: v.astype(np.float64) * (scale if k in ("class", "word") else 1) for k, v in model.weights.items()}
+    stream = np.minimum(rng.zipf(1.3, (9, 41)) - 1, 200)  # some words are most of all, so is the place of the others
+    tokens_, targets, start = stream[:, :-1], stream[:, 1:], np.zeros((9, R.HIDDEN))
+    loss, slopes, last = model.loss_and_slopes(tokens_, targets, start)
+    plain, state = 0.0, start
+    for t in range(40):
+        state = model.step(tokens_[:, t], state * (tokens_[:, t] != 0)[:, None])[0]
+        for lane, word in enumerate(targets[:, t]):
+            group = min(word // R.CLASS_WORDS, model.classes) if word < model.size else model.classes
+            logits = state[lane] @ model.weights["class"] + model.weights["class_bias"]
+            plain += np.log(np.exp(logits - logits[group]).sum())
+            if word < model.size:
+                logits = state[lane] @ model.weights["word"][group] + model.weights["word_bias"][group]
+                plain += np.log(np.exp(logits - logits[word % R.CLASS_WORDS]).sum())
+    assert loss == pytest.approx(plain / targets.size)
+    assert np.allclose(last, state)
+    for columns, marked, safe in ((7, 14, 60.0), (512, 0, 0.0), (40, 500, 1e9)):
+        for name, value in (("COLUMNS", columns), ("MARKED", marked), ("SAFE", safe)):
+            monkeypatch.setattr(R, name, value)
+        again, found, _ = model.loss_and_slopes(tokens_, targets, start)
+        assert again == pytest.approx(loss)
+        assert all(np.allclose(found[k], slopes[k], rtol=1e-6, atol=1e-12) for k in slopes)
+
+
+def test_a_window_moves_little_memory():
+    model, rng = R.Recurrent(2048), np.random.default_rng(0)
+    words = rng.integers(0, 2049, (R.TRAIN_LANES, R.WINDOW + 1))
+    tracemalloc.start()
+    for _ in range(2):
+        model.loss_and_slopes(words[:, :-1], words[:, 1:], np.zeros((R.TRAIN_LANES, R.HIDDEN), np.float32))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 28e6  # 34 MB while slopes had arrays beside those of the gates
+
+
+def test_rows_are_summed_by_key():
+    rng = np.random.default_rng(0)
+    for n in (0, 1, 2, 500):
+        keys, rows = np.sort(rng.integers(0, 40, n)), rng.normal(size=(n + 1, 3))
+        rows[-1] = 0
+        want = np.zeros((40, 3))
+        np.add.at(want, keys, rows[:-1])
+        found, sums = R._summed(keys, rows)
+        assert found.tolist() == sorted(set(keys.tolist()))
+        assert np.allclose(sums, want[found])
+
+
+def test_places_of_hashes():
+    rng = np.random.default_rng(0)
+    listed = rng.permutation(rng.integers(0, 1 << 63, 3000, dtype=np.uint64))
+    hashes = rng.choice(np.append(listed, rng.integers(0, 1 << 63, 3000, dtype=np.uint64)), 9000)
+    place = {h: k for k, h in enumerate(listed.tolist())}
+    assert S.Places(listed).find(hashes).tolist() == [place.get(h, 3000) for h in hashes.tolist()]
+    assert S.Places(listed[:1]).find(listed[:2]).tolist() == [0, 1]
