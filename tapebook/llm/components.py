@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tapebook.operators.skew import lookup_join
 
-from .shared import written
+from .shared import discard, shuffles_removed, written
 
 #: A node on more edges than this is hot: its edges are dealt out over tasks when they look up its minimum.
 HOT_EDGES = 2048
@@ -19,7 +19,8 @@ def _settled(edges: DataFrame) -> bool:
         edges.select(F.col("b").alias("node"), F.lit(0).alias("below"), F.lit(1).alias("above"))
     )
     counted = ends.groupBy("node").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
-    return counted.filter((F.col("below") > 1) | ((F.col("below") > 0) & (F.col("above") > 0))).isEmpty()
+    with shuffles_removed(edges.sparkSession):
+        return counted.filter((F.col("below") > 1) | ((F.col("below") > 0) & (F.col("above") > 0))).isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -28,7 +29,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large-star and small-star rounds in turn: every node hands its neighbours the smallest node it
     knows, until each points at the smallest of its component. Each round is written to the shared
-    folder. A node with very many neighbours is a pre-aggregated minimum, which its edges look up in
+    folder, and removed when the next one is there. A node with very many neighbours is a pre-aggregated minimum, which its edges look up in
     as many tasks as they need.
     """
     smaller, larger = F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")
@@ -41,7 +42,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         handed = lookup_join(large, least, ["a"], spread_by=["b"], hot_rows=HOT_EDGES).filter("b <> m")
         small = handed.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
-        edges = written(small.distinct(), "edges")
+        before, edges = edges, written(small.distinct(), "edges")
+        discard(before, large)
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     centres = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return stars.union(centres)

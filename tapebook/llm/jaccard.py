@@ -11,7 +11,8 @@ join is exact up to equal 64-bit shingle hashes:
    few sets of a rare name are joined by name. Sets that names of many sets connect are a family; its
    sets are dealt out over blocks of a bounded size, and every two blocks that sizes allow are a tile.
 3. A bitmap of hashed shingles bounds the overlap of two sets from above by a bit count; sorted
-   arrays are intersected only beyond it. In a tile of a family, sets that are already connected
+   arrays are intersected only beyond it. Pairs that the bitmaps allow meet in tiles as well, one for
+   the sets around a common smallest one. In a tile, sets that are already connected
    aren't compared again, so a large group of near copies gives links in proportion to its size.
 """
 
@@ -24,9 +25,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from .bitmaps import bitmap_levels, contains, level_of
+from .bitmaps import FILTER_BITS, bitmap_levels, contains, filter_levels, filter_of, level_in
 from .components import components
-from .shared import free_name, partitions, small_batches, written
+from .shared import discard, free_name, partitions, small_batches, written
 from .words import NOT_SPACE, Block, mix, word_blocks
 
 #: Words of a shingle, and the least similarity in percent.
@@ -39,6 +40,8 @@ BAND = 1.26
 LEVELS = 5
 #: A name of more sets than this makes them a family; sets of a block; names that a task packs together.
 RARE, BLOCK_SETS, PACKED = 48, 1024, 1 << 21
+#: Pairs meet around a common smallest set if it has no more sets around it than this.
+HUB_SETS = 256
 
 SIGNATURE_COLUMNS = [f"s{k}" for k in range(SIGNATURE)]
 PACKED_COLUMNS = ["bucket", "tags", "low", "several", "high", "more", "many"]
@@ -161,13 +164,14 @@ def _ends(order_by: np.ndarray, low: np.ndarray, high: np.ndarray, many: np.ndar
     )
 
 
-def shared_names(sets: DataFrame) -> DataFrame:
-    """``value`` and ``level`` of every name that different sets have (as ``_tag_value``).
+def shared_names(sets: DataFrame, buckets: int) -> DataFrame:
+    """``bucket``, ``level``, ``bits``: a filter of the names that different sets have (as ``_tag_value``)
+    for each bucket and level.
 
     Tasks pack the names of each bucket into one row, every name once with the least and the most of
     its sets and their number, so a name that very many sets share stays small; buckets are then merged.
     """
-    buckets = 1 << max(6, min(16, (partitions(sets.sparkSession) - 1).bit_length()))
+    most = FILTER_BITS - (buckets - 1).bit_length()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -211,12 +215,15 @@ def shared_names(sets: DataFrame) -> DataFrame:
         shared = low != high
         value = _tag_value(np.full(int(shared.sum()), table["bucket"][0].as_py()), tags[shared])
         level = np.minimum(LEVELS - 1, np.log2(many[shared]) // 3).astype(np.int32)
-        return pa.table({"value": value, "level": level})
+        levels = np.unique(level)
+        filters = [filter_of(value[level == k], most).tobytes() for k in levels]
+        bucket = pa.array([table["bucket"][0].as_py()] * len(levels), pa.int32())
+        return pa.table({"bucket": bucket, "level": pa.array(levels, pa.int32()), "bits": pa.array(filters, pa.binary())})
 
     packed = sets.filter("names IS NOT NULL").select("u", "names").mapInArrow(
         pack, "bucket int, tags binary, low binary, several binary, high binary, more binary, many binary"
     )
-    return packed.groupBy("bucket").applyInArrow(merge, "value long, level int")
+    return packed.groupBy("bucket").applyInArrow(merge, "bucket int, level int, bits binary")
 
 
 def rarest(names: np.ndarray, row: np.ndarray, level: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -237,11 +244,13 @@ def rarest(names: np.ndarray, row: np.ndarray, level: np.ndarray, n: np.ndarray)
 
 
 def rare_names(sets: DataFrame) -> DataFrame:
-    """``name``, ``u``, ``n``: of each set's names those that others have too, the rarest of them. How often names occur comes back as bitmaps of a bounded size, by powers of 8, so the names
-    themselves needn't be shuffled for it."""
+    """``name``, ``u``, ``n``: of each set's names those that others have too, the rarest of them. How often names
+    occur comes back as filters of a bounded size, by powers of 8, so the names themselves needn't be shuffled for it."""
     spark = sets.sparkSession
     buckets = 1 << max(6, min(16, (partitions(spark) - 1).bit_length()))
-    maps = spark.sparkContext.broadcast(bitmap_levels(written(shared_names(sets), "shared-names"), "value", "level", LEVELS))
+    shared = written(shared_names(sets, buckets), "shared-names")
+    maps = spark.sparkContext.broadcast(filter_levels(shared.collect(), buckets, LEVELS))
+    discard(shared)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,7 +258,8 @@ def rare_names(sets: DataFrame) -> DataFrame:
             names = batch.column(2)
             flat = names.flatten().to_numpy()
             row = np.repeat(np.arange(len(u)), names.value_lengths().to_numpy())
-            flat, row = rarest(flat, row, level_of(maps.value, _tag_value(*_tag(flat, buckets))), n)
+            bucket, tag = _tag(flat, buckets)
+            flat, row = rarest(flat, row, level_in(maps.value, bucket, _tag_value(bucket, tag)), n)
             yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(u[row]), pa.array(n[row])], ["name", "u", "n"])
 
     rows = sets.filter("names IS NOT NULL").select("u", "n", "names")
@@ -316,23 +326,28 @@ def _overlaps(x: np.ndarray, y: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (len(x) + len(y) - both)
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose sets link, by exact intersection of sorted arrays."""
-    joined = (
-        pairs.join(sets.select(F.col("u").alias("a"), F.col("shingles").alias("one")), "a")
-        .join(sets.select(F.col("u").alias("b"), F.col("shingles").alias("other")), "b")
-        .select("a", "b", "one", "other")
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = [
-                _overlaps(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64))
-                for x, y in zip(batch.column(2), batch.column(3))
-            ]
-            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+def pair_places(pairs: DataFrame) -> DataFrame:
+    """``u``, ``tile`` and ``side`` of sets such that the two of each pair meet.
 
-    return joined.mapInArrow(run, "a long, b long")
+    Every set knows the smallest one that it or a pair of it names, its hub. Pairs of sets with one hub
+    of up to ``HUB_SETS`` meet there, so each set of a group of near copies goes to one place, however many pairs
+    it is in. Other pairs meet where their smaller set is, by about ``BLOCK_SETS`` in a tile.
+    """
+    ends = pairs.select(F.col("a").alias("u"), F.col("b").alias("other")).union(pairs.select("b", "a"))
+    hubs = ends.groupBy("u").agg(F.least("u", F.min("other")).alias("hub"), F.count(F.lit(1)).alias("pairs"))
+    small = hubs.groupBy("hub").agg(F.count(F.lit(1)).alias("around")).filter(F.col("around") <= HUB_SETS).select("hub")
+    small = small.withColumn("small", F.lit(True))
+    hubs = written(hubs.join(small, "hub", "left"), "hubs")
+    one = hubs.select(F.col("u").alias("a"), F.col("hub").alias("hub_a"), "small", "pairs")
+    placed = pairs.join(one, "a").join(hubs.select(F.col("u").alias("b"), F.col("hub").alias("hub_b")), "b")
+    shared = F.coalesce("small", F.lit(False)) & (F.col("hub_a") == F.col("hub_b"))
+    part = F.pmod(F.xxhash64("b"), F.ceil(F.col("pairs") / BLOCK_SETS))
+    tile = F.when(shared, F.xxhash64(F.lit("hub"), "hub_a")).otherwise(F.xxhash64(F.lit("set"), "a", part))
+    first, second = F.struct(F.col("a").alias("u"), F.lit(0).alias("side")), F.struct(F.col("b").alias("u"), F.when(shared, 0).otherwise(1).alias("side"))
+    rows = placed.select(tile.alias("tile"), F.explode(F.array(first, second)).alias("row"))
+    places = written(rows.select("row.u", "tile", "row.side").distinct(), "near")
+    discard(hubs)
+    return places
 
 
 def tile_links(u: np.ndarray, sets: list[np.ndarray], first: int) -> list[tuple[int, int]]:
@@ -342,8 +357,9 @@ def tile_links(u: np.ndarray, sets: list[np.ndarray], first: int) -> list[tuple[
     width = 1 << max(9, min(14, int(4 * size.max()).bit_length()))
     bits = np.zeros((len(sets), width // 64), np.uint64)
     for k, x in enumerate(sets):
-        place = x & np.uint64(width - 1)
-        np.bitwise_or.at(bits[k], (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
+        marks = np.zeros(width, np.uint8)
+        marks[(x & np.uint64(width - 1)).astype(np.int64)] = 1
+        bits[k] = np.packbits(marks, bitorder="little").view(np.uint64)
     group = np.arange(len(sets))
     links = []
     whole = first == len(sets)
@@ -363,8 +379,8 @@ def tile_links(u: np.ndarray, sets: list[np.ndarray], first: int) -> list[tuple[
     return links
 
 
-def family_links(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links inside of families (``family``, ``u``, ``n``; every set once), tile by tile.
+def family_places(members: DataFrame) -> DataFrame:
+    """``u``, ``tile`` and ``side`` of the sets of families (``family``, ``u``, ``n``; every set once).
 
     A family's sets of one size band are dealt out over blocks of about ``BLOCK_SETS`` sets by hash.
     A tile is a block with itself, with a later block of its band, or with one of the next band.
@@ -389,20 +405,40 @@ def family_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     own = F.transform(places(F.col("own")), lambda j: tile(here, F.least(b, j), 0, F.greatest(b, j), F.when(b <= j, 0).otherwise(1)))
     up = F.transform(places(F.coalesce("above", F.lit(0))), lambda j: tile(here, b, 1, j, 0))
     down = F.transform(places(F.coalesce("below", F.lit(0))), lambda j: tile(here - 1, j, 1, b, 1))
-    dealt = (
+    return (
         banded.join(known, ["family", "band"])
         .withColumn("block", block)
         .select("family", "u", F.explode(F.concat(own, up, down)).alias("t"))
         .select("u", F.xxhash64("family", "t.band", "t.i", "t.step", "t.j").alias("tile"), "t.side")
     )
 
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("side", "ascending"), ("u", "ascending")]).combine_chunks()
-        sets_ = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["shingles"].chunk(0)]
-        found = tile_links(table["u"].to_numpy(), sets_, int((table["side"].to_numpy() == 0).sum()))
-        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
-    return dealt.join(sets, "u").groupBy("tile").applyInArrow(run, "a long, b long")
+def place_links(sets: DataFrame, places: DataFrame) -> DataFrame:
+    """Links (``a``, ``b``) between the sets (``u``, ``shingles``) that meet (``u``, ``tile``, ``side``), tile by tile."""
+    met = places.join(sets, "u").select("tile", "side", "u", "shingles").repartition("tile").sortWithinPartitions("tile", "side", "u")
+
+    def found(held: list[tuple[int, int, np.ndarray]]) -> list[tuple[int, int]]:
+        sides, u, shingles = zip(*held)
+        return tile_links(np.array(u), list(shingles), sides.count(0)) if len(held) > 1 else []
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, held = None, []
+
+        def answer(links: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        for batch in batches:
+            links = []
+            for t, side, u, body in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                if t != tile:
+                    links += found(held) if held else []
+                    tile, held = t, []
+                held.append((side, u, np.frombuffer(body, np.uint64)))
+            yield answer(links)
+        if held:
+            yield answer(found(held))
+
+    return met.mapInArrow(run, "a long, b long")
 
 
 def links(docs: DataFrame, text: str, sets: DataFrame) -> DataFrame:
@@ -428,9 +464,12 @@ def links(docs: DataFrame, text: str, sets: DataFrame) -> DataFrame:
     members = met.filter(F.col("many") > RARE).select("u", "n").distinct()
     members = written(members.join(family.select(F.col("node").alias("u"), F.col("component").alias("family")), "u"), "families")
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("u")).union(members.select("u")).distinct()
-    whole = written(full_sets(docs, text, wanted), "sets")
-    return written(verified(pairs, whole).union(family_links(members, whole)), "links")
+    near = pair_places(pairs)
+    places = written(near.union(family_places(members)), "places")
+    discard(names, met, signatures, pairs, members, near)
+    found = written(place_links(full_sets(docs, text, places.select("u").distinct()), places), "links")
+    discard(places)
+    return found
 
 
 def link_documents(

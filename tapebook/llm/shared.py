@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,6 +12,20 @@ from tapebook.session import scratch_root
 
 #: Rows and bytes handed to Python at a time, so that a batch of long texts stays small.
 BATCH_ROWS, BATCH_BYTES = 500, 8 << 20
+#: Setting of the engine: a query's shuffle files are removed at its end.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries that run inside go when they are done, not when the driver happens to
+    collect its garbage."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -17,8 +33,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     and tells the planner the size."""
     spark = df.sparkSession
     path = f"{scratch_root(spark).rstrip('/')}/llm/{uuid.uuid4().hex}-{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with shuffles_removed(spark):
+        df.write.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``written`` gave, once nothing that is still to be read comes from them."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.written_at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small_batches(spark: SparkSession) -> SparkSession:

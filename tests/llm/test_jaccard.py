@@ -2,12 +2,13 @@ from __future__ import annotations
 
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import types as T
 
-from tapebook.llm import components, jaccard
+from tapebook.llm import bitmaps, components, jaccard
 
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("n", T.StringType())])
 
@@ -172,3 +173,46 @@ def test_one_document_of_each_group_stays(spark):
     words = [r for r in got if shingles(r.text)]
     assert sorted(str(r.doc_id) for r in words) == sorted({c for _, n, c in brute(rows) if n})
     assert sorted(str(r.doc_id) for r in got if not shingles(r.text)) == ["1", "2", "2"]
+
+
+def test_dead_tables_and_shuffle_files_go(spark):
+    """What is on disk at the end is what the lazy result still reads."""
+    shared = Path(spark.conf.get("spark.checkpoint.dir")) / "llm"
+    blocks = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0])
+    before = {p.name for p in shared.glob("*")}, set(blocks.rglob("shuffle_*.data"))
+    rows = spark.createDataFrame(near_copies(3, groups=60), SCHEMA).repartition(3)
+    sets = jaccard.written(jaccard.named_sets(rows, "text", ("doc_id",)), "prefixes")
+    links = jaccard.links(rows, "text", sets)
+    assert {p.name[33:] for p in shared.glob("*") if p.name not in before[0]} - {"edges"} == {"prefixes", "links"}
+    left = sum(f.stat().st_size for f in set(blocks.rglob("shuffle_*.data")) - before[1])
+    assert left < 10_000 < rows.selectExpr("sum(length(text))").first()[0] / 8
+    assert links.count() > 0
+
+
+def test_filters_hold_all_and_few_others():
+    """At half of the bits that a value is due, as when a corpus outgrows the bound."""
+    rng = np.random.default_rng(4)
+    values = rng.integers(0, 2**63, 60_000)
+    bucket = values % 16
+    rows = [{"bucket": k, "level": level, "bits": bitmaps.filter_of(values[(bucket == k) & (values // 16 % 2 == level)], 14).tobytes()} for k in range(15) for level in range(2)]
+    maps = bitmaps.filter_levels(rows, 16, 3)
+    there = bucket < 15
+    assert sum(m[0].nbytes for m in maps[:2]) <= 2 * 16 * 2**14 // 8
+    assert (bitmaps.level_in(maps, bucket[there], values[there]) >= values[there] // 16 % 2).all()
+    assert (bitmaps.level_in(maps, bucket[~there], values[~there]) == -1).all()
+    others = rng.integers(0, 2**63, 60_000)
+    assert (bitmaps.level_in(maps, others % 16, others) >= 0).mean() < 0.1
+
+
+def test_a_set_of_a_group_moves_once(spark):
+    """All pairs of 40 near copies meet at one place; pairs of a chain and of a large hub meet as well."""
+    group = [(i, j) for i in range(40) for j in range(i + 1, 40)]
+    chain = [(100 + i, 101 + i) for i in range(50)]
+    star = [(1000, 1001 + i) for i in range(2 * jaccard.HUB_SETS)]
+    places = jaccard.pair_places(spark.createDataFrame(group + chain + star, "a long, b long")).collect()
+    assert len([p for p in places if p.u < 40]) == 40
+    at = {}
+    for p in places:
+        at.setdefault(p.u, {})[p.tile] = p.side
+    assert all(any(at[a][t] == 0 for t in at[a].keys() & at[b].keys()) for a, b in group + chain + star)
+    assert len([p for p in places if p.u >= 1000]) <= 3 * len(star)
