@@ -12,6 +12,8 @@ from . import keyed
 
 #: Bits kept for each key: about one new key in so many is looked up among the stored keys for nothing.
 BITS_PER_KEY = 32
+#: Up to so many keys that may be stored are broadcast to the stored ones.
+FEW = 100_000
 #: Fixed value: bits of one bitmap of the engine's aggregate.
 PAGE_BITS = 32_768
 
@@ -59,8 +61,10 @@ def maybe_stored(batch: DataFrame, bits: DataFrame, part: str, keys: Sequence[st
 
 
 def maybe_parts(batch: DataFrame, bits: DataFrame, part: str, keys: Sequence[str]) -> DataFrame:
-    """(part) of the parts that may hold a key of the batch; of each row only its part, a page and a bit move."""
-    return _met(batch.select(F.col(part).alias("part"), *keys), bits, keys).select("part").distinct()
+    """(part, hits) of the parts that may hold a key of the batch, with how often they may; of each row only its part, a
+    page and a bit move."""
+    met = _met(batch.select(F.col(part).alias("part"), *keys), bits, keys)
+    return met.groupBy("part").agg(F.count(F.lit(1)).alias("hits"))
 
 
 def absent_rows(
@@ -71,13 +75,18 @@ def absent_rows(
 
     Only parts that may hold a key of the batch are read, and only their key columns; keys that the bitmaps
     name wrongly are told apart there. A batch of new keys reads no part at all. The list of parts
-    (calendar months) comes to the driver. A key with a NULL is never stored, as in an equi-join. A batch
-    that lies in partitions of its keys is not moved.
+    (calendar months) comes to the driver. A key with a NULL is never stored, as in an equi-join. If up to ``FEW`` keys
+    may be stored, the stored side is cut to them where it lies; else its keys move to the batch once. A batch
+    that lies in partitions of its keys is not moved, and one that is kept is not made again.
     """
     keys = list(keys)
-    hits = scratch.write(maybe_parts(batch.dropna(subset=keys), bits, part, keys), "parts")
-    parts = sorted(r.part for r in hits.collect())
-    if not parts:
+    asked = batch.dropna(subset=keys)
+    hits = scratch.write(maybe_parts(asked, bits, part, keys), "parts").collect()
+    if not hits:
         return batch
-    stored = read(parts)
-    return keyed.absent_rows(batch, stored, [c for c in (part, *keys) if c in keys or c in stored.columns])
+    stored = read(sorted(r.part for r in hits))
+    on = [c for c in (part, *keys) if c in keys or c in stored.columns]
+    if sum(r.hits for r in hits) > FEW:
+        return batch.join(stored.select(*on), on, "left_anti")
+    few = scratch.write(maybe_stored(asked, bits, part, keys).withColumnRenamed("part", part), "asked")
+    return keyed.absent_rows(batch, stored, on, asked=F.broadcast(few))

@@ -7,7 +7,8 @@ same rows, so a restart from the checkpoint changes nothing.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,13 @@ from ..session import Scratch
 from ..sources.store import month_of
 
 BATCH = "batch"
+DIGEST = ["_key_1", "_key_2"]
+#: The state is unloaded when a task commits; no batch without rows; shuffle files of a write inside a batch go at its end.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
 
 
 def failure_ledger(failures: DataFrame) -> DataFrame:
@@ -77,9 +85,11 @@ def read_failures(spark: SparkSession, path: str) -> DataFrame:
     return TICKER_FAILURES.conform(current_rows(spark, path, TICKER_FAILURES.keys))
 
 
-def _digest(keys: Sequence[str]) -> Column:
-    """128 bits for a key of any columns; NULLs are equal to each other."""
-    return F.substring(F.unhex(F.sha2(F.to_json(F.struct(*keys)), 256)), 1, 16)
+def _digest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows with 128 bits (``DIGEST``, two hashes of different seeds) for a key of any columns; NULLs are equal to
+    each other and to nothing else."""
+    parts = [x for c in keys for x in (F.col(c).isNull(), F.col(c))]
+    return rows.withColumns({c: F.xxhash64(F.lit(seed), *parts) for seed, c in enumerate(DIGEST)})
 
 
 def first_arrivals(rows: DataFrame, keys: Sequence[str], remember: str) -> DataFrame:
@@ -88,8 +98,21 @@ def first_arrivals(rows: DataFrame, keys: Sequence[str], remember: str) -> DataF
     The time of arrival is the event time, so no row is ever late and none is dropped for its date. The
     state holds a digest per key, and forgets it some time after it came.
     """
-    marked = rows.withColumns({"_key": _digest(keys), "_arrived": F.current_timestamp()})
-    return marked.withWatermark("_arrived", remember).dropDuplicatesWithinWatermark(["_key"]).drop("_arrived")
+    marked = _digest(rows, keys).withColumn("_arrived", F.current_timestamp())
+    return marked.withWatermark("_arrived", remember).dropDuplicatesWithinWatermark(DIGEST).drop("_arrived")
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Settings that a query started inside keeps; the session gets its own back."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def insert_new(
@@ -102,37 +125,44 @@ def insert_new(
     are read, a batch of new keys reads none. What passes the state is kept on the executors' disks, in the state's
     partitions, so that only stored keys move to meet it. Rows of one key in one batch are taken as equal, as keys are
     digests of content; any one of them stays. NULL keys are equal.
-    """
-    spark = rows.sparkSession
 
-    def earlier(folder: str, number: int) -> DataFrame:
-        return spark.read.parquet(f"{path}/{folder}").filter(F.col(BATCH) < number)
+    A task reads its partition's state from the checkpoint and lets it go when it commits, so that no executor's heap
+    holds the whole state between batches: memory is bounded by partitions, not by keys. Each batch goes through the whole
+    state anyway, to forget. No batch is run just to forget keys.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession  # that of the query, with its settings
+
+        def earlier(folder: str) -> DataFrame:
+            return spark.read.parquet(f"{path}/{folder}").filter(F.col(BATCH) < number)
+
+        spark.sparkContext._jvm.System.gc()  # shuffle files of the batch before go when nothing refers to them
         batch = batch.withColumn("month", month_of(date)).persist(StorageLevel.DISK_ONLY)
         with Scratch(spark, f"{path}/_work") as scratch:
             fresh = batch
             # The first batch writes its folders even if it is empty, so later ones find them.
             if number > 0:
                 fresh = key_bits.absent_rows(
-                    batch, earlier("bits", number), "month", ["_key"],
-                    lambda months: earlier("rows", number).filter(F.col("month").isin(months)).select(_digest(keys).alias("_key")),
+                    batch, earlier("bits"), "month", DIGEST,
+                    lambda months: _digest(earlier("rows").filter(F.col("month").isin(months)), keys).select(*DIGEST),
                     scratch,
                 )
-            fresh = fresh.drop("_key")
+            fresh = fresh.drop(*DIGEST)
             folder = f"{path}/rows/{BATCH}={number}"
             fresh.write.mode("overwrite").option("compression", "zstd").parquet(folder)
-            inserted = spark.read.schema(fresh.schema).parquet(folder).withColumn("_key", _digest(keys))
-            key_bits.key_bits(inserted, "month", ["_key"]).write.mode("overwrite").parquet(f"{path}/bits/{BATCH}={number}")
+            inserted = _digest(spark.read.schema(fresh.schema).parquet(folder), keys)
+            key_bits.key_bits(inserted, "month", DIGEST).write.mode("overwrite").parquet(f"{path}/bits/{BATCH}={number}")
         batch.unpersist()
 
-    return (
-        first_arrivals(rows, keys, remember).writeStream.foreachBatch(write)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    with _settings(rows.sparkSession, STATE_SETTINGS):
+        return (
+            first_arrivals(rows, keys, remember).writeStream.foreachBatch(write)
+            .outputMode("append")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
 
 
 def inserted_rows(spark: SparkSession, path: str) -> DataFrame:

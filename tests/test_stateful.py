@@ -100,3 +100,39 @@ def test_empty_first_batch(spark, tmp_path):
     land(spark, [], ROWS, str(tmp_path / "in"))
     land(spark, [("a", date(2024, 1, 18), "x")], ROWS, str(tmp_path / "in"))
     assert drain_inserts(spark, tmp_path, "1 hour").count() == 1
+
+
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_a_batch_passes_the_state_once(spark, tmp_path, monkeypatch, few):
+    """The look-up of stored keys reads what is kept of the batch, never its source again; the state is unloaded by
+    the query's own settings, which the caller's session doesn't get."""
+    setting, seen = "spark.sql.streaming.stateStore.unloadOnCommit", []
+    monkeypatch.setattr(key_bits, "FEW", few)
+    exact = key_bits.absent_rows
+
+    def nodes(node):
+        inner = node.initialPlan() if node.nodeName() == "AdaptiveSparkPlan" else None
+        below = [inner] if inner else [node.children().apply(k) for k in range(node.children().size())]
+        return [node.nodeName(), *(name for x in below for name in nodes(x))]
+
+    def watched(batch, *args):
+        fresh = exact(batch, *args)
+        seen.append((batch.sparkSession.conf.get(setting), nodes(fresh._jdf.queryExecution().executedPlan())))
+        return fresh
+
+    monkeypatch.setattr(key_bits, "absent_rows", watched)
+    day = date(2024, 1, 18)
+    for batch in ([("a", day, "x"), ("b", day, "y")], [("a", day, "x"), ("c", day, "z")], [("b", day, "y"), ("c", day, "z")]):
+        land(spark, batch, ROWS, str(tmp_path / "in"))
+        got = drain_inserts(spark, tmp_path, "0 seconds")
+    assert sorted(r.id for r in got.collect()) == ["a", "b", "c"]
+    assert len(seen) == 2 and all(value == "true" for value, _ in seen)
+    assert all("InMemoryTableScan" in names and not any("ExistingRDD" in n for n in names) for _, names in seen)
+    assert spark.conf.get(setting) == "false"
+
+
+def test_digests_tell_keys_apart(spark):
+    keys = [(None, None), ("", None), (None, ""), ("", ""), ("a", "bc"), ("ab", "c"), ("abc", None), (None, "abc"), ("a", None), (None, "a")]
+    rows = stateful._digest(spark.createDataFrame(keys * 2, "a string, b string"), ["a", "b"])
+    assert rows.select(*stateful.DIGEST).distinct().count() == len(keys)
+    assert all(rows.select(c).distinct().count() == len(keys) for c in stateful.DIGEST)
