@@ -57,25 +57,25 @@ def filter_of(values: np.ndarray, most: int) -> np.ndarray:
     return np.packbits(marks, bitorder="little")
 
 
-def filter_levels(rows: list, buckets: int, levels: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each level its filters one after the other, where each bucket's begins (in bits) and the mask of its places.
-    A bucket without a filter has one empty word of 64 bits."""
+def filter_levels(rows: list, buckets: int, levels: int) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Each level that has filters: the level, its filters one after the other, where each bucket's begins (in bits) and
+    the mask of its places. A bucket without a filter has one empty word of 64 bits."""
     found = []
     for level in range(levels):
         bits = {r["bucket"]: bytes(r["bits"]) for r in rows if r["level"] == level}
+        if not bits:
+            continue
         size = np.array([len(bits.get(k, b"")) * 8 or 64 for k in range(buckets)], np.uint64)
         first = np.concatenate([np.zeros(1, np.uint64), np.cumsum(size)[:-1]])
         data = np.frombuffer(b"".join(bits.get(k, bytes(8)) for k in range(buckets)), np.uint8)
-        found.append((data, first, size - np.uint64(1)))
+        found.append((level, data, first, size - np.uint64(1)))
     return found
 
 
-def level_in(maps: list[tuple[np.ndarray, np.ndarray, np.ndarray]], buckets: np.ndarray, values: np.ndarray) -> np.ndarray:
+def level_in(maps: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]], buckets: np.ndarray, values: np.ndarray) -> np.ndarray:
     """The highest level that may hold each value of a bucket, -1 for none. A later probe is for what passed the others."""
     found = np.full(len(values), -1, np.int8)
-    for level, (data, first, mask) in enumerate(maps):
-        if not data.any():
-            continue
+    for level, data, first, mask in maps:
         left = np.arange(len(values))
         for k in range(PROBES):
             place = first[buckets[left]] + _probes(values[left], k, mask[buckets[left]])

@@ -59,7 +59,8 @@ def shingle_sets(block: Block, words: int = WORDS) -> Iterator[np.ndarray]:
     whole = mix(whole)
     for first, last in zip(block.bounds[:-1].tolist(), block.bounds[1:].tolist()):
         if last - first >= words:
-            yield np.unique(whole[first : last - words + 1])
+            found = np.sort(whole[first : last - words + 1])
+            yield found[np.concatenate([[True], found[1:] != found[:-1]])]
         elif last > first:
             short = np.array([last - first], np.uint64)
             for k in range(first, last):
@@ -79,10 +80,17 @@ def _spare(n: int | np.ndarray) -> int | np.ndarray:
     return 1 + n // 20
 
 
-def _set_key(shingles: np.ndarray) -> bytes:
-    """128 bits that tell sets apart."""
-    sums = [mix(shingles).sum(dtype=np.uint64), mix(shingles * _STEP + np.uint64(1)).sum(dtype=np.uint64)]
-    return mix(np.array(sums, np.uint64) + np.uint64(len(shingles))).tobytes()
+def set_keys(sets: list[np.ndarray]) -> list[bytes | None]:
+    """For each set 128 bits that tell it from others, none for an empty one; the sets of a block at a time."""
+    sizes = np.array([len(x) for x in sets], np.int64)
+    full = np.flatnonzero(sizes)
+    keys: list[bytes | None] = [None] * len(sets)
+    if len(full):
+        flat, first = np.concatenate(sets), (np.cumsum(sizes) - sizes)[full]
+        sums = [np.add.reduceat(mix(x), first, dtype=np.uint64) for x in (flat, flat * _STEP + np.uint64(1))]
+        for k, key in zip(full.tolist(), mix(np.stack(sums, 1) + sizes[full].astype(np.uint64)[:, None])):
+            keys[k] = key.tobytes()
+    return keys
 
 
 def _signature(shingles: np.ndarray) -> np.ndarray:
@@ -113,9 +121,9 @@ def named_sets(docs: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame:
         for batch in batches:
             sizes, keys, names, signatures = [], [], [], [np.zeros((0, SIGNATURE), np.int64)]
             for block in word_blocks(batch.column(1), NOT_SPACE):
-                for shingles in shingle_sets(block):
+                found = list(shingle_sets(block))
+                for shingles, key in zip(found, set_keys(found)):
                     n = len(shingles)
-                    key = _set_key(shingles) if n else None
                     sizes.append(n)
                     keys.append(key)
                     names.append(None if key is None or key in seen else shingles[: n - _least(n) + _spare(n)].view(np.int64))
@@ -287,14 +295,16 @@ def full_sets(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             u, bodies = [], []
             for block in word_blocks(batch.column(0), NOT_SPACE):
-                for shingles in shingle_sets(block):
-                    if not len(shingles):
-                        continue
-                    key = int.from_bytes(_set_key(shingles)[:8], "little", signed=True)
-                    if key not in seen and contains(bitmap.value, np.array([key], np.int64))[0]:
+                found = list(shingle_sets(block))
+                keys = set_keys(found)
+                some = [k for k, key in enumerate(keys) if key]
+                short = np.array([int.from_bytes(keys[k][:8], "little", signed=True) for k in some], np.int64)
+                maybe = contains(bitmap.value, short) if len(some) else []
+                for k, key, wanted_here in zip(some, short.tolist(), maybe):
+                    if wanted_here and key not in seen:
                         seen.add(key)
                         u.append(key)
-                        bodies.append(shingles.tobytes())
+                        bodies.append(found[k].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(bodies, pa.binary())], ["u", "shingles"])
 
     read = docs.select(F.col(f"`{text}`").cast("string").alias("body")).mapInArrow(run, "u long, shingles binary")

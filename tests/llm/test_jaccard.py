@@ -196,8 +196,9 @@ def test_filters_hold_all_and_few_others():
     bucket = values % 16
     rows = [{"bucket": k, "level": level, "bits": bitmaps.filter_of(values[(bucket == k) & (values // 16 % 2 == level)], 14).tobytes()} for k in range(15) for level in range(2)]
     maps = bitmaps.filter_levels(rows, 16, 3)
+    assert [m[0] for m in maps] == [0, 1]  # a level without names costs nothing
     there = bucket < 15
-    assert sum(m[0].nbytes for m in maps[:2]) <= 2 * 16 * 2**14 // 8
+    assert sum(m[1].nbytes for m in maps) <= 2 * 16 * 2**14 // 8
     assert (bitmaps.level_in(maps, bucket[there], values[there]) >= values[there] // 16 % 2).all()
     assert (bitmaps.level_in(maps, bucket[~there], values[~there]) == -1).all()
     others = rng.integers(0, 2**63, 60_000)
@@ -216,3 +217,11 @@ def test_a_set_of_a_group_moves_once(spark):
         at.setdefault(p.u, {})[p.tile] = p.side
     assert all(any(at[a][t] == 0 for t in at[a].keys() & at[b].keys()) for a, b in group + chain + star)
     assert len([p for p in places if p.u >= 1000]) <= 3 * len(star)
+
+
+def test_keys_of_many_sets_are_those_of_each():
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (0, 3, 1, 0, 0, 700, 3, 0)]
+    keys = jaccard.set_keys(sets)
+    assert keys == [jaccard.set_keys([x])[0] for x in sets]
+    assert [k is None for k in keys] == [len(x) == 0 for x in sets] and len(set(keys)) == 5
